@@ -10,6 +10,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from replenish.functions import windows
 from replenish.functions.exprs import dec, num
@@ -22,8 +23,15 @@ WINDOWS = windows.build(BUSINESS_DATE)
 EXTRACTED = "2001-08-01 03:00:00"
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table; its schema is read from the file once."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _stamp(value: str) -> Column:
@@ -160,20 +168,20 @@ def wide_stock(spark: SparkSession, folder: str, span: Span | None = None) -> Da
         F.lit(span.start.replace(day=1)), F.lit(span.end.replace(day=1)), F.expr("interval 1 month")
     )
     rows = pairs.select("article_id", "branch_id", F.explode(months).alias("first"))
-    a, b = F.col("article_id"), F.col("branch_id")
-    keyed = rows.select(
-        F.year("first").alias("year"), F.month("first").alias("month"), "branch_id", "article_id"
-    )
-    missing = ((a + b) % 6 == 0) & (F.col("year") == 2001) & F.col("month").isin(7, 8)
-    base = a * 7 + b * 13 + F.col("month") * 5
-    return keyed.filter(~missing).select(
+    keyed = rows.selectExpr(
+        "year(first) as year", "month(first) as month", "branch_id", "article_id",
+        "article_id * 7 + branch_id * 13 + month(first) * 5 as base",
+    ).filter("not ((article_id + branch_id) % 6 = 0 and year = 2001 and month in (7, 8))")
+    return keyed.selectExpr(
         "year", "month", "branch_id", "article_id",
-        *[dec((base + 3 * n) % 11 - 2).alias(c) for n, c in enumerate(DAY_COLUMNS, start=1)],
-        F.when(
-            (F.col("year") == 2001) & (F.col("month") == 8), _stamp("2001-08-02 04:00:00")
-        ).alias("processed_at"),
-        F.lit(True).alias("processed_ok"),
-        F.lit("LEGACY").alias("origin"),
+        *[
+            f"cast((base + {3 * n}) % 11 - 2 as decimal(18,6)) as {c}"
+            for n, c in enumerate(DAY_COLUMNS, start=1)
+        ],
+        "case when year = 2001 and month = 8 "
+        "then cast('2001-08-02 04:00:00' as timestamp_ntz) end as processed_at",
+        "true as processed_ok",
+        "'LEGACY' as origin",
     )
 
 

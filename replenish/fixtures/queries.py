@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
 from functools import cached_property
@@ -33,7 +32,7 @@ from replenish.operators import (
     stock,
 )
 from replenish.operators.demand import RunIds
-from replenish.operators.scale import checkpoint_dir, materialise
+from replenish.operators.scale import materialise, scratch
 from replenish.params import ORIGIN_ID
 from replenish.plans import pipelines
 from replenish.sources.store import MonthlyStore
@@ -49,20 +48,37 @@ QUERIES: dict[str, Query] = {}
 
 
 class Frames:
-    """The input relations and the usual intermediate frames over one data folder."""
+    """The input relations and the stored tables of one session and data folder.
+
+    Scope, daily stock, panel, estimates and positions are written once, as a run does, and the
+    queries downstream read the written tables. Queries about these steps themselves build them
+    anew (`build_panel`, `normalized`).
+    """
+
+    _open: dict[tuple[str, str], Frames] = {}
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
 
+    @classmethod
+    def of(cls, spark: SparkSession, folder: str) -> Frames:
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in cls._open:
+            cls._open[key] = cls(spark, folder)
+        return cls._open[key]
+
     @cached_property
     def catalog(self) -> DataFrame:
         return fx.catalog(self.spark, self.folder)
 
     @cached_property
     def pairs(self) -> DataFrame:
-        """Written once, as a run does with its scope, and then read many times."""
         return materialise(scope.pairs(self.catalog))
 
+    @cached_property
+    def later_pairs(self) -> DataFrame:
+        return scope.pairs(fx.later_catalog(self.spark, self.folder))
+
     @cached_property
     def raw(self) -> DataFrame:
         return fx.raw_sales(self.spark, self.folder)
@@ -83,27 +99,31 @@ class Frames:
     def stock_scope(self) -> DataFrame:
         return materialise(scope.stock_scope(self.catalog))
 
-    def stock(self, start: date, end: date) -> DataFrame:
+    def normalized(self, start: date, end: date) -> DataFrame:
         return stock.normalize(self.wide, self.stock_scope, start, end)
 
     @cached_property
-    def panel(self) -> DataFrame:
-        """The panel of the three windows of the business date."""
-        seasonal, current = W.load_ranges()
-        shelf = self.stock(seasonal.start, seasonal.end).unionByName(
-            self.stock(current.start, current.end)
-        )
-        return panel.build(self.pairs, self.raw, self.enriched, shelf, [seasonal, current])
+    def stock(self) -> DataFrame:
+        return materialise(self.normalized(self.history.start, self.history.end))
+
+    def build_panel(self, spans: list[Span]) -> DataFrame:
+        return panel.build(self.pairs, self.raw, self.enriched, self.stock, spans)
 
     @cached_property
     def history_panel(self) -> DataFrame:
-        span = self.history
-        shelf = self.stock(span.start, span.end)
-        return panel.build(self.pairs, self.raw, self.enriched, shelf, span)
+        return materialise(self.build_panel([self.history]))
+
+    @cached_property
+    def panel(self) -> DataFrame:
+        """Panel rows of the three windows of the business date."""
+        return self.history_panel.filter(W.holds(F.col("sales_date")))
+
+    def estimate(self, day: date) -> DataFrame:
+        return demand.estimate(self.history_panel, self.pairs, windows.build(day), IDS)
 
     @cached_property
     def estimates(self) -> DataFrame:
-        return demand.estimate(self.panel, self.pairs, W, IDS)
+        return materialise(self.estimate(T))
 
     @cached_property
     def rolling_dates(self) -> list[date]:
@@ -118,7 +138,10 @@ class Frames:
 
     @cached_property
     def positions(self) -> DataFrame:
-        inputs = fx.position_inputs(self.stock(W.cutoff, W.cutoff), self.pairs)
+        return materialise(self.build_positions())
+
+    def build_positions(self) -> DataFrame:
+        inputs = fx.position_inputs(self.stock, self.pairs)
         return position.branch(
             inputs, self.estimates, fx.parameters(self.spark, self.folder), [T]
         )
@@ -146,9 +169,11 @@ class Frames:
 
     @cached_property
     def sources(self) -> DataFrame:
-        return backlog.all_sources(
-            backlog.automatic_sources(self.open_needs),
-            backlog.directed_sources(self.directed, T, self.pairs),
+        return materialise(
+            backlog.all_sources(
+                backlog.automatic_sources(self.open_needs),
+                backlog.directed_sources(self.directed, T, self.pairs),
+            )
         )
 
     @cached_property
@@ -164,11 +189,14 @@ class Frames:
 
     @cached_property
     def lines(self) -> DataFrame:
+        return materialise(self.build_lines())
+
+    def build_lines(self) -> DataFrame:
         return backlog.consolidate(self.sources, self.line_execution, self.items, self.positions)
 
     @cached_property
     def ranked(self) -> DataFrame:
-        return backlog.prioritize(self.lines, T)
+        return materialise(backlog.prioritize(self.lines, T))
 
     @cached_property
     def events(self) -> DataFrame:
@@ -181,13 +209,8 @@ class Frames:
         return fx.import_lines(self.spark, self.folder)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/replenish-{name}-{uuid.uuid4().hex}"
-
-
 def query(build: Callable[[Frames], DataFrame]) -> Callable[[Frames], DataFrame]:
-    QUERIES[build.__name__] = lambda spark, folder: build(Frames(spark, folder))
+    QUERIES[build.__name__] = lambda spark, folder: build(Frames.of(spark, folder))
     return build
 
 
@@ -231,12 +254,12 @@ def scope_snapshot(f: Frames) -> DataFrame:
 
 @query
 def scope_diff(f: Frames) -> DataFrame:
-    return scope.diff(f.pairs, scope.pairs(fx.later_catalog(f.spark, f.folder)))
+    return scope.diff(f.pairs, f.later_pairs)
 
 
 @query
 def scope_variation(f: Frames) -> DataFrame:
-    return scope.variation(f.pairs, scope.pairs(fx.later_catalog(f.spark, f.folder)))
+    return scope.variation(f.pairs, f.later_pairs)
 
 
 @query
@@ -254,7 +277,7 @@ def stock_unpivot(f: Frames) -> DataFrame:
 @query
 def stock_daily(f: Frames) -> DataFrame:
     span = W.load_ranges()[1]
-    return f.stock(span.start, span.end).select(
+    return f.normalized(span.start, span.end).select(
         "stock_date", *PAIR, d("stock_quantity"), "stock_sign_status", "is_serviceable",
         F.col("source_day").cast("int").alias("source_day"), "closed_day_rule", "source_row_hash",
     )
@@ -265,7 +288,7 @@ def stock_upsert(f: Frames) -> DataFrame:
     """Load a range, then load it again with some quantities corrected; read the table back."""
     span = Span(date(2001, 5, 20), W.cutoff)
     store = MonthlyStore(f.spark, scratch(f.spark, "store"))
-    store.upsert("stock_daily", f.stock(span.start, span.end), span)
+    store.upsert("stock_daily", f.normalized(span.start, span.end), span)
     column = schemas.DAY_COLUMNS[9]
     corrected = f.wide.withColumn(
         column, F.when(F.col("article_id") % 4 == 0, F.col(column) + 1).otherwise(F.col(column))
@@ -281,7 +304,7 @@ def stock_upsert(f: Frames) -> DataFrame:
 @query
 def stock_coverage(f: Frames) -> DataFrame:
     span = f.history
-    daily = stock.coverage(f.stock(span.start, span.end), f.pairs, span.start, span.end)
+    daily = stock.coverage(f.stock, f.pairs, span.start, span.end)
     return stock.coverage_alerts(daily).select(
         "stock_date", "expected_pairs", "known_pairs", "positive_pairs", "low_coverage",
         "sharp_drop",
@@ -326,7 +349,7 @@ def enriched_daily_rollup(f: Frames) -> DataFrame:
 
 @query
 def sales_panel(f: Frames) -> DataFrame:
-    return f.panel.select(
+    return f.build_panel(W.load_ranges()).select(
         "sales_date", *PAIR, "supplier_id", "family_id", "category_id", "source_row_count",
         d("observed_units"), d("return_units"), d("basal_units"), d("promo_units"),
         d("sold_amount", places=2), d("effective_unit_price"), "assortment_active",
@@ -340,7 +363,7 @@ def sales_panel(f: Frames) -> DataFrame:
 @query
 def panel_history(f: Frames) -> DataFrame:
     """The whole dense panel, condensed per pair."""
-    return f.history_panel.groupBy(*PAIR).agg(
+    return f.build_panel([f.history]).groupBy(*PAIR).agg(
         F.count(F.lit(1)).alias("days"),
         F.count_if("eligible").alias("eligible_days"),
         d(F.sum("observed_units"), "observed_units"),
@@ -390,7 +413,7 @@ def demand_weights(f: Frames) -> DataFrame:
 
 @query
 def demand_estimate(f: Frames) -> DataFrame:
-    return f.estimates.select(
+    return f.estimate(T).select(
         "business_date", *PAIR, "supplier_id", "method_code",
         F.col("fallback_level").cast("int").alias("fallback_level"), "status",
         d("confidence_score"), "lookback_start", "lookback_end", "active_days", "eligible_days",
@@ -419,8 +442,7 @@ def network_fallback(f: Frames) -> DataFrame:
 
 @query
 def freshness_gate(f: Frames) -> DataFrame:
-    span = f.history
-    return freshness.read(f.raw, f.enriched, f.wide, f.stock(span.start, span.end))
+    return freshness.read(f.raw, f.enriched, f.wide, f.stock)
 
 
 @query
@@ -442,14 +464,13 @@ def source_profile(f: Frames) -> DataFrame:
 
 def _backtest_detail(f: Frames) -> DataFrame:
     """Estimates of the last rolling dates, scored one day ahead."""
-    history = f.history_panel
     parts = None
     for day in f.rolling_dates[-3:]:
-        one = demand.estimate(history, f.pairs, windows.build(day), IDS)
+        one = f.estimate(day)
         parts = one if parts is None else parts.unionByName(one)
     first = f.rolling_dates[-3] + timedelta(days=1)
     last = f.rolling_dates[-1] + timedelta(days=1)
-    return backtest.detail(parts, history, first, last, IDS, 1)
+    return backtest.detail(parts, f.history_panel, first, last, IDS, 1)
 
 
 @query
@@ -481,8 +502,7 @@ def backtest_rolling(f: Frames) -> DataFrame:
 
 @query
 def model_compare(f: Frames) -> DataFrame:
-    history = materialise(f.history_panel)
-    return backtest.compare(history, f.pairs, f.rolling_dates).select(
+    return backtest.compare(f.history_panel, f.pairs, f.rolling_dates).select(
         "variant", "segment_type", "segment_id", "metric_code", d("metric_value"), "sample_size",
         "zero_actual_count",
     )
@@ -490,10 +510,9 @@ def model_compare(f: Frames) -> DataFrame:
 
 @query
 def model_acceptance(f: Frames) -> DataFrame:
-    history = materialise(f.history_panel)
     two = {"ESTIMATE": backtest.VARIANTS["ESTIMATE"]}
     return backtest.acceptance(
-        backtest.compare(history, f.pairs, f.rolling_dates, variants=two)
+        backtest.compare(f.history_panel, f.pairs, f.rolling_dates, variants=two)
     ).select("segment_type", "segment_id", "metric_code", d("candidate"), d("baseline"), "accepted")
 
 
@@ -565,7 +584,7 @@ def interval_params(f: Frames) -> DataFrame:
 
 @query
 def net_stock(f: Frames) -> DataFrame:
-    return f.positions.select(
+    return f.build_positions().select(
         "business_date", *PAIR, "supplier_id", d("physical_stock"), d("direct_po_inbound"),
         d("cd_in_transit"), d("special_sale_committed"), d("net_stock"), "calculation_status",
         joined("alert_codes"),
@@ -639,7 +658,7 @@ def duplicate_needs(f: Frames) -> DataFrame:
 
 @query
 def backlog_consolidated(f: Frames) -> DataFrame:
-    return f.lines.select(
+    return f.build_lines().select(
         "line_id", "origin_id", *PAIR, "supplier_key",
         *[d(f"{k}_open_quantity") for k in "decas"],
         d("mandatory_open_quantity"), d("optional_open_quantity"), d("total_open_quantity"),
@@ -651,7 +670,7 @@ def backlog_consolidated(f: Frames) -> DataFrame:
 
 @query
 def backlog_priority(f: Frames) -> DataFrame:
-    return f.ranked.select("line_id", "priority_class", "risk_score", "priority_rank")
+    return backlog.prioritize(f.lines, T).select("line_id", "priority_class", "risk_score", "priority_rank")
 
 
 @query
@@ -836,7 +855,7 @@ def events_daily_counts(f: Frames) -> DataFrame:
 def _current(f: Frames) -> DataFrame:
     """An older projection: the estimate of the last rolling date before the business date."""
     day = max(x for x in f.rolling_dates if x < T)
-    older = demand.estimate(f.history_panel, f.pairs, windows.build(day), IDS)
+    older = f.estimate(day)
     return older.filter(F.col("status") != "BLOCKED")
 
 
@@ -846,17 +865,14 @@ def _shown_current(rows: DataFrame) -> DataFrame:
 
 @query
 def publish_current(f: Frames) -> DataFrame:
-    later = scope.pairs(fx.later_catalog(f.spark, f.folder))
-    return _shown_current(publish.next_current(_current(f), f.estimates, later))
+    return _shown_current(publish.next_current(_current(f), f.estimates, f.later_pairs))
 
 
 @query
 def publish_staged(f: Frames) -> DataFrame:
     """Two publications through stage, checks and switch; the projection in force."""
     root = scratch(f.spark, "publication")
-    first = demand.estimate(
-        f.history_panel, f.pairs, windows.build(max(x for x in f.rolling_dates if x < T)), IDS
-    )
+    first = f.estimate(max(x for x in f.rolling_dates if x < T))
     publish.publish(f.spark, root, first, f.pairs, "batch-1")
     publish.publish(f.spark, root, f.estimates, f.pairs, "batch-2")
     return _shown_current(publish.current(f.spark, root))
@@ -864,17 +880,14 @@ def publish_staged(f: Frames) -> DataFrame:
 
 @query
 def retire_pairs(f: Frames) -> DataFrame:
-    later = scope.pairs(fx.later_catalog(f.spark, f.folder))
-    return publish.retired(_current(f), later).select(*PAIR, "status")
+    return publish.retired(_current(f), f.later_pairs).select(*PAIR, "status")
 
 
 @query
 def quality_violations(f: Frames) -> DataFrame:
-    span = f.history
     issues = [
         quality.violations(
-            f.stock(span.start, span.end), quality.stock_rules(), "stock",
-            ["stock_date", *PAIR], "stock_date",
+            f.stock, quality.stock_rules(), "stock", ["stock_date", *PAIR], "stock_date"
         ),
         quality.violations(
             f.history_panel, quality.sales_rules(), "sales", ["sales_date", *PAIR], "sales_date"
@@ -904,7 +917,7 @@ def duplicate_keys(f: Frames) -> DataFrame:
 
 @query
 def scope_gate(f: Frames) -> DataFrame:
-    variation = scope.variation(f.pairs, scope.pairs(fx.later_catalog(f.spark, f.folder)))
+    variation = scope.variation(f.pairs, f.later_pairs)
     return quality.scope_gate(variation).select(
         "added", "removed", "changed", "same", d("variation"), "passes"
     )
@@ -913,7 +926,7 @@ def scope_gate(f: Frames) -> DataFrame:
 @query
 def scoped_blocking(f: Frames) -> DataFrame:
     """Pairs without any stock in the recent window stay blocked; the others run."""
-    known = f.stock(W.recent.start, W.cutoff)
+    known = f.stock.filter(W.recent.holds(F.col("stock_date")))
     ready, blocked = freshness.split_scope(f.pairs, known, PAIR)
     return ready.select(*PAIR, F.lit("READY").alias("state")).unionByName(
         blocked.select(*PAIR, F.lit("BLOCKED").alias("state"))
@@ -922,8 +935,7 @@ def scoped_blocking(f: Frames) -> DataFrame:
 
 @query
 def audit_diff(f: Frames) -> DataFrame:
-    later = scope.pairs(fx.later_catalog(f.spark, f.folder))
-    return audit.diff(f.pairs, later, PAIR, "scope_pair", "correlation-1").select(
+    return audit.diff(f.pairs, f.later_pairs, PAIR, "scope_pair", "correlation-1").select(
         "entity_id", "event_type", "before_state", "after_state"
     )
 

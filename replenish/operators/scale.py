@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,20 +16,28 @@ BROADCAST_ROWS = 2_000_000
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is set (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if named is None and context.getCheckpointDir() is None:
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None:
         named = tempfile.mkdtemp(prefix="replenish-checkpoint-")
-    if named is not None and context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
-    return named or context.getCheckpointDir()
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared folder."""
+    return f"{checkpoint_dir(spark)}/replenish-{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint folder, so that later steps survive a lost executor
-    and see the same rows."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` as a table in the shared folder and read it back.
+
+    This cuts the lineage: a lost executor costs nothing that is already written, and every later
+    step sees the same rows. Reads of the table are columnar, pruned and have true sizes, from
+    which the optimizer picks its joins.
+    """
+    path = scratch(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def is_bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
