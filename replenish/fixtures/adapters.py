@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from replenish.functions import windows
 from replenish.functions.exprs import dec, num
 from replenish.functions.windows import Span
+from replenish.operators.scale import spread
 from replenish.params import ORIGIN_ID
 from replenish.schemas import DAY_COLUMNS
 
@@ -104,7 +105,7 @@ def later_catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem")
+    lines = spread(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
     parts = table(spark, folder, "part").select("p_partkey", _article().alias("article_id"), "p_size")
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey).join(
@@ -163,7 +164,10 @@ def history(spark: SparkSession, folder: str) -> Span:
 def wide_stock(spark: SparkSession, folder: str, span: Span | None = None) -> DataFrame:
     """All 31 day columns are filled, also in short months; some pairs lack two months."""
     span = span or history(spark, folder)
-    pairs = catalog(spark, folder).select("article_id", "branch_id").distinct()
+    pairs = spread(
+        catalog(spark, folder).select("article_id", "branch_id").distinct(),
+        "article_id", "branch_id",
+    )
     months = F.sequence(
         F.lit(span.start.replace(day=1)), F.lit(span.end.replace(day=1)), F.expr("interval 1 month")
     )
@@ -262,8 +266,11 @@ def directed_needs(spark: SparkSession, folder: str) -> DataFrame:
             need_type.alias("need_type"),
         )
     )
-    lines = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity"
+    lines = spread(
+        table(spark, folder, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_quantity"
+        ),
+        "l_orderkey", "l_suppkey",
     )
     parts = table(spark, folder, "part").select("p_partkey", _article().alias("article_id"))
     suppliers = table(spark, folder, "supplier").select(

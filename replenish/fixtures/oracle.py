@@ -691,6 +691,22 @@ QUERIES: dict[str, str] = {
           {_r('upp','rounding_unit')}, {_r('rounded','rounded_quantity')},
           case when pstat='BLOCKED' then 'BLOCKED' when q=0 then 'ZERO' else 'CALCULATED' end calculation_status,
           risk risk_score from needs""",
+    "run_summary": f"""
+        select nt need_type, mand is_mandatory,
+          case when pstat='BLOCKED' then 'BLOCKED' when q=0 then 'ZERO' else 'CALCULATED' end calculation_status,
+          count(*) "rows", {_r('sum(q)','quantity')},
+          count(*) filter (pstat in ('BLOCKED','ZERO_PDVB')) warnings from needs group by all""",
+    "run_controls": """
+        select * from (
+          select 'estimate' entity_type, 'ERROR' severity, 'PAIR_WITHOUT_ESTIMATE' issue_code, count(*) issues
+          from later_pairs where (article_id, branch_id) not in (select (article_id, branch_id) from est)
+          union all
+          select 'estimate', 'WARN', 'DEMAND_JUMP', count(*) from est e join pest p
+            on p.article_id=e.article_id and p.branch_id=e.branch_id and p.status<>'BLOCKED'
+          where e.value>p.value*3 or e.value*3<p.value) where issues>0""",
+    "import_versions": """
+        select line_id, case when user_id%17=0 then 'NOT_FOUND' when user_id%11=0 then 'STALE_VERSION'
+          else 'CURRENT' end version_status, count(*) requests from req group by all""",
     "stockout_risk": f"""
         select risk risk_score, count(*) pairs, {_r('sum(q)','needed')} from needs where nt='D' group by 1""",
     "automatic_balance": f"""

@@ -607,6 +607,26 @@ def needs_ds(f: Frames) -> DataFrame:
     )
 
 
+@query
+def run_summary(f: Frames) -> DataFrame:
+    return needs.summary(f.needs).select(
+        "need_type", "is_mandatory", "calculation_status", "rows", d("quantity"), "warnings"
+    )
+
+
+@query
+def run_controls(f: Frames) -> DataFrame:
+    """Controls of the run against a later scope and the previous estimate."""
+    issues = quality.run_controls(f.estimates, f.later_pairs, _current(f))
+    return quality.issue_counts(issues)
+
+
+@query
+def import_versions(f: Frames) -> DataFrame:
+    checked = execution.version_check(fx.import_requests(f.spark, f.folder), f.import_lines)
+    return checked.groupBy("line_id", "version_status").agg(F.count(F.lit(1)).alias("requests"))
+
+
 @query
 def stockout_risk(f: Frames) -> DataFrame:
     return f.needs.filter(F.col("need_type") == "D").groupBy("risk_score").agg(

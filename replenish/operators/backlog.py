@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from replenish.functions.exprs import bar_hash, codes, dec, num, text, text_or_blank
 from replenish.operators import logistics
 from replenish.operators.needs import commitment_class
-from replenish.operators.scale import global_rank, running_before
+from replenish.operators.scale import global_rank, look_up, running_before
 from replenish.params import MANDATORY_TYPES, NEED_TYPES, OPTIONAL_TYPES, ORIGIN_ID
 
 LINE = ["business_date", "origin_id", "branch_id", "article_id", "supplier_key"]
@@ -212,7 +212,7 @@ def attribute(
     running = running_before(
         ordered, keys, order, {"before": ("sum", dec("open_quantity", 38, 6))}
     ).drop("order_target")
-    joined = running.join(prepared.select(*keys, "prepared_quantity"), keys, "left")
+    joined = look_up(running, prepared.select(*keys, "prepared_quantity"), keys)
     left_over = F.coalesce("prepared_quantity", num(0)) - F.coalesce("before", num(0, 38, 6))
     share = F.greatest(num(0, 38, 6), F.least(F.col("open_quantity"), left_over))
     return joined.withColumns(

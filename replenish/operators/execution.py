@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replenish.functions.exprs import any_of, codes, dec, earliest, latest, num
-from replenish.operators.scale import running_before
+from replenish.operators.scale import look_up, running_before
 from replenish.params import STATUS_MAP, UNKNOWN_STATUS
 
 QUANTITY_KINDS = ("IMPORTED", "PREPARED", "DISPATCHED", "CANCELLED")
@@ -169,12 +169,16 @@ def quarantine(events: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFram
     it imported are set aside until reconciled.
     """
     known = lines.select("line_id").distinct().withColumn("known_line", F.lit(True))
-    state = fold(events).select(
-        "line_id", (F.col("prepared_quantity") > F.col("imported_quantity")).alias("exceeds")
+    # One row per line: whether it is known, and whether it prepared more than it imported.
+    facts = (
+        fold(events)
+        .select(
+            "line_id", (F.col("prepared_quantity") > F.col("imported_quantity")).alias("exceeds")
+        )
+        .join(known, "line_id", "left")
     )
     checked = (
-        events.join(known, "line_id", "left")
-        .join(state, "line_id", "left")
+        look_up(events, facts, ["line_id"])
         .withColumn(
             "isolation_codes",
             codes(

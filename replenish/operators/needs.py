@@ -91,6 +91,15 @@ def automatic(
     ).drop("position_status")
 
 
+def summary(needs: DataFrame) -> DataFrame:
+    """Totals of a run by need type and status, with its warnings."""
+    return needs.groupBy("need_type", "is_mandatory", "calculation_status").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("calculated_quantity").alias("quantity"),
+        F.count_if(F.size("alert_codes") > 0).alias("warnings"),
+    )
+
+
 def automatic_balance(needs: DataFrame, pipeline: DataFrame) -> DataFrame:
     """Open automatic quantity: the rounded need minus what is already under way, subtracted once.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from replenish.functions.exprs import any_of, bar_hash, codes, dec, num, text, text_or_blank
 from replenish.functions.windows import Span, check_range, days_between
-from replenish.operators.scale import BROADCAST_ROWS, is_bounded
+from replenish.operators.scale import BROADCAST_ROWS, is_bounded, spread
 
 KEY = ["sales_date", "article_id", "branch_id"]
 PAIR = ["article_id", "branch_id"]
@@ -103,7 +103,7 @@ def skeleton(scope_pairs: DataFrame, spans: list[Span]) -> DataFrame:
         *[F.sequence(F.lit(s.start), F.lit(s.end), F.expr("interval 1 day")) for s in spans]
     )
     # A day in two overlapping spans appears once.
-    return scope_pairs.select(
+    return spread(scope_pairs, *PAIR).select(
         F.explode(F.array_distinct(days)).alias("sales_date"), *PAIR, "supplier_id"
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replenish.functions.exprs import dec, num
-from replenish.operators.scale import running_before
+from replenish.operators.scale import look_up, running_before
 from replenish.params import PromoParams
 
 MONTH_PAIR = ["month", "article_id", "branch_id"]
@@ -60,11 +60,12 @@ def split(
     """Score every record against its monthly medians and split its units.
 
     From `split_from` on, units above the median are promotional. Basal and promotional units
-    always add up to the units sold; returns stay whole. A month of one pair may hold very many
-    records: they join a single baseline row, and adaptive execution splits such a partition.
+    always add up to the units sold; returns stay whole.
     """
-    priced = raw_sales.withColumn("month", F.trunc(F.to_date("sales_ts"), "MM")).join(
-        baseline.select(*MONTH_PAIR, "median_units", "median_price"), MONTH_PAIR, "left"
+    priced = look_up(
+        raw_sales.withColumn("month", F.trunc(F.to_date("sales_ts"), "MM")),
+        baseline.select(*MONTH_PAIR, "median_units", "median_price"),
+        MONTH_PAIR,
     )
     score = F.lit(0)
     for band, price_share, units_multiple in reversed(params.bands):

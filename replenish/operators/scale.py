@@ -40,6 +40,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a frame of few partitions over the cluster before its rows multiply.
+
+    An input that already has enough partitions is left as it is; no shuffle is added to large
+    data. The partition count is fixed, so adaptive execution does not merge it back.
+    """
+    session = df.sparkSession
+    wanted = max(
+        session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))
+    )
+    if df.rdd.getNumPartitions() >= session.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(wanted, *keys)
+
+
 def is_bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether `df` has at most `limit` rows; stops counting just above it."""
     return df.limit(limit + 1).count() <= limit
@@ -58,6 +73,20 @@ def keep_matching(
     return large.join(wanted, on, "left_semi")
 
 
+def look_up(
+    large: DataFrame, table: DataFrame, on: list[str], limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Left join to a table with one row per key, without moving the large side if it can be helped.
+
+    A table within the bound is broadcast, so the skew of the large side does not matter. Beyond
+    it the join is shuffled and, being the only operation on its partitions, open to the skew
+    splitting of adaptive execution.
+    """
+    if is_bounded(table, limit):
+        table = F.broadcast(table)
+    return large.join(table, on, "left")
+
+
 def _combine(kind: str, left: Column, right: Column) -> Column:
     if kind == "sum":
         return F.when(left.isNull(), right).when(right.isNull(), left).otherwise(left + right)

@@ -6,9 +6,10 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from replenish.functions.exprs import bar_hash, dec, text, text_or_blank
-from replenish.functions.windows import check_range
+from replenish.functions.windows import calendar, check_range
 from replenish.operators.scale import keep_matching
 from replenish.schemas import DAY_COLUMNS
 
@@ -122,17 +123,14 @@ def coverage(stock: DataFrame, scope_pairs: DataFrame, start: date, end: date) -
             F.count_if("is_serviceable").alias("positive_pairs"),
         )
     )
-    total = expected.agg(F.count(F.lit(1)).alias("expected_pairs"))
-    days = expected.sparkSession.range(1).select(
-        F.explode(F.sequence(F.lit(start), F.lit(end))).alias("stock_date")
-    )
-    # Both sides below have one row per day or one row at all.
-    counted = days.join(found, "stock_date", "left").withColumn("one", F.lit(1))
-    return counted.join(total.withColumn("one", F.lit(1)), "one").select(
+    pairs = expected.count()
+    days = calendar(expected.sparkSession, start, end, "stock_date")
+    none = F.lit(0).cast("bigint")
+    return days.join(found, "stock_date", "left").select(
         "stock_date",
-        "expected_pairs",
-        F.coalesce("known_pairs", F.lit(0)).alias("known_pairs"),
-        F.coalesce("positive_pairs", F.lit(0)).alias("positive_pairs"),
+        F.lit(pairs).cast("bigint").alias("expected_pairs"),
+        F.coalesce("known_pairs", none).alias("known_pairs"),
+        F.coalesce("positive_pairs", none).alias("positive_pairs"),
     )
 
 
@@ -140,8 +138,6 @@ def coverage_alerts(
     daily: DataFrame, minimum_known: float = 0.9, maximum_drop: float = 0.2
 ) -> DataFrame:
     """Days with too little known stock, or whose positive share fell sharply from the day before."""
-    from pyspark.sql.window import Window
-
     # One row per day: the whole calendar is a bounded frame.
     by_day = Window.orderBy("stock_date")
     known = F.try_divide(F.col("known_pairs"), F.col("expected_pairs"))
