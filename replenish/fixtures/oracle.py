@@ -911,7 +911,7 @@ QUERIES: dict[str, str] = {
           {_r('p.net','net_stock')}, 'batch-1' batch_id, {_r('p.ts','target_stock_days')},
           date '2001-08-02' estimate_date, {_r('p.mx','maximum_stock')}
         from needs n join pos3 p on p.article_id=n.article_id and p.branch_id=n.branch_id""",
-    "backfill_pipeline": f"""
+    "backfill_run": f"""
         select t business_date, article_id, branch_id, status, {_r('value','basal_daily_demand')},
           checksum input_checksum from est""",
 }

@@ -972,7 +972,7 @@ def explain_needs(f: Frames) -> DataFrame:
 
 
 @query
-def backfill_pipeline(f: Frames) -> DataFrame:
+def backfill_run(f: Frames) -> DataFrame:
     """Both window ranges loaded into stored tables, then the estimate, read back."""
     store = MonthlyStore(f.spark, scratch(f.spark, "store"))
     inputs = pipelines.Inputs(f.catalog, f.raw, f.enriched, f.wide)

@@ -43,9 +43,8 @@ class Inputs:
 
 def load_stock(store: MonthlyStore, inputs: Inputs, start: date, end: date) -> JobResult:
     check_range(start, end)
-    rows = stock.normalize(
-        inputs.wide_stock, scope.stock_scope(inputs.catalog, inputs.rule), start, end
-    )
+    wanted = materialise(scope.stock_scope(inputs.catalog, inputs.rule))
+    rows = stock.normalize(inputs.wide_stock, wanted, start, end)
     stamped = rows.withColumn("normalized_at", F.lit(datetime.now()).cast("timestamp_ntz"))
     return store.upsert(STOCK_TABLE, stamped, Span(start, end))
 
@@ -56,7 +55,7 @@ def load_sales(
     span = Span(start, end)
     check_range(start, end)
     rows = panel.build(
-        scope.pairs(inputs.catalog, inputs.rule),
+        materialise(scope.pairs(inputs.catalog, inputs.rule)),
         inputs.raw_sales,
         inputs.enriched_sales,
         store.read(STOCK_TABLE, span),
