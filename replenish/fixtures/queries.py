@@ -538,7 +538,7 @@ def monthly_median_baseline(f: Frames) -> DataFrame:
 
 @query
 def promo_split(f: Frames) -> DataFrame:
-    split = promo.split(f.raw, promo.monthly_baseline(f.raw))
+    split = promo.split(f.raw, materialise(promo.monthly_baseline(f.raw)))
     return split.groupBy(*PAIR, "promo_score").agg(
         F.count(F.lit(1)).alias("records"),
         d(F.sum("units"), "units"),

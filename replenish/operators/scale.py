@@ -80,7 +80,8 @@ def look_up(
 
     A table within the bound is broadcast, so the skew of the large side does not matter. Beyond
     it the join is shuffled and, being the only operation on its partitions, open to the skew
-    splitting of adaptive execution.
+    splitting of adaptive execution. Counting reads the table once: pass a written one if it is
+    costly to compute.
     """
     if is_bounded(table, limit):
         table = F.broadcast(table)
