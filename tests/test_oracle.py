@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 from compare import difference, duck
 
-import __spark_entry__ as entry
+from replenish.fixtures import oracle
+from replenish.fixtures.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
-STATEMENTS = entry.oracle_sql()
+STATEMENTS = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -17,9 +18,9 @@ def connection():
 
 
 def test_every_query_has_a_statement():
-    assert set(entry.queries()) == set(STATEMENTS)
+    assert set(QUERIES) == set(STATEMENTS)
 
 
 @pytest.mark.parametrize("name", list(STATEMENTS))
 def test_query_equals_statement(spark, connection, name):
-    assert difference(spark, connection, entry.queries()[name], STATEMENTS[name], DATA) is None
+    assert difference(spark, connection, QUERIES[name], STATEMENTS[name], DATA) is None
