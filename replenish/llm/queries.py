@@ -7,19 +7,50 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from replenish.llm import bpe
+from replenish.llm import bpe, exact_dedup, language, token_counts
 from replenish.llm.common import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.documents_digest(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.fit(docs))
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.groups(documents(spark, sf_dir))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.documents_counts(documents(spark, sf_dir), PIECE_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_language": op2_language,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 # DuckDB SQL for the same rows, where SQL can express them.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_exact_dedup": r"""
+WITH texts AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
+  FROM documents
+), placed AS (
+  SELECT doc_id, sha256(content) AS text_sha256,
+         first_value(doc_id) OVER (PARTITION BY content ORDER BY points DESC, doc_id) AS keep_id,
+         count(*) OVER (PARTITION BY content) AS group_size
+  FROM texts
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM placed
+""",
+}
