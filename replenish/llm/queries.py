@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from replenish.llm import bpe, exact_dedup, language, token_counts
+from replenish.llm import bpe, exact_dedup, language, near_dedup, token_counts
 from replenish.llm.common import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.fit(docs))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(documents(spark, sf_dir), near_dedup.Rule(words=3, percent=85))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(documents(spark, sf_dir))
 
@@ -34,6 +38,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_language": op2_language,
+    "op6_near_dedup": op6_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_token_counts": op10_token_counts,
 }
