@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from replenish.llm import bpe, exact_dedup, language, near_dedup, token_counts
+from replenish.llm import bpe, exact_dedup, language, line_rules, mixing, near_dedup, token_counts
 from replenish.llm.common import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,14 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.fit(docs))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judged(documents(spark, sf_dir))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(documents(spark, sf_dir), near_dedup.Rule(words=3, percent=85))
 
@@ -38,14 +46,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_language": op2_language,
+    "op3_mixing": op3_mixing,
+    "op5_line_rules": op5_line_rules,
     "op6_near_dedup": op6_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
 # DuckDB SQL for the same rows, where SQL can express them.
-SQL: dict[str, str] = {
-    "op7_exact_dedup": r"""
+
+_EXACT_DEDUP = r"""
 WITH texts AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
          regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
@@ -57,5 +67,129 @@ WITH texts AS (
   FROM texts
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM placed
-""",
+"""
+
+_LINE_RULES = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
+), words AS (
+  SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs
+), lines AS (
+  SELECT r, source, unnest(string_split(t, chr(10))) AS line FROM docs
+), normal AS (
+  SELECT r, source, line, regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') AS w FROM lines
+), own AS (
+  SELECT r, source, array_to_string(w, ' ') AS n, sum(len(w)) AS words FROM normal
+  WHERE len(w) > 0 GROUP BY ALL
+), hosts AS (
+  SELECT source, greatest(floor(count(*) * 0.02), 20) AS most FROM docs GROUP BY ALL
+), shared AS (
+  SELECT o.source, o.n FROM own o JOIN hosts h ON o.source IS NOT DISTINCT FROM h.source
+  GROUP BY o.source, o.n, h.most HAVING count(*) > h.most
+), removed AS (
+  SELECT o.r, sum(o.words) AS words FROM own o
+  JOIN shared s ON o.source IS NOT DISTINCT FROM s.source AND o.n = s.n GROUP BY o.r
+), dups AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n FROM normal WHERE len(w) > 0 GROUP BY r
+), windows AS (
+  SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM words)
+), twice AS (
+  SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, a, b, c) > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r
+), found AS (
+  SELECT d.doc_id, len(w.w)::BIGINT AS n_words,
+         length(regexp_replace(d.t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         (length(d.t) - length(regexp_replace(d.t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(u.n, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(x.words, 0)::BIGINT AS removed_words
+  FROM docs d JOIN words w USING (r) LEFT JOIN dups u USING (r)
+  LEFT JOIN covered c USING (r) LEFT JOIN removed x USING (r)
+), failed AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM found
+)
+SELECT *, NOT base_failed AND NOT (n_words - removed_words) * 100 <= n_words * 50 AS kept FROM failed
+"""
+
+
+def _mixing_sql() -> str:
+    closing, last = "", "drawn"
+    for turn in range(1, mixing.CLOSING + 1):
+        closing += f"""
+), gap{turn} AS (
+  SELECT *, max(target) OVER p - sum(copies * size) OVER p AS gap FROM {last}
+  WINDOW p AS (PARTITION BY place)
+), best{turn} AS (
+  SELECT r AS turned, CASE WHEN gap > 0 THEN 1 ELSE -1 END AS more FROM gap{turn}
+  WHERE copies + CASE WHEN gap > 0 THEN 1 ELSE -1 END BETWEEN 0 AND 3
+    AND abs(gap - CASE WHEN gap > 0 THEN size ELSE -size END) < abs(gap)
+  QUALIFY row_number() OVER (PARTITION BY place
+    ORDER BY abs(gap - CASE WHEN gap > 0 THEN size ELSE -size END), u, doc_id, text_key) = 1
+), closed{turn} AS (
+  SELECT {last}.* REPLACE (copies + coalesce(more, 0) AS copies)
+  FROM {last} LEFT JOIN best{turn} ON r = turned"""
+        last = f"closed{turn}"
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, md5(coalesce(text, '')) AS text_key,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  FROM documents
+), sized AS (
+  SELECT *, (length(bin(size)) - 1) // 4 AS class,
+         (('0x' || substr(md5('{mixing.SEED}|' || coalesce(doc_id::VARCHAR, '') || '|' || text_key), 1, 12))::BIGINT
+          + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+  FROM docs
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         row_number() OVER (ORDER BY source IS NULL, source) AS place FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, (place - 1) % 3 + 1 AS weight, source_size * 3 AS cap FROM sources
+), stood AS (
+  SELECT *, cap <= (sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0))::DOUBLE
+         / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) * weight AS capped
+  FROM weighed
+  WINDOW b AS (ORDER BY cap::DOUBLE / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT (sum(source_size) - coalesce(sum(cap) FILTER (capped), 0))::DOUBLE
+         / sum(weight) FILTER (NOT capped) AS level FROM stood
+), targets AS (
+  SELECT source, place, source_size,
+         CASE WHEN capped THEN cap::DOUBLE ELSE coalesce(level, 0) * weight END AS target FROM stood, level
+), classes AS (
+  SELECT place, class, any_value(target) AS target, sum(size)::BIGINT AS words, (1::BIGINT << class) AS pref
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source GROUP BY place, class
+), levels AS (
+  SELECT *, CASE WHEN sum(words * pref) OVER x > 0
+    THEN (target - coalesce(sum(words) OVER y, 0)::DOUBLE * 3) / (sum(words * pref) OVER x)::DOUBLE ELSE 0 END AS lv
+  FROM classes
+  WINDOW x AS (PARTITION BY place ORDER BY class DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+         y AS (PARTITION BY place ORDER BY class DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), expected AS (
+  SELECT *, CASE WHEN lv * pref >= 3 THEN 3.0::DOUBLE ELSE
+    least(arg_max(lv, class) FILTER (NOT lv * pref >= 3) OVER (PARTITION BY place) * pref, 3.0::DOUBLE) END AS e
+  FROM levels
+), parts AS (
+  SELECT place, class, floor(e)::BIGINT AS certain, e - floor(e) AS chance,
+         target - (sum(floor(e)::BIGINT * words) OVER (PARTITION BY place))::DOUBLE AS missing
+  FROM expected
+), offered AS (
+  SELECT s.r, s.u, s.doc_id, s.text_key, s.size, t.place, t.source_size, t.target, p.certain, p.missing,
+         p.chance, p.chance > 0 AND s.size > 0 AS chosen,
+         CASE WHEN p.chance > 0 AND s.size > 0 THEN (s.u / (1 - s.u)) / (p.chance / (1 - p.chance)) END AS odds
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+  JOIN parts p ON p.place = t.place AND p.class = s.class
+), drawn AS (
+  SELECT *, certain + (chosen AND sum(size) OVER (PARTITION BY place, chosen
+    ORDER BY odds, doc_id, text_key, r) <= missing)::BIGINT AS copies
+  FROM offered{closing}
+)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM {last}
+"""
+
+
+SQL: dict[str, str] = {
+    "op3_mixing": _mixing_sql(),
+    "op5_line_rules": _LINE_RULES,
+    "op7_exact_dedup": _EXACT_DEDUP,
 }
