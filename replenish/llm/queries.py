@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from replenish.llm import bpe, exact_dedup, language, line_rules, mixing, near_dedup, token_counts
+from replenish.llm import (
+    bpe,
+    exact_dedup,
+    language,
+    licenses,
+    line_rules,
+    mixing,
+    near_dedup,
+    quality,
+    sharding,
+    token_counts,
+)
 from replenish.llm.common import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +38,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.judged(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judged(documents(spark, sf_dir))
 
@@ -39,6 +55,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(documents(spark, sf_dir))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(documents(spark, sf_dir))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(documents(spark, sf_dir))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.documents_counts(documents(spark, sf_dir), PIECE_BPE)
 
@@ -47,9 +71,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_language": op2_language,
     "op3_mixing": op3_mixing,
+    "op4_quality": op4_quality,
     "op5_line_rules": op5_line_rules,
     "op6_near_dedup": op6_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_licenses": op8_licenses,
+    "op9_sharding": op9_sharding,
     "op10_token_counts": op10_token_counts,
 }
 
@@ -188,8 +215,69 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM {l
 """
 
 
+def _licenses_sql() -> str:
+    quote = lambda text: "'" + text.replace("'", "''") + "'"
+    values = ", ".join(
+        f"({i}, {quote(name)}, {quote(text)})" for i, (name, text) in enumerate(licenses.TEMPLATES)
+    )
+    pairs = (
+        "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pairs"
+    )
+    words = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w"
+    return f"""
+WITH known AS (
+  SELECT template, licence, {pairs} FROM (
+    SELECT template, licence, {words.format("t")} FROM (VALUES {values}) v(template, licence, t))
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), units AS (
+  SELECT r, unnest(string_split(t, chr(10))) AS unit, generate_subscripts(string_split(t, chr(10)), 1) AS line
+  FROM docs UNION ALL SELECT r, t, 0 FROM docs
+), paired AS (
+  SELECT r, line, {pairs} FROM (SELECT r, line, {words.format("unit")} FROM units)
+), met AS (
+  SELECT r, line, template, licence, len(p.pairs) + len(k.pairs) AS total, len(list_intersect(p.pairs, k.pairs)) AS shared
+  FROM paired p JOIN known k ON len(k.pairs) * {200 - licenses.PERCENT} >= len(p.pairs) * {licenses.PERCENT}
+   AND len(k.pairs) * {licenses.PERCENT} <= len(p.pairs) * {200 - licenses.PERCENT}
+), found AS (
+  SELECT *, (2 * shared)::DOUBLE / total AS dice FROM met WHERE 200 * shared >= {licenses.PERCENT} * total
+), best AS (
+  SELECT r, count(DISTINCT line) AS n_units, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences FROM found GROUP BY r
+), first AS (
+  SELECT r, licence, dice FROM found QUALIFY row_number() OVER (PARTITION BY r ORDER BY dice DESC, template) = 1
+)
+SELECT doc_id, licence, dice, coalesce(n_units, 0) AS n_units, coalesce(licences, '') AS licences
+FROM docs LEFT JOIN best USING (r) LEFT JOIN first USING (r)
+"""
+
+
+_SHARDING = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(strlen(text), 0)::BIGINT AS bytes,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h
+  FROM documents
+), levels AS (
+  SELECT r, d::INT AS depth, h >> (60 - d)::INT AS prefix, bytes, h FROM docs, range(0, 61) t(d)
+), buckets AS (
+  SELECT depth, prefix, sum(bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows,
+         sum(bytes) <= {sharding.LIMIT_BYTES} OR min(h) = max(h) AS whole FROM levels GROUP BY ALL
+), leaves AS (
+  SELECT r, depth, prefix, shard_bytes, shard_rows FROM levels JOIN buckets USING (depth, prefix) WHERE whole
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY depth) = 1
+)
+SELECT doc_id, bytes, CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(prefix), 64, '0'), depth) END AS shard,
+       CASE WHEN shard_bytes > {sharding.LIMIT_BYTES} AND shard_rows > 1
+         THEN ((row_number() OVER (PARTITION BY h ORDER BY r) - 1) // greatest({sharding.LIMIT_BYTES} // bytes, 1))::BIGINT
+         ELSE 0 END AS page,
+       depth, shard_bytes, shard_rows
+FROM docs JOIN leaves USING (r)
+"""
+
+
 SQL: dict[str, str] = {
     "op3_mixing": _mixing_sql(),
     "op5_line_rules": _LINE_RULES,
     "op7_exact_dedup": _EXACT_DEDUP,
+    "op8_licenses": _licenses_sql(),
+    "op9_sharding": _SHARDING,
 }
