@@ -314,23 +314,18 @@ def round_trip(text: Column, path: str) -> Column:
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         merges, words = tokenizer(path)
         for batch in batches:
-            rows = [_digest(t.as_py() or "", merges, words) for t in batch]
+            rows = [_digest(token_blocks(t.as_py() or "", merges, words), merges) for t in batch]
             yield pa.StructArray.from_arrays(
-                [
-                    pa.array([r[0] for r in rows], pa.int64()),
-                    pa.array([r[1] for r in rows], pa.string()),
-                    pa.array([r[2] for r in rows], pa.string()),
-                ],
-                ["n_tokens", "ids_sha256", "decoded_sha256"],
+                _columns(rows), ["n_tokens", "ids_sha256", "decoded_sha256"]
             )
 
     return digests(text.cast("string"))
 
 
-def _digest(text: str, merges: MergeList, words: Remembered) -> tuple[int, str, str]:
+def _digest(blocks: Iterable[bytes], merges: MergeList) -> tuple[int, str, str]:
     ids, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
     decoder = Decoder(merges)
-    for block in token_blocks(text, merges, words):
+    for block in blocks:
         ids.update(block)
         n += len(block) // 4
         decoded.update(decoder.push(np.frombuffer(block, dtype="<u4").tolist()).encode())
@@ -338,16 +333,37 @@ def _digest(text: str, merges: MergeList, words: Remembered) -> tuple[int, str,
     return n, ids.hexdigest(), decoded.hexdigest()
 
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """`docs` with the columns token_ids (array<int>) and n_tokens (long) added.
+def _columns(rows: list[tuple[int, str, str]]) -> list[pa.Array]:
+    kinds = (pa.int64(), pa.string(), pa.string())
+    return [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+
+
+def encoded_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """`docs` with token_ids (array<int>), n_tokens, ids_sha256 and decoded_sha256 added.
 
     A null text has no tokens. Columns of `docs` that already have these names keep them; the new
     ones then get underscores at the end.
     """
     small_batches(docs.sparkSession)
-    ids, n = fresh(docs, "token_ids"), fresh(docs, "n_tokens")
-    coded = docs.withColumn(ids, encode(col(text), path))
-    return coded.withColumn(n, F.size(col(ids)).cast("bigint"))
+
+    @F.arrow_udf(
+        "token_ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    )
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        merges, words = tokenizer(path)
+        for batch in batches:
+            blocks = [list(token_blocks(t.as_py() or "", merges, words)) for t in batch]
+            rows = [_digest(b, merges) for b in blocks]
+            yield pa.StructArray.from_arrays(
+                [_id_lists([b"".join(b) for b in blocks]), *_columns(rows)],
+                ["token_ids", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    found = fresh(docs, "coded")
+    names = ["token_ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+    return docs.withColumn(found, coded(col(text).cast("string"))).select(
+        *map(col, docs.columns), *[col(found)[n].alias(fresh(docs, n)) for n in names]
+    )
 
 
 def documents_digest(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -200,8 +200,8 @@ def fit(
 def predict(text: Column, model: Centroids) -> Column:
     """Struct of lang_pred, score (cosine to the nearest centroid) and rejected.
 
-    lang_pred is `und`, with score 0 and rejected, for null, for a text without letters, and for
-    every text if the model is empty.
+    lang_pred is `und`, with score 0, for null and for a text without letters, which are rejected,
+    and for every text if the model is empty, which rejects no other.
     """
 
     @F.arrow_udf("lang_pred string, score double, rejected boolean")
@@ -217,7 +217,7 @@ def predict(text: Column, model: Centroids) -> Column:
                 picked.append(np.where(known, best, len(names) - 1))
                 scores.append(np.where(known, np.clip(top, 0, 1), 0))
                 least = model.floor[[_bucket(n) for n in lengths]]
-                rejected.append(~known | (top < least))
+                rejected.append((lengths == 0) | (known & (top < least)))
             if not picked:
                 empty = pa.array([], pa.string()), pa.array([], pa.float64()), pa.array([], pa.bool_())
                 yield pa.StructArray.from_arrays([*empty], ["lang_pred", "score", "rejected"])

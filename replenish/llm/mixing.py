@@ -235,4 +235,4 @@ def mixed_documents(
     repeated = once.join(per, same).withColumn(
         names["turn"], F.explode(F.sequence(F.lit(1).cast("bigint"), col(names["copies"])))
     )
-    return repeated.select(*[once[c] for c in docs.columns])
+    return repeated.select(*map(col, docs.columns))

@@ -97,8 +97,19 @@ def test_documents(spark):
         row = got[key, hashlib.sha256(ids.tobytes()).hexdigest()]
         assert row.n_tokens == len(ids)
         assert row.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
-    coded = bpe.encode_documents(docs, PATH)
-    assert coded.columns[-2:] == ["token_ids", "n_tokens_"]
-    back = coded.select("text", bpe.decode(coded.token_ids, PATH).alias("back")).collect()
-    assert all((r.text or "") == r.back for r in back)
+    coded = bpe.encoded_documents(docs, PATH)
+    assert coded.columns == [*docs.columns, "token_ids", "n_tokens_", "ids_sha256", "decoded_sha256"]
+    back = coded.select("*", bpe.decode(coded.token_ids, PATH).alias("back")).collect()
+    assert all((r.text or "") == r.back and r.n_tokens_ == len(r.token_ids) for r in back)
+    assert all(r.token_ids == library(r.text or "") for r in back)
+    plain = docs.select("text", bpe.encode(docs.text, PATH).alias("ids")).collect()
+    assert all(r.ids == library(r.text or "") for r in plain)
     assert bpe.documents_digest(docs.limit(0), PATH).count() == 0
+    assert bpe.encoded_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_every_character_is_of_the_same_class_as_in_the_library():
+    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
+    for start in range(0, len(points), 2000):
+        text = "".join(f"a{chr(p)}1{chr(p)}{chr(p)}!" for p in points[start : start + 2000])
+        assert ids_of(bpe.token_blocks(text, MERGES, WORDS)) == library(text)
