@@ -6,9 +6,10 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from replenish.functions.exprs import codes, dec, num
-from replenish.operators.scale import running_before
+from replenish.operators.scale import running_around
 from replenish.params import MANDATORY_TYPES, ORIGIN_ID, RiskParams
 
 
@@ -198,26 +199,22 @@ def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 def duplicate_candidates(lines: DataFrame) -> DataFrame:
     """Lines that overlap in time with another line of the same type, reference and pair.
 
-    Each line is compared with the furthest end before it and the next start after it, in order of
-    start; no pairs are formed, so a reference with very many lines stays cheap. Lines are only
+    In order of start a line is compared with the furthest end before it and the next start after
+    it; no pairs are formed, so a reference with very many lines stays cheap. Lines are only
     flagged, never merged. `conflicts_with` names one earlier overlapping line.
     """
     group = ["need_type", "reference", "branch_id", "article_id"]
     far = F.lit(date(9999, 12, 31))
     dated = lines.withColumn("until", F.coalesce("valid_to", far))
-    reach = F.struct("until", "line_id")
-    ahead = running_before(
-        dated, group, [F.col("valid_from"), F.col("line_id")],
-        {"reach": ("max", reach)},
+    both = running_around(
+        dated,
+        group,
+        [F.col("valid_from"), F.col("line_id")],
+        before={"reach": ("max", F.struct("until", "line_id"))},
+        after={"next_start": ("min", F.col("valid_from"))},
     )
-    # Seen from the other end, the earliest later start is the largest negative day number.
-    both = running_before(
-        ahead, group, [F.col("valid_from").desc(), F.col("line_id").desc()],
-        {"later": ("max", -F.datediff(F.col("valid_from"), F.lit(date(1970, 1, 1))))},
-    )
-    next_start = F.date_add(F.lit(date(1970, 1, 1)), -F.col("later"))
     overlaps_earlier = F.coalesce(F.col("reach.until") >= F.col("valid_from"), F.lit(False))
-    overlaps_later = F.coalesce(next_start <= F.col("until"), F.lit(False))
+    overlaps_later = F.coalesce(F.col("next_start") <= F.col("until"), F.lit(False))
     return (
         both.withColumns(
             {
@@ -227,20 +224,23 @@ def duplicate_candidates(lines: DataFrame) -> DataFrame:
             }
         )
         .filter(F.col("overlaps_earlier") | F.col("overlaps_later"))
-        .drop("until", "reach", "later")
+        .drop("until", "reach", "next_start")
     )
 
 
 def versions_with_validity(history: DataFrame, key: str, state: list[str]) -> DataFrame:
     """Version history with the end of validity and the state before each change.
 
-    Consecutive version numbers are matched by an equality join instead of a window per key.
+    The next and the previous version of a key are the neighbours in the order of their numbers;
+    the numbers need not be consecutive.
     """
-    after = history.select(key, "version", "changed_at", F.to_json(F.struct(*state)).alias("after_state"))
-    before = after.select(
-        key, (F.col("version") + 1).alias("version"), F.col("after_state").alias("before_state")
+    told = history.select(
+        key, "version", "changed_at", F.to_json(F.struct(*state)).alias("after_state")
     )
-    following = after.select(
-        key, (F.col("version") - 1).alias("version"), F.col("changed_at").alias("superseded_at")
+    order = Window.partitionBy(key).orderBy("version")
+    return told.withColumns(
+        {
+            "before_state": F.lag("after_state").over(order),
+            "superseded_at": F.lead("changed_at").over(order),
+        }
     )
-    return after.join(before, [key, "version"], "left").join(following, [key, "version"], "left")

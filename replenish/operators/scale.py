@@ -10,14 +10,17 @@ from pyspark.sql.window import Window
 
 from replenish.functions.exprs import col
 
-# Broadcasting stays below this many narrow rows (about 100 MB of keys).
+# A broadcast side has at most so many rows and, by the width of its columns, so many bytes.
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 100_000_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder the cluster names. Only a session on one machine may go without."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="replenish-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -28,36 +31,46 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/replenish-{name}-{uuid.uuid4().hex}"
 
 
+# Lets Spark remove the shuffle files of a statement when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs nothing that is already written, and every later
     step sees the same rows. Reads of the table are columnar, pruned and have true sizes, from
-    which the optimizer picks its joins.
+    which the optimizer picks its joins. The shuffle files behind the table go at once.
     """
-    path = scratch(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    session, path = df.sparkSession, scratch(df.sparkSession, "table")
+    before = session.conf.get(_CLEANUP, "false")
+    session.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        session.conf.set(_CLEANUP, before)
+    return session.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a frame of few partitions over the cluster before its rows multiply.
-
-    An input that already has enough partitions is left as it is; no shuffle is added to large
-    data. The partition count is fixed, so adaptive execution does not merge it back.
-    """
+    """Spread a narrow frame over the cluster by its keys before its rows multiply. The partition
+    count is fixed, so adaptive execution does not merge it back."""
     session = df.sparkSession
     wanted = max(
         session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))
     )
-    if df.rdd.getNumPartitions() >= session.sparkContext.defaultParallelism:
-        return df
     return df.repartition(wanted, *keys)
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of a row by its column types, with Spark's own defaults for text."""
+    return df._jdf.schema().defaultSize()
+
+
 def is_bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` has at most `limit` rows; stops counting just above it."""
-    return df.limit(limit + 1).count() <= limit
+    """Whether `df` is small enough to broadcast. Counts all rows, one number per task; pass a
+    written table, or its plan runs for the count as well."""
+    return df.count() <= min(limit, BROADCAST_BYTES // max(row_bytes(df), 1))
 
 
 def keep_matching(
@@ -88,67 +101,77 @@ def look_up(
     return large.join(table, on, "left")
 
 
+_FUNCTIONS = {"sum": F.sum, "max": F.max, "min": F.min}
+
+
 def _combine(kind: str, left: Column, right: Column) -> Column:
     if kind == "sum":
         return F.when(left.isNull(), right).when(right.isNull(), left).otherwise(left + right)
-    if kind == "max":
-        return F.greatest(left, right)
-    raise ValueError(f"unknown running aggregate {kind}")
+    return {"max": F.greatest, "min": F.least}[kind](left, right)
 
 
-def running_before(
+Aggregates = dict[str, tuple[str, Column]]
+
+
+def running_around(
     df: DataFrame,
     keys: list[str],
     order: list[Column],
-    aggregates: dict[str, tuple[str, Column]],
+    before: Aggregates,
+    after: Aggregates,
 ) -> DataFrame:
-    """Aggregate over all earlier rows of the same key, in `order`; NULL for the first row.
+    """Aggregates over all earlier and over all later rows of the same key, in `order`; NULL where
+    there are none.
 
     A plain window would put a whole key into one task. Here the rows are range-partitioned by key
     and order, so that a heavy key spreads over many chunks; each chunk is scanned on its own and
-    starts from the combined totals of the chunks before it (one row per key and chunk).
-    `order` has to be total within a key and the keys must not be NULL. `keys` may be empty: the
-    order is then global.
+    combined with the totals of the chunks before or after it (one row per key and chunk). One
+    partitioning serves both directions. `order` has to be total within a key and the keys must
+    not be NULL. `keys` may be empty: the order is then global.
     """
-    given = df.columns
-    inputs = {f"_in_{name}": value for name, (_, value) in aggregates.items()}
+    given, both = df.columns, {**before, **after}
+    inputs = {f"_in_{name}": value for name, (_, value) in both.items()}
     chunked = materialise(
         df.withColumns(inputs)
         .repartitionByRange(*[F.col(k) for k in keys], *order)
         .withColumn("_chunk", F.spark_partition_id())
     )
-    function = {"sum": F.sum, "max": F.max}
     per_chunk = chunked.groupBy(*keys, "_chunk").agg(
-        *[function[kind](f"_in_{n}").alias(f"_all_{n}") for n, (kind, _) in aggregates.items()]
-    )
-    earlier_chunks = (
-        Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        *[_FUNCTIONS[kind](f"_in_{n}").alias(f"_all_{n}") for n, (kind, _) in both.items()]
     )
+    chunks = Window.partitionBy(*keys).orderBy("_chunk")
+    within = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    start, end = Window.unboundedPreceding, Window.unboundedFollowing
+    frames = {n: (start, -1) for n in before} | {n: (1, end) for n in after}
     carried = per_chunk.select(
         *keys,
         "_chunk",
         *[
-            function[kind](f"_all_{n}").over(earlier_chunks).alias(f"_carry_{n}")
-            for n, (kind, _) in aggregates.items()
+            _FUNCTIONS[kind](f"_all_{n}").over(chunks.rowsBetween(*frames[n])).alias(f"_carry_{n}")
+            for n, (kind, _) in both.items()
         ],
     )
-    within = (
-        Window.partitionBy(*keys, "_chunk")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
     joined = chunked.join(carried, [*keys, "_chunk"], "left")
     return joined.select(
         *given,
         *[
             _combine(
-                kind, F.col(f"_carry_{n}"), function[kind](f"_in_{n}").over(within)
+                kind,
+                F.col(f"_carry_{n}"),
+                _FUNCTIONS[kind](f"_in_{n}").over(within.rowsBetween(*frames[n])),
             ).alias(n)
-            for n, (kind, _) in aggregates.items()
+            for n, (kind, _) in both.items()
         ],
     )
 
 
+def running_before(
+    df: DataFrame, keys: list[str], order: list[Column], aggregates: Aggregates
+) -> DataFrame:
+    """Aggregates over all earlier rows of the same key; see `running_around`."""
+    return running_around(df, keys, order, aggregates, {})
+
+
 def global_rank(
     df: DataFrame, order: list[Column], name: str = "rank", keys: list[str] | None = None
 ) -> DataFrame:
