@@ -7,11 +7,13 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-from replenish.functions.exprs import any_of, codes, dec, earliest, latest, num
-from replenish.operators.scale import look_up, running_before
+from replenish.functions.exprs import any_of, codes, dec, earliest, num
+from replenish.operators.scale import look_up, materialise, running_before
 from replenish.params import STATUS_MAP, UNKNOWN_STATUS
 
+ALERTS = ArrayType(StringType(), False)
 QUANTITY_KINDS = ("IMPORTED", "PREPARED", "DISPATCHED", "CANCELLED")
 
 
@@ -135,23 +137,52 @@ def to_delta(events: DataFrame) -> DataFrame:
     ).drop("highest")
 
 
-def quantity_of(kind: str) -> Column:
-    """Aggregate: sum of deltas plus the highest cumulative quantity of one kind."""
-    here = F.col("event_type") == kind
-    deltas = F.sum(F.when(here & (F.col("quantity_mode") == "DELTA"), F.col("quantity")))
-    highest = F.max(F.when(here & (F.col("quantity_mode") == "CUMULATIVE"), F.col("quantity")))
-    return dec(F.coalesce(deltas, num(0, 28, 6)) + F.coalesce(highest, num(0)), 28, 6)
-
-
-def fold_measures() -> list[Column]:
-    """Aggregates of the line state. They combine in any order, so batch and stream agree."""
-    return [
-        *[quantity_of(k).alias(f"{k.lower()}_quantity") for k in QUANTITY_KINDS],
-        latest("normalized_status", "occurred_at", "dedup_key").alias("last_status"),
-        F.max("occurred_at").alias("last_activity"),
+def line_parts(events: DataFrame) -> DataFrame:
+    """What a set of normalised events adds to the state of its lines: sums of deltas, highest
+    cumulative quantities, the last event and counts. Parts of disjoint sets can be merged in any
+    order, so batch and stream agree."""
+    measures = []
+    for kind in QUANTITY_KINDS:
+        here = F.col("event_type") == kind
+        for mode, total in (("DELTA", F.sum), ("CUMULATIVE", F.max)):
+            value = F.when(here & (F.col("quantity_mode") == mode), F.col("quantity"))
+            measures.append(total(value).cast("decimal(28,6)").alias(f"{kind}_{mode}".lower()))
+    return events.groupBy("line_id").agg(
+        *measures,
+        F.max(F.struct("occurred_at", "dedup_key", "normalized_status")).alias("last"),
         F.count(F.lit(1)).alias("event_count"),
         F.count_if(F.col("normalized_status") == UNKNOWN_STATUS).alias("unknown_events"),
-    ]
+    )
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """Parts of disjoint sets of events as one row per line."""
+    kinds = [k.lower() for k in QUANTITY_KINDS]
+    return parts.groupBy("line_id").agg(
+        *[F.sum(f"{k}_delta").cast("decimal(28,6)").alias(f"{k}_delta") for k in kinds],
+        *[F.max(f"{k}_cumulative").alias(f"{k}_cumulative") for k in kinds],
+        F.max("last").alias("last"),
+        F.sum("event_count").alias("event_count"),
+        F.sum("unknown_events").alias("unknown_events"),
+    )
+
+
+def line_state(parts: DataFrame) -> DataFrame:
+    """State of every line from one row of parts: quantities, last status and counts."""
+    none = num(0, 28, 6)
+    return parts.select(
+        "line_id",
+        *[
+            dec(
+                F.coalesce(F.col(f"{k}_delta"), none) + F.coalesce(F.col(f"{k}_cumulative"), none), 28, 6
+            ).alias(f"{k}_quantity")
+            for k in (kind.lower() for kind in QUANTITY_KINDS)
+        ],
+        F.col("last.normalized_status").alias("last_status"),
+        F.col("last.occurred_at").alias("last_activity"),
+        "event_count",
+        "unknown_events",
+    )
 
 
 def fold(events: DataFrame) -> DataFrame:
@@ -159,7 +190,7 @@ def fold(events: DataFrame) -> DataFrame:
 
     Unknown states are shown, and close nothing.
     """
-    return events.groupBy("line_id").agg(*fold_measures())
+    return line_state(line_parts(events))
 
 
 def quarantine(events: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -170,7 +201,8 @@ def quarantine(events: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFram
     """
     known = lines.select("line_id").distinct().withColumn("known_line", F.lit(True))
     # One row per line: whether it is known, and whether it prepared more than it imported.
-    facts = (
+    events = materialise(events)
+    facts = materialise(
         fold(events)
         .select(
             "line_id", (F.col("prepared_quantity") > F.col("imported_quantity")).alias("exceeds")

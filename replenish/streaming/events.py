@@ -1,36 +1,33 @@
-"""Structured Streaming jobs over execution events; each has a batch operator as counterpart."""
+"""Structured Streaming over execution events; equal to the batch operators at every trigger.
+
+One job stores every event exactly once, by its key alone and however late a copy comes, and keeps
+what follows from the new events of a trigger: parts of the line states, parts of the daily counts
+and the judgement of cumulative quantities. Every trigger writes folders of its own number, so a
+trigger that is repeated replaces itself. Nothing waits for a watermark and nothing is dropped.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-from replenish.functions.exprs import latest
 from replenish.operators import execution
 from replenish.operators.scale import materialise
+from replenish.schemas import EXECUTION_EVENTS
 
-WATERMARK = "2 days"
-
+# Folders by a hash of the key: a trigger reads the stored keys of the parts it touches.
+PARTS = 64
+LINE = ["line_id", "event_type"]
+_JUDGED = ["dedup_key", *LINE, "quantity_mode", "quantity", "occurred_at"]
 
-def dedup(stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """First copy of every event within the watermark; state stays bounded.
 
-    A copy that arrives later than the watermark is caught against the stored keys by
-    `append_once`.
-    """
-    # A watermark needs a timestamp with time zone; `_local` turns it back.
-    return (
-        stream.withColumn("occurred_at", F.col("occurred_at").cast("timestamp"))
-        .withWatermark("occurred_at", watermark)
-        .dropDuplicatesWithinWatermark(["dedup_key"])
-    )
-
-
-def _local(events: DataFrame) -> DataFrame:
-    return events.withColumn("occurred_at", F.col("occurred_at").cast("timestamp_ntz"))
+def _part(*keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int").alias("part")
 
 
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -42,26 +39,57 @@ def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def append_once(stream: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
-    """Store every event exactly once, however often and late its copies arrive.
+def _stored(spark: SparkSession, path: str, fields: list[StructField]) -> DataFrame:
+    schema = StructType(
+        [*fields, StructField("batch", LongType()), StructField("part", IntegerType())]
+    )
+    return _read(spark, path, schema)
+
+
+def _in_parts(rows: DataFrame, touched: DataFrame) -> DataFrame:
+    """Rows of the folders that `touched` names; at most PARTS small numbers reach the driver."""
+    parts = [r[0] for r in touched.select("part").distinct().collect()]
+    return rows.filter(F.col("part").isin(*parts)) if parts else rows.filter(F.lit(False))
 
-    A batch writes to a folder of its own number, so a repeated batch replaces itself. A copy has
-    the external time of its original, so only the days of the batch are compared.
+
+def _put(rows: DataFrame, path: str, number: int, *by: str) -> None:
+    rows.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch={number}")
+
+
+def ingest(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Store new events under `folder` and bring everything that follows from them up to date.
+
+    A cumulative event that comes out of order can change the judgement of events that came
+    before it, so all cumulative events of the lines and types it touches are judged again.
     """
+    judged_fields = [EXECUTION_EVENTS[name] for name in _JUDGED]
+
     def write(batch: DataFrame, number: int) -> None:
-        dated = materialise(batch.withColumn("day", F.to_date("occurred_at")))
-        # One value per business day in the batch.
-        days = [r[0] for r in dated.select("day").distinct().collect()]
-        schema = StructType(
-            [*batch.schema.fields, StructField("batch", StringType()),
-             StructField("day", DateType())]
-        )
-        stored = _read(batch.sparkSession, log, schema).filter(
-            (F.col("batch") != str(number)) & F.col("day").isin(*days)
+        spark = batch.sparkSession
+        rows = materialise(execution.dedup(batch).withColumn("part", _part("dedup_key")))
+        known = _in_parts(_stored(spark, f"{folder}/log", EXECUTION_EVENTS.fields), rows)
+        known = known.filter(F.col("batch") != number).select("dedup_key")
+        fresh = materialise(rows.join(known, "dedup_key", "left_anti"))
+        _put(fresh, f"{folder}/log", number, "part")
+        _put(execution.line_parts(execution.normalize(fresh)), f"{folder}/state", number)
+        _put(execution.daily_counts(fresh), f"{folder}/daily", number)
+
+        cumulative = fresh.filter(F.col("quantity_mode") == "CUMULATIVE").select(*_JUDGED)
+        _put(cumulative.withColumn("part", _part(*LINE)), f"{folder}/cumulative", number, "part")
+        touched = materialise(cumulative.select(*LINE).distinct().withColumn("part", _part(*LINE)))
+        history = _in_parts(_stored(spark, f"{folder}/cumulative", judged_fields), touched)
+        again = history.filter(F.col("batch") <= number).join(
+            touched.select(*LINE), LINE, "left_semi"
         )
-        execution.new_events(dated, stored).write.mode("overwrite").partitionBy("day").parquet(
-            f"{log}/batch={number}"
+        judged = execution.to_delta(again.select(*_JUDGED))
+        _put(
+            judged.filter(F.col("record_type") == "CORRECTED").select(
+                "dedup_key", *LINE, "quantity", "occurred_at", "correction_alert"
+            ),
+            f"{folder}/corrections",
+            number,
         )
+        _put(touched.select(*LINE), f"{folder}/judged", number)
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -71,84 +99,44 @@ def append_once(stream: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def fold(stream: DataFrame, state: str, checkpoint: str) -> StreamingQuery:
-    """Keep the state of every line up to date under `state`.
+def read_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event once."""
+    return _stored(spark, f"{folder}/log", EXECUTION_EVENTS.fields).drop("batch", "part")
 
-    The state is a streaming aggregation, combined on the map side before it reaches the state
-    store, so a line with very many events is no bottleneck. Each trigger writes only the lines
-    it changed, to a folder of its own number.
-    """
-    events = execution.normalize(_local(dedup(stream)))
-    folded = events.groupBy("line_id").agg(*execution.fold_measures())
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{state}/batch={number}")
-
-    return (
-        folded.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def read_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The state of every line; equal to `execution.fold` over all events."""
+    parts = spark.read.parquet(f"{folder}/state").drop("batch")
+    return execution.line_state(execution.merged_parts(parts))
 
 
-def read_state(spark: SparkSession, state: str) -> DataFrame:
-    """The latest written state of every line."""
-    rows = spark.read.parquet(state)
-    values = [c for c in rows.columns if c not in ("line_id", "batch")]
-    return (
-        rows.groupBy("line_id")
-        .agg(latest(F.struct(*values), F.col("batch").cast("bigint")).alias("s"))
-        .select("line_id", "s.*")
+def read_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per business day and type; a late event counts on its day."""
+    return spark.read.parquet(f"{folder}/daily").groupBy("day", "event_type").agg(
+        F.sum("events").alias("events"),
+        F.sum("quantity").alias("quantity"),
+        F.max("max_lag_seconds").alias("max_lag_seconds"),
     )
 
 
-def daily_counts(stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Events per business day and type, final once the watermark has passed the day."""
-    return (
-        dedup(stream, watermark)
-        .groupBy(F.window("occurred_at", "1 day").alias("day"), "event_type")
-        .agg(F.count(F.lit(1)).alias("events"), F.sum("quantity").alias("quantity"))
-        .select(F.to_date("day.start").alias("day"), "event_type", "events", "quantity")
+def read_corrections(spark: SparkSession, folder: str) -> DataFrame:
+    """Cumulative quantities below the highest one before them in external time, by the last
+    judgement of their line and type."""
+    last = spark.read.parquet(f"{folder}/judged").groupBy(*LINE).agg(F.max("batch").alias("batch"))
+    found = _read(
+        spark,
+        f"{folder}/corrections",
+        StructType(
+            [
+                *[EXECUTION_EVENTS[n] for n in ("dedup_key", *LINE, "quantity", "occurred_at")],
+                StructField("correction_alert", execution.ALERTS),
+                StructField("batch", LongType()),
+            ]
+        ),
     )
+    return found.join(last.withColumn("batch", F.col("batch").cast("bigint")), [*LINE, "batch"]).drop("batch")
 
 
-def corrections(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Record every cumulative quantity that lies below the highest one seen for its line and type.
-
-    Each trigger starts from the highest quantities of the trigger before it and is otherwise the
-    batch rule (`execution.to_delta`), which spreads a busy line over many tasks. Corrections go to
-    `folder/corrections`, the highest quantities (one row per line and type) to `folder/highest`.
-    """
-    key = ["line_id", "event_type"]
-
-    def write(batch: DataFrame, number: int) -> None:
-        rows = materialise(
-            batch.filter(F.col("quantity_mode") == "CUMULATIVE").select(
-                "dedup_key", *key, "quantity_mode", "quantity", "occurred_at"
-            )
-        )
-        spark = batch.sparkSession
-        if number == 0:
-            seen = rows.select(*key, "quantity").limit(0)
-        else:
-            seen = spark.read.parquet(f"{folder}/highest/{number - 1}")
-        seeds = seen.select(
-            F.lit("").alias("dedup_key"), *key, F.lit("CUMULATIVE").alias("quantity_mode"),
-            "quantity", F.lit("0001-01-01 00:00:00").cast("timestamp_ntz").alias("occurred_at"),
-        )
-        judged = execution.to_delta(rows.unionByName(seeds))
-        judged.filter((F.col("record_type") == "CORRECTED") & (F.col("dedup_key") != "")).select(
-            "dedup_key", *key, "quantity", "occurred_at", "correction_alert"
-        ).write.mode("overwrite").parquet(f"{folder}/corrections/batch={number}")
-        rows.select(*key, "quantity").unionByName(seen.select(*key, "quantity")).groupBy(*key).agg(
-            F.max("quantity").alias("quantity")
-        ).write.mode("overwrite").parquet(f"{folder}/highest/{number}")
-
-    return (
-        _local(dedup(stream)).writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def idle(spark: SparkSession, folder: str, as_of: date, days: int) -> DataFrame:
+    """Imported lines without activity for `days` days, from the state so far."""
+    return execution.idle(read_state(spark, folder), as_of, days)

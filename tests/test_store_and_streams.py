@@ -184,51 +184,45 @@ def read_stream(spark, folder):
     return spark.readStream.schema(schemas.EXECUTION_EVENTS).parquet(f"{folder}/*")
 
 
-def test_streams_over_two_runs(spark, tmp_path):
+def test_stream_equals_batch_under_late_repeated_and_unordered_events(spark, tmp_path):
     inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
-
-    def run():
-        for start, name in (
-            (lambda c: streams.fold(read_stream(spark, inbox), f"{out}/state", c), "c1"),
-            (lambda c: streams.append_once(read_stream(spark, inbox), f"{out}/log", c), "c2"),
-            (lambda c: streams.corrections(read_stream(spark, inbox), f"{out}/fix", c), "c3"),
-        ):
-            start(f"{out}/{name}").awaitTermination()
-
-    first = [
-        event("1", "A", "IMPORTED", "DELTA", 80, 1),
-        event("2", "A", "PREPARED", "CUMULATIVE", 30, 2),
-        event("3", "B", "PREPARED", "CUMULATIVE", 9, 3),
-    ]
-    put(spark, inbox, 1, *first, first[0])
-    run()
-    second = [
-        event("4", "A", "PREPARED", "CUMULATIVE", 20, 60),
-        event("5", "A", "PREPARED", "CUMULATIVE", 50, 61),
-        event("6", "C", "IMPORTED", "DELTA", 1, 62),
-    ]
-    put(spark, inbox, 2, *second, first[1], first[0])
-    run()
-    everything = spark.createDataFrame(first + second, schemas.EXECUTION_EVENTS)
-    batch = execution.fold(execution.normalize(execution.dedup(everything)))
-    columns = batch.columns
-    streamed = streams.read_state(spark, f"{out}/state").select(*columns)
-    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
-    log = spark.read.parquet(f"{out}/log")
-    assert sorted(r["dedup_key"] for r in log.collect()) == list("123456")
-    fixes = spark.read.parquet(f"{out}/fix/corrections")
-    assert [r["dedup_key"] for r in fixes.collect()] == ["4"]
-
-
-def test_daily_counts_stream(spark, tmp_path):
-    inbox = str(tmp_path / "in")
-    put(spark, inbox, 1, event("1", "A", "IMPORTED", "DELTA", 2, 1),
-        event("1", "A", "IMPORTED", "DELTA", 2, 1),
-        event("2", "A", "IMPORTED", "DELTA", 3, 60 * 24 * 9))
-    counts = streams.daily_counts(read_stream(spark, inbox))
-    path = str(tmp_path / "counts")
-    counts.writeStream.format("parquet").option("path", path).option(
-        "checkpointLocation", str(tmp_path / "c")
-    ).trigger(availableNow=True).start().awaitTermination()
-    rows = spark.read.parquet(path).collect()
-    assert [(r["day"], r["events"], int(r["quantity"])) for r in rows] == [(date(2026, 8, 3), 1, 2)]
+    day = 60 * 24
+    triggers = [
+        [event("1", "A", "IMPORTED", "DELTA", 80, 1), event("2", "A", "PREPARED", "CUMULATIVE", 30, 2),
+         event("3", "B", "PREPARED", "CUMULATIVE", 9, 3), event("7", "D", "PREPARED", "CUMULATIVE", 40, 50)],
+        [event("4", "A", "PREPARED", "CUMULATIVE", 20, 60), event("5", "A", "PREPARED", "CUMULATIVE", 50, 61),
+         event("6", "C", "IMPORTED", "DELTA", 1, 20 * day)],
+        # Ten days late, out of order below a later quantity, and one that makes "7" a correction.
+        [event("8", "A", "IMPORTED", "DELTA", 7, -10 * day), event("9", "D", "PREPARED", "CUMULATIVE", 10, 5),
+         event("10", "D", "PREPARED", "CUMULATIVE", 45, 6)],
+    ]
+    again = event("1", "A", "IMPORTED", "DELTA", 80, 5 * day)  # a copy with another external time
+    seen = []
+    for number, rows in enumerate(triggers):
+        seen += rows
+        put(spark, inbox, number, *rows, rows[0], *([again, triggers[0][1]] if number else []))
+        streams.ingest(read_stream(spark, inbox), out, f"{out}/checkpoint").awaitTermination()
+        events = execution.dedup(spark.createDataFrame(seen, schemas.EXECUTION_EVENTS))
+        batch = execution.fold(execution.normalize(events))
+        streamed = streams.read_state(spark, out).select(*batch.columns)
+        assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+        keys = sorted(r["dedup_key"] for r in streams.read_log(spark, out).collect())
+        assert keys == sorted(r[0] for r in seen)
+        wanted = execution.to_delta(events).filter("record_type = 'CORRECTED'").collect()
+        fixes = streams.read_corrections(spark, out).collect()
+        assert sorted(r["dedup_key"] for r in fixes) == sorted(r["dedup_key"] for r in wanted)
+        daily = execution.daily_counts(events)
+        assert sorted(map(tuple, streams.read_daily(spark, out).select(*daily.columns).collect())) == sorted(
+            map(tuple, daily.collect())
+        )
+    assert sorted(r["dedup_key"] for r in fixes) == ["4", "7"]
+    assert [r["line_id"] for r in streams.idle(spark, out, date(2026, 8, 30), 5).collect()] == ["A", "C"]
+
+
+def test_a_repeated_trigger_replaces_itself(spark, tmp_path):
+    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
+    put(spark, inbox, 1, event("1", "A", "IMPORTED", "DELTA", 2, 1))
+    for checkpoint in ("c1", "c2"):  # a lost checkpoint starts again with trigger 0
+        streams.ingest(read_stream(spark, inbox), out, f"{out}/{checkpoint}").awaitTermination()
+    assert streams.read_log(spark, out).count() == 1
+    assert streams.read_state(spark, out).first()["event_count"] == 1
