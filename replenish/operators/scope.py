@@ -17,11 +17,10 @@ from replenish.functions.exprs import (
     text,
     text_or_blank,
 )
-from replenish.operators.scale import is_bounded
 from replenish.params import ScopeRule
 
-# A digest over one ordered text needs all rows in one place; up to this size that is harmless.
-ORDERED_TEXT_ROWS = 500_000
+# Groups of the scope checksum: a task digests one group, never the whole scope.
+DIGEST_GROUPS = 4096
 
 
 def _origin_rows(rule: ScopeRule) -> Column:
@@ -40,15 +39,13 @@ def _pair_rows(rule: ScopeRule) -> Column:
 
 
 def origin_articles(catalog: DataFrame, rule: ScopeRule = ScopeRule()) -> DataFrame:
-    """Articles the origin may buy, one row each.
+    """Articles the origin may buy, one row each, with the supplier of the newest extraction.
 
-    An article listed with several suppliers hands down the lowest one, so that the choice does
-    not depend on row order.
+    Of extractions at the same time the lowest supplier counts, so that the choice does not depend
+    on row order.
     """
-    return (
-        catalog.filter(_origin_rows(rule))
-        .groupBy("article_id")
-        .agg(F.min("supplier_id").alias("origin_supplier_id"))
+    return latest_origin_articles(catalog, rule).select(
+        "article_id", F.col("supplier_id").alias("origin_supplier_id")
     )
 
 
@@ -122,29 +119,22 @@ def ordered_digest(order: list[str], line: Column) -> Column:
     return F.sha2(F.array_join(F.transform(rows, lambda r: r["line"]), "\n"), 256)
 
 
-def _digest_in_groups(rows: DataFrame, order: list[str], line: Column) -> DataFrame:
-    """Digest of bounded group digests, for scopes too large for one ordered text."""
-    grouped = rows.groupBy(
-        F.pmod(F.xxhash64(*order), F.lit(4096)).alias("part")
-    ).agg(ordered_digest(order, line).alias("digest"))
+def grouped_digest(rows: DataFrame, key: list[str], line: Column) -> DataFrame:
+    """SHA-256 over the digests of `DIGEST_GROUPS` groups of lines, at every size the same way.
+
+    The group is a number from the MD5 of the key, so other systems can repeat it; a group is
+    ordered by key, the groups by their number.
+    """
+    named = F.md5(bar_text(*[text(c) for c in key]))
+    group = (F.conv(F.substring(named, 1, 4), 16, 10).cast("int") % DIGEST_GROUPS).alias("part")
+    grouped = rows.groupBy(group).agg(ordered_digest(key, line).alias("digest"))
     return grouped.agg(ordered_digest(["part"], F.col("digest")).alias("digest"))
 
 
 def manifest(catalog: DataFrame, rule: ScopeRule = ScopeRule()) -> DataFrame:
-    """One row of counts and checksums that identify a scope.
-
-    The checksums are the agreed ones over the ordered text while the scope has at most
-    `ORDERED_TEXT_ROWS` rows. A larger scope is identified by digests over 4096 groups instead
-    (`checksum_form` says which), so that no task has to hold all of it.
-    """
+    """One row of counts and checksums that identify a scope."""
     articles = latest_origin_articles(catalog, rule)
     details = pair_details(catalog, rule)
-    small = is_bounded(details, ORDERED_TEXT_ROWS) and is_bounded(articles, ORDERED_TEXT_ROWS)
-
-    def digest(rows: DataFrame, order: list[str], line: Column) -> DataFrame:
-        if small:
-            return rows.agg(ordered_digest(order, line).alias("digest"))
-        return _digest_in_groups(rows, order, line)
 
     def branch(rows: DataFrame, **values: Column) -> DataFrame:
         empty = {
@@ -171,20 +161,17 @@ def manifest(catalog: DataFrame, rule: ScopeRule = ScopeRule()) -> DataFrame:
             pair_counts, pair_count=F.col("rows"), destination_count=F.col("branches"),
             routed_article_count=F.col("articles"), source_as_of_ts=F.col("as_of"),
         ),
-        branch(digest(articles, ["article_id"], _article_line()),
+        branch(grouped_digest(articles, ["article_id"], _article_line()),
                article_checksum=F.col("digest")),
-        branch(digest(details, ["branch_id", "article_id"], _pair_line()),
+        branch(grouped_digest(details, ["branch_id", "article_id"], _pair_line()),
                pair_checksum=F.col("digest")),
     ]
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part)
     merged = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
-    return merged.withColumns(
-        {
-            "scope_checksum": scope_checksum(F.col("article_checksum"), F.col("pair_checksum")),
-            "checksum_form": F.lit("ORDERED_TEXT" if small else "GROUPED"),
-        }
+    return merged.withColumn(
+        "scope_checksum", scope_checksum(F.col("article_checksum"), F.col("pair_checksum"))
     )
 
 
