@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -24,8 +24,7 @@ from replenish.schemas import DEMAND_ESTIMATE
 
 PAIR = ["article_id", "branch_id"]
 CHECKED = ["business_date", *PAIR, "status", "basal_daily_demand", "input_checksum"]
-_ROW = {f.name: f.dataType for f in DEMAND_ESTIMATE}
-STAGED = [f.name for f in DEMAND_ESTIMATE if f.name != "explanation"]
+STAGED = [f.name for f in DEMAND_ESTIMATE]
 
 RUN = StructType(
     [
@@ -87,14 +86,19 @@ def outside_scope(rows: DataFrame, scope_pairs: DataFrame) -> DataFrame:
 def next_current(current: DataFrame, estimates: DataFrame, scope_pairs: DataFrame) -> DataFrame:
     """The projection after a publication.
 
-    New usable estimates replace the pair's row. A blocked pair keeps its last usable estimate,
-    with its own date. Pairs that left the scope are retired.
+    A new usable estimate replaces the pair's row unless that has a later business date. A blocked
+    pair keeps its last usable estimate, with its own date. Pairs that left the scope are retired.
     """
-    usable = estimates.filter(F.col("status") != "BLOCKED")
-    kept = current.join(usable.select(*PAIR), PAIR, "left_anti").join(
-        scope_pairs.select(*PAIR), PAIR, "left_semi"
+    rest = [c for c in current.columns if c not in PAIR]
+    kept = current.join(scope_pairs.select(*PAIR), PAIR, "left_semi")
+    usable = estimates.filter(F.col("status") != "BLOCKED").select(*current.columns)
+    both = kept.withColumn("_new", F.lit(0)).unionByName(usable.withColumn("_new", F.lit(1)))
+    return (
+        both.groupBy(*PAIR)
+        .agg(latest(F.struct(*rest), "business_date", "_new").alias("row"))
+        .select(*PAIR, "row.*")
+        .select(*current.columns)
     )
-    return kept.unionByName(usable.select(*current.columns))
 
 
 def retired(current: DataFrame, scope_pairs: DataFrame) -> DataFrame:
@@ -144,64 +148,125 @@ def next_attempt(all_runs: DataFrame, run_type: str, business_date, scope_id: st
     return int(found.first()[0] or 0) + 1
 
 
+# The states of a publication, in the order they are reached.
+STATES = ("PENDING", "STAGING", "VALIDATED", "PUBLISHED")
 _PUBLICATION = StructType(
     [
+        StructField("sequence", LongType()),
         StructField("batch_id", StringType()),
+        StructField("attempt", StringType()),
         StructField("status", StringType()),
         StructField("rows", LongType()),
+        StructField("checksum", StringType()),
         StructField("is_empty", BooleanType()),
         StructField("recorded_at", TimestampNTZType()),
     ]
 )
-_STORED = StructType([f for f in DEMAND_ESTIMATE.fields if f.name != "explanation"])
+
+
+def publications(spark: SparkSession, root: str) -> DataFrame:
+    """The log: one record per state that an attempt reached; records are never changed."""
+    return _read(spark, f"{root}/publications", _PUBLICATION, "json")
+
+
+def in_force(spark: SparkSession, root: str) -> Row | None:
+    """The record of the last completed publication. It is the pointer to the projection."""
+    return (
+        publications(spark, root)
+        .filter(F.col("status") == "PUBLISHED")
+        .orderBy(F.col("sequence").desc())
+        .first()
+    )
+
+
+def history(spark: SparkSession, root: str) -> DataFrame:
+    """All completed publications with their state now: PUBLISHED or SUPERSEDED."""
+    done = publications(spark, root).filter(F.col("status") == "PUBLISHED")
+    last = done.agg(F.max("sequence").alias("last"))  # one row
+    return done.join(F.broadcast(last)).select(
+        "sequence", "batch_id", "attempt", "rows", "checksum", "is_empty", "recorded_at",
+        F.when(F.col("sequence") == F.col("last"), "PUBLISHED").otherwise("SUPERSEDED").alias("status"),
+    )
+
+
+def published_rows(spark: SparkSession, root: str, batch_id: str) -> DataFrame:
+    """The rows of a batch as they were published last."""
+    record = (
+        history(spark, root).filter(F.col("batch_id") == batch_id)
+        .orderBy(F.col("sequence").desc()).first()
+    )
+    if record is None:
+        return spark.createDataFrame([], DEMAND_ESTIMATE)
+    return spark.read.schema(DEMAND_ESTIMATE).parquet(
+        f"{root}/estimates/{record['batch_id']}/{record['attempt']}"
+    )
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
     """The projection of the last completed publication."""
-    log = _read(spark, f"{root}/publications", _PUBLICATION, "json")
-    last = (
-        log.filter(F.col("status") == "PUBLISHED")
-        .agg(latest("batch_id", "recorded_at").alias("batch_id"))
-        .first()
+    last = in_force(spark, root)
+    if last is None:
+        return spark.createDataFrame([], DEMAND_ESTIMATE)
+    return spark.read.schema(DEMAND_ESTIMATE).parquet(
+        f"{root}/current/{last['batch_id']}/{last['attempt']}"
+    )
+
+
+def _record(spark: SparkSession, root: str, **values: object) -> None:
+    before = publications(spark, root).agg(F.max("sequence")).first()[0]
+    filled = {**values, "sequence": (before or 0) + 1, "recorded_at": datetime.now()}
+    row = tuple(filled.get(f.name) for f in _PUBLICATION)
+    spark.createDataFrame([row], _PUBLICATION).coalesce(1).write.mode("append").json(
+        f"{root}/publications"
     )
-    if last is None or last[0] is None:
-        return spark.createDataFrame([], _STORED)
-    return spark.read.schema(_STORED).parquet(f"{root}/current/{last[0]}")
 
 
 def publish(
     spark: SparkSession, root: str, estimates: DataFrame, scope_pairs: DataFrame, batch_id: str
 ) -> dict[str, int]:
-    """Stage, verify, publish and switch the projection; the log entry is the switch.
+    """Stage, verify, publish and switch the projection; the PUBLISHED record is the switch.
 
-    Every step writes to a folder of its own batch, so a failed or repeated run leaves the
-    projection in force untouched and adds nothing twice.
+    Every attempt writes to folders of its own, so nothing that a reader uses is ever overwritten:
+    a failed, repeated or broken-off attempt leaves the projection in force as it is. A batch that
+    is published again with the same rows changes nothing.
     """
-    def log(status: str, rows: int) -> None:
-        record = (batch_id, status, rows, rows == 0, datetime.now())
-        spark.createDataFrame([record], _PUBLICATION).coalesce(1).write.mode("append").json(
-            f"{root}/publications"
+    attempt = uuid.uuid4().hex
+
+    def record(status: str, rows: int = 0, checksum_: object = None) -> None:
+        _record(
+            spark, root, batch_id=batch_id, attempt=attempt, status=status, rows=rows,
+            checksum=None if checksum_ is None else str(checksum_), is_empty=rows == 0,
         )
 
-    source = estimates.select(*STAGED)
-    stage_path = f"{root}/stage/{batch_id}"
-    source.write.mode("overwrite").parquet(stage_path)
-    stage = spark.read.schema(_STORED).parquet(stage_path)
-    expected = control_totals(source).first()
+    record("PENDING")
+    # Rows and checksum of the source are taken while it is written.
+    seen = Observation()
+    staged = f"{root}/estimates/{batch_id}/{attempt}"
+    estimates.select(*STAGED).observe(
+        seen, F.count(F.lit(1)).alias("rows"), checksum(*CHECKED).alias("checksum")
+    ).write.parquet(staged)
+    source = seen.get
+    record("STAGING", source["rows"], source["checksum"])
+    stage = spark.read.schema(DEMAND_ESTIMATE).parquet(staged)
     found = control_totals(stage).first()
-    strangers = outside_scope(stage, scope_pairs).limit(1).count()
-    if expected != found or found["duplicate_pairs"] or strangers:
-        log("FAILED", found["rows"])
+    total = found["checksum"] if found["checksum"] is not None else 0
+    strangers = not outside_scope(stage, scope_pairs).isEmpty()
+    differs = (source["rows"], source["checksum"]) != (found["rows"], total)
+    if differs or found["duplicate_pairs"] or strangers:
+        record("FAILED", found["rows"], total)
         raise PublicationRejected(
-            f"batch {batch_id}: expected {expected}, staged {found}, outside scope: {strangers > 0}"
+            f"batch {batch_id}: expected {source}, staged {found}, outside scope: {strangers}"
         )
+    record("VALIDATED", found["rows"], total)
+    last = in_force(spark, root)
+    if last is not None and (last["batch_id"], last["rows"], last["checksum"]) == (
+        batch_id, found["rows"], str(total)
+    ):
+        return {"rows": found["rows"], "retired": 0}
     before = current(spark, root)
     leaving = retired(before, scope_pairs).count()
-    stage.write.mode("overwrite").parquet(f"{root}/estimates/batch_id={batch_id}")
-    next_current(before, stage, scope_pairs).write.mode("overwrite").parquet(
-        f"{root}/current/{batch_id}"
-    )
-    log("PUBLISHED", found["rows"])
+    next_current(before, stage, scope_pairs).write.parquet(f"{root}/current/{batch_id}/{attempt}")
+    record("PUBLISHED", found["rows"], total)
     return {"rows": found["rows"], "retired": leaving}
 
 

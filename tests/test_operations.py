@@ -353,7 +353,7 @@ def test_import_outcomes(spark):
     assert got["k1"]["replays"] == 1
 
 
-def test_publication(spark, tmp_path):
+def test_publication(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "pub")
 
     def batch(*rows):
@@ -384,6 +384,34 @@ def test_publication(spark, tmp_path):
     with pytest.raises(publish.PublicationRejected):
         publish.publish(spark, root, batch((8, "OK", 5)), scope_of(1, 3), "b4")
     assert now() == {1: 1, 3: 9}
+    publish.publish(spark, root, batch((1, "BLOCKED", None), (3, "WARN", 9)), scope_of(1, 3), "b2")
+    assert now() == {1: 1, 3: 9}
+    assert publish.history(spark, root).count() == 2
+    publish.publish(spark, root, batch((1, "OK", 4), (3, "WARN", 9)), scope_of(1, 3), "b2")
+    assert now() == {1: 4, 3: 9}
+    states = [(r["batch_id"], r["status"]) for r in publish.history(spark, root).orderBy("sequence").collect()]
+    assert states == [("b1", "SUPERSEDED"), ("b2", "SUPERSEDED"), ("b2", "PUBLISHED")]
+    failed = publish.publications(spark, root).filter("status = 'FAILED'").collect()
+    assert [r["batch_id"] for r in failed] == ["b3", "b4"]
+    reached = publish.publications(spark, root).filter("batch_id = 'b1'").orderBy("sequence").collect()
+    assert tuple(r["status"] for r in reached) == publish.STATES
+    # An older date does not replace a newer row, and breaking off before the switch changes nothing.
+    older = batch((1, "OK", 7), (3, "OK", 7)).withColumn("business_date", F.lit(date(2026, 8, 1)))
+    with monkeypatch.context() as broken:
+        kept = publish._record
+
+        def stop(spark, root, **values):
+            if values["status"] == "PUBLISHED":
+                raise RuntimeError("lost")
+            kept(spark, root, **values)
+
+        broken.setattr(publish, "_record", stop)
+        with pytest.raises(RuntimeError):
+            publish.publish(spark, root, older, scope_of(1, 3), "b5")
+    assert now() == {1: 4, 3: 9}
+    publish.publish(spark, root, older, scope_of(1, 3), "b5")
+    assert now() == {1: 4, 3: 9}
+    assert {r["article_id"] for r in publish.published_rows(spark, root, "b5").collect()} == {1, 3}
 
 
 def test_run_registry(spark, tmp_path):
