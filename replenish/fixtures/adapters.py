@@ -64,6 +64,10 @@ def catalog(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(1).alias("active_on_mix"),
         _stamp(EXTRACTED).alias("extracted_at"),
     )
+    # An older extraction of some articles names a lower supplier; the newest one counts.
+    older = at_origin.filter(F.col("article_id") % 3 == 0).withColumns(
+        {"supplier_id": F.col("supplier_id") - 5, "extracted_at": _stamp("2001-07-01 03:00:00")}
+    )
     a, b = F.col("article_id"), F.col("branch_id")
     versions = articles.select(
         "article_id", F.explode(F.lit(branch_ids(spark, folder))).alias("branch_id")
@@ -84,7 +88,7 @@ def catalog(spark: SparkSession, folder: str) -> DataFrame:
         off_when((a * b) % 17 == 1).alias("active_on_mix"),
         F.when(F.col("ver") == 0, _stamp(EXTRACTED)).alias("extracted_at"),
     )
-    return at_origin.unionByName(at_branches)
+    return at_origin.unionByName(older).unionByName(at_branches)
 
 
 def later_catalog(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,8 +108,16 @@ def later_catalog(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items; one that comes in few files (test data) is spread over the cluster first."""
+    lines = table(spark, folder, "lineitem")
+    if len(lines.inputFiles()) >= spark.sparkContext.defaultParallelism:
+        return lines
+    return spread(lines, "l_orderkey", "l_linenumber")
+
+
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spread(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
+    lines = _lines(spark, folder)
     parts = table(spark, folder, "part").select("p_partkey", _article().alias("article_id"), "p_size")
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey).join(
@@ -119,7 +131,7 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
         dec(F.try_divide("l_extendedprice", "l_quantity")).alias("price"),
         dec(F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity"))).alias("units"),
         dec("l_extendedprice", 20, 4).alias("amount"),
-        F.lit(False).alias("special_sale"),
+        (F.col("l_orderkey") % 50 == 0).alias("special_sale"),
         (F.col("l_discount") >= 0.08).alias("normal_promo"),
         (F.col("l_discount") >= 0.1).alias("strong_promo"),
         (F.col("article_id") % 5).alias("family_id"),
@@ -266,12 +278,7 @@ def directed_needs(spark: SparkSession, folder: str) -> DataFrame:
             need_type.alias("need_type"),
         )
     )
-    lines = spread(
-        table(spark, folder, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_quantity"
-        ),
-        "l_orderkey", "l_suppkey",
-    )
+    lines = _lines(spark, folder).select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
     parts = table(spark, folder, "part").select("p_partkey", _article().alias("article_id"))
     suppliers = table(spark, folder, "supplier").select(
         "s_suppkey", F.col("s_nationkey").cast("int").alias("branch_id")
@@ -343,14 +350,20 @@ EVENT_STATES = {
     "purchase": ("TER", "PREPARED"),
     "error": ("ZZZ", "UNKNOWN"),
 }
+# Clicks of these users (number modulo 5) mean something else.
+CLICK_STATES = {0: ("ANU", "CANCELLED"), 1: ("EXP", "DISPATCHED")}
 
 
 def as_execution_events(events: DataFrame) -> DataFrame:
     """Rows of `events` in the event contract; every tenth arrives twice."""
     state = F.lit(None).cast("string")
     kind = F.lit(None).cast("string")
-    for event_type, (external, meaning) in EVENT_STATES.items():
-        here = F.col("event_type") == event_type
+    plain = [(F.col("event_type") == name, meaning) for name, meaning in EVENT_STATES.items()]
+    special = [
+        ((F.col("event_type") == "click") & (F.col("user_id") % 5 == rest), meaning)
+        for rest, meaning in CLICK_STATES.items()
+    ]
+    for here, (external, meaning) in plain + special:
         state = F.when(here, external).otherwise(state)
         kind = F.when(here, meaning).otherwise(kind)
     copies = F.when(F.col("event_id") % 10 == 0, 2).otherwise(1)
@@ -375,6 +388,25 @@ def execution_events(spark: SparkSession, folder: str) -> DataFrame:
     return as_execution_events(table(spark, folder, "events"))
 
 
+def deliveries(spark: SparkSession, folder: str, count: int = 4) -> list[DataFrame]:
+    """The events in `count` deliveries, in no order of time. Each delivery after the first repeats
+    part of the one before; the last also repeats some events with another external time. Copies
+    are received later than their originals."""
+    events = execution_events(spark, folder)
+    turn = F.pmod(F.crc32(F.col("dedup_key").cast("binary")), F.lit(count))
+    marked = events.withColumn("turn", turn)
+    later = F.col("received_at") + F.expr("interval 10 days")
+    copies = marked.filter(F.pmod(F.crc32(F.col("dedup_key").cast("binary")), F.lit(7)) == 3)
+    copies = copies.withColumns(
+        {"received_at": later, "turn": F.least(F.col("turn") + 1, F.lit(count - 1))}
+    )
+    moved = copies.withColumns(
+        {"occurred_at": F.col("occurred_at") - F.expr("interval 3 days"), "turn": F.lit(count - 1)}
+    )
+    whole = marked.unionByName(copies).unionByName(moved)
+    return [whole.filter(F.col("turn") == n).drop("turn") for n in range(count)]
+
+
 def import_requests(spark: SparkSession, folder: str) -> DataFrame:
     """One request per `view`; the key repeats within a user and day, which makes retries."""
     views = table(spark, folder, "events").filter(F.col("event_type") == "view")

@@ -13,6 +13,9 @@ BASE: dict[str, str] = {
           1 active_on_mix, timestamp '2001-08-01 03:00:00' extracted_at
         from a
         union all
+        select article_id, 41, article_id*10-5, case when article_id%10=0 then 0 else 1 end, null, 0, 1, 1, 1,
+          timestamp '2001-07-01 03:00:00' from a where article_id%3=0
+        union all
         select article_id, branch_id,
           case when (article_id+branch_id)%5=0 then null else article_id*10+1+ver end, 1,
           case when (article_id+branch_id)%7=0 then 'DIRECT' else '41CD' end,
@@ -31,7 +34,7 @@ BASE: dict[str, str] = {
           active_for_sale, active_on_mix, extracted_at
         from catalog""",
     "origin": """
-        select article_id, min(supplier_id) s from catalog
+        select article_id, max_by(supplier_id, extracted_at) s from catalog
         where branch_id=41 and active_for_purchase=1 group by 1""",
     "pairs": """
         select c.article_id, c.branch_id, coalesce(c.supplier_id, o.s) supplier_id
@@ -57,7 +60,7 @@ BASE: dict[str, str] = {
             // (2*cast(l_quantity as bigint)))/1e6 as decimal(18,6)) price,
           cast(case when l_returnflag='R' and l_linestatus='F' then -l_quantity else l_quantity end
             as decimal(18,6)) units,
-          cast(l_extendedprice as decimal(20,4)) amount, false special_sale,
+          cast(l_extendedprice as decimal(20,4)) amount, l_orderkey%50=0 special_sale,
           l_discount>=0.08 normal_promo, l_discount>=0.1 strong_promo,
           cast(substr(p_brand,7) as int)%5 family_id, p_size category_id,
           cast(substr(p_brand,7) as int)*10 supplier_id
@@ -146,15 +149,21 @@ BASE: dict[str, str] = {
     "rd": """
         select cast(lo + cast(394 + 28*n as int) as date) t
         from hist, unnest(generate_series(0, (hi - lo - 394)//28 - 1)) g(n)""",
-    "last3": "select t from rd order by t desc limit 3",
+    "alldates": """
+        select cast(lo + cast(394 + n as int) as date) t
+        from hist, unnest(generate_series(0, hi - lo - 394 - 1)) g(n)""",
+    "trail": """
+        select sales_date, article_id, branch_id, count(*) over w c, count(*) filter (eligible) over w el,
+          sum(basal) filter (eligible) over w basal, sum(observed) filter (eligible) over w observed,
+          sum(observed) over w every_unit
+        from hpanel window w as (partition by article_id, branch_id order by sales_date
+          rows between 27 preceding and current row)""",
     "prior": "select max(t) t from rd where t < date '2001-08-02'",
 }
 
 
-def _estimate(prefix: str, dates: str, weights=("0.60", "0.25", "0.15"), units: str = "basal") -> dict:
-    """Common table expressions that estimate every pair on every date of `dates`."""
-    r, p, s = weights
-    gate = "coalesce(r_el,0) < 7 or coalesce(r_el,0)+coalesce(p_el,0)+coalesce(s_el,0) < 14 or avail = 0"
+def _evidence(prefix: str, dates: str, units: str) -> dict:
+    """Evidence of every pair and date from the days of its windows."""
     return {
         f"{prefix}_w": f"""
             select t, 'r' role, t-28 s, t-1 e from {dates}
@@ -163,7 +172,8 @@ def _estimate(prefix: str, dates: str, weights=("0.60", "0.25", "0.15"), units:
               cast(t-1-interval 1 year as date) from {dates}""",
         f"{prefix}_j": f"""
             select w.t, w.role, h.*, h.{units} u, h.eligible and h.{units}>0 nz
-            from {prefix}_w w join hpanel h on h.sales_date between w.s and w.e""",
+            from (select t, role, unnest(generate_series(s, e, interval 1 day))::date at_day from {prefix}_w) w
+            join hpanel h on h.sales_date = w.at_day""",
         f"{prefix}_a": f"""
             select t, article_id, branch_id, count(*) active_days,
               count(*) filter (eligible) eligible_days, count(*) filter (nz) nonzero_days,
@@ -178,6 +188,32 @@ def _estimate(prefix: str, dates: str, weights=("0.60", "0.25", "0.15"), units:
               sum(u) filter (role='s' and eligible) s_u,
               string_agg(hash, '' order by sales_date) hashes
             from {prefix}_j group by all""",
+    }
+
+
+def _estimate(
+    prefix: str, dates: str, weights=("0.60", "0.25", "0.15"), units: str = "basal", trailing: bool = False
+) -> dict:
+    """Common table expressions that estimate every pair on every date of `dates`, from the days of
+    the windows or, where no hashes are asked for, from trailing 28-day sums at their ends."""
+    r, p, s = weights
+    if trailing:
+        evidence = {
+            f"{prefix}_a": f"""
+            select d.t, p.article_id, p.branch_id,
+              coalesce(r.c,0)+coalesce(q.c,0)+coalesce(s.c,0) active_days,
+              coalesce(r.el,0)+coalesce(q.el,0)+coalesce(s.el,0) eligible_days,
+              r.el r_el, q.el p_el, s.el s_el, r.{units} r_u, q.{units} p_u, s.{units} s_u, '' hashes
+            from {dates} d cross join pairs p
+            left join trail r on r.sales_date=d.t-1 and r.article_id=p.article_id and r.branch_id=p.branch_id
+            left join trail q on q.sales_date=d.t-29 and q.article_id=p.article_id and q.branch_id=p.branch_id
+            left join trail s on s.sales_date=cast(d.t-1-interval 1 year as date)
+              and s.article_id=p.article_id and s.branch_id=p.branch_id"""
+        }
+    else:
+        evidence = _evidence(prefix, dates, units)
+    gate = "coalesce(r_el,0) < 7 or coalesce(r_el,0)+coalesce(p_el,0)+coalesce(s_el,0) < 14 or avail = 0"
+    return evidence | {
         f"{prefix}_s": f"""
             select d.t, p.article_id, p.branch_id, p.supplier_id,
               x.* exclude (t, article_id, branch_id),
@@ -214,11 +250,12 @@ def _estimate(prefix: str, dates: str, weights=("0.60", "0.25", "0.15"), units:
     }
 
 
-BASE |= _estimate("est", "bd") | _estimate("rest", "rd") | _estimate("l3", "last3")
+BASE |= _estimate("est", "bd") | _estimate("rest", "rd")
 BASE |= _estimate("pest", "prior")
-BASE |= _estimate("v_recent", "rd", ("1", "0", "0"))
-BASE |= _estimate("v_other", "rd", ("0.8", "0.1", "0.2"))
-BASE |= _estimate("v_plain", "rd", units="observed")
+BASE |= _estimate("aest", "alldates", trailing=True)
+BASE |= _estimate("v_recent", "alldates", ("1", "0", "0"), trailing=True)
+BASE |= _estimate("v_other", "alldates", ("0.8", "0.1", "0.2"), trailing=True)
+BASE |= _estimate("v_plain", "alldates", units="observed", trailing=True)
 
 BASE |= {
     "bt": """
@@ -226,16 +263,15 @@ BASE |= {
           cast(coalesce(h.basal,0) as decimal(18,6)) actual, coalesce(h.eligible,false) ok,
           cast(coalesce(h.basal,0)-e.value as decimal(18,6)) err,
           sha256(concat_ws('|', e.checksum, coalesce(h.hash,''), (e.t+1)::varchar, '1')) checksum
-        from l3 e left join hpanel h on h.sales_date=e.t+1 and h.article_id=e.article_id
+        from rest e left join hpanel h on h.sales_date=e.t+1 and h.article_id=e.article_id
           and h.branch_id=e.branch_id
         where e.status<>'BLOCKED'""",
     "mean28": """
-        select d.t, h.article_id, h.branch_id,
-          cast(sum(h.observed)::double/count(*) as decimal(18,6)) predicted
-        from rd d join hpanel h on h.sales_date between d.t-28 and d.t-1 group by all""",
+        select d.t, h.article_id, h.branch_id, cast(h.every_unit::double/h.c as decimal(18,6)) predicted
+        from alldates d join trail h on h.sales_date=d.t-1""",
     "together": """
         select m.t, m.article_id, m.branch_id, m.predicted m, e.value e, r.value r, o.value o, n.value n
-        from mean28 m join rest e using (t, article_id, branch_id)
+        from mean28 m join aest e using (t, article_id, branch_id)
         join v_recent r using (t, article_id, branch_id)
         join v_other o using (t, article_id, branch_id)
         join v_plain n using (t, article_id, branch_id)
@@ -387,20 +423,23 @@ BASE |= {
         where (dq>0 or cq>0) and mand>0 and quality='COMPLETE'""",
     "ev": """
         select 'EV-'||event_id k, user_id::varchar line_id, user_id,
-          case event_type when 'view' then 'IMPORTED' when 'purchase' then 'PREPARED' else 'UNKNOWN' end et,
-          case event_type when 'view' then 'GEN' when 'click' then 'ACO' when 'signup' then 'AGR'
-            when 'purchase' then 'TER' else 'ZZZ' end ext,
-          case event_type when 'view' then 'IMPORTED' when 'click' then 'IN_PROCESS'
-            when 'signup' then 'GROUPED' when 'purchase' then 'PREPARED' else 'UNKNOWN' end norm,
+          case when event_type='view' then 'IMPORTED' when event_type='purchase' then 'PREPARED'
+            when event_type='click' and user_id%5=0 then 'CANCELLED'
+            when event_type='click' and user_id%5=1 then 'DISPATCHED' else 'UNKNOWN' end et,
+          case when event_type='view' then 'GEN' when event_type='click' and user_id%5=0 then 'ANU'
+            when event_type='click' and user_id%5=1 then 'EXP' when event_type='click' then 'ACO'
+            when event_type='signup' then 'AGR' when event_type='purchase' then 'TER' else 'ZZZ' end ext,
+          case when event_type='view' then 'IMPORTED' when event_type='click' and user_id%5=0 then 'CANCELLED'
+            when event_type='click' and user_id%5=1 then 'DISPATCHED' when event_type='click' then 'IN_PROCESS'
+            when event_type='signup' then 'GROUPED' when event_type='purchase' then 'PREPARED' else 'UNKNOWN' end norm,
           case when user_id%2=0 then 'CUMULATIVE' else 'DELTA' end qm,
           cast(value as decimal(18,6)) q, ts
         from events""",
-    "fold": """
-        select line_id, user_id,
-          coalesce(sum(q) filter (et='IMPORTED' and qm='DELTA'),0)
-            + coalesce(max(q) filter (et='IMPORTED' and qm='CUMULATIVE'),0) imported,
-          coalesce(sum(q) filter (et='PREPARED' and qm='DELTA'),0)
-            + coalesce(max(q) filter (et='PREPARED' and qm='CUMULATIVE'),0) prepared,
+    "fold": f"""
+        select line_id, user_id, {', '.join(
+            f"coalesce(sum(q) filter (et='{kind}' and qm='DELTA'),0)"
+            f" + coalesce(max(q) filter (et='{kind}' and qm='CUMULATIVE'),0) {kind.lower()}"
+            for kind in ("IMPORTED", "PREPARED", "DISPATCHED", "CANCELLED"))},
           arg_max(norm, (ts, k)) last_status, max(ts) last_ts, count(*) n,
           count(*) filter (norm='UNKNOWN') unknown_n
         from ev group by all""",
@@ -420,7 +459,7 @@ def _r(expression: str, name: str, places: int = 6) -> str:
 
 
 STATE = f"""line_id, {_r('imported', 'imported_quantity', 3)}, {_r('prepared', 'prepared_quantity', 3)},
-    0.0::double dispatched_quantity, 0.0::double cancelled_quantity, last_status,
+    {_r('dispatched', 'dispatched_quantity', 3)}, {_r('cancelled', 'cancelled_quantity', 3)}, last_status,
     last_ts::date last_day, n event_count, unknown_n unknown_events"""
 
 METRICS = """
@@ -444,17 +483,22 @@ QUERIES: dict[str, str] = {
     "scope_pairs": "select * from pairs",
     "stock_scope": "select * from sscope",
     "scope_manifest": """
+        with ag as (
+          select ('0x'||substr(md5(article_id::varchar),1,4))::int % 4096 part,
+            sha256(string_agg(concat_ws('|', article_id, article_id*10, 1, 1, 1, 1), chr(10) order by article_id)) d
+          from origin group by 1),
+        pg as (
+          select ('0x'||substr(md5(branch_id||'|'||article_id),1,4))::int % 4096 part,
+            sha256(string_agg(concat_ws('|', branch_id, article_id, coalesce(supplier_id::varchar,''), '41CD', 0, 1, 1, 1),
+              chr(10) order by branch_id, article_id)) d
+          from pairs group by 1),
+        ac as (select sha256(string_agg(d, chr(10) order by part)) ac from ag),
+        pc as (select sha256(string_agg(d, chr(10) order by part)) pc from pg)
         select (select count(*) from origin) article_count, count(*) pair_count,
           count(distinct branch_id) destination_count, count(distinct article_id) routed_article_count,
-          '2001-08-01 03:00:00' source_as_of_ts, ac article_checksum,
-          sha256(string_agg(line, chr(10) order by branch_id, article_id)) pair_checksum,
-          sha256('articles:'||ac||'|pairs:'||sha256(string_agg(line, chr(10) order by branch_id, article_id))) scope_checksum,
-          'ORDERED_TEXT' checksum_form
-        from (select branch_id, article_id, concat_ws('|', branch_id, article_id,
-            coalesce(supplier_id::varchar,''), '41CD', 0, 1, 1, 1) line from pairs),
-          (select sha256(string_agg(concat_ws('|', article_id, article_id*10, 1, 1, 1, 1), chr(10)
-            order by article_id)) ac from origin)
-        group by ac""",
+          '2001-08-01 03:00:00' source_as_of_ts, ac article_checksum, pc pair_checksum,
+          sha256('articles:'||ac||'|pairs:'||pc) scope_checksum
+        from pairs, ac, pc group by ac, pc""",
     "scope_snapshot": """
         select branch_id, article_id, supplier_id, '41CD' route_code, 0 supply_mode, true enabled,
           true active_for_sale, true active_on_mix from pairs""",
@@ -617,7 +661,7 @@ QUERIES: dict[str, str] = {
           {_r('e.value','predicted_demand')}, {_r('coalesce(h.basal,0)','actual_basal_units')},
           {_r('coalesce(h.basal,0)-e.value','error_units')},
           case when h.eligible then 'VALID' else 'EXCLUDED' end status
-        from rest e left join hpanel h on h.sales_date=e.t+1 and h.article_id=e.article_id
+        from aest e left join hpanel h on h.sales_date=e.t+1 and h.article_id=e.article_id
           and h.branch_id=e.branch_id where e.status<>'BLOCKED'""",
     "model_compare": f"""
         with x as (
@@ -628,9 +672,9 @@ QUERIES: dict[str, str] = {
         with s2 as (
           select c.variant, c.branch_id, cast(h.basal-c.predicted as decimal(18,6)) err, h.basal actual
           from (select m.t, m.article_id, m.branch_id, 'MEAN_28' variant, m.predicted from mean28 m
-              join rest e using (t, article_id, branch_id) where e.value is not null
+              join aest e using (t, article_id, branch_id) where e.value is not null
             union all select m.t, m.article_id, m.branch_id, 'ESTIMATE', e.value from mean28 m
-              join rest e using (t, article_id, branch_id) where e.value is not null) c
+              join aest e using (t, article_id, branch_id) where e.value is not null) c
           join hpanel h on h.sales_date=c.t+1 and h.article_id=c.article_id and h.branch_id=c.branch_id
           where h.eligible),
         x as (
@@ -853,7 +897,7 @@ QUERIES: dict[str, str] = {
           from ev join fold f on f.line_id=ev.line_id) where isolation_codes<>''""",
     "events_orphans": "select k dedup_key, line_id from ev where user_id%17=0",
     "execution_remaining": f"""
-        select line_id, {_r('greatest(2000-prepared,0)','open_quantity',3)},
+        select line_id, {_r('greatest(2000-greatest(prepared,dispatched)-cancelled,0)','open_quantity',3)},
           {_r('greatest(imported-prepared,0)','import_unprepared',3)} from fold""",
     "idle_imports": f"""
         select line_id, cast(date '2024-01-31'-last_ts::date as int) idle_days,
@@ -869,6 +913,25 @@ QUERIES: dict[str, str] = {
           select p.t, p.article_id, p.branch_id, p.status, p.value from pest p
           where p.status<>'BLOCKED' and (p.article_id, p.branch_id) in (select (article_id, branch_id) from later_pairs)
             and (p.article_id, p.branch_id) not in (select (article_id, branch_id) from est where status<>'BLOCKED'))""",
+    "publish_replay": f"""
+        select t business_date, article_id, branch_id, status, {_r('value','basal_daily_demand')} from (
+          select t, article_id, branch_id, status, value from est where status<>'BLOCKED'
+          union all
+          select p.t, p.article_id, p.branch_id, p.status, p.value from pest p
+          where p.status<>'BLOCKED'
+            and (p.article_id, p.branch_id) not in (select (article_id, branch_id) from est where status<>'BLOCKED'))""",
+    "version_history": """
+        select o_custkey customer, o_orderkey "version", o_orderdate::date changed_on,
+          '{"status":"'||o_orderstatus||'","priority":"'||o_orderpriority||'"}' after_state,
+          lag('{"status":"'||o_orderstatus||'","priority":"'||o_orderpriority||'"}') over w before_state,
+          lead(o_orderdate::date) over w superseded_on
+        from orders window w as (partition by o_custkey order by o_orderkey)""",
+    "stream_daily": f"""
+        select ts::date "day", et event_type, count(*) events, {_r('sum(q)','quantity',3)} from ev group by 1, 2""",
+    "stream_idle": f"""
+        select line_id, cast(date '2024-01-31'-last_ts::date as int) idle_days,
+          {_r('imported','imported_quantity',3)} from fold
+        where imported>prepared and last_ts::date<date '2024-01-31'-1""",
     "publish_staged": f"""
         select t business_date, article_id, branch_id, status, {_r('value','basal_daily_demand')} from (
           select t, article_id, branch_id, status, value from est where status<>'BLOCKED'
@@ -932,7 +995,8 @@ def _needed(text: str) -> list[str]:
 
 def statement(name: str) -> str:
     body = QUERIES[name]
-    ctes = ",\n".join(f"{n} as ({BASE[n]})" for n in _needed(body))
+    kept = {n: " materialized" for n in ("hpanel", "trail")}
+    ctes = ",\n".join(f"{n} as{kept.get(n, '')} ({BASE[n]})" for n in _needed(body))
     return f"{'with ' + ctes if ctes else ''}\nselect * from ({body}) result"
 
 

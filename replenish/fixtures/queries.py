@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from datetime import date, timedelta
 from functools import cached_property
@@ -132,6 +133,12 @@ class Frames:
         count = (self.history.end - first).days // 28
         return [first + timedelta(days=28 * n) for n in range(count)]
 
+    @cached_property
+    def every_date(self) -> list[date]:
+        """Every day of the history that has a year before it and a day after it."""
+        first = self.history.start + timedelta(days=394)
+        return [first + timedelta(days=n) for n in range((self.history.end - first).days)]
+
     @cached_property
     def rolling_estimates(self) -> DataFrame:
         return demand.rolling(self.history_panel, self.pairs, self.rolling_dates)
@@ -204,6 +211,15 @@ class Frames:
             execution.dedup(fx.execution_events(self.spark, self.folder))
         )
 
+    @cached_property
+    def stream_folder(self) -> str:
+        folder = scratch(self.spark, "stream")
+        for number, rows in enumerate(fx.deliveries(self.spark, self.folder)):
+            rows.write.parquet(f"{folder}/in/d{number}")
+            arrived = self.spark.readStream.schema(rows.schema).parquet(f"{folder}/in/*")
+            stream_events.ingest(arrived, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+        return f"{folder}/out"
+
     @cached_property
     def import_lines(self) -> DataFrame:
         return fx.import_lines(self.spark, self.folder)
@@ -463,14 +479,13 @@ def source_profile(f: Frames) -> DataFrame:
 
 
 def _backtest_detail(f: Frames) -> DataFrame:
-    """Estimates of the last rolling dates, scored one day ahead."""
-    parts = None
-    for day in f.rolling_dates[-3:]:
-        one = f.estimate(day)
-        parts = one if parts is None else parts.unionByName(one)
-    first = f.rolling_dates[-3] + timedelta(days=1)
-    last = f.rolling_dates[-1] + timedelta(days=1)
-    return backtest.detail(parts, f.history_panel, first, last, IDS, 1)
+    """The estimates of every run of the history, scored one day ahead."""
+    dates = f.rolling_dates
+    one = timedelta(days=1)
+    return backtest.detail(
+        demand.estimates(f.history_panel, f.pairs, dates, IDS), f.history_panel,
+        dates[0] + one, dates[-1] + one, IDS, 1,
+    )
 
 
 @query
@@ -494,7 +509,7 @@ def backtest_metrics(f: Frames) -> DataFrame:
 
 @query
 def backtest_rolling(f: Frames) -> DataFrame:
-    return backtest.rolling(f.history_panel, f.pairs, f.rolling_dates).select(
+    return backtest.rolling(f.history_panel, f.pairs, f.every_date).select(
         "business_date", "evaluation_date", *PAIR, d("predicted_demand"),
         d("actual_basal_units"), d("error_units"), "status",
     )
@@ -502,7 +517,7 @@ def backtest_rolling(f: Frames) -> DataFrame:
 
 @query
 def model_compare(f: Frames) -> DataFrame:
-    return backtest.compare(f.history_panel, f.pairs, f.rolling_dates).select(
+    return backtest.compare(f.history_panel, f.pairs, f.every_date).select(
         "variant", "segment_type", "segment_id", "metric_code", d("metric_value"), "sample_size",
         "zero_actual_count",
     )
@@ -512,7 +527,7 @@ def model_compare(f: Frames) -> DataFrame:
 def model_acceptance(f: Frames) -> DataFrame:
     two = {"ESTIMATE": backtest.VARIANTS["ESTIMATE"]}
     return backtest.acceptance(
-        backtest.compare(f.history_panel, f.pairs, f.rolling_dates, variants=two)
+        backtest.compare(f.history_panel, f.pairs, f.every_date, variants=two)
     ).select("segment_type", "segment_id", "metric_code", d("candidate"), d("baseline"), "accepted")
 
 
@@ -982,42 +997,70 @@ def backfill_run(f: Frames) -> DataFrame:
     )
 
 
-def _event_stream(f: Frames) -> DataFrame:
-    schema = fx.table(f.spark, f.folder, "events").schema
-    rows = (
-        f.spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(f.folder)
-    )
-    return fx.as_execution_events(rows)
+def _stream(f: Frames) -> str:
+    """The events through the stream, one trigger per delivery; the folder of its tables."""
+    return f.stream_folder
 
 
 @query
 def stream_fold(f: Frames) -> DataFrame:
-    folder = scratch(f.spark, "stream")
-    stream_events.fold(
-        _event_stream(f), f"{folder}/state", f"{folder}/checkpoint"
-    ).awaitTermination()
-    return _state(stream_events.read_state(f.spark, f"{folder}/state"))
+    return _state(stream_events.read_state(f.spark, _stream(f)))
 
 
 @query
 def stream_log(f: Frames) -> DataFrame:
-    folder = scratch(f.spark, "stream")
-    stream_events.append_once(
-        _event_stream(f), f"{folder}/log", f"{folder}/checkpoint"
-    ).awaitTermination()
-    return f.spark.read.parquet(f"{folder}/log").select(
+    return stream_events.read_log(f.spark, _stream(f)).select(
         "dedup_key", "line_id", "event_type", d("quantity")
     )
 
 
 @query
 def stream_corrections(f: Frames) -> DataFrame:
-    folder = scratch(f.spark, "stream")
-    stream_events.corrections(
-        _event_stream(f), folder, f"{folder}/checkpoint"
-    ).awaitTermination()
-    return f.spark.read.parquet(f"{folder}/corrections").select(
+    return stream_events.read_corrections(f.spark, _stream(f)).select(
         "dedup_key", "line_id", "event_type", d("quantity"), joined("correction_alert")
     )
+
+
+@query
+def stream_daily(f: Frames) -> DataFrame:
+    return stream_events.read_daily(f.spark, _stream(f)).select(
+        "day", "event_type", "events", d("quantity", places=3)
+    )
+
+
+@query
+def stream_idle(f: Frames) -> DataFrame:
+    return stream_events.idle(f.spark, _stream(f), AS_OF_EVENTS, 1).select(
+        "line_id", "idle_days", d("imported_quantity", places=3)
+    )
+
+
+@query
+def version_history(f: Frames) -> DataFrame:
+    """Orders as versions of their customer; the numbers have gaps."""
+    history = fx.table(f.spark, f.folder, "orders").select(
+        F.col("o_custkey").alias("customer"),
+        F.col("o_orderkey").alias("version"),
+        F.to_date("o_orderdate").alias("changed_at"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+    return needs.versions_with_validity(history, "customer", ["status", "priority"]).select(
+        "customer", "version", F.col("changed_at").alias("changed_on"), "after_state",
+        "before_state", F.col("superseded_at").alias("superseded_on"),
+    )
+
+
+@query
+def publish_replay(f: Frames) -> DataFrame:
+    """Publications that are repeated, rejected and late; the projection in force."""
+    root = scratch(f.spark, "replay")
+    older = f.estimate(max(x for x in f.rolling_dates if x < T))
+    publish.publish(f.spark, root, older, f.pairs, "batch-1")
+    publish.publish(f.spark, root, f.estimates, f.pairs, "batch-2")
+    publish.publish(f.spark, root, f.estimates, f.pairs, "batch-2")
+    doubled = f.estimates.unionByName(f.estimates)
+    with contextlib.suppress(publish.PublicationRejected):
+        publish.publish(f.spark, root, doubled, f.pairs, "batch-3")
+    publish.publish(f.spark, root, older, f.pairs, "batch-4")
+    return _shown_current(publish.current(f.spark, root))

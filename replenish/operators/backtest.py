@@ -192,11 +192,19 @@ def rolling(
         predicted.select(
             "business_date", *PAIR, F.col("basal_daily_demand").alias("predicted_demand")
         ),
-        panel,
+        _evaluated(panel, dates, horizon_days),
         horizon_days,
     )
 
 
+def _evaluated(panel: DataFrame, dates: list[date], horizon_days: int) -> DataFrame:
+    """The panel on the days that are evaluated: a range for the scan, then the days themselves."""
+    days = sorted({day + timedelta(days=horizon_days) for day in dates})
+    return panel.filter(
+        F.col("sales_date").between(F.lit(days[0]), F.lit(days[-1])) & F.col("sales_date").isin(*days)
+    )
+
+
 # The models an estimate is compared with, by their window weights.
 VARIANTS = {
     "ESTIMATE": DemandParams(),
@@ -210,6 +218,7 @@ VARIANTS = {
     "NO_PROMO_ADJUSTMENT": DemandParams(units_column="observed_units"),
 }
 BASELINE = "MEAN_28"
+OBSERVED = "observed_units"
 
 
 def compare(
@@ -219,39 +228,42 @@ def compare(
     horizon_days: int = 1,
     variants: dict[str, DemandParams] | None = None,
 ) -> DataFrame:
-    """Metrics of every variant and of the plain 28-day mean over the same dates and pairs.
+    """Metrics of every variant and of the plain mean of the recent window over the same cases.
 
-    Only (date, pair) cases that every variant can predict are compared.
+    All variants are scored from one pass of running totals, side by side in one row per date and
+    pair. Only cases that every variant can predict are compared.
     """
     _check(min(dates), max(dates), horizon_days)
     variants = VARIANTS if variants is None else variants
-    first, last = min(dates) - timedelta(days=28), max(dates) - timedelta(days=1)
-    keys = ["business_date", *PAIR]
-    # The mean of the 28 days before a date is the trailing mean seen from that date.
-    marks = scope_pairs.select(
-        F.explode(F.lit(sorted(set(dates)))).alias("business_date"), *PAIR
+    lengths = {tuple(sorted(p.lengths.items())) for p in variants.values()}
+    if len(lengths) != 1:
+        raise ValueError("the variants need windows of the same lengths")
+    columns = sorted({OBSERVED, *(p.units_column for p in variants.values())})
+    totals = demand.rolling_totals(
+        panel, scope_pairs, dates, columns, next(iter(variants.values()))
     )
-    days = panel.filter(F.col("sales_date").between(F.lit(first), F.lit(last)))
-    spans = marks.join(
-        demand.window_means(days, sorted(set(dates)), 28), keys, "left"
-    ).withColumn("variant", F.lit(BASELINE))
-    predicted = spans.select(*keys, "variant", "predicted_demand")
-    for name, params in variants.items():
-        predicted = predicted.unionByName(
-            demand.rolling(panel, scope_pairs, dates, params).select(
-                *keys,
-                F.lit(name).alias("variant"),
-                F.col("basal_daily_demand").alias("predicted_demand"),
+    given = totals.columns
+    row = totals.withColumn(
+        BASELINE,
+        dec(
+            F.try_divide(
+                dec(F.col(f"{OBSERVED}__recent_all_units"), 20, 6),
+                F.when(F.col("recent_active_days") > 0, F.col("recent_active_days")).cast(
+                    "decimal(10,0)"
+                ),
             )
-        )
-    # One row per variant for each case: a bounded group.
-    together = predicted.groupBy(*keys).pivot("variant", [BASELINE, *variants]).agg(
-        F.max("predicted_demand")
+        ),
     )
-    complete = together.dropna(subset=[BASELINE, *variants])
+    for done, (name, params) in enumerate(variants.items(), start=1):
+        scored = demand.score(demand.of_units(row, params.units_column), params)
+        kept = [*given, BASELINE, *list(variants)[: done - 1]]
+        row = scored.select(*kept, F.col("basal_daily_demand").alias(name))
+    keys = ["business_date", *PAIR]
+    complete = row.select(*keys, BASELINE, *variants).dropna(subset=[BASELINE, *variants])
+    days = _evaluated(panel, dates, horizon_days)
     long = complete.unpivot(keys, [BASELINE, *variants], "variant", "predicted_demand")
     return metric_table(
-        observe(long, panel, horizon_days), ["variant"], segments(branch="branch_id")
+        observe(long, days, horizon_days), ["variant"], segments(branch="branch_id")
     )
 
 

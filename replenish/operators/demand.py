@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -83,6 +84,62 @@ def window_stats(
     return _fill(scope_pairs.select(*PAIR, "supplier_id").join(per_pair, PAIR, "left"))
 
 
+def dated_window_stats(
+    panel: DataFrame,
+    scope_pairs: DataFrame,
+    dates: list[date],
+    params: DemandParams = DemandParams(),
+) -> DataFrame:
+    """`window_stats` with feature hashes for many business dates in one pass.
+
+    A panel row goes to every date whose windows hold its day: three copies where the dates are as
+    far apart as a window is long. For dates that lie close together use `rolling`, which copies
+    nothing but has no hashes.
+    """
+    spark = panel.sparkSession
+    spans = [
+        (day, role, span.start, span.end)
+        for day in dates
+        for role, span in build(day, **{f"{r}_days": n for r, n in params.lengths.items()}).spans.items()
+    ]
+    served = spark.createDataFrame(
+        spans, "business_date date, role string, first date, last date"
+    ).select("business_date", "role", F.explode(F.sequence("first", "last")).alias("sales_date"))
+    asked = spark.createDataFrame([(day,) for day in dates], "business_date date")
+    units = F.col(params.units_column)
+    usable = F.col("eligible")
+    nonzero = usable & (units > 0)
+    measures = [
+        F.count(F.lit(1)).alias("active_days"),
+        F.count_if(usable).alias("eligible_days"),
+        F.count_if(nonzero).alias("nonzero_days"),
+        F.count_if(usable & _reliable()).alias("promo_reliable_days"),
+        F.sum(F.when(nonzero, units)).alias("nonzero_units"),
+        F.sum(F.when(nonzero, units * units)).alias("nonzero_squares"),
+        F.array_join(
+            F.transform(
+                F.array_sort(F.collect_list(F.struct("sales_date", "source_hash"))),
+                lambda r: r["source_hash"],
+            ),
+            "",
+        ).alias("feature_hashes"),
+    ]
+    for role in ROLES:
+        inside = F.col("role") == role
+        measures += [
+            F.count_if(inside).alias(f"{role}_active_days"),
+            F.count_if(inside & usable).alias(f"{role}_eligible_days"),
+            F.sum(F.when(inside & usable, units)).alias(f"{role}_units"),
+        ]
+    # A few days per date: the list of dates bounds the broadcast.
+    rows = panel.filter(
+        F.col("sales_date").between(F.lit(min(s[2] for s in spans)), F.lit(max(s[3] for s in spans)))
+    ).join(F.broadcast(served), "sales_date")
+    per = rows.groupBy("business_date", *PAIR).agg(*measures)
+    marks = scope_pairs.select(*PAIR, "supplier_id").join(F.broadcast(asked))
+    return _fill(marks.join(per, ["business_date", *PAIR], "left"))
+
+
 def _fill(stats: DataFrame) -> DataFrame:
     """Zero counts for missing evidence; sums and means in their stored precision."""
     zero = F.lit(0).cast("bigint")
@@ -198,10 +255,10 @@ def score(stats: DataFrame, params: DemandParams = DemandParams()) -> DataFrame:
     ).drop("coverage", "nonzero_units", "nonzero_squares")
 
 
-def input_checksum(ids: RunIds, business_date: date) -> Column:
+def input_checksum(ids: RunIds, business_date: Column) -> Column:
     return bar_hash(
         F.lit(ids.scope_version_id), text("article_id"), text("branch_id"),
-        F.lit(business_date.isoformat()), F.coalesce("feature_hashes", F.lit("")),
+        text(business_date), F.coalesce("feature_hashes", F.lit("")),
     )
 
 
@@ -214,28 +271,63 @@ def estimate(
     created_at: datetime | None = None,
 ) -> DataFrame:
     """The estimate of one business date in the stored layout; blocked pairs included."""
-    scored = score(window_stats(panel, scope_pairs, windows, params), params)
-    fixed = {
-        "business_date": F.lit(windows.business_date),
-        "run_id": F.lit(ids.run_id),
-        "model_version_id": F.lit(ids.model_version_id),
-        "scope_version_id": F.lit(ids.scope_version_id),
-        "origin_id": F.lit(ids.origin_id),
-        "lookback_start": F.lit(windows.seasonal.start),
-        "lookback_end": F.lit(windows.cutoff),
-        "explanation": F.struct(
-            F.lit(windows.cutoff).alias("cutoff_date"),
-            F.col("available_weight"),
-            F.lit(params.minimum_recent_eligible_days).alias("minimum_recent_eligible_days"),
-            F.lit(params.minimum_total_eligible_days).alias("minimum_total_eligible_days"),
-        ),
-        "input_checksum": input_checksum(ids, windows.business_date),
-        "created_at": F.lit(created_at or datetime.now()).cast("timestamp_ntz"),
+    stats = window_stats(panel, scope_pairs, windows, params)
+    dated = stats.withColumns(_spans({windows.business_date: windows}, F.lit(windows.business_date)))
+    return _stored(dated, ids, params, created_at)
+
+
+def estimates(
+    panel: DataFrame,
+    scope_pairs: DataFrame,
+    dates: list[date],
+    ids: RunIds,
+    params: DemandParams = DemandParams(),
+    created_at: datetime | None = None,
+) -> DataFrame:
+    """The estimates of many business dates, each as `estimate` gives it."""
+    windows = {
+        day: build(day, **{f"{r}_days": n for r, n in params.lengths.items()}) for day in dates
     }
-    for role, span in windows.spans.items():
-        fixed[f"{role}_start"] = F.lit(span.start)
-        fixed[f"{role}_end"] = F.lit(span.end)
-    ready = scored.withColumns(fixed)
+    stats = dated_window_stats(panel, scope_pairs, dates, params)
+    return _stored(stats.withColumns(_spans(windows, F.col("business_date"))), ids, params, created_at)
+
+
+def _spans(windows: dict[date, Windows], day: Column) -> dict[str, Column]:
+    """The bounds of the windows of a business date, looked up by it."""
+
+    def of(value: Callable[[Windows], date]) -> Column:
+        pairs = [F.lit(x) for d, w in windows.items() for x in (d, value(w))]
+        return F.create_map(*pairs)[day]
+
+    return {
+        "business_date": day,
+        "cutoff": of(lambda w: w.cutoff),
+        **{f"{r}_start": of(lambda w, r=r: w.spans[r].start) for r in ROLES},
+        **{f"{r}_end": of(lambda w, r=r: w.spans[r].end) for r in ROLES},
+    }
+
+
+def _stored(
+    stats: DataFrame, ids: RunIds, params: DemandParams, created_at: datetime | None
+) -> DataFrame:
+    ready = score(stats, params).withColumns(
+        {
+            "run_id": F.lit(ids.run_id),
+            "model_version_id": F.lit(ids.model_version_id),
+            "scope_version_id": F.lit(ids.scope_version_id),
+            "origin_id": F.lit(ids.origin_id),
+            "lookback_start": F.col("seasonal_start"),
+            "lookback_end": F.col("cutoff"),
+            "explanation": F.struct(
+                F.col("cutoff").alias("cutoff_date"),
+                F.col("available_weight"),
+                F.lit(params.minimum_recent_eligible_days).alias("minimum_recent_eligible_days"),
+                F.lit(params.minimum_total_eligible_days).alias("minimum_total_eligible_days"),
+            ),
+            "input_checksum": input_checksum(ids, F.col("business_date")),
+            "created_at": F.lit(created_at or datetime.now()).cast("timestamp_ntz"),
+        }
+    )
     return ready.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DEMAND_ESTIMATE])
 
 
@@ -246,17 +338,19 @@ def status_counts(estimates: DataFrame) -> DataFrame:
     )
 
 
-def rolling(
+def rolling_totals(
     panel: DataFrame,
     scope_pairs: DataFrame,
     dates: list[date],
+    unit_columns: list[str],
     params: DemandParams = DemandParams(),
 ) -> DataFrame:
-    """Estimates for many business dates in one pass, each seeing only days before it.
+    """Evidence of every pair and business date, each seeing only days before it.
 
     Running totals per pair are read off at the window edges: a window is the difference of two
-    running totals. The panel is shuffled once by pair and is not repeated per date; the work per
-    date is six edge values per pair. A pair has one panel row per day, which bounds its group.
+    running totals. The panel is shuffled once by pair and is not repeated per date or per unit
+    column; the work per date is six edge values per pair. A pair has one panel row per day, which
+    bounds its group. Measures of a unit column are named `<column>__<measure>`.
     """
     spark = panel.sparkSession
     edges = []
@@ -268,30 +362,31 @@ def rolling(
             edges.append((span.start - timedelta(days=1), day, role, -1))
             edges.append((span.end, day, role, 1))
     edge_days = sorted({e[0] for e in edges})
-    units = F.col(params.units_column)
     usable = F.col("eligible")
-    nonzero = usable & (units > 0)
-    zero = num(0)
-    one = F.lit(1).cast("bigint")
-    none = F.lit(0).cast("bigint")
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     measures = {
         "active_days": one,
         "eligible_days": F.when(usable, one).otherwise(none),
-        "nonzero_days": F.when(nonzero, one).otherwise(none),
         "promo_reliable_days": F.when(usable & _reliable(), one).otherwise(none),
-        "units": F.when(usable, units).otherwise(zero),
-        "squares": F.when(nonzero, dec(units * units, 28, 6)).otherwise(dec(F.lit(0), 28, 6)),
     }
+    for name in unit_columns:
+        units = F.col(name)
+        nonzero = usable & (units > 0)
+        measures |= {
+            f"{name}__nonzero_days": F.when(nonzero, one).otherwise(none),
+            f"{name}__units": F.when(usable, units).otherwise(num(0)),
+            f"{name}__all_units": F.coalesce(units, num(0)),
+            f"{name}__squares": F.when(nonzero, dec(units * units, 28, 6)).otherwise(
+                dec(F.lit(0), 28, 6)
+            ),
+        }
     rows = panel.filter(
         F.col("sales_date").between(F.lit(edge_days[0]), F.lit(edge_days[-1]))
     ).select(*PAIR, "sales_date", F.lit(0).alias("is_edge"),
              *[m.alias(n) for n, m in measures.items()])
     marks = scope_pairs.select(*PAIR, F.explode(F.lit(edge_days)).alias("sales_date")).select(
         *PAIR, "sales_date", F.lit(1).alias("is_edge"),
-        *[
-            F.lit(0).cast(rows.schema[n].dataType).alias(n)
-            for n in measures
-        ],
+        *[F.lit(0).cast(rows.schema[n].dataType).alias(n) for n in measures],
     )
     so_far = (
         Window.partitionBy(*PAIR)
@@ -313,18 +408,40 @@ def rolling(
         value = F.col(name) * F.col("sign")
         return F.sum(value if role is None else F.when(F.col("role") == role, value))
 
-    per_date = signed.groupBy(*PAIR, "business_date").agg(
-        *[
-            window_sum(n).alias(n)
-            for n in ("active_days", "eligible_days", "nonzero_days", "promo_reliable_days")
-        ],
-        window_sum("units").alias("nonzero_units"),
-        window_sum("squares").alias("nonzero_squares"),
-        *[window_sum("active_days", r).alias(f"{r}_active_days") for r in ROLES],
-        *[window_sum("eligible_days", r).alias(f"{r}_eligible_days") for r in ROLES],
-        *[window_sum("units", r).alias(f"{r}_units") for r in ROLES],
+    sums = [window_sum(n).alias(n) for n in ("active_days", "eligible_days", "promo_reliable_days")]
+    for role in ROLES:
+        sums += [
+            window_sum(n, role).alias(f"{role}_{n}") for n in ("active_days", "eligible_days")
+        ]
+    for name in unit_columns:
+        own = f"{name}__"
+        sums += [
+            window_sum(own + "nonzero_days").alias(own + "nonzero_days"),
+            window_sum(own + "units").alias(own + "nonzero_units"),
+            window_sum(own + "squares").alias(own + "nonzero_squares"),
+            window_sum(own + "all_units", "recent").alias(own + "recent_all_units"),
+            *[window_sum(own + "units", r).alias(f"{own}{r}_units") for r in ROLES],
+        ]
+    return signed.groupBy(*PAIR, "business_date").agg(*sums)
+
+
+def of_units(totals: DataFrame, name: str) -> DataFrame:
+    """Evidence by one unit column of `rolling_totals`, as `score` takes it."""
+    own = f"{name}__"
+    return _fill(
+        totals.withColumns({c.removeprefix(own): F.col(c) for c in totals.columns if c.startswith(own)})
     )
-    return score(_fill(per_date), params)
+
+
+def rolling(
+    panel: DataFrame,
+    scope_pairs: DataFrame,
+    dates: list[date],
+    params: DemandParams = DemandParams(),
+) -> DataFrame:
+    """Estimates for many business dates in one pass; see `rolling_totals`."""
+    totals = rolling_totals(panel, scope_pairs, dates, [params.units_column], params)
+    return score(of_units(totals, params.units_column), params)
 
 
 def trailing_mean(panel: DataFrame, days: int = 28, units: str = "observed_units") -> DataFrame:
@@ -344,27 +461,6 @@ def trailing_mean(panel: DataFrame, days: int = 28, units: str = "observed_units
     )
 
 
-def window_means(
-    panel: DataFrame, dates: list[date], days: int, units: str = "observed_units"
-) -> DataFrame:
-    """Plain mean of the `days` panel days before each date."""
-    served = F.filter(
-        F.lit(dates),
-        lambda d: (F.col("sales_date") < d) & (F.col("sales_date") >= F.date_sub(d, days)),
-    )
-    return (
-        panel.select(F.explode(served).alias("business_date"), *PAIR, F.col(units).alias("units"))
-        .groupBy("business_date", *PAIR)
-        .agg(
-            dec(
-                F.try_divide(
-                    dec(F.sum("units"), 20, 6), F.count(F.lit(1)).cast("decimal(10,0)")
-                )
-            ).alias("predicted_demand")
-        )
-    )
-
-
 def network_fallback(estimates: DataFrame, minimum_branches: int = 3) -> DataFrame:
     """Optional: give a blocked pair the mean estimate of the same article in other branches.
 
