@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replenish.llm.common import col, fresh, small_batches
+from replenish.llm.common import col, fresh, prepare_python
 
 # The split of a text into words that the vocabulary was made with.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -344,7 +344,7 @@ def encoded_documents(docs: DataFrame, path: str, text: str = "text") -> DataFra
     A null text has no tokens. Columns of `docs` that already have these names keep them; the new
     ones then get underscores at the end.
     """
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
 
     @F.arrow_udf(
         "token_ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -369,6 +369,6 @@ def encoded_documents(docs: DataFrame, path: str, text: str = "text") -> DataFra
 def documents_digest(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: its key, and the digests of its tokens and of the text decoded
     from them. Keys may repeat or be null; null text counts as empty."""
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     coded = docs.select(col(key).alias("doc_id"), round_trip(col(text), path).alias("coded"))
     return coded.select("doc_id", "coded.*")

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +23,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the memory of Python workers: long texts make short batches."""
+def prepare_python(spark: SparkSession) -> None:
+    """Readies a session for Python workers: long texts make short batches, which bounds memory,
+    and this package is sent to executors that do not have it."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    name = f"{package.name}-{os.getpid()}"
+    if package.is_dir() and f"{name}.zip" not in context._python_includes:
+        # The driver serves the file to executors for as long as it lives.
+        folder = tempfile.mkdtemp(prefix=f"{package.name}-code-")
+        context.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", package.parent, package.name))
 
 
 def col(name: str) -> Column:

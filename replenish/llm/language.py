@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replenish.llm import ngrams
-from replenish.llm.common import col, fresh, held_out, small_batches
+from replenish.llm.common import col, fresh, held_out, prepare_python
 from replenish.operators.scale import materialise
 
 BITS = 13
@@ -146,7 +146,7 @@ def fit(
 
     With no such row the model is empty and every text is unknown.
     """
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     sample = training_sample(docs, key, text, label, per_language)
     # The sample is small, its texts are not: a task may take few of them.
     spread = sample.repartition(docs.sparkSession.sparkContext.defaultParallelism)
@@ -237,7 +237,7 @@ def predict(text: Column, model: Centroids) -> Column:
 def identify(docs: DataFrame, model: Centroids, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, lang_pred, score, rejected. Null keys count as
     not held out."""
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     return docs.select(
         col(key).alias("doc_id"),
         held_out(key).alias("held_out"),
@@ -247,7 +247,7 @@ def identify(docs: DataFrame, model: Centroids, key: str = "doc_id", text: str =
 
 def keep_known(docs: DataFrame, model: Centroids, text: str = "text") -> DataFrame:
     """The rows of `docs` that are not rejected, with the columns of `docs`."""
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     found = fresh(docs, "found")
     judged = docs.withColumn(found, predict(col(text), model))
     return judged.filter(~col(found)["rejected"]).select(*map(col, docs.columns))

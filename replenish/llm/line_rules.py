@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replenish.llm.common import SPACES, col, small_batches
+from replenish.llm.common import SPACES, col, prepare_python
 from replenish.operators.scale import look_up, materialise
 
 # Fixed values of the base rules.
@@ -111,7 +111,7 @@ def judged(
     Every row counts as a document, also one that repeats another; rows without host are a host of
     their own. A text without words fails the base rules. An empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     rows = materialise(
         docs.select(
             F.monotonically_increasing_id().alias("row"),

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replenish.llm.common import col, fresh, small_batches
+from replenish.llm.common import col, fresh, prepare_python
 from replenish.operators.scale import materialise
 
 HASHES = 160
@@ -248,7 +248,7 @@ class Corpus:
 
     @classmethod
     def of(cls, docs: DataFrame, key: str, text: str, rule: Rule) -> Corpus:
-        small_batches(docs.sparkSession)
+        prepare_python(docs.sparkSession)
         named = docs.select(
             col(key).cast("bigint").alias("doc_id"),
             _text_key(col(text)).alias("text_key"),

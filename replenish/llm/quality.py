@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replenish.llm import ngrams
-from replenish.llm.common import col, held_out, small_batches
+from replenish.llm.common import col, held_out, prepare_python
 from replenish.operators.scale import materialise
 
 BITS = 17
@@ -144,7 +144,7 @@ def fit(
 ) -> Model:
     """Learn from labelled rows outside the held-out quarter; labels other than 0 and 1 are left
     out. Without such rows every text scores 0.5."""
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     usable = labels.filter(~held_out(key) & col(label).isin(0, 1) & col(key).isNotNull())
     usable = usable.select(col(key).alias("key"), col(label).cast("int").alias("label"))
     chance = F.pmod(F.xxhash64(F.lit("quality"), "key"), F.lit(1 << 30)) / float(1 << 30)
@@ -211,7 +211,7 @@ def score(text: Column, model: Model) -> Column:
 def judged(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, score, predicted. Keys may repeat or be null;
     an empty table gives no rows."""
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     return docs.select(
         col(key).alias("doc_id"),
         held_out(key).alias("held_out"),

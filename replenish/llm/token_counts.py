@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from replenish.llm.common import col, small_batches
+from replenish.llm.common import col, prepare_python
 
 # Characters of a chunk, and of the first overlap tried.
 CHUNK = 1 << 14
@@ -123,7 +123,7 @@ def documents_counts(
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, n_bytes, n_tokens, over_limit. Keys may repeat or be
     null; an empty table gives no rows."""
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     return docs.select(
         col(key).alias("doc_id"),
         F.coalesce(F.octet_length(col(text).cast("string")), F.lit(0)).cast("bigint").alias("n_bytes"),
