@@ -3,15 +3,15 @@
 1. A text is the set of its word shingles (64-bit hashes). Texts with the same set become one node,
    so copies cost nothing below; a node has a signature of `HASHES` minima and one key per band.
 2. Nodes that share a band are candidates. A bucket is not expanded into pairs: its members are
-   compared with a pivot, first the smallest node, then, where members of several components
-   remain, a random one.
+   compared with two pivots, the smallest node and a random one.
 3. A candidate pair is read in batches of the signature. After each batch the posterior probability
    that its similarity reaches the threshold (uniform prior) decides: below `MISS` it is dropped.
    Survivors are verified on their full sets.
-4. Two components that still share a bucket are compared member by member until a link is found.
-   Large ones meet in blocks, so no task holds a whole component. After that no two components
-   that share a bucket have a link between them, which makes the components exact for all
-   candidate pairs, though not every pair inside a component was looked at.
+4. What is left of a bucket are the members outside its largest component. They are compared with
+   each other, and their components with that one, until a link is found. Many members meet in
+   blocks, so no task holds a whole bucket or component, and no rows are made for pairs. After that
+   no two components that share a bucket have a link between them: the components are exact for
+   all candidate pairs, though not every pair inside a component was looked at.
 
 Every step writes a table to the shared folder; a lost executor repeats tasks, not steps.
 """
@@ -19,7 +19,7 @@ Every step writes a table to the shared folder; a lost executor repeats tasks, n
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from replenish.llm.common import col, fresh, prepare_python
@@ -38,9 +38,10 @@ BATCH = 16
 MISS = 1e-6
 # Bands are as wide as they can be while a pair at the threshold is missed with less than this.
 BAND_MISS = 1e-5
-# Nodes of a block, when large components meet; pairs of components that need no blocks.
+# Nodes of a block where many meet; numbers of pairs of members, and of members, that need none.
 BLOCK = 512
 FEW_PAIRS = 64
+FEW = 16
 # Rows (about 50 bytes each) up to which a list of texts is broadcast; beyond, texts are shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -206,8 +207,8 @@ def linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(one) + len(other) - shared)
 
 
-def _signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, HASHES)
+def _table(signatures: Iterable[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures), dtype=np.uint16).reshape(-1, HASHES)
 
 
 def _may_link(one: Column, other: Column, percent: int) -> Column:
@@ -215,7 +216,7 @@ def _may_link(one: Column, other: Column, percent: int) -> Column:
     def prune(a: pa.Array, b: pa.Array) -> pa.Array:
         keep = np.zeros(len(a), dtype=bool)
         if len(a):
-            keep[likely(_signatures(a), _signatures(b), percent)] = True
+            keep[likely(_table(a.to_pylist()), _table(b.to_pylist()), percent)] = True
         return pa.array(keep)
 
     return prune(one, other)
@@ -322,14 +323,17 @@ def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): node, component (its smallest node), for every node
     that has a link. Alternates stars around larger and smaller neighbours until nothing changes;
     the number of edges never grows."""
-    hi, lo = F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")
-    edges = materialise(links.filter("a <> b").select(hi, lo).distinct())
 
-    def state(df: DataFrame) -> tuple:
-        row = df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("hi", "lo"))).first()
-        return tuple(row)
+    def written(df: DataFrame) -> tuple[DataFrame, tuple]:
+        """The edges as a table, with their number and a checksum."""
+        seen = Observation()
+        size, sum_ = F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("x")
+        table = materialise(df.distinct().observe(seen, size, sum_))
+        return table, (seen.get["n"], seen.get["x"])
 
-    now, before = state(edges), None
+    hi, lo = F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")
+    edges, now = written(links.filter("a <> b").select(hi, lo))
+    before = None
     while now != before and now[0]:
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
             edges.select(F.col("lo"), F.col("hi"))
@@ -343,10 +347,12 @@ def components(links: DataFrame) -> DataFrame:
         stars = small.select("hi", F.col("m").alias("lo")).union(
             small.filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         )
-        edges = materialise(stars.distinct())
-        before, now = now, state(edges)
+        before = now
+        edges, now = written(stars)
     roots = edges.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
-    return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(roots)
+    return materialise(
+        edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(roots)
+    )
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
@@ -379,65 +385,137 @@ def _pairs(rows: DataFrame, pivot: str) -> DataFrame:
     )
 
 
-def links(corpus: Corpus) -> DataFrame:
-    """Links (a, b) that connect every two nodes that are connected by links of candidate pairs."""
+def linked_components(corpus: Corpus) -> DataFrame:
+    """node, component for every node that has a link: the components of all links between nodes
+    that share a bucket."""
     buckets = _buckets(corpus)
-    tested = materialise(_pairs(buckets, "pivot"))
+    crowded = buckets.filter("members > 2")
+    tested = materialise(_pairs(buckets, "pivot").union(_pairs(crowded, "other")).distinct())
     found = corpus.verified(tested)
-    labels = materialise(components(found))
-    crowded = buckets.filter("members > 2").drop("pivot")
-    open_ = _labelled(_labelled(crowded, labels, "node", "c"), labels, "other", "c_other")
-    again = materialise(
-        _pairs(open_.filter("c <> c_other"), "other").join(tested, ["a", "b"], "left_anti")
+    labels = components(found)
+    rest = _rest(crowded.select("bucket", "node"), labels)
+    if rest.isEmpty():
+        return labels
+    more = _between(corpus, rest, labels, tested)
+    return labels if more.isEmpty() else components(found.union(more))
+
+
+def _rest(crowded: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that are not of the component with the most members there: bucket, node,
+    component, top (that component). Links inside a component are not looked for any more."""
+    present = _labelled(crowded, labels, "node", "component")
+    most = (
+        present.groupBy("bucket", "component")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("several"), F.max_by("component", "n").alias("top"))
+        .filter("several > 1")
+        .select("bucket", "top")
     )
-    if not again.isEmpty():
-        found = found.union(corpus.verified(again))
-        labels = materialise(components(found))
-    rest = _component_pairs(crowded, labels, tested.union(again))
-    return found if rest.isEmpty() else found.union(_between(corpus, rest, labels))
+    return materialise(present.join(materialise(most), "bucket").filter("component <> top"))
 
 
-def _component_pairs(buckets: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
-    """Components that share a bucket and may still have an untested link between them: few (the
-    smaller one), many, n_few, n_many."""
-    sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    present = _labelled(buckets.select("bucket", "node"), labels, "node", "component")
-    present = present.select("bucket", "component").distinct()
-    several = present.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    present = present.join(several.select("bucket"), "bucket", "left_semi")
-    sized = materialise(
-        present.join(sizes, "component", "left").withColumn("size", F.coalesce("size", F.lit(1)))
+def _with_signatures(corpus: Corpus, rows: DataFrame) -> DataFrame:
+    return rows.join(corpus.nodes.select("node", "n_shingles", "signature"), "node")
+
+
+def _among(corpus: Corpus, rest: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components among the rest of a bucket. Few members are paired;
+    many meet in blocks, where the signatures decide which pairs come out."""
+    counts = rest.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("component").alias("several")
+    )
+    counts = materialise(counts.filter("several > 1").select("bucket", "n"))
+    few = rest.join(counts.filter(F.col("n") <= FEW), "bucket").select("bucket", "node", "component")
+    a = few.select("bucket", F.col("node").alias("a"), F.col("component").alias("c_a"))
+    b = few.select("bucket", F.col("node").alias("b"), F.col("component").alias("c_b"))
+    pairs = a.join(b, "bucket").filter("a < b and c_a <> c_b").select("a", "b")
+
+    crowds = counts.filter(F.col("n") > FEW)
+    if crowds.isEmpty():
+        return pairs
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    placed = (
+        rest.join(crowds.select("bucket", blocks.alias("blocks")), "bucket")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     )
-    x = sized.select("bucket", F.col("component").alias("few"), F.col("size").alias("n_few"))
-    y = sized.select("bucket", F.col("component").alias("many"), F.col("size").alias("n_many"))
-    smaller_first = (F.col("n_few") < F.col("n_many")) | (
-        (F.col("n_few") == F.col("n_many")) & (F.col("few") < F.col("many"))
+    cells = _with_signatures(corpus, placed).select(
+        "bucket",
+        F.least("own", "with").alias("low"),
+        F.greatest("own", "with").alias("high"),
+        "own",
+        "node",
+        "component",
+        "n_shingles",
+        "signature",
     )
-    pairs = x.join(y, "bucket").filter(smaller_first).drop("bucket").distinct()
-    single = tested.select(F.col("a").alias("few"), F.col("b").alias("many"))
-    known = pairs.filter("n_many = 1").join(single, ["few", "many"], "left_anti")
-    return materialise(pairs.filter("n_many > 1").union(known.select(*pairs.columns)))
+    percent = corpus.rule.percent
 
+    def near(cell: pd.DataFrame) -> pd.DataFrame:
+        one = cell[cell.own == cell.low.iloc[0]].reset_index(drop=True)
+        other = cell[cell.own == cell.high.iloc[0]].reset_index(drop=True)
+        out = []
+        if len(one) and len(other):
+            sizes, table = other.n_shingles.to_numpy(), _table(other.signature)
+            components_ = other.component.to_numpy()
+            for row in one.itertuples():
+                fit = np.minimum(sizes, row.n_shingles) * 100 >= np.maximum(sizes, row.n_shingles) * percent
+                fit = np.flatnonzero(fit & (components_ != row.component))
+                mine = _table([row.signature]).repeat(len(fit), 0)
+                out += [(row.node, other.node[i]) for i in fit[likely(table[fit], mine, percent)]]
+        return pd.DataFrame(out, columns=["a", "b"])
 
-def _between(corpus: Corpus, pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """At least one link (a, b) for every pair of components that has one."""
+    met = cells.groupBy("bucket", "low", "high").applyInPandas(near, f"a {_NODE}, b {_NODE}")
+    return pairs.union(met.select(F.least("a", "b"), F.greatest("a", "b")))
+
+
+def _between(
+    corpus: Corpus, rest: DataFrame, labels: DataFrame, tested: DataFrame
+) -> DataFrame:
+    """At least one link (a, b) for every pair of components that share a bucket and have one."""
+    sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    of = lambda name: sizes.select(F.col("component").alias(name), F.col("size").alias(f"n_{name}"))
+    sized = (
+        rest.select("component", "top")
+        .distinct()
+        .join(of("component"), "component", "left")
+        .join(of("top"), "top", "left")
+        .fillna(1, ["n_component", "n_top"])
+    )
+    # Two components can be top of each other in different buckets.
+    turn = F.col("n_component") > F.col("n_top")
+    pairs = materialise(
+        sized.select(
+            F.when(turn, F.col("top")).otherwise(F.col("component")).alias("few"),
+            F.when(turn, F.col("component")).otherwise(F.col("top")).alias("many"),
+            F.least("n_component", "n_top").alias("n_few"),
+            F.greatest("n_component", "n_top").alias("n_many"),
+        ).distinct()
+    )
     alone = pairs.select(F.explode(F.array("few", "many")).alias("component")).distinct()
     members = labels.join(alone, "component", "left_semi").select("component", "node")
-    # A component of one node is the node.
+    # A component without links is one node.
     single = alone.join(labels.select("component").distinct(), "component", "left_anti")
     members = materialise(members.union(single.select("component", F.col("component").alias("node"))))
     few = members.select(F.col("component").alias("few"), F.col("node").alias("x"))
     many = members.select(F.col("component").alias("many"), F.col("node").alias("y"))
 
     small = pairs.filter(F.col("n_few") * F.col("n_many") <= FEW_PAIRS).select("few", "many")
-    expanded = small.join(few, "few").join(many, "many")
+    expanded = small.join(few, "few").join(many, "many").select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    )
     plain = corpus.verified(
-        expanded.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        expanded.union(_among(corpus, rest)).distinct().join(tested, ["a", "b"], "left_anti")
     )
+    large = pairs.filter(F.col("n_few") * F.col("n_many") > FEW_PAIRS)
+    return plain if large.isEmpty() else plain.union(_met(corpus, large, members, few, many))
+
 
-    large = materialise(pairs.filter(F.col("n_few") * F.col("n_many") > FEW_PAIRS))
-    if large.isEmpty():
-        return plain
+def _met(
+    corpus: Corpus, large: DataFrame, members: DataFrame, few: DataFrame, many: DataFrame
+) -> DataFrame:
+    """At least one link for every pair of components that has one; members meet in blocks."""
     wanted = large.select(F.explode(F.array("few", "many")).alias("component")).distinct()
     sets = corpus.with_sets(members.join(wanted, "component", "left_semi").select("node"))
     # The members of the larger component fall into blocks, those of all smaller ones too.
@@ -481,7 +559,7 @@ def _between(corpus: Corpus, pairs: DataFrame, labels: DataFrame) -> DataFrame:
         done, out = set(), []
         if len(asking) and len(offering):
             sizes = offering.n_shingles.to_numpy()
-            table = np.frombuffer(b"".join(offering.signature), np.uint16).reshape(-1, HASHES)
+            table = _table(offering.signature)
             sets_y = [np.frombuffer(s, np.uint64) for s in offering.shingles]
             for row in asking.itertuples():
                 if row.few in done:
@@ -490,7 +568,7 @@ def _between(corpus: Corpus, pairs: DataFrame, labels: DataFrame) -> DataFrame:
                 near = np.flatnonzero(
                     np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * percent
                 )
-                own = np.frombuffer(row.signature_x, np.uint16)[None, :].repeat(len(near), 0)
+                own = _table([row.signature_x]).repeat(len(near), 0)
                 mine = np.frombuffer(row.shingles_x, np.uint64)
                 for i in near[likely(table[near], own, percent)]:
                     if linked(mine, sets_y[i], percent):
@@ -504,7 +582,7 @@ def _between(corpus: Corpus, pairs: DataFrame, labels: DataFrame) -> DataFrame:
         .cogroup(offered.groupBy("many", "m_block", "f_block"))
         .applyInPandas(meet, f"a {_NODE}, b {_NODE}")
     )
-    return plain.union(materialise(blocks))
+    return materialise(blocks)
 
 
 # --- results ----------------------------------------------------------------------------------
@@ -512,11 +590,11 @@ def _between(corpus: Corpus, pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _classes(corpus: Corpus) -> DataFrame:
     """node, component_id (smallest doc_id of the component), text_key of the row that stays."""
-    labels = components(links(corpus))
+    labels = linked_components(corpus)
     best = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
     per_node = corpus.rows.filter("n_shingles > 0").groupBy("node").agg(F.min(best).alias("best"))
     per_node = materialise(_labelled(per_node, labels, "node", "component"))
-    per_component = per_node.groupBy("component").agg(F.min("best").alias("first"))
+    per_component = materialise(per_node.groupBy("component").agg(F.min("best").alias("first")))
     return per_node.join(per_component, "component").select(
         "node", F.col("first.doc_id").alias("component_id"), F.col("first.text_key").alias("keep_key")
     )
