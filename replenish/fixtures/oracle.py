@@ -458,6 +458,10 @@ def _r(expression: str, name: str, places: int = 6) -> str:
     return f"round(({expression})::double, {places}) as {name}"
 
 
+def _checksum(expression: str) -> str:
+    return f"sum(cast('0x'||substr(md5({expression}),1,15) as bigint)::hugeint)::varchar"
+
+
 STATE = f"""line_id, {_r('imported', 'imported_quantity', 3)}, {_r('prepared', 'prepared_quantity', 3)},
     {_r('dispatched', 'dispatched_quantity', 3)}, {_r('cancelled', 'cancelled_quantity', 3)}, last_status,
     last_ts::date last_day, n event_count, unknown_n unknown_events"""
@@ -530,19 +534,18 @@ QUERIES: dict[str, str] = {
         from stock_all where stock_date between (select lo from hist) and (select hi from hist)
         group by all""",
     "stock_daily": f"""
-        select stock_date, article_id, branch_id, {_r('q', 'stock_quantity')},
+        select article_id, branch_id,
           case when q>0 then 'POSITIVE' when q=0 then 'ZERO' else 'NEGATIVE' end stock_sign_status,
-          q>0 is_serviceable, cast(day(stock_date) as int) source_day,
+          q>0 is_serviceable,
           case when done is null then 'EXPLICIT_CUTOFF' else 'PROCESS_DATE_MINUS_1' end closed_day_rule,
-          h source_row_hash
-        from stock where stock_date between date '2001-06-07' and date '2001-08-01'""",
+          count(*) "days", {_r('sum(q)', 'stock_quantity')}, {_checksum('h')} rows_checksum
+        from stock group by all""",
     "stock_upsert": f"""
-        select stock_date, article_id, branch_id, {_r('nq', 'stock_quantity')},
-          sha256(concat_ws('|', stock_date::varchar, article_id::varchar, branch_id::varchar,
-            nq::varchar, coalesce(done::varchar,''), 'true', 'LEGACY')) source_row_hash
+        select article_id, branch_id, count(*) "days", {_r('sum(nq)', 'stock_quantity')},
+          {_checksum("""sha256(concat_ws('|', stock_date::varchar, article_id::varchar, branch_id::varchar,
+            nq::varchar, coalesce(done::varchar,''), 'true', 'LEGACY'))""")} rows_checksum
         from (select *, cast(q + case when day(stock_date)=10 and article_id%4=0 then 1 else 0 end
-            as decimal(18,6)) nq from stock
-          where stock_date between date '2001-05-20' and date '2001-08-01')""",
+            as decimal(18,6)) nq from stock) group by all""",
     "stock_coverage": """
         select stock_date, expected_pairs, known_pairs, positive_pairs,
           known_pairs::double/expected_pairs<0.9 low_coverage,
@@ -797,6 +800,14 @@ QUERIES: dict[str, str] = {
         select line_id, rnk priority_rank, {_r('total','total_open_quantity')} from rk where rnk<=5""",
     "backlog_page": """
         select pos "position", line_id, rnk priority_rank from found where pos between 26 and 50""",
+    "backlog_snapshot_page": """
+        select 'v1' snapshot_version, pos "position", line_id, rnk priority_rank from found where pos<=50""",
+    "backlog_snapshot_totals": f"""
+        select 'v1' snapshot_version, count(*) lines, {_r('sum(total)','units',3)},
+          {_r('sum(mand)','mandatory_units',3)} from found
+        union all
+        select 'v2', count(*), {_r('sum(total)','units',3)}, {_r('sum(mand)','mandatory_units',3)}
+        from found where article_id%7<>0""",
     "backlog_search_totals": f"""
         select count(*) lines, {_r('sum(total)','units',3)}, {_r('sum(mand)','mandatory_units',3)},
           {_r('sum(opt)','optional_units',3)}, {_r('sum(total*kg)','kg',2)},
@@ -950,6 +961,83 @@ QUERIES: dict[str, str] = {
           where abs(greatest(observed,0)-basal-promo)>0.001 having count(*)>0
         union all select 'estimate', 'WARN', 'INSUFFICIENT_DATA', count(*) from est where blocked having count(*)>0
         union all select 'need', 'WARN', 'NEED_BLOCKED', count(*) from needs where pstat='BLOCKED' having count(*)>0""",
+    "quality_broken": """
+        select * from (
+          select 'stock' entity_type, 'ERROR' severity, 'STOCK_SIGN' issue_code, count(*) issues from stock where article_id%5=0
+          union all select 'stock', 'ERROR', 'STOCK_DATE_PARTS', count(*) from stock where branch_id%7=0
+          union all select 'stock', 'INFO', 'STOCK_NEGATIVE', count(*) from stock where q<0
+          union all select 'sales', 'ERROR', 'UNITS_CONSERVATION', count(*) from hpanel where article_id%4=0
+          union all select 'sales', 'ERROR', 'ELIGIBLE_AVAILABLE', count(*) from hpanel
+            where article_id%4=1 and availability in ('UNKNOWN','OUT_OF_STOCK')
+          union all select 'sales', 'ERROR', 'STOCK_LINEAGE', count(*) from hpanel
+            where article_id%4=2 and availability in ('IN_STOCK','OUT_OF_STOCK')
+          union all select 'sales', 'ERROR', 'UNKNOWN_WITHOUT_STOCK', count(*) from hpanel
+            where article_id%4=3 and availability='UNKNOWN'
+          union all select 'sales', 'INFO', 'STOCK_UNKNOWN', count(*) from hpanel where availability='UNKNOWN'
+          union all select 'estimate', 'BLOCKER', 'LOOKBACK', count(*) from est where article_id%6=0
+          union all select 'estimate', 'ERROR', 'DAY_COUNTS', count(*) from est where article_id%6=1
+          union all select 'estimate', 'BLOCKER', 'BLOCKED_WITHOUT_VALUE', count(*) from est where article_id%6=2 and not blocked
+          union all select 'estimate', 'BLOCKER', 'VALUE_NOT_NEGATIVE', count(*) from est where article_id%6=3 and not blocked
+          union all select 'estimate', 'ERROR', 'ZERO_VALID', count(*) from est where article_id%6=3 and status='ZERO_VALID'
+          union all select 'estimate', 'ERROR', 'WEIGHTS_SUM', count(*) from est where article_id%6=4 and not blocked
+          union all select 'estimate', 'ERROR', 'COVERAGE_RANGE', count(*) from est where article_id%6=5
+          union all select 'estimate', 'WARN', 'INSUFFICIENT_DATA', count(*) from est where blocked
+          union all select 'estimate', 'ERROR', 'PUBLICATION_PAIR', count(*) from est where article_id%2=0
+          union all select 'need', 'ERROR', 'NEED_CLASS', count(*) from needs where article_id%3=0
+          union all select 'need', 'ERROR', 'NEED_QUANTITIES', count(*) from needs where article_id%3=1 and pstat<>'BLOCKED'
+          union all select 'need', 'ERROR', 'NEED_ZERO', count(*) from needs where article_id%3<>0 and pstat<>'BLOCKED' and q=0
+          union all select 'need', 'WARN', 'NEED_BLOCKED', count(*) from needs where pstat='BLOCKED'
+          union all select 'directed', 'ERROR', 'LINE_BALANCE', count(*) from dn where article_id%2=0
+          union all select 'directed', 'ERROR', 'LINE_STATUS', count(*) from dn where article_id%2=1 and (open=0 or open=qty)
+          union all select 'backtest', 'ERROR', 'EVALUATION_DATE', count(*) from bt where article_id%4 in (0,1)
+          union all select 'backtest', 'ERROR', 'HORIZON', count(*) from bt where article_id%4=1
+          union all select 'backtest', 'ERROR', 'NOT_NEGATIVE', count(*) from bt where article_id%4=2
+          union all select 'backtest', 'ERROR', 'STATUS', count(*) from bt where article_id%4=3
+          union all select 'position', 'ERROR', 'POSITION_FORMULAS', count(*) from pos where article_id%2=0 and mx is not null
+          union all select 'position', 'ERROR', 'ESTIMATE_DATE', count(*) from pos where article_id%2=1
+          union all select 'position', 'WARN', 'POSITION_BLOCKED', count(*) from pos where status='BLOCKED'
+          union all select 'import', 'ERROR', 'IMPORT_PREPARED', count(*) from lexec where article_id%2=0 or prepared>imported
+        ) where issues>0""",
+    "declared_duplicates": """
+        select * from (
+          select 'stock_daily' entity_type, 'BLOCKER' severity, 'DUPLICATE_KEY' issue_code, count(*) issues from stock where article_id%5=0
+          union all select 'sales_daily', 'BLOCKER', 'DUPLICATE_KEY', count(*) from hpanel where article_id%5=0
+          union all select 'demand_estimate', 'BLOCKER', 'DUPLICATE_KEY', count(*) from est where article_id%5=0
+          union all select 'backtest_detail', 'BLOCKER', 'DUPLICATE_KEY', count(*) from bt where article_id%5=0
+        ) where issues>0""",
+    "input_controls": """
+        select * from (
+          select 'source' entity_type, 'BLOCKER' severity, 'SOURCE_BEHIND_CUTOFF' issue_code, count(*) issues from (
+            select branch_id from raw group by 1 having max(sales_date) < (select hi-5 from hist))
+          union all
+          select 'source', 'ERROR', 'FUTURE_OBSERVATION', count(distinct sales_date) from raw
+          where sales_date > (select hi-5 from hist)) where issues>0""",
+    "output_controls": """
+        select 'branch' entity_type, 'WARN' severity, 'ASSORTMENT_COVERAGE' issue_code, p.branch_id
+        from later_pairs p left join (select article_id, branch_id from est where not blocked) e
+          on e.article_id=p.article_id and e.branch_id=p.branch_id
+        group by p.branch_id having count(e.article_id)::double/count(*)<0.95""",
+    "resolved_issues": """
+        select 'STOCK_NEGATIVE' issue_code, case when article_id%3=0 then 'planner' end resolved_by,
+          count(*) issues from stock where q<0 group by 2""",
+    "reader_round_trip": """
+        select 'catalog' relation, count(*) "rows", sum(article_id::bigint*branch_id)::bigint key_sum from catalog
+        union all select 'raw_sales', count(*), sum(article_id::bigint*branch_id)::bigint from raw
+        union all select 'enriched_sales', count(*), sum(article_id::bigint*branch_id)::bigint from enr
+        union all select 'wide_stock', count(*), sum(article_id::bigint*branch_id)::bigint from (
+          select distinct article_id, branch_id, year(stock_date) y, month(stock_date) m from stock_all)""",
+    "sales_upsert": f"""
+        select p.article_id, p.branch_id, 28::bigint "days", {_r('coalesce(max(x.u),0)','observed_units')}
+        from pairs p left join (
+          select article_id, branch_id, sum(greatest(units+case when article_id%4=0 then 1 else 0 end,0)) u
+          from raw where sales_date between date '2001-07-05' and date '2001-08-01' group by 1, 2) x
+          on x.article_id=p.article_id and x.branch_id=p.branch_id
+        group by all""",
+    "store_retention": """
+        select strftime(stock_date,'%Y-%m') "month", count(*) "rows" from stock
+        where stock_date>=date '2000-09-01' group by 1""",
+    "scope_manifest_file": """
+        select article_count, pair_count, destination_count, scope_checksum from (@scope_manifest@)""",
     "duplicate_keys": """
         select 'BLOCKER' severity, 'DUPLICATE_KEY' issue_code,
           '{"l_orderkey":'||l_orderkey||',"l_linenumber":'||l_linenumber||'}' entity_key
@@ -994,7 +1082,7 @@ def _needed(text: str) -> list[str]:
 
 
 def statement(name: str) -> str:
-    body = QUERIES[name]
+    body = QUERIES[name].replace("@scope_manifest@", QUERIES["scope_manifest"])
     kept = {n: " materialized" for n in ("hpanel", "trail")}
     ctes = ",\n".join(f"{n} as{kept.get(n, '')} ({BASE[n]})" for n in _needed(body))
     return f"{'with ' + ctes if ctes else ''}\nselect * from ({body}) result"

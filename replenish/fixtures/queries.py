@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replenish import schemas
+from replenish import schemas, sources
 from replenish.fixtures import adapters as fx
 from replenish.functions import windows
 from replenish.functions.exprs import checksum, dec, num
@@ -290,19 +290,28 @@ def stock_unpivot(f: Frames) -> DataFrame:
     )
 
 
+def _condensed_stock(rows: DataFrame, *by: str) -> DataFrame:
+    """Every row counts: days, quantity and a checksum of the row digests."""
+    return rows.groupBy(*PAIR, *by).agg(
+        F.count(F.lit(1)).alias("days"),
+        d(F.sum("stock_quantity"), "stock_quantity"),
+        checksum("source_row_hash").cast("string").alias("rows_checksum"),
+    )
+
+
 @query
 def stock_daily(f: Frames) -> DataFrame:
-    span = W.load_ranges()[1]
-    return f.normalized(span.start, span.end).select(
-        "stock_date", *PAIR, d("stock_quantity"), "stock_sign_status", "is_serviceable",
-        F.col("source_day").cast("int").alias("source_day"), "closed_day_rule", "source_row_hash",
+    span = f.history
+    rows = f.normalized(span.start, span.end).filter(
+        F.col("source_day") == F.day("stock_date")
     )
+    return _condensed_stock(rows, "stock_sign_status", "is_serviceable", "closed_day_rule")
 
 
 @query
 def stock_upsert(f: Frames) -> DataFrame:
-    """Load a range, then load it again with some quantities corrected; read the table back."""
-    span = Span(date(2001, 5, 20), W.cutoff)
+    """Load the history, then load it again with some quantities corrected; read the table back."""
+    span = f.history
     store = MonthlyStore(f.spark, scratch(f.spark, "store"))
     store.upsert("stock_daily", f.normalized(span.start, span.end), span)
     column = schemas.DAY_COLUMNS[9]
@@ -312,9 +321,7 @@ def stock_upsert(f: Frames) -> DataFrame:
     store.upsert(
         "stock_daily", stock.normalize(corrected, f.stock_scope, span.start, span.end), span
     )
-    return store.read("stock_daily", span).select(
-        "stock_date", *PAIR, d("stock_quantity"), "source_row_hash"
-    )
+    return _condensed_stock(store.read("stock_daily", span))
 
 
 @query
@@ -728,6 +735,32 @@ def backlog_page(f: Frames) -> DataFrame:
     )
 
 
+def _snapshots(f: Frames) -> backlog.Snapshots:
+    """The backlog as version v1, and a later one without some articles as v2."""
+    kept = backlog.Snapshots(f.spark, scratch(f.spark, "snapshots"))
+    kept.add("v1", f.ranked)
+    kept.add("v2", f.ranked.filter(F.col("article_id") % 7 != 0))
+    return kept
+
+
+@query
+def backlog_snapshot_page(f: Frames) -> DataFrame:
+    """Two pages of the first version, asked for after the second was written."""
+    kept = _snapshots(f)
+    pages = [kept.search("v1", WANTED, page=n, page_size=25) for n in (1, 2)]
+    return pages[0].unionByName(pages[1]).select(
+        "snapshot_version", "position", "line_id", "priority_rank"
+    )
+
+
+@query
+def backlog_snapshot_totals(f: Frames) -> DataFrame:
+    kept = _snapshots(f)
+    return kept.totals("v1", WANTED).unionByName(kept.totals("v2", WANTED)).select(
+        "snapshot_version", "lines", d("units", places=3), d("mandatory_units", places=3)
+    )
+
+
 @query
 def backlog_search_totals(f: Frames) -> DataFrame:
     return backlog.search_totals(f.ranked, WANTED).select(
@@ -941,6 +974,210 @@ def quality_violations(f: Frames) -> DataFrame:
     return quality.issue_counts(merged)
 
 
+def _when(condition: Column, value: object, name: str) -> Column:
+    """Column `name` with another value where the condition holds."""
+    return F.when(condition, value).otherwise(F.col(name))
+
+
+@query
+def quality_broken(f: Frames) -> DataFrame:
+    """Sound rows broken on purpose, each rule by some articles, so that every rule fires."""
+    a = F.col("article_id")
+    stock_rows = f.stock.withColumns(
+        {
+            "is_serviceable": _when(a % 5 == 0, ~F.col("is_serviceable"), "is_serviceable"),
+            "source_day": _when(F.col("branch_id") % 7 == 0, F.col("source_day") + 1, "source_day"),
+        }
+    )
+    unknown = F.col("availability_status") == "UNKNOWN"
+    absent = F.col("availability_status").isin("UNKNOWN", "OUT_OF_STOCK")
+    counted = F.col("availability_status").isin("IN_STOCK", "OUT_OF_STOCK")
+    sales_rows = f.history_panel.withColumns(
+        {
+            "basal_units": _when(a % 4 == 0, F.col("basal_units") + 1, "basal_units"),
+            "eligible": _when((a % 4 == 1) & absent, F.lit(True), "eligible"),
+            "stock_source_hash": F.when((a % 4 == 2) & counted, F.lit(None))
+            .when((a % 4 == 3) & unknown, "x")
+            .otherwise(F.col("stock_source_hash")),
+        }
+    )
+    usable = F.col("status") != "BLOCKED"
+    value = F.col("basal_daily_demand")
+    estimate_rows = f.estimates.withColumns(
+        {
+            "lookback_end": _when(a % 6 == 0, F.col("business_date"), "lookback_end"),
+            "nonzero_days": _when(a % 6 == 1, F.col("eligible_days") + 1, "nonzero_days"),
+            "basal_daily_demand": F.when((a % 6 == 2) & usable, F.lit(None))
+            .when((a % 6 == 3) & usable, num(-1))
+            .otherwise(value),
+            "recent_weight": _when((a % 6 == 4) & usable, F.col("recent_weight") + num("0.5"), "recent_weight"),
+            "availability_coverage": _when(a % 6 == 5, num(2), "availability_coverage"),
+            "published_batch_id": F.lit("b"),
+            "published_at": F.when(a % 2 == 1, F.col("created_at")),
+        }
+    )
+    open_need = F.col("calculation_status") != "BLOCKED"
+    need_rows = f.needs.withColumns(
+        {
+            "is_mandatory": _when(a % 3 == 0, ~F.col("is_mandatory"), "is_mandatory"),
+            "calculated_quantity": _when((a % 3 == 1) & open_need, num(-1), "calculated_quantity"),
+            "rounded_quantity": _when(
+                (a % 3 == 2) & (F.col("calculation_status") == "ZERO"), num(5), "rounded_quantity"
+            ),
+        }
+    )
+    directed_rows = f.directed.withColumns(
+        {
+            "prepared_quantity": _when(a % 2 == 0, F.col("original_quantity") + 1, "prepared_quantity"),
+            "line_status": _when(a % 2 == 1, F.lit("PARTIAL"), "line_status"),
+        }
+    )
+    backtest_rows = _backtest_detail(f).withColumns(
+        {
+            "evaluation_date": _when(a % 4 == 0, F.date_add("evaluation_date", 1), "evaluation_date"),
+            "horizon_days": _when(a % 4 == 1, F.lit(0), "horizon_days"),
+            "absolute_error_units": _when(a % 4 == 2, num(-1), "absolute_error_units"),
+            "eligible_actual": _when(a % 4 == 3, ~F.col("eligible_actual"), "eligible_actual"),
+        }
+    )
+    position_rows = f.positions.withColumns(
+        {
+            "maximum_stock": _when(a % 2 == 0, F.col("maximum_stock") + 1, "maximum_stock"),
+            "estimate_date": F.when(a % 2 == 1, F.date_add("business_date", 1)).otherwise(
+                F.col("business_date")
+            ),
+        }
+    )
+    import_rows = f.line_execution.withColumn(
+        "prepared_quantity", _when(a % 2 == 0, F.col("imported_quantity") + 1, "prepared_quantity")
+    )
+    sets = [
+        (stock_rows, quality.stock_rules(), "stock", ["stock_date", *PAIR]),
+        (sales_rows, quality.sales_rules(), "sales", ["sales_date", *PAIR]),
+        (estimate_rows, quality.estimate_rules() + quality.publication_rules(), "estimate", PAIR),
+        (need_rows, quality.need_rules(), "need", [*PAIR, "need_type"]),
+        (directed_rows, quality.directed_rules(), "directed", ["line_id"]),
+        (backtest_rows, quality.backtest_rules(), "backtest", ["origin_date", *PAIR]),
+        (position_rows, quality.position_rules(), "position", PAIR),
+        (import_rows, quality.import_rules(), "import", PAIR),
+    ]
+    found = [quality.violations(rows, rules, name, keys) for rows, rules, name, keys in sets]
+    merged = found[0]
+    for part in found[1:]:
+        merged = merged.unionByName(part)
+    return quality.issue_counts(merged)
+
+
+@query
+def declared_duplicates(f: Frames) -> DataFrame:
+    """The keys of the four stored tables, over rows of which some articles are there twice."""
+    rows = {
+        "stock_daily": f.stock,
+        "sales_daily": f.history_panel.withColumn("scope_version_id", F.lit("scope-1")),
+        "demand_estimate": f.estimates,
+        "backtest_detail": _backtest_detail(f),
+    }
+    found = None
+    for spec, frame in zip(schemas.TABLES.values(), rows.values()):
+        keys = [k for k in spec.keys if k in frame.columns]
+        twice = frame.unionByName(frame.filter(F.col("article_id") % 5 == 0))
+        one = quality.issue_counts(quality.duplicates(twice, keys, spec.name))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@query
+def input_controls(f: Frames) -> DataFrame:
+    """Every branch as a source of sales: those that end early, and days after the cutoff."""
+    closed = f.raw.groupBy(F.concat(F.lit("branch-"), "branch_id").alias("source")).agg(
+        F.max(F.to_date("sales_ts")).alias("closed_through")
+    )
+    issues = quality.input_controls(
+        closed, {"raw_sales": (f.raw, "sales_ts")}, f.history.end - timedelta(days=5)
+    )
+    return quality.issue_counts(issues)
+
+
+@query
+def output_controls(f: Frames) -> DataFrame:
+    return quality.output_controls(f.estimates, f.later_pairs, 0.95).select(
+        "entity_type", "severity", "issue_code",
+        F.get_json_object("entity_key", "$.branch_id").cast("int").alias("branch_id"),
+    )
+
+
+@query
+def resolved_issues(f: Frames) -> DataFrame:
+    """Negative stock, of which every third article is settled."""
+    issues = quality.violations(
+        f.stock, quality.stock_rules(), "stock", ["stock_date", *PAIR], "stock_date"
+    )
+    decisions = issues.filter(F.col("article_id") % 3 == 0).select(
+        "entity_type", "entity_key", "issue_code",
+        F.col("business_date").cast("timestamp_ntz").alias("resolved_at"),
+        F.lit("planner").alias("resolved_by"),
+    )
+    return quality.resolve(issues, decisions).groupBy("issue_code", "resolved_by").agg(
+        F.count(F.lit(1)).alias("issues")
+    )
+
+
+@query
+def reader_round_trip(f: Frames) -> DataFrame:
+    """The input relations written as files and read by their readers."""
+    root = scratch(f.spark, "files")
+    frames = {"catalog": f.catalog, "raw_sales": f.raw, "enriched_sales": f.enriched, "wide_stock": f.wide}
+    found = None
+    for name, rows in frames.items():
+        rows.write.parquet(f"{root}/{name}")
+        back = getattr(sources, name)(f.spark, f"{root}/{name}")
+        one = back.agg(
+            F.lit(name).alias("relation"),
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(F.col("article_id").cast("bigint") * F.col("branch_id")).alias("key_sum"),
+        )
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@query
+def sales_upsert(f: Frames) -> DataFrame:
+    """The recent window loaded into the stored panel, then loaded again with corrected sales."""
+    store = MonthlyStore(f.spark, scratch(f.spark, "store"))
+    span = W.recent
+    inputs = pipelines.Inputs(f.catalog, f.raw, f.enriched, f.wide)
+    pipelines.load_stock(store, inputs, span.start, span.end)
+    pipelines.load_sales(store, inputs, span.start, span.end, "scope-1")
+    corrected = f.raw.withColumn(
+        "units", F.when(F.col("article_id") % 4 == 0, dec(F.col("units") + 1)).otherwise(F.col("units"))
+    )
+    again = pipelines.Inputs(f.catalog, corrected, f.enriched, f.wide)
+    pipelines.load_sales(store, again, span.start, span.end, "scope-1")
+    return store.read("sales_daily", span).groupBy(*PAIR).agg(
+        F.count(F.lit(1)).alias("days"), d(F.sum("observed_units"), "observed_units")
+    )
+
+
+@query
+def store_retention(f: Frames) -> DataFrame:
+    """Daily stock of the whole history, then pruned to twelve months."""
+    store = MonthlyStore(f.spark, scratch(f.spark, "store"))
+    store.upsert("stock_daily", f.stock, f.history)
+    store.prune("stock_daily", 12, T)
+    return store.read("stock_daily").groupBy(
+        F.date_format("stock_date", "yyyy-MM").alias("month")
+    ).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def scope_manifest_file(f: Frames) -> DataFrame:
+    path = f"{scratch(f.spark, 'manifest')}/manifest"
+    scope.write_manifest(f.catalog, path)
+    return f.spark.read.json(path).select(
+        "article_count", "pair_count", "destination_count", "scope_checksum"
+    )
+
+
 @query
 def duplicate_keys(f: Frames) -> DataFrame:
     """Line items have no unique key: the keys that repeat."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -21,11 +21,6 @@ def num(value: object, precision: int = 18, scale: int = 6) -> Column:
     return F.lit(str(value)).cast(f"decimal({precision},{scale})")
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
-    """Guarded division with eleven or more fractional digits; NULL for a zero denominator."""
-    return F.try_divide(numerator, denominator)
-
-
 def count_ratio(numerator: Column, denominator: Column) -> Column:
     """Ratio of two counts, 0 when there is nothing to divide by."""
     top = numerator.cast("decimal(20,0)")
@@ -91,8 +86,3 @@ def latest(value: Column | str, *order: Column | str) -> Column:
 
 def earliest(value: Column | str, *order: Column | str) -> Column:
     return F.min_by(col(value), F.struct(*[col(o).alias(f"o{i}") for i, o in enumerate(order)]))
-
-
-def add_missing(df: DataFrame, **defaults: Column) -> DataFrame:
-    """Add the columns that `df` lacks."""
-    return df.withColumns({k: v for k, v in defaults.items() if k not in df.columns})

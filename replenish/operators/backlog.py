@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replenish.functions.exprs import bar_hash, codes, dec, num, text, text_or_blank
 from replenish.operators import logistics
 from replenish.operators.needs import commitment_class
-from replenish.operators.scale import global_rank, look_up, running_before
+from replenish.operators.scale import folder_exists, global_rank, look_up, running_before
 from replenish.params import MANDATORY_TYPES, NEED_TYPES, OPTIONAL_TYPES, ORIGIN_ID
 
 LINE = ["business_date", "origin_id", "branch_id", "article_id", "supplier_key"]
@@ -280,17 +281,59 @@ class Search:
         return keep
 
 
-def search(ranked: DataFrame, wanted: Search, page: int = 1, page_size: int = 100) -> DataFrame:
-    """One page of the matching lines in priority order.
+def numbered(ranked: DataFrame, wanted: Search) -> DataFrame:
+    """The matching lines with their position among the matches, in priority order."""
+    matching = ranked.filter(wanted.condition())
+    return global_rank(matching, [F.col("priority_rank"), F.col("line_id")], "position")
 
-    Positions are numbered once among the matches and the page is a range of them.
-    """
+
+def page_of(positions: DataFrame, page: int, page_size: int) -> DataFrame:
     if page < 1 or page_size < 1:
         raise ValueError("page and page size start at 1")
-    matching = ranked.filter(wanted.condition())
-    numbered = global_rank(matching, [F.col("priority_rank"), F.col("line_id")], "position")
     first = (page - 1) * page_size + 1
-    return numbered.filter(F.col("position").between(first, first + page_size - 1))
+    return positions.filter(F.col("position").between(first, first + page_size - 1))
+
+
+def search(ranked: DataFrame, wanted: Search, page: int = 1, page_size: int = 100) -> DataFrame:
+    """One page of the matching lines in priority order."""
+    return page_of(numbered(ranked, wanted), page, page_size)
+
+
+class Snapshots:
+    """Backlogs kept by version under one folder, so that all pages and totals of a search see the
+    same lines. The matches of a filter are numbered when its first page is asked for; other pages
+    read their range, which the file statistics narrow down to few row groups."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root
+
+    def add(self, version: str, ranked: DataFrame) -> None:
+        """A version is written once and never changed."""
+        ranked.write.parquet(f"{self.root}/{version}/lines")
+
+    def lines(self, version: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{version}/lines")
+
+    def _positions(self, version: str, wanted: Search) -> DataFrame:
+        name = hashlib.sha256(repr(wanted).encode()).hexdigest()[:16]
+        path = f"{self.root}/{version}/search-{name}"
+        if not folder_exists(self.spark, f"{path}/_SUCCESS"):
+            found = numbered(self.lines(version), wanted)
+            found.repartitionByRange("position").sortWithinPartitions("position").write.mode(
+                "overwrite"
+            ).parquet(path)
+        return self.spark.read.parquet(path)
+
+    def search(
+        self, version: str, wanted: Search, page: int = 1, page_size: int = 100
+    ) -> DataFrame:
+        found = page_of(self._positions(version, wanted), page, page_size)
+        return found.withColumn("snapshot_version", F.lit(version))
+
+    def totals(self, version: str, wanted: Search) -> DataFrame:
+        return search_totals(self.lines(version), wanted).withColumn(
+            "snapshot_version", F.lit(version)
+        )
 
 
 def search_totals(ranked: DataFrame, wanted: Search) -> DataFrame:

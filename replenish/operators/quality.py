@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,27 +17,31 @@ SEVERITIES = ("INFO", "WARN", "ERROR", "BLOCKER")
 
 @dataclass(frozen=True)
 class Rule:
-    """An invariant: `holds` is true (or unknown) for a sound row."""
+    """An invariant: `holds` is true (or unknown) for a sound row; `shows` names the columns that
+    an issue quotes as evidence."""
 
     code: str
     severity: str
     holds: Column
+    shows: tuple[str, ...] = ()
 
 
 def violations(
     rows: DataFrame, rules: list[Rule], entity: str, keys: list[str], day: str | None = None
 ) -> DataFrame:
     """One issue per broken rule and row; all rules are checked in a single pass."""
-    found = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    ~F.coalesce(r.holds, F.lit(True)),
-                    F.struct(F.lit(r.severity).alias("severity"), F.lit(r.code).alias("code")),
-                )
-                for r in rules
-            ]
+    def told(rule: Rule) -> Column:
+        shown = [n for n in rule.shows if n in rows.columns]
+        evidence = F.to_json(F.struct(*shown)) if shown else F.lit("{}")
+        return F.struct(
+            F.lit(rule.severity).alias("severity"),
+            F.lit(rule.code).alias("code"),
+            F.lit(rule.code.replace("_", " ").capitalize()).alias("detail"),
+            evidence.alias("evidence"),
         )
+
+    found = F.array_compact(
+        F.array(*[F.when(~F.coalesce(r.holds, F.lit(True)), told(r)) for r in rules])
     )
 
     def or_null(name: str, kind: str) -> Column:
@@ -51,6 +56,27 @@ def violations(
         F.col("issue.code").alias("issue_code"),
         F.lit(entity).alias("entity_type"),
         F.to_json(F.struct(*keys)).alias("entity_key"),
+        F.col("issue.detail").alias("detail"),
+        F.col("issue.evidence").alias("evidence"),
+        *_unresolved(),
+    )
+
+
+def _unresolved() -> list[Column]:
+    return [
+        F.lit(None).cast("timestamp_ntz").alias("resolved_at"),
+        F.lit(None).cast("string").alias("resolved_by"),
+    ]
+
+
+def resolve(issues: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Issues with who settled them and when. `decisions` has entity_type, entity_key, issue_code,
+    resolved_at and resolved_by, one row per issue; issues without one stay open."""
+    key = ["entity_type", "entity_key", "issue_code"]
+    return (
+        issues.drop("resolved_at", "resolved_by")
+        .join(decisions.select(*key, "resolved_at", "resolved_by"), key, "left")
+        .select(*issues.columns)
     )
 
 
@@ -88,6 +114,7 @@ def sales_rules() -> list[Rule]:
                 F.greatest(F.col("observed_units"), num(0)),
                 F.col("basal_units") + F.col("promo_units"),
             ),
+            ("observed_units", "basal_units", "promo_units"),
         ),
         Rule(
             "ELIGIBLE_AVAILABLE", "ERROR",
@@ -108,14 +135,17 @@ def estimate_rules() -> list[Rule]:
         return F.col(name).between(0, 1)
 
     return [
-        Rule("LOOKBACK", "BLOCKER", F.col("lookback_end") < F.col("business_date")),
+        Rule(
+            "LOOKBACK", "BLOCKER", F.col("lookback_end") < F.col("business_date"),
+            ("lookback_end", "business_date"),
+        ),
         Rule(
             "DAY_COUNTS", "ERROR",
             (F.col("nonzero_days") <= F.col("eligible_days"))
             & (F.col("eligible_days") <= F.col("active_days")),
         ),
         Rule("BLOCKED_WITHOUT_VALUE", "BLOCKER", blocked == value.isNull()),
-        Rule("VALUE_NOT_NEGATIVE", "BLOCKER", value >= 0),
+        Rule("VALUE_NOT_NEGATIVE", "BLOCKER", value >= 0, ("basal_daily_demand",)),
         Rule("ZERO_VALID", "ERROR", (status != "ZERO_VALID") | (value == 0)),
         Rule("WEIGHTS_SUM", "ERROR", blocked | (F.abs(weights - num(1)) <= num("0.00001"))),
         Rule(
@@ -182,6 +212,12 @@ def directed_rules() -> list[Rule]:
     ]
 
 
+def publication_rules() -> list[Rule]:
+    """A published row has its batch and its time, or neither."""
+    batch, at = F.col("published_batch_id"), F.col("published_at")
+    return [Rule("PUBLICATION_PAIR", "ERROR", batch.isNull() == at.isNull(), ("published_batch_id", "published_at"))]
+
+
 def position_rules() -> list[Rule]:
     demand = F.col("basal_daily_demand")
     return [
@@ -212,10 +248,6 @@ def import_rules() -> list[Rule]:
     ]
 
 
-def enum_rule(column: str, allowed: tuple[str, ...], code: str) -> Rule:
-    return Rule(code, "ERROR", F.col(column).isin(*allowed))
-
-
 def duplicates(rows: DataFrame, keys: list[str], entity: str) -> DataFrame:
     """Keys that occur more than once, as issues."""
     return duplicate_keys(rows, keys).select(
@@ -226,6 +258,9 @@ def duplicates(rows: DataFrame, keys: list[str], entity: str) -> DataFrame:
         F.lit("DUPLICATE_KEY").alias("issue_code"),
         F.lit(entity).alias("entity_type"),
         F.to_json(F.struct(*keys)).alias("entity_key"),
+        F.lit("Duplicate key").alias("detail"),
+        F.to_json(F.struct("copies")).alias("evidence"),
+        *_unresolved(),
     )
 
 
@@ -278,3 +313,58 @@ def run_controls(
             both, [Rule("DEMAND_JUMP", "WARN", ~(jump | fall))], "estimate", pair, "business_date"
         )
     )
+
+
+def input_controls(
+    closed: DataFrame, observed: dict[str, tuple[DataFrame, str]], cutoff: date
+) -> DataFrame:
+    """Controls before a run: every source reaches the cutoff and none lies after it.
+
+    `closed` has one row per source (`source`, `closed_through`); `observed` names the rows of a
+    source and their date column. Days after the cutoff are counted per source and day.
+    """
+    late = violations(
+        closed,
+        [Rule("SOURCE_BEHIND_CUTOFF", "BLOCKER",
+              F.coalesce(F.col("closed_through") >= F.lit(cutoff), F.lit(False)), ("closed_through",))],
+        "source", ["source"], "closed_through",
+    )
+    for name, (rows, day) in observed.items():
+        future = (
+            rows.filter(F.to_date(day) > F.lit(cutoff))
+            .groupBy(F.to_date(day).alias("day"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("source", F.lit(name))
+        )
+        late = late.unionByName(
+            violations(
+                future, [Rule("FUTURE_OBSERVATION", "ERROR", F.lit(False), ("rows",))],
+                "source", ["source", "day"], "day",
+            )
+        )
+    return late
+
+
+def output_controls(
+    estimates: DataFrame, scope_pairs: DataFrame, minimum_coverage: float = 0.9
+) -> DataFrame:
+    """Controls after a run: values are finite and not negative, and enough of the assortment of
+    each branch has a usable estimate."""
+    pair = ["article_id", "branch_id"]
+    value = F.col("basal_daily_demand").cast("double")
+    finite = value.isNull() | (~F.isnan(value) & (value >= 0) & (value < float("inf")))
+    values = violations(
+        estimates, [Rule("VALUE_NOT_FINITE", "BLOCKER", finite, ("basal_daily_demand",))],
+        "estimate", pair, "business_date",
+    )
+    usable = estimates.filter(F.col("status") != "BLOCKED").select(*pair, F.lit(1).alias("usable"))
+    share = (
+        scope_pairs.select(*pair).join(usable, pair, "left").groupBy("branch_id")
+        .agg((F.count("usable") / F.count(F.lit(1))).alias("coverage"))
+    )
+    thin = violations(
+        share,
+        [Rule("ASSORTMENT_COVERAGE", "WARN", F.col("coverage") >= minimum_coverage, ("coverage",))],
+        "branch", ["branch_id"],
+    )
+    return values.unionByName(thin)

@@ -31,6 +31,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/replenish-{name}-{uuid.uuid4().hex}"
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever file system it names."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; a listing, no data is read."""
+    if not folder_exists(spark, path):
+        return []
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in system.listStatus(place) if f.isDirectory())
+
+
 # Lets Spark remove the shuffle files of a statement when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -12,7 +12,6 @@ from replenish.functions.exprs import (
     all_of,
     bar_hash,
     bar_text,
-    checksum,
     latest,
     text,
     text_or_blank,
@@ -268,11 +267,3 @@ def variation(before: DataFrame, after: DataFrame) -> DataFrame:
         F.count_distinct("article_id").alias("articles"),
         F.count_distinct("branch_id").alias("branches"),
     )
-
-
-def fingerprint(scope_pairs: DataFrame) -> DataFrame:
-    """Order-free checksum of a pair set; scales with the data and needs no global order."""
-    return scope_pairs.agg(
-        F.count(F.lit(1)).alias("pair_count"),
-        checksum("article_id", "branch_id", "supplier_id").alias("checksum"),
-    )

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-from replenish.functions.exprs import all_of, any_of, bar_hash, month_of, text_or_blank
+from replenish.functions.exprs import any_of, bar_hash, month_of, text_or_blank
 from replenish.functions.windows import Span, month_labels
-from replenish.operators.scale import materialise
+from replenish.operators.scale import materialise, subfolders
 from replenish.schemas import TABLES, TableSpec
 
 
@@ -76,9 +76,9 @@ class MonthlyStore:
         return rows.drop("month")
 
     def months(self, table: str | TableSpec) -> list[str]:
-        """Months present; read from the partition folders, one short value per month."""
-        rows = self._all(self.spec(table)).select("month").distinct().collect()
-        return sorted(r[0] for r in rows)
+        """Months present, by the names of the partition folders."""
+        names = subfolders(self.spark, self.path(table))
+        return [n.removeprefix("month=") for n in names if n.startswith("month=")]
 
     def _shaped(self, spec: TableSpec, incoming: DataFrame) -> DataFrame:
         named = incoming.withColumns(
@@ -133,7 +133,11 @@ class MonthlyStore:
             .select(*shaped.columns, "_action")
         )
         # At most one row per month and action.
-        counts = changes.groupBy("month", "_action").count().collect()
+        counts = changes.groupBy("month", "_action").agg(
+            F.count(F.lit(1)).alias("count"), F.count_distinct(*keys).alias("keys")
+        ).collect()
+        if any(r["count"] != r["keys"] for r in counts):
+            raise ValueError(f"{spec.name}: several incoming rows have the same key")
         touched = sorted({r["month"] for r in counts})
         if touched:
             kept = existing.filter(F.col("month").isin(*touched)).join(
@@ -193,12 +197,3 @@ class MonthlyStore:
             folder = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/month={month}")
             folder.getFileSystem(conf).delete(folder, True)
         return expired
-
-
-def same_rows(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys on which two frames with equal columns differ; empty for equal content."""
-    values = [c for c in left.columns if c not in keys]
-    a = left.select(*keys, F.struct(*values).alias("a"))
-    b = right.select(*keys, F.struct(*values).alias("b"))
-    joined = a.join(b, keys, "full_outer")
-    return joined.filter(~all_of(F.col("a").eqNullSafe(F.col("b")))).select(*keys)
