@@ -5,6 +5,10 @@ distinct pairs of neighbouring words. The coefficient of n features and a templa
 2 * shared / (n + m). It can only reach t if m lies between n * t / (2 - t) and n * (2 - t) / t, so
 a template outside these bounds is never compared. Units are every line and the whole text.
 
+A unit that reaches t shares at least m * t / (2 - t) of the m pairs of the template, so it has one
+of any larger part of them. For each template a few words are chosen that stand in so many pairs;
+texts and lines without any of these words are passed over before their pairs are built.
+
 Templates meet a unit only through a pair of words they share. The table of their pairs is fixed
 (a few hundred rows), so it is broadcast; nothing is compared with everything. Only DataFrame
 functions are used.
@@ -12,6 +16,7 @@ functions are used.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +28,9 @@ from replenish.operators.scale import look_up, materialise
 # The least coefficient of a match, in per cent.
 PERCENT = 80
 
+# Words that say little about a text.
+COMMON = frozenset("a an and any at be by can file for found if in is it not of on or that the this to under with you".split())
+
 # Notices as licensors write them, by licence.
 TEMPLATES: list[tuple[str, str]] = [
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
@@ -77,6 +85,23 @@ def template_pairs(spark, templates: list[tuple[str, str]]) -> DataFrame:
     )
 
 
+def anchors(pairs: list[str], percent: int) -> list[str]:
+    """Words of a template of which a unit that reaches the threshold has at least one: together
+    they stand in more pairs than such a unit may lack. Uncommon and long words come first."""
+    lacking = len(pairs) - math.ceil(len(pairs) * percent / (200 - percent))
+    chosen: list[str] = []
+    covered: set[str] = set()
+    words = sorted({w for p in pairs for w in p.split()}, key=lambda w: (w in COMMON, -len(w), w))
+    for word in words:
+        if len(covered) > lacking:
+            break
+        own = {p for p in pairs if word in p.split()}
+        if not own <= covered:
+            chosen.append(word)
+            covered |= own
+    return chosen
+
+
 def _bounds(n: Column, m: Column, percent: int) -> Column:
     return (m * (200 - percent) >= n * percent) & (m * percent <= n * (200 - percent))
 
@@ -92,13 +117,25 @@ def matches(
     templates = TEMPLATES if templates is None else templates
     # A fixed table; its size is that of TEMPLATES.
     known = template_pairs(docs.sparkSession, templates)
-    sizes = [r[0] for r in known.select("m").distinct().collect()]
+    of: dict[int, list[str]] = {}
+    for row in known.collect():
+        of.setdefault(row["template"], []).append(row["pair"])
+    sizes = {len(pairs) for pairs in of.values()}
+    words = sorted({w for pairs in of.values() for w in anchors(pairs, percent)})
+
+    def anchored(unit: Column) -> Column:
+        return reduce(lambda a, b: a | b, [F.contains(unit, F.lit(w)) for w in words], F.lit(False))
+
     value = F.coalesce(col(text).cast("string"), F.lit(""))
-    texts = docs.select(F.md5(value.cast("binary")).alias("text_key"), value.alias("value"))
+    texts = docs.select(
+        F.md5(value.cast("binary")).alias("text_key"), F.lower(value).alias("value")
+    ).filter(anchored(F.col("value")))
     lines = texts.select(
         "text_key", F.posexplode(F.split("value", "\n")).alias("line", "unit")
     ).select("text_key", (F.col("line") + 1).alias("line"), "unit")
-    units = lines.union(texts.select("text_key", F.lit(0), F.col("value")))
+    units = lines.filter(anchored(F.col("unit"))).union(
+        texts.select("text_key", F.lit(0), F.col("value"))
+    )
     paired = units.select("text_key", "line", word_pairs(F.col("unit")).alias("pairs")).withColumn(
         "n", F.size("pairs")
     )

@@ -63,6 +63,15 @@ def test_edited_notices_and_edge_rows(spark):
     assert licenses.scanned(docs, templates=[]).filter("licence is not null").count() == 0
 
 
+def test_anchors_are_in_every_match():
+    for (name, known), (_, text) in zip(KNOWN, licenses.TEMPLATES):
+        own = [" ".join(p) for p in known]
+        words = licenses.anchors(own, licenses.PERCENT)
+        without = [p for p in own if not set(p.split()) & set(words)]
+        best = 200 * len(without) / (len(own) + len(without))
+        assert words and best < licenses.PERCENT
+
+
 def test_only_native_operators(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     plan = licenses.matches(docs)._jdf.queryExecution().executedPlan().toString()
