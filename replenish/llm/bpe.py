@@ -36,7 +36,7 @@ RUNS = (r"\s+", r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+")
 BLOCK = 1 << 16
 WINDOW = 1 << 10
 # Words whose tokens are remembered: two generations of at most so many.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 
 _NONE = 1 << 60
 

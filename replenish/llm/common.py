@@ -15,8 +15,8 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 # Arrow batches handed to Python hold at most so many rows and bytes, whatever the text lengths.
-BATCH_ROWS = 2_000
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 1_000
+BATCH_BYTES = 8 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,27 +68,22 @@ class Rule:
 
 
 class WordHashes(dict):
-    """Word -> 64-bit hash; forgets all when full."""
+    """Word -> 64-bit hash; forgets all when full. Made per task, so nothing stays in a worker."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
 
-@lru_cache(maxsize=1)
-def _words() -> WordHashes:
-    return WordHashes()
-
-
-def shingle_set(text: bytes, words: int) -> np.ndarray:
+def shingle_set(text: bytes, words: int, hashes: WordHashes) -> np.ndarray:
     """Sorted hashes of the distinct shingles. A text with fewer words is one shingle of all its
     words; a text without words has none. Only A-Z are lower-cased."""
     found = text.lower().split()  # ASCII white space: \x20 and \x09-\x0D
     if not found:
         return np.zeros(0, dtype=np.uint64)
-    own = np.fromiter(map(_words().__getitem__, found), dtype=np.uint64, count=len(found))
+    own = np.fromiter(map(hashes.__getitem__, found), dtype=np.uint64, count=len(found))
     span = min(words, len(own))
     mixed = np.full(len(own) - span + 1, span, dtype=np.uint64)
     for i in range(span):
@@ -128,10 +123,11 @@ def described(text: Column, rule: Rule) -> Column:
 
     @F.arrow_udf(f"n_shingles bigint, node {_NODE}, signature binary, bands array<bigint>")
     def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        hashes = WordHashes()
         for batch in batches:
             sizes, nodes, signatures, bands = [], [], [], []
             for value in batch:
-                shingles = shingle_set(value.as_py() or b"", rule.words)
+                shingles = shingle_set(value.as_py() or b"", rule.words, hashes)
                 sizes.append(len(shingles))
                 if not len(shingles):
                     nodes.append(bytes(16))
@@ -274,10 +270,13 @@ class Corpus:
         words = self.rule.words
 
         @F.arrow_udf("binary")
-        def shingles(texts: pa.Array) -> pa.Array:
-            return pa.array(
-                [shingle_set(t.as_py() or b"", words).tobytes() for t in texts], pa.binary()
-            )
+        def shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            hashes = WordHashes()
+            for texts in batches:
+                yield pa.array(
+                    [shingle_set(t.as_py() or b"", words, hashes).tobytes() for t in texts],
+                    pa.binary(),
+                )
 
         texts = self.texts.join(picked, "text_key").drop("text_key").dropDuplicates(["node"])
         return materialise(
