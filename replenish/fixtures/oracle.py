@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 BASE: dict[str, str] = {
     "a": "select distinct cast(substr(p_brand,7) as int) article_id from part",
     "b": "select cast(n_nationkey as int) branch_id from nation",
@@ -635,17 +637,30 @@ QUERIES: dict[str, str] = {
           (select max(stock_date) from stock) canonical_stock_date,
           least(hi, (select max(sales_date) from enr), (select max(stock_date) from stock)) common_closed_date
         from hist""",
-    "source_profile": """
-        select *, cast(greatest(date '2001-08-01'-max_business_date,0)*86400 as bigint) freshness_seconds,
-          case when max_business_date<date '2001-08-01' then 'STALE' else 'VALID' end status from (
+    "source_profile": f"""
+        select * exclude (as_of, undated), as_of as_of_ts,
+          cast(greatest(date '2001-08-01'-max_business_date,0)*86400 as bigint) freshness_seconds,
+          case when undated>0 then 'INVALID' when max_business_date<date '2001-08-01' then 'STALE' else 'VALID' end status,
+          source_code<>'events' is_required, 'batch-'||source_code batch_id
+        from (
           select 'raw_sales' source_code, min(sales_date) min_business_date, max(sales_date) max_business_date,
-            count(*) row_count, sum(cast('0x'||substr(md5(article_id||'|'||branch_id||'|false'),1,15) as bigint)::hugeint)::varchar checksum from raw
+            count(*) row_count, 0 undated, {_checksum("article_id||'|'||branch_id||'|'||special_sale")} checksum,
+            strftime(max(sales_date), '%Y-%m-%d 00:00:00') as_of from raw
+          union all
+          select 'enriched_sales', min(sales_date), max(sales_date), count(*), 0,
+            {_checksum("article_id||'|'||branch_id")}, null from enr
           union all
-          select 'enriched_sales', min(sales_date), max(sales_date), count(*),
-            sum(cast('0x'||substr(md5(article_id||'|'||branch_id),1,15) as bigint)::hugeint)::varchar from enr
+          select 'directed_needs', min(vf), max(vf), count(*), 0, {_checksum("line_id||'|'||nt")}, null from dn
           union all
-          select 'directed_needs', min(vf), max(vf), count(*),
-            sum(cast('0x'||substr(md5(line_id||'|'||nt),1,15) as bigint)::hugeint)::varchar from dn)""",
+          select 'stock', min(stock_date), max(stock_date), count(*), 0,
+            {_checksum("article_id||'|'||branch_id")}, null from stock
+          union all
+          select 'events', min(ts)::date, max(ts)::date, count(*), 0, {_checksum("k")},
+            rtrim(rtrim(strftime(max(ts) + interval 5 minutes, '%Y-%m-%d %H:%M:%S.%f'),'0'),'.') from ev
+          union all
+          select 'catalog', min(extracted_at)::date, max(extracted_at)::date, count(*),
+            count(*) filter (extracted_at is null), {_checksum("article_id||'|'||branch_id")}, null from catalog)
+        profiles""",
     "backtest_detail": f"""
         select evaluation_date, origin_date, 1 horizon_days, article_id, branch_id,
           {_r('predicted','predicted_demand')}, {_r('actual','actual_basal_units')}, ok eligible_actual,
@@ -778,6 +793,13 @@ QUERIES: dict[str, str] = {
             case when article_id=9 then 'UNKNOWN_ARTICLE' end,
             case when branch_id=3 then 'UNKNOWN_BRANCH' end) reject_codes from dn)
         group by 1""",
+    "need_masters": """
+        select reject_codes, count(*) lines from (
+          select concat_ws(',', case when branch_id%6=0 then 'INVALID_UNIT' end,
+            case when article_id%4=0 then 'UNKNOWN_SUPPLIER' end) reject_codes from dn) group by 1""",
+    "reference_alerts": """
+        select line_id, 'DUPLICATE_REFERENCE' alert_code from (@duplicate_needs@)
+        where overlaps_earlier or overlaps_later""",
     "duplicate_needs": """
         select line_id, nt need_type, ref reference, article_id, branch_id, vf valid_from, vt valid_to,
           hi>=vf is true overlaps_earlier, nx<=coalesce(vt, date '9999-12-31') is true overlaps_later
@@ -1070,8 +1092,6 @@ QUERIES: dict[str, str] = {
 
 def _needed(text: str) -> list[str]:
     """The common table expressions a statement uses, in order of definition."""
-    import re
-
     words = set(re.findall(r"\w+", text))
     wanted: set[str] = set()
     for name in reversed(list(BASE)):
@@ -1082,7 +1102,8 @@ def _needed(text: str) -> list[str]:
 
 
 def statement(name: str) -> str:
-    body = QUERIES[name].replace("@scope_manifest@", QUERIES["scope_manifest"])
+    # A statement may contain another one by its name.
+    body = re.sub(r"@(\w+)@", lambda found: QUERIES[found[1]], QUERIES[name])
     kept = {n: " materialized" for n in ("hpanel", "trail")}
     ctes = ",\n".join(f"{n} as{kept.get(n, '')} ({BASE[n]})" for n in _needed(body))
     return f"{'with ' + ctes if ctes else ''}\nselect * from ({body}) result"

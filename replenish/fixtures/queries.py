@@ -470,19 +470,25 @@ def freshness_gate(f: Frames) -> DataFrame:
 
 @query
 def source_profile(f: Frames) -> DataFrame:
-    sources = {
-        "raw_sales": (f.raw, "sales_ts", ["article_id", "branch_id", "special_sale"]),
-        "enriched_sales": (f.enriched, "sales_ts", ["article_id", "branch_id"]),
+    relations = {
+        "raw_sales": (f.raw, "sales_ts", ["article_id", "branch_id", "special_sale"], "processed_at"),
+        "enriched_sales": (f.enriched, "sales_ts", ["article_id", "branch_id"], None),
         "directed_needs": (
-            fx.directed_needs(f.spark, f.folder), "valid_from", ["line_id", "need_type"]
+            fx.directed_needs(f.spark, f.folder), "valid_from", ["line_id", "need_type"], None
         ),
+        "stock": (f.stock, "stock_date", ["article_id", "branch_id"], None),
+        "events": (f.events, "occurred_at", ["dedup_key"], "received_at"),
+        "catalog": (f.catalog, "extracted_at", ["article_id", "branch_id"], None),
     }
-    profiles = [
-        freshness.profile(rows, code, day, W.cutoff, columns)
-        for code, (rows, day, columns) in sources.items()
-    ]
-    merged = profiles[0].unionByName(profiles[1]).unionByName(profiles[2])
-    return merged.withColumn("checksum", F.col("checksum").cast("string"))
+    merged = None
+    for code, (rows, day, columns, as_of) in relations.items():
+        one = freshness.profile(
+            rows, code, day, W.cutoff, columns, as_of, code != "events", f"batch-{code}"
+        )
+        merged = one if merged is None else merged.unionByName(one)
+    return merged.withColumns(
+        {"checksum": F.col("checksum").cast("string"), "as_of_ts": F.col("as_of_ts").cast("string")}
+    )
 
 
 def _backtest_detail(f: Frames) -> DataFrame:
@@ -690,6 +696,28 @@ def need_validation(f: Frames) -> DataFrame:
     )
 
 
+@query
+def need_masters(f: Frames) -> DataFrame:
+    """Directed lines with suppliers and units, some of which no master knows."""
+    a, b = F.col("article_id"), F.col("branch_id")
+    lines = fx.directed_needs(f.spark, f.folder).withColumns(
+        {
+            "supplier_id": F.when(a % 2 == 0, a * 10).cast("int"),
+            "unit": F.when(b % 6 == 0, "KG").otherwise("UN"),
+        }
+    )
+    suppliers = f.catalog.filter(a % 4 != 0).select((a * 10).alias("supplier_id"))
+    masters = f.catalog.select("article_id").distinct(), f.catalog.select("branch_id").distinct()
+    checked = needs.validate(lines, *masters, ["line_id"], suppliers, f.items)
+    return checked.groupBy(joined("reject_codes")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query
+def reference_alerts(f: Frames) -> DataFrame:
+    found = needs.duplicate_candidates(fx.directed_needs(f.spark, f.folder))
+    return backlog.reference_alerts(found)
+
+
 @query
 def duplicate_needs(f: Frames) -> DataFrame:
     return needs.duplicate_candidates(fx.directed_needs(f.spark, f.folder)).select(

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from replenish.functions.exprs import bar_hash, codes, dec, num, text, text_or_blank
 from replenish.operators import logistics
 from replenish.operators.needs import commitment_class
-from replenish.operators.scale import folder_exists, global_rank, look_up, running_before
+from replenish.operators.scale import global_rank, look_up, running_before
 from replenish.params import MANDATORY_TYPES, NEED_TYPES, OPTIONAL_TYPES, ORIGIN_ID
+from replenish.sources import files
 
 LINE = ["business_date", "origin_id", "branch_id", "article_id", "supplier_key"]
 NO_SUPPLIER = -1
@@ -317,7 +318,7 @@ class Snapshots:
     def _positions(self, version: str, wanted: Search) -> DataFrame:
         name = hashlib.sha256(repr(wanted).encode()).hexdigest()[:16]
         path = f"{self.root}/{version}/search-{name}"
-        if not folder_exists(self.spark, f"{path}/_SUCCESS"):
+        if not files.exists(self.spark, f"{path}/_SUCCESS"):
             found = numbered(self.lines(version), wanted)
             found.repartitionByRange("position").sortWithinPartitions("position").write.mode(
                 "overwrite"
@@ -398,6 +399,11 @@ def alerts(lines: DataFrame, as_of: date, due_soon_days: int = 3, idle_days: int
     return lines.withColumn("alert_code", F.explode(found))
 
 
+def reference_alerts(duplicates: DataFrame) -> DataFrame:
+    """An alert for every line that `needs.duplicate_candidates` found."""
+    return duplicates.select("line_id", F.lit("DUPLICATE_REFERENCE").alias("alert_code"))
+
+
 def panel_kpis(lines: DataFrame, as_of: date, due_soon_days: int = 3) -> DataFrame:
     """Key figures of the operating panel."""
     band = commitment_class(F.col("commitment_date"), as_of, due_soon_days)

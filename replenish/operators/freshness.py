@@ -26,12 +26,24 @@ def month_closed_through(year: Column, month: Column, processed_at: Column) -> C
 
 
 def read(
-    raw_sales: DataFrame, enriched: DataFrame, wide_stock: DataFrame, stock_daily: DataFrame
+    raw_sales: DataFrame,
+    enriched: DataFrame,
+    wide_stock: DataFrame,
+    stock_daily: DataFrame,
+    since: date | None = None,
 ) -> DataFrame:
     """One row: the last date of every source and the common closed date.
 
-    The common date is NULL as soon as one source has none.
+    The common date is NULL as soon as one source has none. With `since` only rows from that day
+    on are read, which prunes the scans; a source that ends before it then has no date.
     """
+    if since is not None:
+        raw_sales = raw_sales.filter(F.col("sales_ts") >= F.lit(since))
+        enriched = enriched.filter(F.col("sales_ts") >= F.lit(since))
+        wide_stock = wide_stock.filter(
+            (F.col("year") > since.year) | ((F.col("year") == since.year) & (F.col("month") >= since.month))
+        )
+        stock_daily = stock_daily.filter(F.col("stock_date") >= F.lit(since))
     closed = month_closed_through(F.col("year"), F.col("month"), F.col("processed_at"))
     last = {
         "raw_sales": raw_sales.agg(F.to_date(F.max("sales_ts")).alias("day")),
@@ -62,6 +74,22 @@ class Freshness:
     common_closed_date: date | None
 
 
+def gate(
+    raw_sales: DataFrame,
+    enriched: DataFrame,
+    wide_stock: DataFrame,
+    stock_daily: DataFrame,
+    requested_end: date,
+) -> Freshness:
+    """Fail unless every source is closed through `requested_end`. A source that is has rows from
+    that day on; only if one has none, the whole history is asked for its last date."""
+    sources = (raw_sales, enriched, wide_stock, stock_daily)
+    near = read(*sources, since=requested_end)
+    if near.first()["common_closed_date"] is not None:
+        return require(near, requested_end)
+    return require(read(*sources), requested_end)
+
+
 def require(row: DataFrame, requested_end: date) -> Freshness:
     """Fail unless every source is closed through `requested_end`; reads a single row."""
     found = Freshness(**row.first().asDict())
@@ -75,9 +103,18 @@ def require(row: DataFrame, requested_end: date) -> Freshness:
 
 
 def profile(
-    source: DataFrame, code: str, date_column: str, expected_through: date, columns: list[str]
+    source: DataFrame,
+    code: str,
+    date_column: str,
+    expected_through: date,
+    columns: list[str],
+    as_of_column: str | None = None,
+    required: bool = True,
+    batch_id: str | None = None,
 ) -> DataFrame:
-    """Snapshot of a source: date range, rows, checksum, lag and status."""
+    """Snapshot of a source: date range, rows, checksum, lag and status, how recent its newest row
+    is, whether a run needs it, and the batch it came with."""
+    as_of = F.max(as_of_column) if as_of_column else F.lit(None)
     day = F.to_date(F.col(date_column))
     found = source.agg(
         F.min(day).alias("min_business_date"),
@@ -85,6 +122,7 @@ def profile(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(F.col(date_column).isNull()).alias("undated_rows"),
         checksum(*columns).alias("checksum"),
+        as_of.cast("timestamp_ntz").alias("as_of_ts"),
     )
     lag = F.datediff(F.lit(expected_through), F.col("max_business_date"))
     return found.select(
@@ -99,6 +137,9 @@ def profile(
         .when(lag > 0, "STALE")
         .otherwise("VALID")
         .alias("status"),
+        "as_of_ts",
+        F.lit(required).alias("is_required"),
+        F.lit(batch_id).cast("string").alias("batch_id"),
     )
 
 

@@ -165,11 +165,17 @@ def commitment_class(target: Column, as_of: date, due_soon_days: int = 3) -> Col
 
 
 def validate(
-    lines: DataFrame, articles: DataFrame, branches: DataFrame, key: list[str]
+    lines: DataFrame,
+    articles: DataFrame,
+    branches: DataFrame,
+    key: list[str],
+    suppliers: DataFrame | None = None,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """Directed lines with the reasons to reject them; an accepted line has none.
 
-    Duplicates are counted per key and flagged, whichever row came first.
+    Duplicates are counted per key and flagged, whichever row came first. With `suppliers` a named
+    supplier has to be known; with `items` the `unit` of a line has to be the base unit of its article.
     """
     known_articles = articles.select("article_id").distinct().withColumn("known_article", F.lit(1))
     known_branches = branches.select("branch_id").distinct().withColumn("known_branch", F.lit(1))
@@ -179,6 +185,15 @@ def validate(
         .join(known_branches, "branch_id", "left")
         .join(copies, key, "left")
     )
+    none = F.lit(False)
+    unknown_supplier, other_unit = none, none
+    if suppliers is not None:
+        known = suppliers.select("supplier_id").distinct().withColumn("known_supplier", F.lit(1))
+        checked = checked.join(known, "supplier_id", "left")
+        unknown_supplier = F.col("supplier_id").isNotNull() & F.col("known_supplier").isNull()
+    if items is not None:
+        checked = checked.join(items.select("article_id", "base_unit").distinct(), "article_id", "left")
+        other_unit = F.col("base_unit").isNotNull() & ~F.col("unit").eqNullSafe(F.col("base_unit"))
     return checked.withColumn(
         "reject_codes",
         codes(
@@ -187,8 +202,10 @@ def validate(
             (~F.coalesce(F.col("original_quantity") > 0, F.lit(False)), "INVALID_QUANTITY"),
             (F.col("valid_to") < F.col("valid_from"), "INVALID_VALIDITY"),
             (F.col("copies") > 1, "SOURCE_DUPLICATE"),
+            (unknown_supplier, "UNKNOWN_SUPPLIER"),
+            (other_unit, "INVALID_UNIT"),
         ),
-    ).drop("known_article", "known_branch", "copies")
+    ).drop("known_article", "known_branch", "copies", "known_supplier", "base_unit")
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replenish.functions.exprs import dec, num
-from replenish.operators.scale import look_up, running_before
+from replenish.operators.scale import look_up, running_around
 from replenish.params import PromoParams
 
 MONTH_PAIR = ["month", "article_id", "branch_id"]
@@ -19,15 +19,16 @@ def exact_median(rows: DataFrame, keys: list[str], value: str = "value") -> Data
     by running counts that spread over many tasks.
     """
     counted = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("copies"))
-    placed = running_before(
-        counted, keys, [F.col(value)], {"before": ("sum", F.col("copies"))}
-    ).withColumn("before", F.coalesce("before", F.lit(0)))
-    totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
+    copies = ("sum", F.col("copies"))
+    placed = running_around(
+        counted, keys, [F.col(value)], before={"before": copies}, after={"after": copies}
+    ).fillna(0, ["before", "after"])
+    placed = placed.withColumn("total", F.col("before") + F.col("copies") + F.col("after"))
     # Positions of the two middle rows; the same one for an odd total.
     low = F.expr("(total + 1) div 2")
     high = F.expr("(total + 2) div 2")
     first, last = F.col("before"), F.col("before") + F.col("copies")
-    middle = placed.join(totals, keys).filter(
+    middle = placed.filter(
         ((first < low) & (low <= last)) | ((first < high) & (high <= last))
     )
     return middle.groupBy(*keys).agg(

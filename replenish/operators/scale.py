@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from replenish.functions.exprs import col
+from replenish.sources import files
 
 # A broadcast side has at most so many rows and, by the width of its columns, so many bytes.
 BROADCAST_ROWS = 2_000_000
@@ -27,23 +31,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared folder."""
-    return f"{checkpoint_dir(spark)}/replenish-{name}-{uuid.uuid4().hex}"
+    """A new folder name below the shared folder, or below the folder of the run."""
+    root = spark.conf.get(_RUN, None) or checkpoint_dir(spark)
+    return f"{root}/replenish-{name}-{uuid.uuid4().hex}"
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists in whatever file system it names."""
-    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+_RUN = "replenish.run.folder"
 
 
-def subfolders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in a folder; a listing, no data is read."""
-    if not folder_exists(spark, path):
-        return []
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(f.getPath().getName() for f in system.listStatus(place) if f.isDirectory())
+@contextlib.contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables of one run below one folder, which is removed when the run ends. Write
+    the results of the run elsewhere before that."""
+    folder = scratch(spark, "run")
+    before = spark.conf.get(_RUN, None)
+    spark.conf.set(_RUN, folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset(_RUN)
+        else:
+            spark.conf.set(_RUN, before)
+        files.remove(spark, folder)
 
 
 # Lets Spark remove the shuffle files of a statement when it ends.

@@ -76,10 +76,9 @@ def features(
     """Stock, then the freshness gate, then sales."""
     stock_result = load_stock(store, inputs, start, end)
     # The newest stored month holds the last stock date.
-    stored_months = store.months(STOCK_TABLE)
-    newest = store._all(STOCK_TABLE).filter(F.col("month").isin(*stored_months[-1:]))
-    closed = freshness.require(
-        freshness.read(inputs.raw_sales, inputs.enriched_sales, inputs.wide_stock, newest), end
+    newest = store.newest(STOCK_TABLE)
+    closed = freshness.gate(
+        inputs.raw_sales, inputs.enriched_sales, inputs.wide_stock, newest, end
     )
     sales_result = load_sales(store, inputs, start, end, scope_version_id)
     return {"stock": stock_result, "freshness": closed, "sales": sales_result}
@@ -185,7 +184,7 @@ def close_day(
     """
     events = execution.normalize(execution.dedup(inputs.events))
     accepted, isolated = execution.quarantine(events, inputs.line_of_event)
-    state = execution.fold(accepted)
+    state = materialise(execution.fold(accepted))
     per_pair = (
         state.join(inputs.line_of_event, "line_id")
         .groupBy("article_id", "branch_id")

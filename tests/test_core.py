@@ -16,6 +16,7 @@ from replenish.functions import windows
 from replenish.functions.windows import Span
 from replenish.operators import freshness, panel, promo, scale, scope, stock
 from replenish.params import ScopeRule
+from replenish.sources import files
 
 
 def test_windows_follow_each_other_and_repeat_a_year_before():
@@ -273,6 +274,18 @@ def test_promotion_treatment(spark):
     assert rows[5]["promo_adjustment_method"] == "NOT_APPLICABLE"
 
 
+def test_a_run_removes_its_intermediate_tables(spark):
+    with scale.run_folder(spark) as folder:
+        kept = scale.materialise(spark.range(5))
+        assert kept.count() == 5 and len(files.subfolders(spark, folder)) == 1
+        with scale.run_folder(spark) as inner:
+            assert inner.startswith(folder)
+            scale.materialise(spark.range(2))
+        assert not files.exists(spark, inner) and kept.count() == 5
+    assert not files.exists(spark, folder)
+    assert not scale.scratch(spark, "x").startswith(folder)
+
+
 def test_freshness_gate(spark):
     raw = spark.createDataFrame([sale(1, 1)], schemas.RAW_SALES)
     enriched = spark.createDataFrame(
@@ -288,6 +301,10 @@ def test_freshness_gate(spark):
         freshness.require(row, date(2026, 7, 2))
     with pytest.raises(freshness.SourceNotClosed):
         freshness.require(freshness.read(raw, enriched, months, shelf.limit(0)), date(2026, 7, 1))
+    assert freshness.gate(raw, enriched, months, shelf, date(2026, 7, 1)).common_closed_date is not None
+    for end in (date(2026, 7, 2), date(2027, 1, 1)):
+        with pytest.raises(freshness.SourceNotClosed, match="common closed date|no closed date"):
+            freshness.gate(raw, enriched, months, shelf, end)
     # A month without a processing time counts as closed to its end.
     assert freshness.read(raw, enriched, wide(spark, 2026, 2, [1]), shelf).first()[
         "stock_source_date"
