@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replenish.llm.common import SPACES, col, fresh
+from replenish.operators.scale import materialise
 
 SALTS = 32
 
@@ -83,7 +84,8 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", salts: int
     the smallest key; null keys come last. Rows that repeat the key and the text of the winner are
     dropped but for one. An empty table gives no rows.
     """
-    found = _checked(winners(docs, key, text, salts))
+    # Written, so that both sides of the join below are plain and its hot digests can be split.
+    found = materialise(_checked(winners(docs, key, text, salts)))
     rows = (
         docs.select(
             col(key).cast("bigint").alias("doc_id"),
@@ -116,10 +118,13 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", salts:
     """
     digest, points = fresh(docs, "text_sha256"), fresh(docs, "keep_points")
     keep, own = fresh(docs, "keep_key"), fresh(docs, "own_key")
-    kept = winners(docs, key, text, salts).select(
-        F.col("text_sha256").alias(digest),
-        F.col("keep_id").alias(keep),
-        F.col("keep_points").alias(points),
+    # Written first: the shuffled contents behind it go before whole rows are shuffled.
+    kept = materialise(
+        winners(docs, key, text, salts).select(
+            F.col("text_sha256").alias(digest),
+            F.col("keep_id").alias(keep),
+            F.col("keep_points").alias(points),
+        )
     )
     tagged = docs.withColumn(digest, F.sha2(normalised(col(text)), 256)).withColumn(
         own, col(key).cast("bigint")
