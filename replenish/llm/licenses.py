@@ -17,6 +17,7 @@ functions are used.
 from __future__ import annotations
 
 import math
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -102,6 +103,15 @@ def anchors(pairs: list[str], percent: int) -> list[str]:
     return chosen
 
 
+def any_of_words(words: list[str]) -> str:
+    """A pattern that finds any of the words in one pass; words with the same first letter share a
+    branch, so a position is compared with few of them."""
+    by_first: dict[str, list[str]] = {}
+    for word in words:
+        by_first.setdefault(word[0], []).append(re.escape(word[1:]))
+    return "|".join(f"{re.escape(c)}(?:{'|'.join(rest)})" for c, rest in sorted(by_first.items()))
+
+
 def _bounds(n: Column, m: Column, percent: int) -> Column:
     return (m * (200 - percent) >= n * percent) & (m * percent <= n * (200 - percent))
 
@@ -117,24 +127,25 @@ def matches(
     templates = TEMPLATES if templates is None else templates
     # A fixed table; its size is that of TEMPLATES.
     known = template_pairs(docs.sparkSession, templates)
+    if not templates:
+        return known.select(F.lit("").alias("text_key"), F.lit(0).alias("line"), "template", "licence", F.lit(0.0).alias("dice"))
     of: dict[int, list[str]] = {}
     for row in known.collect():
         of.setdefault(row["template"], []).append(row["pair"])
     sizes = {len(pairs) for pairs in of.values()}
     words = sorted({w for pairs in of.values() for w in anchors(pairs, percent)})
 
-    def anchored(unit: Column) -> Column:
-        return reduce(lambda a, b: a | b, [F.contains(unit, F.lit(w)) for w in words], F.lit(False))
-
     value = F.coalesce(col(text).cast("string"), F.lit(""))
-    texts = docs.select(
-        F.md5(value.cast("binary")).alias("text_key"), F.lower(value).alias("value")
-    ).filter(anchored(F.col("value")))
-    lines = texts.select(
-        "text_key", F.posexplode(F.split("value", "\n")).alias("line", "unit")
-    ).select("text_key", (F.col("line") + 1).alias("line"), "unit")
-    units = lines.filter(anchored(F.col("unit"))).union(
-        texts.select("text_key", F.lit(0), F.col("value"))
+    keyed = docs.select(F.md5(value.cast("binary")).alias("text_key"), value.alias("value"))
+    # Before anything is computed from a text; besides A-Z two letters become one of a-z.
+    pattern = any_of_words(words)
+    texts = keyed.filter(
+        F.rlike("value", F.lit(f"(?i){pattern}")) | F.rlike("value", F.lit("[\u0130\u212a]"))
+    ).select("text_key", F.lower("value").alias("value"))
+    # The whole text comes first, as line 0.
+    lines = F.concat(F.array("value"), F.split("value", "\n"))
+    units = texts.select("text_key", F.posexplode(lines).alias("line", "unit")).filter(
+        F.rlike("unit", F.lit(pattern))
     )
     paired = units.select("text_key", "line", word_pairs(F.col("unit")).alias("pairs")).withColumn(
         "n", F.size("pairs")

@@ -52,6 +52,7 @@ def test_edited_notices_and_edge_rows(spark):
              full.replace("software", "work").replace("Software", "Work"), "released under the mit license",
              "x y z\nReleased under the  MIT-License!\nLicensed under CC BY-NC 4.0.", "under the", "license " * 200,
              "Licenſed under the Apache License, Version 2.0.\n" * 3, "long words " * 60000,
+             "LİCENSED under the Apache License, Version 2.0.", "released under the MİT LICENSE", "Wor\u212a released under the MIT license",
              "a b\n" * 5000 + "Licensed under the BSD 2-Clause License."]
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[8]), (8, texts[8]), (8, texts[8])]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as line", "'x' as pair")
