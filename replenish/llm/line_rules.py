@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replenish.llm.common import SPACES, col, prepare_python
+from replenish.llm.common import SPACES, col, fresh, prepare_python
 from replenish.operators.scale import look_up, materialise
 
 # Fixed values of the base rules.
@@ -56,6 +56,11 @@ def repeated_words(words: list[bytes]) -> int:
     return covered.count(1) if covered else 0
 
 
+def line_key(words: list[bytes]) -> int:
+    """Key of a line by its lower-case words."""
+    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
+
+
 def described(text: str) -> tuple:
     """The columns of _FEATURES for one text."""
     words = text.encode().split()  # ASCII white space: \x20 and \x09-\x0D
@@ -68,7 +73,7 @@ def described(text: str) -> tuple:
             continue
         duplicates += line in seen
         seen.add(line)
-        key = xxhash.xxh3_64_intdigest(b" ".join(normal)) - (1 << 63)
+        key = line_key(normal)
         lines[key] = lines.get(key, 0) + len(normal)
     return (
         len(words),
@@ -98,27 +103,52 @@ def features(text: Column) -> Column:
     return describe(text.cast("string"))
 
 
-def judged(
-    docs: DataFrame,
-    limits: Limits = Limits(),
-    key: str = "doc_id",
-    host: str = "source",
-    text: str = "text",
-) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, removed_words (in boilerplate lines), kept.
+def without(text: str, keys: set[int]) -> str:
+    """`text` without the lines that have one of the keys; lines without words stay."""
+    kept = []
+    for line in text.split("\n"):
+        normal = line.lower().encode().split()
+        if not normal or line_key(normal) not in keys:
+            kept.append(line)
+    return "\n".join(kept)
+
+
+def _dropped(text: Column, keys: Column) -> Column:
+    @F.arrow_udf("string")
+    def drop(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for values, keys in batches:
+            yield pa.array(
+                [
+                    without(v.as_py() or "", set(k.as_py())) if k.is_valid else v.as_py()
+                    for v, k in zip(values, keys)
+                ],
+                pa.string(),
+            )
 
-    Every row counts as a document, also one that repeats another; rows without host are a host of
-    their own. A text without words fails the base rules. An empty table gives no rows.
-    """
+    return drop(text.cast("string"), keys)
+
+
+def _host(host: str) -> Column:
+    """A host by one number; rows without host are a host of their own."""
+    return F.xxhash64(col(host).isNull(), col(host).cast("string"))
+
+
+def _text_key(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(col(text).cast("string"), F.lit("")).cast("binary")))
+
+
+def _found(docs: DataFrame, limits: Limits, key: str, host: str, text: str) -> DataFrame:
+    """The columns of `judged`, with host, text_key and the keys of the boilerplate lines in each
+    row (`drop`, null if there are none)."""
     prepare_python(docs.sparkSession)
     rows = materialise(
         docs.select(
             F.monotonically_increasing_id().alias("row"),
             col(key).alias("doc_id"),
-            F.xxhash64(col(host).isNull(), col(host).cast("string")).alias("host"),
+            _host(host).alias("host"),
+            _text_key(text).alias("text_key"),
             features(col(text)).alias("f"),
-        ).select("row", "doc_id", "host", "f.*")
+        ).select("row", "doc_id", "host", "text_key", "f.*")
     )
     hosts = materialise(
         rows.groupBy("host").agg(
@@ -128,7 +158,7 @@ def judged(
     # A line of a host by one number; the lines array has every line of a document once.
     lines = look_up(
         rows.select("row", "host", F.explode(F.arrays_zip("line", "line_words")).alias("l")), hosts, ["host"]
-    ).select("row", F.xxhash64("host", "l.line").alias("at"), F.col("l.line_words").alias("words"), "most")
+    ).select("row", F.xxhash64("host", "l.line").alias("at"), "l.line", F.col("l.line_words").alias("words"), "most")
     boilerplate = materialise(
         lines.groupBy("at")
         .agg(F.count(F.lit(1)).alias("documents"), F.max("most").alias("most"))
@@ -136,9 +166,11 @@ def judged(
         .select("at")
     )
     removed = (
-        lines.join(boilerplate, "at").groupBy("row").agg(F.sum("words").alias("removed_words"))
+        lines.join(boilerplate, "at")
+        .groupBy("row")
+        .agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("drop"))
     )
-    found = rows.drop("host", "line", "line_words").join(removed, "row", "left")
+    found = rows.drop("line", "line_words").join(removed, "row", "left")
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED_PERCENT
     )
@@ -150,3 +182,49 @@ def judged(
         .withColumn("kept", ~failed & ~depleted)
         .drop("row")
     )
+
+
+def judged(
+    docs: DataFrame,
+    limits: Limits = Limits(),
+    key: str = "doc_id",
+    host: str = "source",
+    text: str = "text",
+) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, base_failed, removed_words (in the lines that `cleaned` drops), kept (whether
+    `cleaned` has the row).
+
+    Every row counts as a document, also one that repeats another; rows without host are a host of
+    their own. A text without words fails the base rules. An empty table gives no rows.
+    """
+    return _found(docs, limits, key, host, text).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "removed_words", "base_failed", "kept",
+    )
+
+
+def cleaned(
+    docs: DataFrame,
+    limits: Limits = Limits(),
+    key: str = "doc_id",
+    host: str = "source",
+    text: str = "text",
+) -> DataFrame:
+    """The rows of `docs` that `judged` keeps, with the columns of `docs`: boilerplate lines are
+    dropped from the text, all other lines stay as they are and in order.
+
+    Rows of one host with one text have the same lines, so the verdict goes back by host and text.
+    """
+    found = _found(docs, limits, key, host, text)
+    verdicts = materialise(
+        found.filter("kept").groupBy("host", "text_key").agg(F.first("drop").alias("drop"))
+    )
+    verdict, own_host, own_key = fresh(docs, "verdict"), fresh(docs, "host"), fresh(docs, "text_key")
+    table = verdicts.select(
+        F.col("host").alias(own_host), F.col("text_key").alias(own_key), F.struct("drop").alias(verdict)
+    )
+    keyed = docs.withColumns({own_host: _host(host), own_key: _text_key(text)})
+    rows = look_up(keyed, table, [own_host, own_key]).filter(col(verdict).isNotNull())
+    new = _dropped(col(text), col(verdict)["drop"]).alias(text)
+    return rows.select(*(new if c == text else col(c) for c in docs.columns))

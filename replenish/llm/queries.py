@@ -47,6 +47,10 @@ def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judged(documents(spark, sf_dir))
 
 
+def op5_cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.cleaned(documents(spark, sf_dir)).select("doc_id", "source", "text")
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(documents(spark, sf_dir), near_dedup.Rule(words=3, percent=85))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_quality": op4_quality,
     "op5_line_rules": op5_line_rules,
+    "op5_cleaned_lines": op5_cleaned_lines,
     "op6_near_dedup": op6_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_licenses": op8_licenses,
@@ -139,6 +144,24 @@ WITH docs AS (
 SELECT *, NOT base_failed AND NOT (n_words - removed_words) * 100 <= n_words * 50 AS kept FROM failed
 """
 
+# The texts that _LINE_RULES keeps, without the lines that it counts as removed.
+_CLEANED_LINES = (
+    _LINE_RULES.rstrip().rsplit("\n", 1)[0].replace("SELECT d.doc_id, len", "SELECT d.r, d.doc_id, d.source, len")
+    + r"""
+, numbered AS (
+  SELECT r, source, unnest(string_split(t, chr(10))) AS line,
+         generate_subscripts(string_split(t, chr(10)), 1) AS i FROM docs
+), marked AS (
+  SELECT *, array_to_string(regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+'), ' ') AS n FROM numbered
+), texts AS (
+  SELECT m.r, string_agg(m.line, chr(10) ORDER BY m.i) AS text FROM marked m
+  LEFT JOIN shared s ON m.source IS NOT DISTINCT FROM s.source AND m.n = s.n WHERE s.n IS NULL GROUP BY m.r
+)
+SELECT doc_id, source, text FROM failed JOIN texts USING (r)
+WHERE NOT base_failed AND NOT (n_words - removed_words) * 100 <= n_words * 50
+"""
+)
+
 
 def _mixing_sql() -> str:
     closing, last = "", "drawn"
@@ -277,6 +300,7 @@ FROM docs JOIN leaves USING (r)
 SQL: dict[str, str] = {
     "op3_mixing": _mixing_sql(),
     "op5_line_rules": _LINE_RULES,
+    "op5_cleaned_lines": _CLEANED_LINES,
     "op7_exact_dedup": _EXACT_DEDUP,
     "op8_licenses": _licenses_sql(),
     "op9_sharding": _SHARDING,

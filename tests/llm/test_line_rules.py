@@ -59,3 +59,47 @@ def test_edge_rows(spark):
     assert got == brute(rows, limits)
     assert not any(r[-1] for r in got if r[0] is not None and r[0] < 30)
     assert line_rules.judged(docs.limit(0)).count() == 0
+
+
+def brute_cleaned(rows, limits):
+    """doc_id, host, text -> the kept rows without their boilerplate lines."""
+    hosts, documents = Counter(h for _, h, _ in rows), defaultdict(set)
+    normal = lambda line: " ".join(WORD.findall(line.lower()))
+    for i, (_, host, text) in enumerate(rows):
+        for line in (text or "").split("\n"):
+            documents[host, normal(line)].add(i)
+    out = []
+    for row in rows:
+        key, host, text = row
+        most = max(int(hosts[host] * limits.share), limits.least)
+        lines = [x for x in (text or "").split("\n") if not normal(x) or len(documents[host, normal(x)]) <= most]
+        words, left = len(WORD.findall(text or "")), len(WORD.findall("\n".join(lines)))
+        repeats = WORD.findall(text or "")
+        windows = [tuple(repeats[i : i + 3]) for i in range(len(repeats) - 2)]
+        count = Counter(windows)
+        covered = {j for i, w in enumerate(windows) if count[w] > 1 for j in range(i, i + 3)}
+        if words >= 50 and 2 * len(covered) <= words and 100 * left > (100 - limits.left_percent) * words:
+            out.append((key, host, "\n".join(lines)))
+    return sorted(out, key=str)
+
+
+def test_cleaned_texts_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "source", "text")
+    good = " ".join(f"word{i}" for i in range(60))
+    extra = [(9000 + i, s, f"{good} {i}\n\nSame  footer LINE\n{good[::-1]} x{i}") for i in range(30) for s in ("h", None)]
+    extra += [(9100, "h", f"{good}\nsame footer line\r\n é\n"), (None, "h", None), (9101, "z", f"{good}\nsame footer line")]
+    extra += [(9102, "h", f"{good}\n" + "Same footer line\n" * 40), (9100, "h", good)]
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    rows = [tuple(r) for r in docs.collect()]
+    for limits in (Limits(), Limits(share=0.0, least=1, left_percent=90)):
+        got = sorted((tuple(r) for r in line_rules.cleaned(docs, limits).collect()), key=str)
+        assert got == brute_cleaned(rows, limits)
+    got = line_rules.cleaned(docs)
+    texts = {(r.doc_id, r.source): r.text for r in got.collect()}
+    assert texts[9000, "h"] == f"{good} 0\n\n{good[::-1]} x0" and "same footer" in texts[9101, "z"]
+    assert (9102, "h") not in texts
+    clashing = docs.selectExpr("*", "1 as verdict", "'x' as host", "2 as text_key")
+    assert line_rules.cleaned(clashing).columns == clashing.columns
+    assert line_rules.cleaned(docs.limit(0)).count() == 0
+    judged = line_rules.judged(docs)
+    assert judged.filter("kept").count() == got.count()
