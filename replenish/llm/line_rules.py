@@ -1,7 +1,8 @@
 """Quality rules: repeated content inside a document, and lines that many documents of a host share.
 
 Lines are normalised (lower case, one space between words) and hashed. A line is boilerplate on a
-host if it stands in more than `share` of the host's documents and in more than `least` of them.
+host if it stands in more documents of the host than a limit: `share` of the documents, but no less
+than `least` and never more than `most`, which holds on a host of any size.
 Such lines are removed; a document that loses at least half of its words is depleted and rejected.
 
 Lines of one document are added up before they leave it, counts are combined before the shuffle,
@@ -30,11 +31,13 @@ MAX_REPEATED_PERCENT = 50
 
 @dataclass(frozen=True)
 class Limits:
-    """When a line is boilerplate, and the share of words in per cent that must be left."""
+    """When a line is boilerplate, and the share of words in per cent that must be left. As long as
+    `most` is no more than `least`, the limit is one number of documents, whatever the host's size."""
 
     share: float = 0.02
     least: int = 20
     left_percent: int = 50
+    most: int = 20
 
 
 _FEATURES = (
@@ -152,7 +155,10 @@ def _found(docs: DataFrame, limits: Limits, key: str, host: str, text: str) -> D
     )
     hosts = materialise(
         rows.groupBy("host").agg(
-            F.greatest(F.floor(F.count(F.lit(1)) * F.lit(limits.share)), F.lit(limits.least)).alias("most")
+            F.least(
+                F.greatest(F.floor(F.count(F.lit(1)) * F.lit(limits.share)), F.lit(limits.least)),
+                F.lit(max(limits.most, limits.least)),
+            ).alias("most")
         )
     )
     # A line of a host by one number; the lines array has every line of a document once.

@@ -103,3 +103,17 @@ def test_cleaned_texts_equal_brute_force(spark):
     assert line_rules.cleaned(docs.limit(0)).count() == 0
     judged = line_rules.judged(docs)
     assert judged.filter("kept").count() == got.count()
+
+
+def test_a_line_has_the_same_limit_on_a_hot_and_a_small_host(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    sizes = {"hot": 5000, "small": 30}
+    rows = [(i, h, f"{good} {h}{i}" + ("\nshared footer" if i < 25 else "\nfew" if i < 45 else "")[: 15])
+            for h, n in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    removed = {(r.source, r.doc_id): r.text.endswith("footer") for r in line_rules.cleaned(docs).select("doc_id", "source", "text").collect()}
+    assert len(removed) == len(rows) and not any(removed.values())
+    counted = line_rules.judged(docs).filter("removed_words = 2").count()
+    assert counted == 50
+    # 20 documents of the hot host and 5 of the small one are no more than the limit.
+    assert line_rules.cleaned(docs).filter("text like '%few'").count() == 25
