@@ -63,6 +63,10 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(documents(spark, sf_dir))
 
 
+def op8_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.noticed(documents(spark, sf_dir))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(documents(spark, sf_dir))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_near_dedup": op6_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_licenses": op8_licenses,
+    "op8_license_notices": op8_license_notices,
     "op9_sharding": op9_sharding,
     "op10_token_counts": op10_token_counts,
 }

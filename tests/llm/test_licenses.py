@@ -77,3 +77,55 @@ def test_only_native_operators(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     plan = licenses.matches(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+ALL = [(name, pairs(text)) for name, text in licenses.TEMPLATES + licenses.FULL_TEXTS]
+
+
+def brute_windows(text, percent=licenses.PERCENT):
+    """licence, dice, start and words of the best window and all licences, over every window."""
+    words = APART.sub(" ", (text or "").lower()).split()
+    own, best = list(zip(words, words[1:])), {}
+    for t, (name, known) in enumerate(ALL):
+        most, m = len(known) * (200 - percent) // percent, len(known)
+        for a in (i for i, p in enumerate(own) if p in known):
+            seen, foreign = set(), 0
+            for k, p in enumerate(own[a : a + most]):
+                if p in known:
+                    seen.add(p)
+                    both = len(seen) + foreign + m
+                    if 200 * len(seen) >= percent * both:
+                        window = (2 * len(seen) / both, -a - 1, k + 2, len(seen), name)
+                        best[t] = max(best.get(t, window), window)
+                else:
+                    foreign += 1
+    if not best:
+        return None, None, None, None, ""
+    dice, start, n, _, name = min((-w[3], -w[0], t, w) for t, w in best.items())[3]
+    return name, dice, -start, n, ",".join(sorted({w[4] for w in best.values()}))
+
+
+def test_notices_in_wrapped_text_and_paragraphs(spark):
+    import textwrap
+
+    filler = "some prose that says nothing about anything of note . " * 40
+    long = [(n, t) for n, t in licenses.TEMPLATES + licenses.FULL_TEXTS if len(t) > 150]
+    comment = lambda t, mark: "\n".join(mark + x for x in textwrap.wrap(t, 60))
+    planted = [(n, f"#!/bin/x\n{comment(t, mark)}\n\n{filler}") for n, t in long for mark in ("# ", " * ", "")]
+    planted += [(n, f"{filler} {t} {filler}") for n, t in licenses.TEMPLATES + licenses.FULL_TEXTS]
+    planted += [("MIT", f"{filler}\nCopyright (c) 2020 A\n{comment(licenses.FULL_TEXTS[0][1].replace('AUTHORS', 'WRITERS'), '// ')}\n{filler}"),
+                (None, filler + "the license of this software is not known to the author"), (None, ""), (None, None),
+                (None, "license license software of the " * 3000)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(planted)] * 2, "doc_id bigint, text string")
+    got = licenses.noticed(docs.selectExpr("*", "1 as start", "'x' as pair")).collect()
+    assert len(got) == 2 * len(planted)
+    for r in got:
+        name, text = planted[r.doc_id]
+        best, dice, start, n, names = brute_windows(text)
+        assert (r.licence, r.start, r.n_words, r.licences) == (best, start, n, names)
+        assert r.dice == (None if dice is None else pytest.approx(dice))
+        assert name == r.licence
+    assert licenses.noticed(docs.limit(0)).count() == 0
+    assert licenses.noticed(docs, templates=[]).filter("licence is not null").count() == 0
+    plan = licenses.windows(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
