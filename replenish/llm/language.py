@@ -3,7 +3,8 @@
 A text is a vector of hashed n-grams of its lower-case letters (`BITS`, `SIZES`), weighted by
 (1 + ln count) * idf and normalised to length 1. Per language the vectors of a sample are clustered
 by spherical k-means; a text gets the language of the centroid with the largest cosine. It is
-rejected if that centroid is farther away than training texts of its length ever are, by a margin.
+rejected if that centroid is farther away than all but QUANTILE of the labelled texts of that
+language and about that length are from centroids that were learned without them.
 
 The classifier is fitted on a sample of about `per_language` rows of each language, chosen by a
 hash; this bound is its documented parameter. The centroids are at most MAX_LANGUAGES * clusters
@@ -30,8 +31,13 @@ SIZES = (1, 2, 3, 4)
 CLUSTERS = 4
 PER_LANGUAGE = 600
 MAX_LANGUAGES = 500
-# A text is rejected below this part of the lowest similarity seen among training texts.
-MARGIN = 0.5
+# Part of the labelled texts that may be farther away than the limit, the least number of texts
+# behind a limit, the least number of a language that is judged by its own texts alone, and the
+# parts in which the sample is clustered without one and compared with it.
+QUANTILE = 0.001
+CALIBRATION_ROWS = 200
+OWN_ROWS = 500
+FOLDS = 4
 UNKNOWN = "und"
 
 _ROWS_AT_ONCE = 128
@@ -40,12 +46,13 @@ _BUCKETS = 40
 
 @dataclass
 class Centroids:
-    """What `fit` learns. `floor` is the least similarity that is accepted, by log2 of length."""
+    """What `fit` learns. `floor` is the least similarity that is accepted, by row of `vectors` and
+    log2 of length."""
 
     languages: list[str] = field(default_factory=list)
     vectors: np.ndarray = field(default_factory=lambda: np.zeros((0, 1 << BITS), np.float32))
     idf: np.ndarray = field(default_factory=lambda: np.ones(1 << BITS, np.float32))
-    floor: np.ndarray = field(default_factory=lambda: np.zeros(_BUCKETS, np.float32))
+    floor: np.ndarray = field(default_factory=lambda: np.zeros((0, _BUCKETS), np.float32))
 
 
 def has_letter(text: str) -> bool:
@@ -134,6 +141,30 @@ def _cluster(rows: np.ndarray, clusters: int) -> np.ndarray:
     return found.astype(np.float32)
 
 
+def _unseen(rows: np.ndarray, clusters: int) -> np.ndarray:
+    """Cosine of each row to the nearest centroid of the other folds; of a single row, to itself."""
+    nearest = np.ones(len(rows), np.float32)
+    fold = np.arange(len(rows)) % min(FOLDS, len(rows))
+    for k in range(fold.max() + 1 if len(rows) > 1 else 0):
+        centres = _cluster(rows[fold != k], clusters)
+        nearest[fold == k] = (rows[fold == k] @ centres.T).max(axis=1)
+    return nearest
+
+
+def _floor(buckets: np.ndarray, nearest: np.ndarray) -> np.ndarray:
+    """The least similarity that is accepted, by bucket of length: the quantile of the texts in the
+    bucket, or with them as many of the nearest lengths as make CALIBRATION_ROWS. Shorter texts are
+    never held to more than longer ones; below the shortest seen all pass."""
+    floor = np.zeros(_BUCKETS, np.float32)
+    for b in range(_BUCKETS):
+        away = np.abs(buckets - b)
+        reach = np.sort(away)[min(CALIBRATION_ROWS, len(away)) - 1]
+        floor[b] = np.quantile(nearest[away <= reach], QUANTILE, method="lower")
+    floor = np.minimum.accumulate(floor[::-1])[::-1]
+    floor[: buckets.min()] = 0
+    return floor
+
+
 def fit(
     docs: DataFrame,
     key: str = "doc_id",
@@ -167,33 +198,34 @@ def fit(
             dense[to, rows.features[i]] = rows.counts[i]
         unit = _weighted(dense, idf)
         centres = _cluster(unit, clusters)
-        nearest = (unit @ centres.T).max(axis=1)
-        least = np.full(_BUCKETS, np.inf, dtype=np.float32)
-        np.minimum.at(least, [_bucket(rows.length[i]) for i in order], nearest)
+        buckets = np.array([_bucket(rows.length[i]) for i in order], np.int32)
         return pd.DataFrame(
             {
                 "lang": rows.lang[0],
                 "vector": [c.tobytes() for c in centres],
-                "least": [least.tobytes()] * len(centres),
+                "buckets": [buckets.tobytes()] * len(centres),
+                "nearest": [_unseen(unit, clusters).tobytes()] * len(centres),
             }
         )
 
     found = (
-        vectors.groupBy("lang").applyInPandas(per_group, "lang string, vector binary, least binary")
+        vectors.groupBy("lang").applyInPandas(per_group, "lang string, vector binary, buckets binary, nearest binary")
     ).collect()
     found.sort(key=lambda r: (r["lang"], bytes(r["vector"])))
-    least = np.min([np.frombuffer(r["least"], np.float32) for r in found], axis=0)
-    # Shorter texts are never held to more than longer ones; lengths above the longest seen are
-    # held to what holds there, and below the shortest seen all pass.
-    seen = np.flatnonzero(~np.isinf(least))
-    least[seen[-1] :] = least[seen[-1]]
-    floor = np.minimum.accumulate(least[::-1])[::-1] * MARGIN
-    floor[: seen[0]] = 0
+    # At most per_language numbers of each language; one with too few texts is judged by all.
+    own = {
+        r["lang"]: (np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["nearest"], np.float32))
+        for r in found
+    }
+    everything = tuple(np.concatenate(part) for part in zip(*own.values()))
+    floors = {
+        lang: _floor(*(seen if len(seen[0]) >= OWN_ROWS else everything)) for lang, seen in own.items()
+    }
     return Centroids(
         [r["lang"] for r in found],
         np.array([np.frombuffer(r["vector"], np.float32) for r in found]),
         idf,
-        floor.astype(np.float32),
+        np.array([floors[r["lang"]] for r in found]),
     )
 
 
@@ -216,7 +248,8 @@ def predict(text: Column, model: Centroids) -> Column:
                 top = near.max(axis=1) if near.shape[1] else np.zeros(len(lengths))
                 picked.append(np.where(known, best, len(names) - 1))
                 scores.append(np.where(known, np.clip(top, 0, 1), 0))
-                least = model.floor[[_bucket(n) for n in lengths]]
+                buckets = [_bucket(n) for n in lengths]
+                least = model.floor[best, buckets] if near.shape[1] else np.zeros(len(lengths))
                 rejected.append((lengths == 0) | (known & (top < least)))
             if not picked:
                 empty = pa.array([], pa.string()), pa.array([], pa.float64()), pa.array([], pa.bool_())

@@ -63,3 +63,18 @@ def test_without_training_rows_all_is_unknown(spark, documents):
     assert {r.lang_pred for r in language.identify(documents.limit(5), model).collect()} == {"und"}
     nameless = documents.selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert language.fit(nameless).languages == []
+
+
+def test_other_latin_languages_and_random_letters_are_rejected(spark, documents, model):
+    import random
+
+    italian = "La mattina dopo la pioggia il vecchio mercato si riempie di gente che cerca il pane, la frutta e le notizie del paese. "
+    polish = "Rano po deszczu stary rynek wypełnia się ludźmi, którzy szukają chleba, owoców i wiadomości z całej okolicy. "
+    draw = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    noise = " ".join("".join(draw.choices(letters, k=draw.randint(2, 9))) for _ in range(400))
+    texts = [italian * 3, italian * 10, polish * 3, polish * 10, noise[:300], noise[:1000], noise]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert all(r.rejected for r in language.identify(docs, model).collect())
+    held = language.identify(documents, model).filter("held_out").collect()
+    assert sum(r.rejected for r in held) / len(held) < 0.01
