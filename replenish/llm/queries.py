@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from replenish.llm import (
+    alignment,
     bpe,
     exact_dedup,
     language,
@@ -18,6 +19,8 @@ from replenish.llm import (
     quality,
     sharding,
     token_counts,
+    url_filter,
+    whitening,
 )
 from replenish.llm.common import documents
 
@@ -75,6 +78,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.documents_counts(documents(spark, sf_dir), PIECE_BPE)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.documents_digest(documents(spark, sf_dir), BYTE_BPE, PIECE_BPE)
+
+
+URL_RULES = (
+    url_filter.Rule("net/", url_filter.BLOCK),
+    url_filter.Rule("example.net/en/", url_filter.ALLOW),
+    url_filter.Rule("example.com/de/", url_filter.BLOCK),
+    url_filter.Rule("org/fr/", url_filter.ALLOW),
+)
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_language": op2_language,
@@ -88,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_notices": op8_license_notices,
     "op9_sharding": op9_sharding,
     "op10_token_counts": op10_token_counts,
+    "op11_whitening": op11_whitening,
+    "op12_alignment": op12_alignment,
+    "op13_url_filter": op13_url_filter,
 }
 
 # DuckDB SQL for the same rows, where SQL can express them.
