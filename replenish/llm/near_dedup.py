@@ -8,10 +8,13 @@
    that its similarity reaches the threshold (uniform prior) decides: below `MISS` it is dropped.
    Survivors are verified on their full sets.
 4. What is left of a bucket are the members outside its largest component. They are compared with
-   each other, and their components with that one, until a link is found. Many members meet in
-   blocks, so no task holds a whole bucket or component, and no rows are made for pairs. After that
-   no two components that share a bucket have a link between them: the components are exact for
-   all candidate pairs, though not every pair inside a component was looked at.
+   each other, and their components with that one, until a link is found. A bucket with very many of
+   them is split by further, narrower bands first. Many members meet in cells of two blocks, so no
+   task holds a whole bucket or component: a cell first names the members with a probable partner
+   (no more rows than it reads), then verifies these on their sets and returns a forest, at most
+   one link less than it has members. After that no two components that share a bucket have a link
+   between them: the components are exact for all candidate pairs, though not every pair inside a
+   component was looked at.
 
 Every step writes a table to the shared folder; a lost executor repeats tasks, not steps.
 """
@@ -31,18 +34,24 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from replenish.llm.common import col, fresh, prepare_python
-from replenish.operators.scale import materialise
+from replenish.operators.scale import is_bounded, materialise
 
 HASHES = 160
 BATCH = 16
 MISS = 1e-6
 # Bands are as wide as they can be while a pair at the threshold is missed with less than this.
 BAND_MISS = 1e-5
-# Nodes of a block where many meet; numbers of pairs of members, and of members, that need none.
+# Nodes and bytes of sets of a block where many meet; numbers of pairs of members, and of members,
+# that need none.
 BLOCK = 512
+BLOCK_BYTES = 16 << 20
 FEW_PAIRS = 64
 FEW = 16
-# Rows (about 50 bytes each) up to which a list of texts is broadcast; beyond, texts are shuffled.
+# Members from which a bucket is split by bands of SPLIT_ROWS minima, at most SPLITS times.
+CROWD = 4096
+SPLIT_ROWS = 4
+SPLITS = 3
+# Keys of texts (two of 16 bytes) up to which a list is broadcast; beyond, texts are shuffled.
 BROADCAST_ROWS = 500_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -169,14 +178,14 @@ def least_matches(percent: int) -> tuple[int, ...]:
     """Per batch: the fewest matches in the signature so far with which a pair goes on.
 
     With m of k matches and a uniform prior the similarity has the posterior Beta(m+1, k-m+1), and
-    P(similarity >= t) = P(Binomial(k+1, t) <= m).
+    P(similarity >= t) = P(Binomial(k+1, t) <= m). MISS is shared out among the batches.
     """
     t, need = percent / 100, []
     for k in range(BATCH, HASHES + 1, BATCH):
         below = 0.0
         for m in range(k + 1):
             below += math.comb(k + 1, m) * t**m * (1 - t) ** (k + 1 - m)
-            if below >= MISS:
+            if below >= MISS * BATCH / HASHES:
                 need.append(m)
                 break
     return tuple(need)
@@ -266,7 +275,8 @@ class Corpus:
         list_ = materialise(
             self.nodes.join(wanted.distinct(), "node", "left_semi").drop("bands")
         )
-        picked = F.broadcast(list_) if list_.count() <= BROADCAST_ROWS else list_
+        keys = list_.select("node", "text_key")
+        picked = F.broadcast(keys) if is_bounded(keys, BROADCAST_ROWS) else keys
         words = self.rule.words
 
         @F.arrow_udf("binary")
@@ -279,14 +289,8 @@ class Corpus:
                 )
 
         texts = self.texts.join(picked, "text_key").drop("text_key").dropDuplicates(["node"])
-        return materialise(
-            texts.select(
-                "node",
-                "n_shingles",
-                "signature",
-                shingles(F.coalesce("text", F.lit("")).cast("binary")).alias("shingles"),
-            )
-        )
+        sets = texts.select("node", shingles(F.coalesce("text", F.lit("")).cast("binary")).alias("shingles"))
+        return materialise(list_.drop("text_key").join(sets, "node"))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links: pruned by signatures, then verified on full sets."""
@@ -418,9 +422,108 @@ def _with_signatures(corpus: Corpus, rows: DataFrame) -> DataFrame:
     return rows.join(corpus.nodes.select("node", "n_shingles", "signature"), "node")
 
 
-def _among(corpus: Corpus, rest: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components among the rest of a bucket. Few members are paired;
-    many meet in blocks, where the signatures decide which pairs come out."""
+def _split_miss(percent: int, bands: int) -> float:
+    """Chance that a pair at the threshold agrees in none of so many bands of SPLIT_ROWS minima."""
+    return (1 - (percent / 100) ** SPLIT_ROWS) ** bands
+
+
+def split_crowds(members: DataFrame, percent: int, crowd: int | None = None) -> DataFrame:
+    """`members` (bucket, node, component, n_shingles, signature) with crowded buckets replaced by
+    the buckets of further bands inside them.
+
+    A band in which all members agree tells nothing and is left out. A bucket stays whole if the
+    others are too few: a pair at the threshold has to agree in one of them but for BAND_MISS.
+    """
+    crowd, bands = crowd or CROWD, HASHES // SPLIT_ROWS
+    keys = [F.substring("signature", i * SPLIT_ROWS * 2 + 1, SPLIT_ROWS * 2) for i in range(bands)]
+    done, left = [], members
+    for _ in range(SPLITS):
+        sizes = materialise(left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
+        crowded = sizes.filter(F.col("n") > crowd)
+        if crowded.isEmpty():
+            break
+        parted = (
+            left.join(crowded, "bucket")
+            .select("*", F.posexplode(F.array(*keys)).alias("band", "part"))
+        )
+        parts = parted.groupBy("bucket", "n", "band", "part").agg(
+            F.count(F.lit(1)).alias("m"), F.count_distinct("component").alias("several")
+        )
+        telling = parts.groupBy("bucket", "n", "band").agg(F.max("m").alias("most")).filter("most < n")
+        enough = telling.groupBy("bucket").agg(F.count(F.lit(1)).alias("bands"))
+        fit = next(k for k in range(bands + 2) if k > bands or _split_miss(percent, k) <= BAND_MISS)
+        split = materialise(enough.filter(F.col("bands") >= fit).select("bucket"))
+        kept = materialise(
+            parts.filter("several > 1 and m < n").join(split, "bucket").select("bucket", "band", "part")
+        )
+        done.append(left.join(split, "bucket", "left_anti"))
+        left = materialise(
+            parted.join(kept, ["bucket", "band", "part"])
+            .withColumn("bucket", F.xxhash64("bucket", "band", "part"))
+            .select(*members.columns)
+        )
+    for part in done:
+        left = left.unionByName(part)
+    return left
+
+
+def _roots(names: Iterable) -> tuple[dict, object]:
+    """A union-find over names: its parents, and the function that finds a root."""
+    parent = {name: name for name in names}
+
+    def root(name):
+        while parent[name] != name:
+            parent[name] = parent[parent[name]]
+            name = parent[name]
+        return name
+
+    return parent, root
+
+
+def _similar(sizes: np.ndarray, table: np.ndarray, n: int, own: bytes, percent: int) -> np.ndarray:
+    """Rows of a table of signatures that may be linked with one text."""
+    fit = np.flatnonzero(np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * percent)
+    return fit[likely(table[fit], _table([own]).repeat(len(fit), 0), percent)]
+
+
+def _probable(one: pd.DataFrame, other: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of either frame (node, component, n_shingles, signature) have a probable partner
+    of another component in the other."""
+    hit, met = np.zeros(len(one), dtype=bool), np.zeros(len(other), dtype=bool)
+    if len(one) and len(other):
+        sizes, table = other.n_shingles.to_numpy(), _table(other.signature)
+        components_ = other.component.to_numpy()
+        for i, row in enumerate(one.itertuples()):
+            near = _similar(sizes, table, row.n_shingles, row.signature, percent)
+            near = near[components_[near] != row.component]
+            hit[i] = len(near) > 0
+            met[near] = True
+    return hit, met
+
+
+def _forest(one: pd.DataFrame, other: pd.DataFrame, percent: int) -> list[tuple]:
+    """Links (node, node) between rows of two frames, verified on their sets (shingles), that join
+    components; after them no two components of the frames with a link are apart."""
+    out: list[tuple] = []
+    if not len(one) or not len(other):
+        return out
+    parent, root = _roots({*one.component, *other.component})
+    sizes, table = other.n_shingles.to_numpy(), _table(other.signature)
+    components_, nodes = other.component.tolist(), other.node.tolist()
+    sets = [np.frombuffer(x, np.uint64) for x in other.shingles]
+    for row in one.itertuples():
+        mine = np.frombuffer(row.shingles, np.uint64)
+        for i in _similar(sizes, table, row.n_shingles, row.signature, percent):
+            a, b = root(row.component), root(components_[i])
+            if a != b and linked(mine, sets[i], percent):
+                parent[a] = b
+                out.append((row.node, nodes[i]))
+    return out
+
+
+def _among(corpus: Corpus, rest: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs (a, b) of different components among the rest of buckets with few members, and links
+    (a, b) that join the components of the rest of buckets with many."""
     counts = rest.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("component").alias("several")
     )
@@ -432,41 +535,51 @@ def _among(corpus: Corpus, rest: DataFrame) -> DataFrame:
 
     crowds = counts.filter(F.col("n") > FEW)
     if crowds.isEmpty():
-        return pairs
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = (
-        rest.join(crowds.select("bucket", blocks.alias("blocks")), "bucket")
+        return pairs, None
+    percent = corpus.rule.percent
+    members = _with_signatures(
+        corpus, rest.join(crowds.select("bucket"), "bucket").select("bucket", "node", "component")
+    )
+    members = materialise(split_crowds(materialise(members), percent))
+    sizes = members.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), (F.sum("n_shingles") * 8).alias("bytes")
+    )
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    cells = (
+        members.join(sizes.select("bucket", blocks.alias("blocks")), "bucket")
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("own", "with"))
+        .withColumn("high", F.greatest("own", "with"))
+        .drop("with", "blocks")
     )
-    cells = _with_signatures(corpus, placed).select(
-        "bucket",
-        F.least("own", "with").alias("low"),
-        F.greatest("own", "with").alias("high"),
-        "own",
-        "node",
-        "component",
-        "n_shingles",
-        "signature",
+
+    def sides(cell: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        return (
+            cell[cell.own == side.iloc[0]].reset_index(drop=True) for side in (cell.low, cell.high)
+        )
+
+    def name(cell: pd.DataFrame) -> pd.DataFrame:
+        one, other = sides(cell)
+        hit, met = _probable(one, other, percent)
+        found = pd.concat([one[hit], other[met]]).drop_duplicates("node")
+        return found[["bucket", "low", "high", "own", "node", "component"]]
+
+    named = materialise(
+        cells.groupBy("bucket", "low", "high").applyInPandas(
+            name, f"bucket bigint, low int, high int, own int, node {_NODE}, component {_NODE}"
+        )
     )
-    percent = corpus.rule.percent
 
-    def near(cell: pd.DataFrame) -> pd.DataFrame:
-        one = cell[cell.own == cell.low.iloc[0]].reset_index(drop=True)
-        other = cell[cell.own == cell.high.iloc[0]].reset_index(drop=True)
-        out = []
-        if len(one) and len(other):
-            sizes, table = other.n_shingles.to_numpy(), _table(other.signature)
-            components_ = other.component.to_numpy()
-            for row in one.itertuples():
-                fit = np.minimum(sizes, row.n_shingles) * 100 >= np.maximum(sizes, row.n_shingles) * percent
-                fit = np.flatnonzero(fit & (components_ != row.component))
-                mine = _table([row.signature]).repeat(len(fit), 0)
-                out += [(row.node, other.node[i]) for i in fit[likely(table[fit], mine, percent)]]
-        return pd.DataFrame(out, columns=["a", "b"])
+    def meet(cell: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_forest(*sides(cell), percent), columns=["a", "b"])
 
-    met = cells.groupBy("bucket", "low", "high").applyInPandas(near, f"a {_NODE}, b {_NODE}")
-    return pairs.union(met.select(F.least("a", "b"), F.greatest("a", "b")))
+    met = (
+        named.join(corpus.with_sets(named.select("node")), "node")
+        .groupBy("bucket", "low", "high")
+        .applyInPandas(meet, f"a {_NODE}, b {_NODE}")
+    )
+    return pairs, materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
 def _between(
@@ -504,9 +617,12 @@ def _between(
     expanded = small.join(few, "few").join(many, "many").select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
     )
+    among, joined = _among(corpus, rest)
     plain = corpus.verified(
-        expanded.union(_among(corpus, rest)).distinct().join(tested, ["a", "b"], "left_anti")
+        expanded.union(among).distinct().join(tested, ["a", "b"], "left_anti")
     )
+    if joined is not None:
+        plain = plain.union(joined)
     large = pairs.filter(F.col("n_few") * F.col("n_many") > FEW_PAIRS)
     return plain if large.isEmpty() else plain.union(_met(corpus, large, members, few, many))
 
@@ -515,8 +631,7 @@ def _met(
     corpus: Corpus, large: DataFrame, members: DataFrame, few: DataFrame, many: DataFrame
 ) -> DataFrame:
     """At least one link for every pair of components that has one; members meet in blocks."""
-    wanted = large.select(F.explode(F.array("few", "many")).alias("component")).distinct()
-    sets = corpus.with_sets(members.join(wanted, "component", "left_semi").select("node"))
+    sizes = corpus.nodes.select("node", "n_shingles", "signature")
     # The members of the larger component fall into blocks, those of all smaller ones too.
     targets = large.groupBy("many").agg(
         F.max("n_many").alias("n_many"), F.sum("n_few").alias("n_few")
@@ -526,62 +641,62 @@ def _met(
         F.ceil(F.col("n_many") / BLOCK).cast("int").alias("m_blocks"),
         F.ceil(F.col("n_few") / BLOCK).cast("int").alias("f_blocks"),
     )
-    node_x = sets.select(*[F.col(c).alias(c + "_x") for c in sets.columns])
     asked = (
         large.select("few", "many")
         .join(targets, "many")
         .join(few, "few")
-        .join(node_x.withColumnRenamed("node_x", "x"), "x")
         .withColumn("f_block", F.pmod(F.xxhash64("x"), F.col("f_blocks")).cast("int"))
         .withColumn("m_block", F.explode(F.sequence(F.lit(0), F.col("m_blocks") - 1)))
-        .select(
-            F.col("many").alias("to"),
-            F.col("m_block").alias("to_m"),
-            F.col("f_block").alias("to_f"),
-            "few",
-            "x",
-            "n_shingles_x",
-            "signature_x",
-            "shingles_x",
-        )
+        .select("many", "m_block", "f_block", F.col("few").alias("component"), F.col("x").alias("node"))
+        .join(sizes, "node")
     )
     offered = (
         targets.join(many, "many")
-        .join(sets.withColumnRenamed("node", "y"), "y")
         .withColumn("m_block", F.pmod(F.xxhash64("y"), F.col("m_blocks")).cast("int"))
         .withColumn("f_block", F.explode(F.sequence(F.lit(0), F.col("f_blocks") - 1)))
-        .drop("m_blocks", "f_blocks")
+        .select("many", "m_block", "f_block", F.col("many").alias("component"), F.col("y").alias("node"))
+        .join(sizes, "node")
+    )
+    percent, cell = corpus.rule.percent, ["many", "m_block", "f_block"]
+
+    def sides(rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        offering = rows.component == rows.many
+        return rows[~offering].reset_index(drop=True), rows[offering].reset_index(drop=True)
+
+    def name(rows: pd.DataFrame) -> pd.DataFrame:
+        asking, offering = sides(rows)
+        hit, met = _probable(asking, offering, percent)
+        return pd.concat([asking[hit], offering[met]])[[*cell, "component", "node"]]
+
+    named = materialise(
+        asked.unionByName(offered)
+        .groupBy(*cell)
+        .applyInPandas(
+            name, f"many {_NODE}, m_block int, f_block int, component {_NODE}, node {_NODE}"
+        )
+    )
+    found = named.join(corpus.with_sets(named.select("node")), "node")
+    # Sets are long: what is left of a cell is dealt out again by their bytes.
+    bytes_ = named.join(sizes.select("node", "n_shingles"), "node").groupBy(*cell).agg(
+        F.ceil(F.sum(F.col("n_shingles") * 8) / BLOCK_BYTES).cast("int").alias("parts")
+    )
+    asking = F.col("component") != F.col("many")
+    dealt = (
+        found.join(bytes_, cell)
+        .withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("of_x", F.when(asking, F.col("own")).otherwise(F.col("other")))
+        .withColumn("of_y", F.when(asking, F.col("other")).otherwise(F.col("own")))
+        .drop("own", "other", "parts")
     )
-    percent = corpus.rule.percent
 
-    def meet(asking: pd.DataFrame, offering: pd.DataFrame) -> pd.DataFrame:
-        done, out = set(), []
-        if len(asking) and len(offering):
-            sizes = offering.n_shingles.to_numpy()
-            table = _table(offering.signature)
-            sets_y = [np.frombuffer(s, np.uint64) for s in offering.shingles]
-            for row in asking.itertuples():
-                if row.few in done:
-                    continue
-                n = row.n_shingles_x
-                near = np.flatnonzero(
-                    np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * percent
-                )
-                own = _table([row.signature_x]).repeat(len(near), 0)
-                mine = np.frombuffer(row.shingles_x, np.uint64)
-                for i in near[likely(table[near], own, percent)]:
-                    if linked(mine, sets_y[i], percent):
-                        out.append((row.x, offering.y.iloc[i]))
-                        done.add(row.few)
-                        break
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    blocks = (
-        asked.groupBy("to", "to_m", "to_f")
-        .cogroup(offered.groupBy("many", "m_block", "f_block"))
-        .applyInPandas(meet, f"a {_NODE}, b {_NODE}")
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        links = _forest(*sides(rows), percent)
+        return pd.DataFrame(links, columns=["a", "b"])
+
+    return materialise(
+        dealt.groupBy(*cell, "of_x", "of_y").applyInPandas(meet, f"a {_NODE}, b {_NODE}")
     )
-    return materialise(blocks)
 
 
 # --- results ----------------------------------------------------------------------------------

@@ -121,3 +121,62 @@ def test_bands_follow_from_the_miss_probability():
     for percent in (80, 85, 95):
         rows = Rule(3, percent).band_rows
         assert (1 - (percent / 100) ** rows) ** (near_dedup.HASHES // rows) <= near_dedup.BAND_MISS
+
+
+def test_a_hot_bucket_of_members_without_links(spark):
+    """5,000 texts share a passage that makes them candidates but no links; every fifth has a
+    partner that shares its own words too. Members meet in cells, and are named first."""
+    passage = " ".join(f"p{i}" for i in range(72))
+    rows = []
+    for n in range(5000):
+        own = n - 1 if n % 5 == 1 else n
+        tail = " ".join(f"t{own}x{i}" for i in range(24))
+        rows.append((n, f"{passage} {tail} end{n}"))
+    sets = [shingles(rows[i][1], 3) for i in (0, 1, 2)]
+    similarity = [100 * len(sets[0] & s) / len(sets[0] | s) for s in sets[1:]]
+    assert similarity[0] >= 85 > 65 > similarity[1] > 50
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    found = near_dedup.groups(docs, Rule(3, 85)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {
+        n: n - 1 if n % 5 == 1 else n for n in range(5000)
+    }
+
+
+def test_a_split_keeps_pairs_and_leaves_small_buckets(spark):
+    """Bands in which all members agree do not split; pairs that agree elsewhere stay together."""
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 16, near_dedup.HASHES, dtype=np.uint16)
+    rows = []
+    for n in range(60):
+        own = base.copy()
+        own[12:] = rng.integers(0, 1 << 16, near_dedup.HASHES - 12, dtype=np.uint16)
+        rows.append((1, n, n, 100, own.tobytes()))
+    twin = np.frombuffer(rows[7][4], np.uint16).copy()
+    twin[20:40] = 1
+    rows.append((1, 60, 60, 100, twin.tobytes()))
+    rows += [(2, n, n, 100, base.tobytes()) for n in range(100, 150)]  # nothing tells these apart
+    rows += [(3, 200, 200, 100, base.tobytes()), (3, 201, 201, 100, twin.tobytes())]
+    members = spark.createDataFrame(
+        rows, "bucket bigint, node long, component long, n_shingles bigint, signature binary"
+    )
+    found = near_dedup.split_crowds(members, 85, crowd=40).groupBy("bucket").agg({"node": "collect_set"}).collect()
+    groups_ = [frozenset(r[1]) for r in found]
+    assert frozenset(range(100, 150)) in groups_ and frozenset([200, 201]) in groups_
+    assert {g for g in groups_ if g & set(range(61))} == {frozenset([7, 60])}
+    assert near_dedup._split_miss(85, 24) <= near_dedup.BAND_MISS
+
+
+def test_cells_return_forests():
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    sets = [np.unique(pool[i : i + 200]) for i in range(0, 40, 4)]
+    cell = pd.DataFrame(
+        [(i, i, len(s), near_dedup.signature(s).astype(np.uint16).tobytes(), s.tobytes()) for i, s in enumerate(sets)],
+        columns=["node", "component", "n_shingles", "signature", "shingles"],
+    )
+    links = near_dedup._forest(cell, cell, 85)
+    assert len(links) == len(sets) - 1
+    hit, met = near_dedup._probable(cell, cell, 85)
+    assert hit.all() and met.all()
