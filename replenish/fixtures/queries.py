@@ -213,11 +213,17 @@ class Frames:
 
     @cached_property
     def stream_folder(self) -> str:
-        folder = scratch(self.spark, "stream")
+        """The events through the stream, one trigger per delivery; the folder of its tables."""
+        folder, files = scratch(self.spark, "stream"), 4
         for number, rows in enumerate(fx.deliveries(self.spark, self.folder)):
-            rows.write.parquet(f"{folder}/in/d{number}")
-            arrived = self.spark.readStream.schema(rows.schema).parquet(f"{folder}/in/*")
-            stream_events.ingest(arrived, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+            rows.repartition(files).write.parquet(f"{folder}/in/d{number}")
+        arrived = (
+            self.spark.readStream.schema(rows.schema)
+            .option("maxFilesPerTrigger", files)
+            .parquet(f"{folder}/in/*")
+        )
+        clock = F.lit(AS_OF_EVENTS.isoformat()).cast("timestamp")
+        stream_events.ingest(arrived, f"{folder}/out", clock=clock).awaitTermination()
         return f"{folder}/out"
 
     @cached_property
@@ -1262,41 +1268,40 @@ def backfill_run(f: Frames) -> DataFrame:
     )
 
 
-def _stream(f: Frames) -> str:
-    """The events through the stream, one trigger per delivery; the folder of its tables."""
-    return f.stream_folder
-
-
 @query
 def stream_fold(f: Frames) -> DataFrame:
-    return _state(stream_events.read_state(f.spark, _stream(f)))
+    return _state(stream_events.read_state(f.spark, f.stream_folder))
 
 
 @query
 def stream_log(f: Frames) -> DataFrame:
-    return stream_events.read_log(f.spark, _stream(f)).select(
+    return stream_events.read_log(f.spark, f.stream_folder).select(
         "dedup_key", "line_id", "event_type", d("quantity")
     )
 
 
 @query
 def stream_corrections(f: Frames) -> DataFrame:
-    return stream_events.read_corrections(f.spark, _stream(f)).select(
+    return stream_events.read_corrections(f.spark, f.stream_folder).select(
         "dedup_key", "line_id", "event_type", d("quantity"), joined("correction_alert")
     )
 
 
 @query
 def stream_daily(f: Frames) -> DataFrame:
-    return stream_events.read_daily(f.spark, _stream(f)).select(
+    return stream_events.read_daily(f.spark, f.stream_folder).select(
         "day", "event_type", "events", d("quantity", places=3)
     )
 
 
 @query
 def stream_idle(f: Frames) -> DataFrame:
-    return stream_events.idle(f.spark, _stream(f), AS_OF_EVENTS, 1).select(
-        "line_id", "idle_days", d("imported_quantity", places=3)
+    """Lines that the timers of the stream report, with their state."""
+    reported = stream_events.read_idle(f.spark, f.stream_folder).select("line_id", "last_activity")
+    state = stream_events.read_state(f.spark, f.stream_folder).drop("last_activity")
+    return reported.join(state, "line_id").select(
+        "line_id", F.datediff(F.lit(AS_OF_EVENTS), F.to_date("last_activity")).alias("idle_days"),
+        d("imported_quantity", places=3),
     )
 
 

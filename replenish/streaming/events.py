@@ -1,9 +1,13 @@
 """Structured Streaming over execution events; equal to the batch operators at every trigger.
 
-One job stores every event exactly once, by its key alone and however late a copy comes, and keeps
-what follows from the new events of a trigger: parts of the line states, parts of the daily counts
-and the judgement of cumulative quantities. Every trigger writes folders of its own number, so a
-trigger that is repeated replaces itself. Nothing waits for a watermark and nothing is dropped.
+One query keeps the state of every line in the state store (see `lines`): a trigger reads and writes
+the state of the lines it has events of, and nothing else. It puts out what changed: new events, each
+exactly once however late a copy comes, quantities that turned out to be corrections, and lines that
+became idle or active again. Every trigger writes folders of its own number, so a trigger that is
+repeated replaces itself. Nothing waits for a watermark and nothing is dropped: the watermark
+follows the clock of arrival and only drives the timers.
+
+The copies of an event carry the line of the first one, and events of one line are in one task.
 """
 
 from __future__ import annotations
@@ -13,101 +17,94 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
+from replenish.functions.exprs import codes
 from replenish.operators import execution
-from replenish.operators.scale import materialise
-from replenish.schemas import EXECUTION_EVENTS
+from replenish.streaming.lines import ACTIVE, CHANGES, CORRECTED, EVENT, IDLE, KINDS, LineProcessor
 
-# Folders by a hash of the key: a trigger reads the stored keys of the parts it touches.
-PARTS = 64
-LINE = ["line_id", "event_type"]
-_JUDGED = ["dedup_key", *LINE, "quantity_mode", "quantity", "occurred_at"]
+IDLE_DAYS = 1
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-def _part(*keys: str) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int").alias("part")
 
+def ingest(
+    stream: DataFrame,
+    folder: str,
+    checkpoint: str | None = None,
+    clock: Column | None = None,
+    idle_days: int = IDLE_DAYS,
+) -> StreamingQuery:
+    """Brings everything under `folder` up to date with new events.
 
-def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def _stored(spark: SparkSession, path: str, fields: list[StructField]) -> DataFrame:
-    schema = StructType(
-        [*fields, StructField("batch", LongType()), StructField("part", IntegerType())]
-    )
-    return _read(spark, path, schema)
-
-
-def _in_parts(rows: DataFrame, touched: DataFrame) -> DataFrame:
-    """Rows of the folders that `touched` names; at most PARTS small numbers reach the driver."""
-    parts = [r[0] for r in touched.select("part").distinct().collect()]
-    return rows.filter(F.col("part").isin(*parts)) if parts else rows.filter(F.lit(False))
-
-
-def _put(rows: DataFrame, path: str, number: int, *by: str) -> None:
-    rows.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch={number}")
-
-
-def ingest(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Store new events under `folder` and bring everything that follows from them up to date.
-
-    A cumulative event that comes out of order can change the judgement of events that came
-    before it, so all cumulative events of the lines and types it touches are judged again.
+    `clock` is the time of arrival, by which lines become idle. It may stand still from one trigger to
+    the next but must not fall: Spark would take such rows for late ones. Without it the time of
+    the trigger counts. Days are those of UTC.
     """
-    judged_fields = [EXECUTION_EVENTS[name] for name in _JUDGED]
+    spark = stream.sparkSession
+    at = F.current_timestamp() if clock is None else clock
+    timed = execution.normalize(stream).withColumn("clock", at).withWatermark("clock", "1 millisecond")
+    changes = timed.groupBy("line_id").transformWithState(
+        LineProcessor(idle_days), CHANGES, "Update", "EventTime"
+    )
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = materialise(execution.dedup(batch).withColumn("part", _part("dedup_key")))
-        known = _in_parts(_stored(spark, f"{folder}/log", EXECUTION_EVENTS.fields), rows)
-        known = known.filter(F.col("batch") != number).select("dedup_key")
-        fresh = materialise(rows.join(known, "dedup_key", "left_anti"))
-        _put(fresh, f"{folder}/log", number, "part")
-        _put(execution.line_parts(execution.normalize(fresh)), f"{folder}/state", number)
-        _put(execution.daily_counts(fresh), f"{folder}/daily", number)
-
-        cumulative = fresh.filter(F.col("quantity_mode") == "CUMULATIVE").select(*_JUDGED)
-        _put(cumulative.withColumn("part", _part(*LINE)), f"{folder}/cumulative", number, "part")
-        touched = materialise(cumulative.select(*LINE).distinct().withColumn("part", _part(*LINE)))
-        history = _in_parts(_stored(spark, f"{folder}/cumulative", judged_fields), touched)
-        again = history.filter(F.col("batch") <= number).join(
-            touched.select(*LINE), LINE, "left_semi"
-        )
-        judged = execution.to_delta(again.select(*_JUDGED))
-        _put(
-            judged.filter(F.col("record_type") == "CORRECTED").select(
-                "dedup_key", *LINE, "quantity", "occurred_at", "correction_alert"
-            ),
-            f"{folder}/corrections",
-            number,
+        path = f"{folder}/changes/batch={number}"
+        batch.write.mode("overwrite").partitionBy("kind").parquet(path)
+        written = batch.sparkSession.read.schema(CHANGES).parquet(path)
+        fresh = written.filter(F.col("kind") == EVENT)
+        execution.daily_counts(fresh).write.mode("overwrite").parquet(f"{folder}/daily/batch={number}")
+
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ROCKS)
+    try:
+        return (
+            changes.writeStream.foreachBatch(write)
+            .outputMode("update")
+            .option("checkpointLocation", checkpoint or f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
         )
-        _put(touched.select(*LINE), f"{folder}/judged", number)
+    finally:
+        spark.conf.set(_PROVIDER, before)
 
-    return (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+def read_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Everything the triggers put out, with the number of the trigger."""
+    schema = StructType([*CHANGES.fields, StructField("batch", LongType())])
+    try:
+        return spark.read.schema(schema).parquet(f"{folder}/changes")
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_log(spark: SparkSession, folder: str) -> DataFrame:
     """Every event once."""
-    return _stored(spark, f"{folder}/log", EXECUTION_EVENTS.fields).drop("batch", "part")
+    return read_changes(spark, folder).filter(F.col("kind") == EVENT).drop("kind", "batch")
 
 
-def read_state(spark: SparkSession, folder: str) -> DataFrame:
-    """The state of every line; equal to `execution.fold` over all events."""
-    parts = spark.read.parquet(f"{folder}/state").drop("batch")
-    return execution.line_state(execution.merged_parts(parts))
+def read_state(spark: SparkSession, folder: str, checkpoint: str | None = None) -> DataFrame:
+    """The state of every line, from the state store; equal to `execution.fold` over all events."""
+    stored = (
+        spark.read.format("statestore")
+        .option("path", checkpoint or f"{folder}/checkpoint")
+        .option("stateVarName", "totals")
+        .load()
+        .select(F.col("key.line_id"), "value.*")
+    )
+    last_at = F.timestamp_micros("last_at").cast("timestamp")
+    utc = F.to_utc_timestamp(last_at, F.current_timezone()).cast("timestamp_ntz")
+    last = F.struct(
+        utc.alias("occurred_at"), F.col("last_key").alias("dedup_key"), F.col("last_status").alias("normalized_status")
+    )
+    sums = [f"{k}_{mode}" for k in KINDS for mode in ("delta", "cumulative")]
+    return execution.line_state(
+        stored.select("line_id", *sums, last.alias("last"), "event_count", "unknown_events")
+    )
 
 
 def read_daily(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,23 +117,26 @@ def read_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_corrections(spark: SparkSession, folder: str) -> DataFrame:
-    """Cumulative quantities below the highest one before them in external time, by the last
-    judgement of their line and type."""
-    last = spark.read.parquet(f"{folder}/judged").groupBy(*LINE).agg(F.max("batch").alias("batch"))
-    found = _read(
-        spark,
-        f"{folder}/corrections",
-        StructType(
-            [
-                *[EXECUTION_EVENTS[n] for n in ("dedup_key", *LINE, "quantity", "occurred_at")],
-                StructField("correction_alert", execution.ALERTS),
-                StructField("batch", LongType()),
-            ]
-        ),
+    """Cumulative quantities below the highest one before them in external time. An event that is
+    one stays one, so this is a plain list."""
+    found = read_changes(spark, folder).filter(F.col("kind") == CORRECTED)
+    lower = codes((F.lit(True), "CUMULATIVE_DECREASED")).alias("correction_alert")
+    return found.select("dedup_key", "line_id", "event_type", "quantity", "occurred_at", lower)
+
+
+def read_idle(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that are reported as idle and not active since: line_id, last_activity, batch."""
+    reports = read_changes(spark, folder).filter(F.col("kind").isin(IDLE, ACTIVE))
+    last = F.max(F.struct("batch", "occurred_at", "kind")).alias("last")
+    return (
+        reports.groupBy("line_id").agg(last)
+        .filter(F.col("last.kind") == IDLE)
+        .select("line_id", F.col("last.occurred_at").alias("last_activity"), F.col("last.batch").alias("batch"))
     )
-    return found.join(last.withColumn("batch", F.col("batch").cast("bigint")), [*LINE, "batch"]).drop("batch")
 
 
-def idle(spark: SparkSession, folder: str, as_of: date, days: int) -> DataFrame:
-    """Imported lines without activity for `days` days, from the state so far."""
-    return execution.idle(read_state(spark, folder), as_of, days)
+def idle(
+    spark: SparkSession, folder: str, as_of: date, days: int, checkpoint: str | None = None
+) -> DataFrame:
+    """Imported lines without activity for `days` days before any date, from the state so far."""
+    return execution.idle(read_state(spark, folder, checkpoint), as_of, days)

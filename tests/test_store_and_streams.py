@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -16,6 +17,7 @@ from replenish.operators.demand import RunIds
 from replenish.plans import pipelines
 from replenish.sources.store import ConcurrentWrite, MonthlyStore
 from replenish.streaming import events as streams
+from replenish.streaming import lines
 
 DATA = "/root/testdata/sf0.001"
 
@@ -230,7 +232,8 @@ def test_stream_equals_batch_under_late_repeated_and_unordered_events(spark, tmp
             map(tuple, daily.collect())
         )
     assert sorted(r["dedup_key"] for r in fixes) == ["4", "7"]
-    assert [r["line_id"] for r in streams.idle(spark, out, date(2026, 8, 30), 5).collect()] == ["A", "C"]
+    idle = streams.idle(spark, out, date(2026, 8, 30), 5).collect()
+    assert sorted(r["line_id"] for r in idle) == ["A", "C"]
 
 
 def test_a_repeated_trigger_replaces_itself(spark, tmp_path):
@@ -239,4 +242,77 @@ def test_a_repeated_trigger_replaces_itself(spark, tmp_path):
     for checkpoint in ("c1", "c2"):  # a lost checkpoint starts again with trigger 0
         streams.ingest(read_stream(spark, inbox), out, f"{out}/{checkpoint}").awaitTermination()
     assert streams.read_log(spark, out).count() == 1
-    assert streams.read_state(spark, out).first()["event_count"] == 1
+    assert streams.read_state(spark, out, f"{out}/{checkpoint}").first()["event_count"] == 1
+
+
+def test_climbing_quantities_equal_the_batch_judgement():
+    rng = random.Random(4)
+    for _ in range(200):
+        events = [(rng.randrange(8), str(n), Decimal(rng.randrange(-1, 6))) for n in range(rng.randrange(1, 9))]
+        stairs, lower = [], []
+        for at, key, quantity in events:
+            lower += lines.climb(stairs, at, key, quantity)
+        highest, wanted = Decimal(0), []
+        for event in sorted(events):
+            if event[2] < highest:
+                wanted.append(event)
+            highest = max(highest, event[2])
+        assert sorted(lower) == wanted and sorted(lower + stairs) == sorted(events)
+
+
+def test_idle_reports_equal_the_batch_detector_at_every_trigger(spark, tmp_path):
+    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
+    day = 60 * 24
+    triggers = [  # days after 3 August of the clock, events
+        (0, [event("1", "A", "IMPORTED", "DELTA", 8, 0), event("2", "B", "IMPORTED", "DELTA", 5, 0),
+             event("3", "C", "IMPORTED", "DELTA", 5, -9 * day), event("4", "C", "PREPARED", "DELTA", 5, -8 * day)]),
+        (3, [event("5", "D", "IMPORTED", "CUMULATIVE", 2, 3 * day)]),  # A and B become idle
+        (4, [event("6", "A", "PREPARED", "DELTA", 3, 4 * day), event("7", "B", "PREPARED", "DELTA", 1, 1 * day)]),
+        (9, [event("8", "B", "PREPARED", "DELTA", 4, 9 * day), event("9", "C", "IMPORTED", "DELTA", 1, -7 * day)]),
+        (9, [event("11", "D", "IMPORTED", "DELTA", 1, 4 * day)]),  # late, and idle as before
+        (9, [event("10", "A", "CANCELLED", "DELTA", 1, 9 * day)]),
+    ]
+    seen, reports = [], []
+    for number, (later, rows) in enumerate(triggers):
+        seen += rows
+        clock = datetime(2026, 8, 3, 12) + timedelta(days=later)
+        put(spark, inbox, number, *rows, rows[0])
+        arrived = read_stream(spark, inbox)
+        streams.ingest(
+            arrived, out, clock=F.lit(clock.isoformat()).cast("timestamp"), idle_days=2
+        ).awaitTermination()
+        state = execution.fold(execution.normalize(spark.createDataFrame(seen, schemas.EXECUTION_EVENTS)))
+        wanted = execution.idle(state, clock.date(), 2).select("line_id", "last_activity").collect()
+        found = streams.read_idle(spark, out).select("line_id", "last_activity").collect()
+        assert sorted(map(tuple, found)) == sorted(map(tuple, wanted))
+        reports.append(sorted(r.line_id for r in found))
+    assert reports == [[], ["A", "B"], ["B"], ["A", "C", "D"], ["A", "C", "D"], ["C", "D"]]
+
+
+def test_the_work_of_a_trigger_does_not_grow_with_the_history(spark, tmp_path):
+    """Twenty triggers in one query: every one reads its own rows and writes its own changes."""
+    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rng = random.Random(9)
+    seen = []
+    for number in range(20):
+        rows = [
+            event(f"{number}-{n}", f"L{rng.randrange(6)}", "PREPARED", "CUMULATIVE", rng.randrange(50), rng.randrange(9000))
+            for n in range(10)
+        ]
+        put(spark, inbox, number, *rows, *rng.sample(seen, min(3, len(seen))))
+        seen += rows
+    arrived = spark.readStream.schema(schemas.EXECUTION_EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{inbox}/*")
+    run = streams.ingest(arrived, out)
+    run.awaitTermination()
+    read = [p.numInputRows for p in run.recentProgress if p.numInputRows]
+    assert len(read) == 20 and max(read) <= 13
+    written = streams.read_changes(spark, out).filter("kind = 'EVENT'").groupBy("batch").count().collect()
+    assert [r["count"] for r in written] == [10] * 20
+    events = spark.createDataFrame(seen, schemas.EXECUTION_EVENTS)
+    batch = execution.fold(execution.normalize(events))
+    assert sorted(map(tuple, streams.read_state(spark, out).select(*batch.columns).collect())) == sorted(
+        map(tuple, batch.collect())
+    )
+    wanted = execution.to_delta(events).filter("record_type = 'CORRECTED'").collect()
+    fixes = streams.read_corrections(spark, out).collect()
+    assert sorted(r.dedup_key for r in fixes) == sorted(r.dedup_key for r in wanted)
