@@ -148,9 +148,6 @@ BASE: dict[str, str] = {
             method, coalesce(h,''))) hash
         from hp2""",
     "bd": "select date '2001-08-02' t",
-    "rd": """
-        select cast(lo + cast(394 + 28*n as int) as date) t
-        from hist, unnest(generate_series(0, (hi - lo - 394)//28 - 1)) g(n)""",
     "alldates": """
         select cast(lo + cast(394 + n as int) as date) t
         from hist, unnest(generate_series(0, hi - lo - 394 - 1)) g(n)""",
@@ -160,7 +157,7 @@ BASE: dict[str, str] = {
           sum(observed) over w every_unit
         from hpanel window w as (partition by article_id, branch_id order by sales_date
           rows between 27 preceding and current row)""",
-    "prior": "select max(t) t from rd where t < date '2001-08-02'",
+    "prior": "select date '2001-07-05' t",
 }
 
 
@@ -252,7 +249,7 @@ def _estimate(
     }
 
 
-BASE |= _estimate("est", "bd") | _estimate("rest", "rd")
+BASE |= _estimate("est", "bd")
 BASE |= _estimate("pest", "prior")
 BASE |= _estimate("aest", "alldates", trailing=True)
 BASE |= _estimate("v_recent", "alldates", ("1", "0", "0"), trailing=True)
@@ -260,12 +257,22 @@ BASE |= _estimate("v_other", "alldates", ("0.8", "0.1", "0.2"), trailing=True)
 BASE |= _estimate("v_plain", "alldates", units="observed", trailing=True)
 
 BASE |= {
+    "daily": """
+        select article_id, branch_id, list(hash order by sales_date) hs, min(sales_date) lo
+        from hpanel group by all""",
+    "dayed": """
+        select *, (t-1-lo)::int e, (cast(t-1-interval 1 year as date)-lo)::int y
+        from (select d.t, x.* from alldates d cross join daily x)""",
+    "inputs": """
+        select t, article_id, branch_id, sha256(concat_ws('|', 'scope-1', article_id::varchar,
+          branch_id::varchar, t::varchar, array_to_string(hs[y-26:y+1] || hs[e-54:e+1], ''))) checksum from dayed""",
     "bt": """
         select e.t+1 evaluation_date, e.t origin_date, e.article_id, e.branch_id, e.value predicted,
           cast(coalesce(h.basal,0) as decimal(18,6)) actual, coalesce(h.eligible,false) ok,
           cast(coalesce(h.basal,0)-e.value as decimal(18,6)) err,
-          sha256(concat_ws('|', e.checksum, coalesce(h.hash,''), (e.t+1)::varchar, '1')) checksum
-        from rest e left join hpanel h on h.sales_date=e.t+1 and h.article_id=e.article_id
+          sha256(concat_ws('|', i.checksum, coalesce(h.hash,''), (e.t+1)::varchar, '1')) checksum
+        from aest e join inputs i using (t, article_id, branch_id)
+        left join hpanel h on h.sales_date=e.t+1 and h.article_id=e.article_id
           and h.branch_id=e.branch_id
         where e.status<>'BLOCKED'""",
     "mean28": """
@@ -464,6 +471,10 @@ def _checksum(expression: str) -> str:
     return f"sum(cast('0x'||substr(md5({expression}),1,15) as bigint)::hugeint)::varchar"
 
 
+ERRORS = f"""count(*) cases, {_r('sum(predicted)','predicted_demand')}, {_r('sum(actual)','actual_basal_units')},
+    {_r('sum(err)','error_units')}, {_r('sum(abs(err))','absolute_error_units')},
+    round(sum(cast(err*err as decimal(24,8)))::double,8) squared_error"""
+
 STATE = f"""line_id, {_r('imported', 'imported_quantity', 3)}, {_r('prepared', 'prepared_quantity', 3)},
     {_r('dispatched', 'dispatched_quantity', 3)}, {_r('cancelled', 'cancelled_quantity', 3)}, last_status,
     last_ts::date last_day, n event_count, unknown_n unknown_events"""
@@ -662,12 +673,11 @@ QUERIES: dict[str, str] = {
             count(*) filter (extracted_at is null), {_checksum("article_id||'|'||branch_id")}, null from catalog)
         profiles""",
     "backtest_detail": f"""
-        select evaluation_date, origin_date, 1 horizon_days, article_id, branch_id,
-          {_r('predicted','predicted_demand')}, {_r('actual','actual_basal_units')}, ok eligible_actual,
-          {_r('err','error_units')}, {_r('abs(err)','absolute_error_units')},
-          round(cast(err*err as decimal(24,8))::double,8) squared_error, case when ok then 'VALID' else 'EXCLUDED' end status,
-          case when ok then '' else 'ACTUAL_NOT_SERVICEABLE' end exclusion_codes,
-          checksum input_checksum from bt""",
+        select article_id, branch_id, case when ok then 'VALID' else 'EXCLUDED' end status, {ERRORS},
+          {_checksum("""concat_ws('|', origin_date::varchar, evaluation_date::varchar, predicted::varchar,
+            actual::varchar, err::varchar, case when ok then 'VALID' else 'EXCLUDED' end, '1', ok::varchar,
+            case when ok then '' else 'ACTUAL_NOT_SERVICEABLE' end, checksum)""")} rows_checksum
+        from bt group by all""",
     "backtest_metrics": f"""
         with x as (
           select 'ALL' segment_type, 'ALL' segment_id, {SUMS} from bt where ok
@@ -675,12 +685,17 @@ QUERIES: dict[str, str] = {
           union all select 'BRANCH', branch_id::varchar, {SUMS} from bt where ok group by branch_id)
         select 'model-1' model_version_id, 1 horizon_days, * from ({_metrics('', 'x')})""",
     "backtest_rolling": f"""
-        select e.t business_date, e.t+1 evaluation_date, e.article_id, e.branch_id,
-          {_r('e.value','predicted_demand')}, {_r('coalesce(h.basal,0)','actual_basal_units')},
-          {_r('coalesce(h.basal,0)-e.value','error_units')},
-          case when h.eligible then 'VALID' else 'EXCLUDED' end status
-        from aest e left join hpanel h on h.sales_date=e.t+1 and h.article_id=e.article_id
-          and h.branch_id=e.branch_id where e.status<>'BLOCKED'""",
+        select article_id, branch_id, status, {ERRORS},
+          {_checksum("""concat_ws('|', t::varchar, (t+1)::varchar, predicted::varchar, actual::varchar,
+            err::varchar, status)""")} rows_checksum
+        from (
+          select e.t, e.article_id, e.branch_id, e.value predicted,
+            cast(coalesce(h.basal,0) as decimal(18,6)) actual,
+            cast(coalesce(h.basal,0)-e.value as decimal(18,6)) err,
+            case when h.eligible then 'VALID' else 'EXCLUDED' end status
+          from aest e left join hpanel h on h.sales_date=e.t+1 and h.article_id=e.article_id
+            and h.branch_id=e.branch_id where e.status<>'BLOCKED') x
+        group by all""",
     "model_compare": f"""
         with x as (
           select variant, 'ALL' segment_type, 'ALL' segment_id, {SUMS} from scored group by variant
@@ -725,20 +740,28 @@ QUERIES: dict[str, str] = {
           {_r('sum(units)','units')}, {_r('sum(basal)','basal_units')}, {_r('sum(promo)','promo_units')}
         from enr group by 1""",
     "asof_estimate": f"""
-        select q.t business_date, q.article_id, q.branch_id, e.t estimate_date,
-          e.status estimate_status, {_r('e.value','basal_daily_demand')}
-        from (select distinct t+n t, article_id, branch_id from rd cross join (select unnest([0,11]) n)
-          cross join pairs) q
-        asof join rest e on e.article_id=q.article_id and e.branch_id=q.branch_id and q.t>=e.t""",
+        with q as (
+          select t, article_id, branch_id from alldates cross join pairs
+          union all select cast(m+n as date), article_id, branch_id from (select max(t) m from alldates),
+            (select unnest(range(1,12))::int n), pairs),
+        e as (select * from aest where (date_diff('day', date '1970-01-01', t)+article_id)%5<>0)
+        select q.article_id, q.branch_id, e.status estimate_status, count(*) positions,
+          {_r('sum(e.value)','basal_daily_demand')},
+          {_checksum("concat_ws('|', q.t::varchar, e.t::varchar, e.status)")} rows_checksum
+        from q asof left join e on e.article_id=q.article_id and e.branch_id=q.branch_id and q.t>=e.t
+        group by all""",
     "interval_params": f"""
-        select d.t business_date, p.article_id, p.branch_id, {_r('coalesce(x.lt,w.lt)','lead_time_days')},
-          {_r('coalesce(x.ts,w.ts)','target_stock_days')}, {_r('coalesce(x.os,w.os)','overstock_days')},
-          case when x.lt is not null then 'PAIR' when w.lt is not null then 'ARTICLE' end parameter_level
-        from pairs p cross join rd d
+        select p.article_id, p.branch_id,
+          case when x.lt is not null then 'PAIR' when w.lt is not null then 'ARTICLE' end parameter_level,
+          min(d.t) first_date, max(d.t) last_date, count(*) positions,
+          {_r('sum(coalesce(x.lt,w.lt))','lead_time_days')},
+          {_r('sum(coalesce(x.ts,w.ts))','target_stock_days')}, {_r('sum(coalesce(x.os,w.os))','overstock_days')}
+        from pairs p cross join alldates d
         left join params x on x.article_id=p.article_id and x.branch_id=p.branch_id
           and d.t between x.vf and coalesce(x.vt, date '9999-12-31')
         left join params w on w.article_id=p.article_id and w.branch_id is null
-          and d.t between w.vf and coalesce(w.vt, date '9999-12-31')""",
+          and d.t between w.vf and coalesce(w.vt, date '9999-12-31')
+        group by all""",
     "net_stock": f"""
         select date '2001-08-02' business_date, article_id, branch_id, supplier_id,
           {_r('physical','physical_stock')}, {_r('inbound','direct_po_inbound')},
@@ -1104,7 +1127,7 @@ def _needed(text: str) -> list[str]:
 def statement(name: str) -> str:
     # A statement may contain another one by its name.
     body = re.sub(r"@(\w+)@", lambda found: QUERIES[found[1]], QUERIES[name])
-    kept = {n: " materialized" for n in ("hpanel", "trail")}
+    kept = {n: " materialized" for n in ("hpanel", "trail", "daily", "aest")}
     ctes = ",\n".join(f"{n} as{kept.get(n, '')} ({BASE[n]})" for n in _needed(body))
     return f"{'with ' + ctes if ctes else ''}\nselect * from ({body}) result"
 

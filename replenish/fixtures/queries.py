@@ -126,13 +126,6 @@ class Frames:
     def estimates(self) -> DataFrame:
         return materialise(self.estimate(T))
 
-    @cached_property
-    def rolling_dates(self) -> list[date]:
-        """Every 28 days through the history, once a year of it has passed."""
-        first = self.history.start + timedelta(days=394)
-        count = (self.history.end - first).days // 28
-        return [first + timedelta(days=28 * n) for n in range(count)]
-
     @cached_property
     def every_date(self) -> list[date]:
         """Every day of the history that has a year before it and a day after it."""
@@ -140,8 +133,15 @@ class Frames:
         return [first + timedelta(days=n) for n in range((self.history.end - first).days)]
 
     @cached_property
-    def rolling_estimates(self) -> DataFrame:
-        return demand.rolling(self.history_panel, self.pairs, self.rolling_dates)
+    def backtest(self) -> DataFrame:
+        """The estimates of every day of the history, scored one day ahead."""
+        dates, one = self.every_date, timedelta(days=1)
+        estimates = demand.estimates(self.history_panel, self.pairs, dates, IDS)
+        return materialise(
+            backtest.detail(
+                estimates, self.history_panel, dates[0] + one, dates[-1] + one, IDS, 1
+            )
+        )
 
     @cached_property
     def positions(self) -> DataFrame:
@@ -149,9 +149,7 @@ class Frames:
 
     def build_positions(self) -> DataFrame:
         inputs = fx.position_inputs(self.stock, self.pairs)
-        return position.branch(
-            inputs, self.estimates, fx.parameters(self.spark, self.folder), [T]
-        )
+        return position.branch(inputs, self.estimates, fx.parameters(self.spark, self.folder))
 
     @cached_property
     def items(self) -> DataFrame:
@@ -497,29 +495,31 @@ def source_profile(f: Frames) -> DataFrame:
     )
 
 
-def _backtest_detail(f: Frames) -> DataFrame:
-    """The estimates of every run of the history, scored one day ahead."""
-    dates = f.rolling_dates
-    one = timedelta(days=1)
-    return backtest.detail(
-        demand.estimates(f.history_panel, f.pairs, dates, IDS), f.history_panel,
-        dates[0] + one, dates[-1] + one, IDS, 1,
+def _condensed_errors(rows: DataFrame, day: str, *more: str) -> DataFrame:
+    """Every row counts: sums by pair and status, and a checksum of the rows without an order."""
+    fields = [day, "evaluation_date", "predicted_demand", "actual_basal_units", "error_units", "status", *more]
+    return rows.groupBy(*PAIR, "status").agg(
+        F.count(F.lit(1)).alias("cases"),
+        d(F.sum("predicted_demand"), "predicted_demand"),
+        d(F.sum("actual_basal_units"), "actual_basal_units"),
+        d(F.sum("error_units"), "error_units"),
+        d(F.sum("absolute_error_units"), "absolute_error_units"),
+        d(F.sum("squared_error"), "squared_error", places=8),
+        checksum(F.concat_ws("|", *[F.col(c).cast("string") for c in fields])).cast("string").alias("rows_checksum"),
     )
 
 
 @query
 def backtest_detail(f: Frames) -> DataFrame:
-    return _backtest_detail(f).select(
-        "evaluation_date", "origin_date", "horizon_days", *PAIR, d("predicted_demand"),
-        d("actual_basal_units"), "eligible_actual", d("error_units"), d("absolute_error_units"),
-        d("squared_error", places=8), "status",
-        F.array_join("exclusion_codes", ",").alias("exclusion_codes"), "input_checksum",
+    rows = f.backtest.withColumn("codes", F.array_join("exclusion_codes", ","))
+    return _condensed_errors(
+        rows, "origin_date", "horizon_days", "eligible_actual", "codes", "input_checksum"
     )
 
 
 @query
 def backtest_metrics(f: Frames) -> DataFrame:
-    rows = _backtest_detail(f)
+    rows = f.backtest
     return backtest.metrics(rows, f.history.start, f.history.end).select(
         "model_version_id", "horizon_days", "segment_type", "segment_id", "metric_code",
         d("metric_value"), "sample_size", "zero_actual_count",
@@ -528,10 +528,8 @@ def backtest_metrics(f: Frames) -> DataFrame:
 
 @query
 def backtest_rolling(f: Frames) -> DataFrame:
-    return backtest.rolling(f.history_panel, f.pairs, f.every_date).select(
-        "business_date", "evaluation_date", *PAIR, d("predicted_demand"),
-        d("actual_basal_units"), d("error_units"), "status",
-    )
+    rows = backtest.rolling(f.history_panel, f.pairs, f.every_date)
+    return _condensed_errors(rows, "business_date")
 
 
 @query
@@ -589,30 +587,37 @@ def reconciliation_profile(f: Frames) -> DataFrame:
     )
 
 
+def _every_position(f: Frames, later: int = 0) -> DataFrame:
+    """A position of every pair on every day that has estimates, and some days beyond."""
+    days = F.sequence(F.lit(f.every_date[0]), F.lit(f.every_date[-1] + timedelta(days=later)))
+    return f.pairs.select(*PAIR, "supplier_id", F.explode(days).alias("business_date"))
+
+
 @query
 def asof_estimate(f: Frames) -> DataFrame:
-    """For positions between the estimate dates: the newest estimate before each."""
-    estimates = f.rolling_estimates.withColumns(
+    """The newest estimate before the position of every day; some days have no estimate."""
+    estimates = demand.rolling(f.history_panel, f.pairs, f.every_date).withColumns(
         {"run_id": F.lit("run-1"), "created_at": F.lit("2001-01-01").cast("timestamp_ntz")}
     )
-    asked = [day + timedelta(days=n) for day in f.rolling_dates for n in (0, 11)]
-    positions = f.pairs.select(
-        *PAIR, "supplier_id", F.explode(F.lit(sorted(set(asked)))).alias("business_date")
-    )
-    return position.asof_estimate(positions, estimates).select(
-        "business_date", *PAIR, "estimate_date", "estimate_status", d("basal_daily_demand")
+    left = F.pmod(F.unix_date("business_date") + F.col("article_id"), F.lit(5)) != 0
+    found = position.asof_estimate(_every_position(f, 11), estimates.filter(left))
+    fields = ["business_date", "estimate_date", "estimate_status"]
+    return found.groupBy(*PAIR, "estimate_status").agg(
+        F.count(F.lit(1)).alias("positions"),
+        d(F.sum("basal_daily_demand"), "basal_daily_demand"),
+        checksum(F.concat_ws("|", *[F.col(c).cast("string") for c in fields])).cast("string").alias("rows_checksum"),
     )
 
 
 @query
 def interval_params(f: Frames) -> DataFrame:
-    dates = f.rolling_dates
-    positions = f.pairs.select(*PAIR, F.explode(F.lit(dates)).alias("business_date"))
-    return position.with_parameters(
-        positions, fx.parameters(f.spark, f.folder), dates
-    ).select(
-        "business_date", *PAIR, d("lead_time_days"), d("target_stock_days"), d("overstock_days"),
-        "parameter_level",
+    """The parameters of every pair on every day."""
+    found = position.with_parameters(_every_position(f), fx.parameters(f.spark, f.folder))
+    return found.groupBy(*PAIR, "parameter_level").agg(
+        F.min("business_date").alias("first_date"),
+        F.max("business_date").alias("last_date"),
+        F.count(F.lit(1)).alias("positions"),
+        *[d(F.sum(v), v) for v in position.PARAMETER_VALUES],
     )
 
 
@@ -955,8 +960,8 @@ def events_daily_counts(f: Frames) -> DataFrame:
 
 
 def _current(f: Frames) -> DataFrame:
-    """An older projection: the estimate of the last rolling date before the business date."""
-    day = max(x for x in f.rolling_dates if x < T)
+    """An older projection: the estimate of 28 days before the business date."""
+    day = T - timedelta(days=28)
     older = f.estimate(day)
     return older.filter(F.col("status") != "BLOCKED")
 
@@ -974,7 +979,7 @@ def publish_current(f: Frames) -> DataFrame:
 def publish_staged(f: Frames) -> DataFrame:
     """Two publications through stage, checks and switch; the projection in force."""
     root = scratch(f.spark, "publication")
-    first = f.estimate(max(x for x in f.rolling_dates if x < T))
+    first = f.estimate(T - timedelta(days=28))
     publish.publish(f.spark, root, first, f.pairs, "batch-1")
     publish.publish(f.spark, root, f.estimates, f.pairs, "batch-2")
     return _shown_current(publish.current(f.spark, root))
@@ -1066,7 +1071,7 @@ def quality_broken(f: Frames) -> DataFrame:
             "line_status": _when(a % 2 == 1, F.lit("PARTIAL"), "line_status"),
         }
     )
-    backtest_rows = _backtest_detail(f).withColumns(
+    backtest_rows = f.backtest.withColumns(
         {
             "evaluation_date": _when(a % 4 == 0, F.date_add("evaluation_date", 1), "evaluation_date"),
             "horizon_days": _when(a % 4 == 1, F.lit(0), "horizon_days"),
@@ -1109,7 +1114,7 @@ def declared_duplicates(f: Frames) -> DataFrame:
         "stock_daily": f.stock,
         "sales_daily": f.history_panel.withColumn("scope_version_id", F.lit("scope-1")),
         "demand_estimate": f.estimates,
-        "backtest_detail": _backtest_detail(f),
+        "backtest_detail": f.backtest,
     }
     found = None
     for spec, frame in zip(schemas.TABLES.values(), rows.values()):
@@ -1325,7 +1330,7 @@ def version_history(f: Frames) -> DataFrame:
 def publish_replay(f: Frames) -> DataFrame:
     """Publications that are repeated, rejected and late; the projection in force."""
     root = scratch(f.spark, "replay")
-    older = f.estimate(max(x for x in f.rolling_dates if x < T))
+    older = f.estimate(T - timedelta(days=28))
     publish.publish(f.spark, root, older, f.pairs, "batch-1")
     publish.publish(f.spark, root, f.estimates, f.pairs, "batch-2")
     publish.publish(f.spark, root, f.estimates, f.pairs, "batch-2")

@@ -84,60 +84,70 @@ def window_stats(
     return _fill(scope_pairs.select(*PAIR, "supplier_id").join(per_pair, PAIR, "left"))
 
 
-def dated_window_stats(
+def dated_checksums(
     panel: DataFrame,
     scope_pairs: DataFrame,
     dates: list[date],
+    ids: RunIds,
     params: DemandParams = DemandParams(),
 ) -> DataFrame:
-    """`window_stats` with feature hashes for many business dates in one pass.
+    """The input checksum of every pair and business date: business_date, pair, input_checksum.
 
-    A panel row goes to every date whose windows hold its day: three copies where the dates are as
-    far apart as a window is long. For dates that lie close together use `rolling`, which copies
-    nothing but has no hashes.
+    Each pair holds one array of daily hashes by day number; the windows of a date are slices of
+    it, digested in place. No panel row is copied per date, and nothing but the checksums leaves
+    the pair.
     """
-    spark = panel.sparkSession
-    spans = [
-        (day, role, span.start, span.end)
-        for day in dates
-        for role, span in build(day, **{f"{r}_days": n for r, n in params.lengths.items()}).spans.items()
-    ]
-    served = spark.createDataFrame(
-        spans, "business_date date, role string, first date, last date"
-    ).select("business_date", "role", F.explode(F.sequence("first", "last")).alias("sales_date"))
-    asked = spark.createDataFrame([(day,) for day in dates], "business_date date")
-    units = F.col(params.units_column)
-    usable = F.col("eligible")
-    nonzero = usable & (units > 0)
-    measures = [
-        F.count(F.lit(1)).alias("active_days"),
-        F.count_if(usable).alias("eligible_days"),
-        F.count_if(nonzero).alias("nonzero_days"),
-        F.count_if(usable & _reliable()).alias("promo_reliable_days"),
-        F.sum(F.when(nonzero, units)).alias("nonzero_units"),
-        F.sum(F.when(nonzero, units * units)).alias("nonzero_squares"),
-        F.array_join(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("sales_date", "source_hash"))),
-                lambda r: r["source_hash"],
-            ),
-            "",
-        ).alias("feature_hashes"),
-    ]
-    for role in ROLES:
-        inside = F.col("role") == role
-        measures += [
-            F.count_if(inside).alias(f"{role}_active_days"),
-            F.count_if(inside & usable).alias(f"{role}_eligible_days"),
-            F.sum(F.when(inside & usable, units)).alias(f"{role}_units"),
-        ]
-    # A few days per date: the list of dates bounds the broadcast.
-    rows = panel.filter(
-        F.col("sales_date").between(F.lit(min(s[2] for s in spans)), F.lit(max(s[3] for s in spans)))
-    ).join(F.broadcast(served), "sales_date")
-    per = rows.groupBy("business_date", *PAIR).agg(*measures)
-    marks = scope_pairs.select(*PAIR, "supplier_id").join(F.broadcast(asked))
-    return _fill(marks.join(per, ["business_date", *PAIR], "left"))
+    lengths = params.lengths
+    first, last = min(dates), max(dates)
+    start = build(first, **{f"{r}_days": n for r, n in lengths.items()}).seasonal.start
+    total = (last - start).days
+    day = F.datediff("sales_date", F.lit(start)).cast("int")
+    listed = (
+        panel.filter((F.col("sales_date") >= F.lit(start)) & (F.col("sales_date") < F.lit(last)))
+        .groupBy(*PAIR)
+        .agg(F.array_sort(F.collect_list(F.struct(day.alias("n"), F.col("source_hash").alias("h")))).alias("days"))
+    )
+
+    def gap(length: Column) -> Column:
+        return F.array_repeat(F.lit(None).cast("string"), length)
+
+    end = F.array(F.struct(F.lit(total).alias("n"), F.lit(None).cast("string").alias("h")))
+    following = F.concat(F.slice("days", F.lit(2), F.size("days")), end)
+    filled = F.zip_with(
+        "days", following, lambda x, y: F.concat(F.array(x["h"]), gap(y["n"] - x["n"] - 1))
+    )
+    dense = F.concat(gap(F.col("days")[0]["n"]), F.flatten(filled))
+    hashes = scope_pairs.select(*PAIR).join(listed.select(*PAIR, dense.alias("hashes")), PAIR, "left")
+
+    def checked(asked: Column) -> Column:
+        spans = _dated_spans(asked, lengths)
+
+        def place(name: str) -> Column:
+            return F.datediff(spans[name], F.lit(start)).cast("int") + 1
+
+        used = F.concat(
+            F.slice("hashes", place("seasonal_start"), F.lit(lengths["seasonal"])),
+            F.slice("hashes", place("previous_start"), F.lit(lengths["previous"] + lengths["recent"])),
+        )
+        digest = bar_hash(
+            F.lit(ids.scope_version_id), text("article_id"), text("branch_id"), text(asked),
+            F.coalesce(F.array_join(used, ""), F.lit("")),
+        )
+        return F.struct(asked.alias("business_date"), digest.alias("input_checksum"))
+
+    return hashes.select(*PAIR, F.inline(F.transform(F.lit(sorted(set(dates))), checked)))
+
+
+def _dated_spans(day: Column, lengths: dict[str, int]) -> dict[str, Column]:
+    """The bounds of the windows of a business date; see `windows.build`."""
+    cutoff = F.date_sub(day, 1)
+    ends = {"recent": cutoff, "seasonal": F.add_months(cutoff, -12)}
+    ends["previous"] = F.date_sub(cutoff, lengths["recent"])
+    return {
+        "cutoff": cutoff,
+        **{f"{r}_start": F.date_sub(ends[r], lengths[r] - 1) for r in ROLES},
+        **{f"{r}_end": ends[r] for r in ROLES},
+    }
 
 
 def _fill(stats: DataFrame) -> DataFrame:
@@ -284,12 +294,18 @@ def estimates(
     params: DemandParams = DemandParams(),
     created_at: datetime | None = None,
 ) -> DataFrame:
-    """The estimates of many business dates, each as `estimate` gives it."""
-    windows = {
-        day: build(day, **{f"{r}_days": n for r, n in params.lengths.items()}) for day in dates
-    }
-    stats = dated_window_stats(panel, scope_pairs, dates, params)
-    return _stored(stats.withColumns(_spans(windows, F.col("business_date"))), ids, params, created_at)
+    """The estimates of many business dates, each as `estimate` gives it.
+
+    Evidence comes from running totals, checksums from slices of one array a pair.
+    """
+    totals = rolling_totals(panel, scope_pairs, dates, [params.units_column], params)
+    stats = (
+        of_units(totals, params.units_column)
+        .join(dated_checksums(panel, scope_pairs, dates, ids, params), ["business_date", *PAIR])
+        .join(scope_pairs.select(*PAIR, "supplier_id"), PAIR)
+    )
+    spans = _dated_spans(F.col("business_date"), params.lengths)
+    return _stored(stats.withColumns(spans), ids, params, created_at)
 
 
 def _spans(windows: dict[date, Windows], day: Column) -> dict[str, Column]:
@@ -310,6 +326,8 @@ def _spans(windows: dict[date, Windows], day: Column) -> dict[str, Column]:
 def _stored(
     stats: DataFrame, ids: RunIds, params: DemandParams, created_at: datetime | None
 ) -> DataFrame:
+    if "input_checksum" not in stats.columns:
+        stats = stats.withColumn("input_checksum", input_checksum(ids, F.col("business_date")))
     ready = score(stats, params).withColumns(
         {
             "run_id": F.lit(ids.run_id),
@@ -324,7 +342,6 @@ def _stored(
                 F.lit(params.minimum_recent_eligible_days).alias("minimum_recent_eligible_days"),
                 F.lit(params.minimum_total_eligible_days).alias("minimum_total_eligible_days"),
             ),
-            "input_checksum": input_checksum(ids, F.col("business_date")),
             "created_at": F.lit(created_at or datetime.now()).cast("timestamp_ntz"),
         }
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -53,20 +51,38 @@ def asof_estimate(positions: DataFrame, estimates: DataFrame) -> DataFrame:
     )
 
 
+# Days of a bin of the interval join.
+BIN_DAYS = 64
+
+
+def _bin(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / BIN_DAYS).cast("int")
+
+
 def valid_on(
-    versions: DataFrame, keys: list[str], days: list[date], values: list[str]
+    versions: DataFrame, keys: list[str], asked: DataFrame, values: list[str]
 ) -> DataFrame:
-    """The version of each key that is valid on each of the days; the latest start wins.
+    """The version valid on the day of each asked (business_date, keys); the latest start wins.
 
-    Every version is matched to the days inside its own interval, so the work is linear.
+    An interval join: a version goes into the coarse bins that it covers inside the asked range,
+    and meets the days of a bin there. Versions are not multiplied by days, and neither the plan
+    nor the driver knows the days.
     """
-    inside = F.filter(
-        F.lit(days),
-        lambda d: (d >= F.col("valid_from")) & (F.col("valid_to").isNull() | (d <= F.col("valid_to"))),
+    range_ = asked.agg(F.min("business_date").alias("low"), F.max("business_date").alias("high"))
+    clipped = (
+        versions.select(*keys, *values, "valid_from", "valid_to")
+        .join(F.broadcast(range_))
+        .withColumn("first", F.greatest("valid_from", "low"))
+        .withColumn("last", F.least("valid_to", "high"))
+        .filter("first <= last")
+    )
+    binned = clipped.withColumn("bin", F.explode(F.sequence(_bin(F.col("first")), _bin(F.col("last")))))
+    met = asked.select("business_date", *keys).distinct().withColumn("bin", _bin(F.col("business_date")))
+    inside = met.join(binned.drop("low", "high"), [*keys, "bin"]).filter(
+        F.col("business_date").between(F.col("first"), F.col("last"))
     )
     return (
-        versions.withColumn("business_date", F.explode(inside))
-        .groupBy("business_date", *keys)
+        inside.groupBy("business_date", *keys)
         .agg(latest(F.struct(*values), "valid_from", "valid_to").alias("v"))
         .select("business_date", *keys, "v.*")
     )
@@ -75,15 +91,13 @@ def valid_on(
 PARAMETER_VALUES = ["lead_time_days", "target_stock_days", "overstock_days"]
 
 
-def with_parameters(
-    positions: DataFrame, parameters: DataFrame, days: list[date]
-) -> DataFrame:
+def with_parameters(positions: DataFrame, parameters: DataFrame) -> DataFrame:
     """Parameters valid on the business date: those of the pair, else those of the article."""
     exact = valid_on(
-        parameters.filter(F.col("branch_id").isNotNull()), PAIR, days, PARAMETER_VALUES
+        parameters.filter(F.col("branch_id").isNotNull()), PAIR, positions, PARAMETER_VALUES
     )
     wide = valid_on(
-        parameters.filter(F.col("branch_id").isNull()), ["article_id"], days, PARAMETER_VALUES
+        parameters.filter(F.col("branch_id").isNull()), ["article_id"], positions, PARAMETER_VALUES
     )
     renamed = wide.withColumnsRenamed({v: f"article_{v}" for v in PARAMETER_VALUES})
     pair_level = F.col("lead_time_days").isNotNull()
@@ -123,14 +137,12 @@ def thresholds(rows: DataFrame) -> DataFrame:
     )
 
 
-def branch(
-    inputs: DataFrame, estimates: DataFrame, parameters: DataFrame, days: list[date]
-) -> DataFrame:
+def branch(inputs: DataFrame, estimates: DataFrame, parameters: DataFrame) -> DataFrame:
     """Position of every pair and business date, with its status and the reasons for it.
 
-    `days` are the business dates in `inputs`. A missing required value blocks the line alone.
+    A missing required value blocks the line alone.
     """
-    joined = with_parameters(asof_estimate(inputs, estimates), parameters, days)
+    joined = with_parameters(asof_estimate(inputs, estimates), parameters)
     valued = thresholds(joined.withColumn("net_stock", net_stock()))
     no_estimate = F.col("basal_daily_demand").isNull()
     invalid = (F.col("lead_time_days") <= 0) | (F.col("target_stock_days") < 0)

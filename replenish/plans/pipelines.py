@@ -194,7 +194,7 @@ def close_day(
         )
     )
     positions = materialise(
-        position.branch(inputs.position_inputs, estimates, inputs.parameters, [business_date])
+        position.branch(inputs.position_inputs, estimates, inputs.parameters)
     )
     rounded = needs.automatic(positions, inputs.items)
     under_way = per_pair.select(

@@ -194,3 +194,17 @@ def test_wape_has_no_row_without_actual_demand(spark):
     )
     codes = {r["metric_code"] for r in backtest.metric_table(frame).collect()}
     assert codes == {"MAE", "BIAS", "RMSE"}
+
+
+def test_estimates_of_many_dates_equal_those_of_one(spark, panel, pairs):
+    """Leap days, dates side by side, days that are missing from the panel, pairs without any."""
+    dates = [T + timedelta(days=n) for n in (-40, -1, 0, 1, 2, 30)] + [date(2028, 2, 29), date(2028, 3, 1)]
+    made = datetime(2026, 1, 1)
+    together = demand.estimates(panel, pairs, dates, IDS, created_at=made)
+    found = {(r.business_date, r.article_id): r for r in together.collect()}
+    assert len(found) == len(dates) * pairs.count()
+    for day in dates:
+        for one in demand.estimate(panel, pairs, windows.build(day), IDS, created_at=made).collect():
+            assert found[day, one.article_id] == one
+    plan = demand.dated_checksums(panel, pairs, dates, IDS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and plan.count("LocalRelation") + plan.count("LogicalRDD") <= 2

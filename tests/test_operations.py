@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -71,7 +71,6 @@ def positions(spark):
             (7, 5, 3, 7, 2, date(2026, 1, 1), None),
             (7, 5, 4, 7, 2, date(2026, 6, 1), None),
         ]),
-        [T],
     ).cache()
 
 
@@ -465,3 +464,32 @@ def test_version_history(spark):
     got = by(needs.versions_with_validity(rows, "need_id", ["status"]), "version")
     assert got[1]["superseded_at"] == datetime(2026, 2, 1) and got[1]["before_state"] is None
     assert got[2]["before_state"] == '{"status":"a"}' and got[2]["superseded_at"] is None
+
+
+def test_the_interval_join_knows_no_days_and_equals_a_plain_comparison(spark):
+    import random
+
+    rng = random.Random(2)
+    start = date(2020, 1, 1)
+    versions = []
+    for article in range(6):
+        for n in range(5):
+            low = start + timedelta(days=rng.randrange(900))
+            high = None if n == 4 else low + timedelta(days=rng.randrange(-3, 400))
+            versions.append((article, 5, n + 1, 7, 2, low, high))
+    days = [start + timedelta(days=rng.randrange(-50, 1400)) for _ in range(300)]
+    asked = [(rng.randrange(7), 5, day) for day in days]
+    frame = spark.createDataFrame(asked, "article_id int, branch_id int, business_date date")
+    found = position.valid_on(
+        parameters(spark, versions), ["article_id", "branch_id"], frame, ["lead_time_days"]
+    )
+    wanted = set()
+    for article, branch, day in set(asked):
+        own = [v for v in versions if v[0] == article and v[5] <= day and (v[6] is None or day <= v[6])]
+        if own:
+            best = max(own, key=lambda v: (v[5], v[6] is not None, v[6] or day))
+            wanted.add((day, article, branch, best[2]))
+    rows = found.collect()
+    assert {(r[0], r[1], r[2], int(r[3])) for r in rows} == wanted and len(rows) == len(wanted)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "2020-" not in plan and "2021-" not in plan
