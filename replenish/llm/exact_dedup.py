@@ -132,7 +132,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", salts:
     same = (
         (tagged[digest] == kept[digest])
         & tagged[own].eqNullSafe(kept[keep])
-        & (F.length(F.coalesce(tagged[text].cast("string"), F.lit(""))) == kept[points])
+        & (F.length(F.coalesce(col(text).cast("string"), F.lit(""))) == kept[points])
     )
     return (
         tagged.join(kept, same, "left_semi").dropDuplicates([own, digest]).select(*map(col, docs.columns))

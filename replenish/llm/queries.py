@@ -144,11 +144,8 @@ WITH docs AS (
 ), own AS (
   SELECT r, source, array_to_string(w, ' ') AS n, sum(len(w)) AS words FROM normal
   WHERE len(w) > 0 GROUP BY ALL
-), hosts AS (
-  SELECT source, greatest(floor(count(*) * 0.02), 20) AS most FROM docs GROUP BY ALL
 ), shared AS (
-  SELECT o.source, o.n FROM own o JOIN hosts h ON o.source IS NOT DISTINCT FROM h.source
-  GROUP BY o.source, o.n, h.most HAVING count(*) > h.most
+  SELECT source, n FROM own GROUP BY source, n HAVING count(*) > 20
 ), removed AS (
   SELECT o.r, sum(o.words) AS words FROM own o
   JOIN shared s ON o.source IS NOT DISTINCT FROM s.source AND o.n = s.n GROUP BY o.r
