@@ -258,14 +258,18 @@ BASE |= _estimate("v_plain", "alldates", units="observed", trailing=True)
 
 BASE |= {
     "daily": """
-        select article_id, branch_id, list(hash order by sales_date) hs, min(sales_date) lo
-        from hpanel group by all""",
+        select article_id, branch_id, c, hs || coalesce(lead(hs) over (partition by article_id, branch_id
+          order by c), []) hs
+        from (select article_id, branch_id, ((sales_date-lo)//64)::int c, list(hash order by sales_date) hs
+          from hpanel, hist group by all)""",
     "dayed": """
-        select *, (t-1-lo)::int e, (cast(t-1-interval 1 year as date)-lo)::int y
-        from (select d.t, x.* from alldates d cross join daily x)""",
+        select t, (t-56-lo)::int r, (cast(t-1-interval 1 year as date)-27-lo)::int s from alldates, hist""",
     "inputs": """
         select t, article_id, branch_id, sha256(concat_ws('|', 'scope-1', article_id::varchar,
-          branch_id::varchar, t::varchar, array_to_string(hs[y-26:y+1] || hs[e-54:e+1], ''))) checksum from dayed""",
+          branch_id::varchar, t::varchar,
+          array_to_string(x.hs[s%64+1:s%64+28] || y.hs[r%64+1:r%64+56], ''))) checksum
+        from dayed d join daily x on x.c=s//64 join daily y using (article_id, branch_id)
+        where y.c=r//64""",
     "bt": """
         select e.t+1 evaluation_date, e.t origin_date, e.article_id, e.branch_id, e.value predicted,
           cast(coalesce(h.basal,0) as decimal(18,6)) actual, coalesce(h.eligible,false) ok,
@@ -1127,7 +1131,7 @@ def _needed(text: str) -> list[str]:
 def statement(name: str) -> str:
     # A statement may contain another one by its name.
     body = re.sub(r"@(\w+)@", lambda found: QUERIES[found[1]], QUERIES[name])
-    kept = {n: " materialized" for n in ("hpanel", "trail", "daily", "aest")}
+    kept = {n: " materialized" for n in ("hpanel", "trail", "daily")}
     ctes = ",\n".join(f"{n} as{kept.get(n, '')} ({BASE[n]})" for n in _needed(body))
     return f"{'with ' + ctes if ctes else ''}\nselect * from ({body}) result"
 

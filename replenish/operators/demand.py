@@ -20,6 +20,7 @@ from replenish.functions.exprs import (
     text,
 )
 from replenish.functions.windows import Windows, build
+from replenish.operators.scale import spread
 from replenish.params import ORIGIN_ID, DemandParams
 from replenish.schemas import DEMAND_ESTIMATE
 
@@ -84,6 +85,10 @@ def window_stats(
     return _fill(scope_pairs.select(*PAIR, "supplier_id").join(per_pair, PAIR, "left"))
 
 
+# Characters of the hash of a panel row (hexadecimal SHA-256).
+HASH_WIDTH = 64
+
+
 def dated_checksums(
     panel: DataFrame,
     scope_pairs: DataFrame,
@@ -93,17 +98,19 @@ def dated_checksums(
 ) -> DataFrame:
     """The input checksum of every pair and business date: business_date, pair, input_checksum.
 
-    Each pair holds one array of daily hashes by day number; the windows of a date are slices of
-    it, digested in place. No panel row is copied per date, and nothing but the checksums leaves
-    the pair.
+    Each pair holds its daily hashes as one run of bytes, HASH_WIDTH a day and blank where there is
+    none; the windows of a date are two ranges of it, digested in place. No panel row is copied per
+    date, and nothing but the checksums leaves the pair.
     """
     lengths = params.lengths
     first, last = min(dates), max(dates)
     start = build(first, **{f"{r}_days": n for r, n in lengths.items()}).seasonal.start
     total = (last - start).days
     day = F.datediff("sales_date", F.lit(start)).cast("int")
+    # The dates multiply the work of a pair after this shuffle, so small partitions stay apart.
+    used = panel.filter((F.col("sales_date") >= F.lit(start)) & (F.col("sales_date") < F.lit(last)))
     listed = (
-        panel.filter((F.col("sales_date") >= F.lit(start)) & (F.col("sales_date") < F.lit(last)))
+        spread(used.select(*PAIR, "sales_date", "source_hash"), *PAIR)
         .groupBy(*PAIR)
         .agg(F.array_sort(F.collect_list(F.struct(day.alias("n"), F.col("source_hash").alias("h")))).alias("days"))
     )
@@ -117,21 +124,24 @@ def dated_checksums(
         "days", following, lambda x, y: F.concat(F.array(x["h"]), gap(y["n"] - x["n"] - 1))
     )
     dense = F.concat(gap(F.col("days")[0]["n"]), F.flatten(filled))
-    hashes = scope_pairs.select(*PAIR).join(listed.select(*PAIR, dense.alias("hashes")), PAIR, "left")
+    wide = F.transform(dense, lambda h: F.rpad(F.coalesce(h, F.lit("")), HASH_WIDTH, " "))
+    listed = listed.select(*PAIR, F.array_join(wide, "").cast("binary").alias("hashes"))
+    hashes = scope_pairs.select(*PAIR).join(listed, PAIR, "left")
 
     def checked(asked: Column) -> Column:
         spans = _dated_spans(asked, lengths)
 
-        def place(name: str) -> Column:
-            return F.datediff(spans[name], F.lit(start)).cast("int") + 1
+        def part(name: str, days: int) -> Column:
+            place = F.datediff(spans[name], F.lit(start)).cast("int") * HASH_WIDTH + 1
+            return F.substring("hashes", place, F.lit(days * HASH_WIDTH))
 
         used = F.concat(
-            F.slice("hashes", place("seasonal_start"), F.lit(lengths["seasonal"])),
-            F.slice("hashes", place("previous_start"), F.lit(lengths["previous"] + lengths["recent"])),
+            part("seasonal_start", lengths["seasonal"]),
+            part("previous_start", lengths["previous"] + lengths["recent"]),
         )
+        plain = F.replace(F.coalesce(used.cast("string"), F.lit("")), F.lit(" "), F.lit(""))
         digest = bar_hash(
-            F.lit(ids.scope_version_id), text("article_id"), text("branch_id"), text(asked),
-            F.coalesce(F.array_join(used, ""), F.lit("")),
+            F.lit(ids.scope_version_id), text("article_id"), text("branch_id"), text(asked), plain
         )
         return F.struct(asked.alias("business_date"), digest.alias("input_checksum"))
 
