@@ -640,11 +640,29 @@ QUERIES: dict[str, str] = {
     "network_fallback": f"""
         select e.article_id, e.branch_id,
           case when e.blocked and p.n>=3 then 'WARN' else e.status end status,
-          case when e.blocked and p.n>=3 then 'SKU_NETWORK_SHRINKAGE' else method_code end method_code,
+          case when e.blocked and p.n>=3 then 'SKU_NETWORK_MEAN' else method_code end method_code,
           cast(case when e.blocked and p.n>=3 then 3 else fallback end as int) fallback_level,
           {_r("case when e.blocked and p.n>=3 then p.total::double/p.n else value end",'basal_daily_demand')}
         from est e left join (select article_id, count(*) n, sum(value) total from est
           where status in ('OK','WARN') group by 1) p using (article_id)""",
+    "network_shrinkage": f"""
+        with ev as (
+          select article_id, branch_id, count(*) n, sum(u)::double s, sum(u*u)::double q from est_j
+          where eligible group by all),
+        k as (select e.*, ev.n, ev.s, ev.q from est e left join ev using (article_id, branch_id)),
+        sums as (
+          select article_id, count(*) b, sum(n)::double n, sum(n*n)::double n2, sum(s) s, sum(q) q, sum(s*s/n) r
+          from k where status in ('OK','WARN') and n>0 group by 1 having count(*)>=3),
+        w as (select *, greatest(coalesce((q-r)/nullif(n-b,0),0),0) wi from sums),
+        art as (select article_id, s/n mu, wi, greatest(((r-s*s/n)/(b-1)-wi)/((n-n2/n)/(b-1)),0) bt from w),
+        j as (
+          select k.*, mu, case when k.n>0 and bt>0 then bt/(bt+wi/k.n) else 0 end own, blocked and mu is not null borrow
+          from k left join art using (article_id))
+        select article_id, branch_id, case when borrow then 'WARN' else status end status,
+          case when borrow then 'SKU_NETWORK_SHRINKAGE' else method_code end method_code,
+          cast(case when borrow then 3 else fallback end as int) fallback_level,
+          {_r("case when borrow then own*coalesce(s/n,0)+(1-own)*mu else value end",'basal_daily_demand')}
+        from j""",
     "freshness_gate": """
         select hi raw_sales_date, (select max(sales_date) from enr) enriched_sales_date,
           (select max(least(last_day(m), case when year(m)=2001 and month(m)=8 then date '2001-08-01'

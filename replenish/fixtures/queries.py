@@ -467,6 +467,14 @@ def network_fallback(f: Frames) -> DataFrame:
     )
 
 
+@query
+def network_shrinkage(f: Frames) -> DataFrame:
+    return demand.network_shrinkage(f.estimates, demand.window_evidence(f.panel, W)).select(
+        *PAIR, "status", "method_code", F.col("fallback_level").cast("int").alias("fallback_level"),
+        d("basal_daily_demand"),
+    )
+
+
 @query
 def freshness_gate(f: Frames) -> DataFrame:
     return freshness.read(f.raw, f.enriched, f.wide, f.stock)

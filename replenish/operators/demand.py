@@ -489,7 +489,8 @@ def trailing_mean(panel: DataFrame, days: int = 28, units: str = "observed_units
 
 
 def network_fallback(estimates: DataFrame, minimum_branches: int = 3) -> DataFrame:
-    """Optional: give a blocked pair the mean estimate of the same article in other branches.
+    """Optional and plainer than `network_shrinkage`: give a blocked pair the mean estimate of the
+    same article in other branches.
 
     Not part of the default run. Pairs whose article has fewer than `minimum_branches` usable
     estimates stay blocked. A borrowed estimate is always a warning.
@@ -509,6 +510,77 @@ def network_fallback(estimates: DataFrame, minimum_branches: int = 3) -> DataFra
     changed = {
         "raw_demand": F.when(borrow, mean).otherwise(F.col("raw_demand")),
         "basal_daily_demand": F.when(borrow, mean).otherwise(F.col("basal_daily_demand")),
+        "method_code": F.when(borrow, "SKU_NETWORK_MEAN").otherwise(F.col("method_code")),
+        "fallback_level": F.when(borrow, F.lit(3).cast("smallint")).otherwise(
+            F.col("fallback_level")
+        ),
+        "status": F.when(borrow, "WARN").otherwise(F.col("status")),
+    }
+    return joined.withColumns(changed).select(*estimates.columns)
+
+
+def window_evidence(
+    panel: DataFrame, windows: Windows, params: DemandParams = DemandParams()
+) -> DataFrame:
+    """Eligible days of the windows with their units and squares, per pair that has any."""
+    units = F.col(params.units_column)
+    return (
+        panel.filter(windows.holds(F.col("sales_date")) & F.col("eligible"))
+        .groupBy(*PAIR)
+        .agg(
+            F.count(F.lit(1)).alias("evidence_days"),
+            F.sum(units).cast("double").alias("evidence_units"),
+            F.sum(units * units).cast("double").alias("evidence_squares"),
+        )
+    )
+
+
+def network_shrinkage(
+    estimates: DataFrame, evidence: DataFrame, minimum_branches: int = 3
+) -> DataFrame:
+    """Optional: give a blocked pair its own daily mean, shrunk towards that of its article.
+
+    The usable branches of an article give its mean, the variance of days within a branch and, by
+    the sums of squares of an analysis of variance, the variance between branches. The own mean
+    counts with between / (between + within / days): little where there are few days or where
+    branches are alike, and nothing without a day. One pass of sums per article; not part of the
+    default run. Pairs whose article has fewer than `minimum_branches` usable branches stay blocked.
+    A shrunk estimate is always a warning.
+    """
+    keys = ["business_date", "run_id", "article_id"]
+    known = estimates.join(evidence, PAIR, "left")
+    n, s, q = (F.col(f"evidence_{x}") for x in ("days", "units", "squares"))
+    peers = (
+        known.filter(F.col("status").isin("OK", "WARN") & (n > 0))
+        .groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("peers"),
+            F.sum(n).cast("double").alias("n"),
+            F.sum(n * n).cast("double").alias("n2"),
+            F.sum(s).alias("s"),
+            F.sum(q).alias("q"),
+            F.sum(s * s / n).alias("r"),
+        )
+        .filter(F.col("peers") >= max(minimum_branches, 2))
+    )
+    apart = F.col("peers") - 1
+    within = F.coalesce(
+        F.greatest(F.try_divide(F.col("q") - F.col("r"), F.col("n") - F.col("peers")), F.lit(0.0)), F.lit(0.0)
+    )
+    spread_ = (F.col("r") - F.col("s") * F.col("s") / F.col("n")) / apart - F.col("within")
+    between = F.greatest(spread_ / ((F.col("n") - F.col("n2") / F.col("n")) / apart), F.lit(0.0))
+    articles = peers.withColumn("within", within).select(
+        *keys, (F.col("s") / F.col("n")).alias("article_mean"), "within", between.alias("between")
+    )
+    joined = known.join(articles, keys, "left")
+    own = F.when(
+        (n > 0) & (F.col("between") > 0), F.col("between") / (F.col("between") + F.col("within") / n)
+    ).otherwise(F.lit(0.0))
+    value = dec(own * F.coalesce(s / n, F.lit(0.0)) + (F.lit(1.0) - own) * F.col("article_mean"))
+    borrow = (F.col("status") == "BLOCKED") & F.col("article_mean").isNotNull()
+    changed = {
+        "raw_demand": F.when(borrow, value).otherwise(F.col("raw_demand")),
+        "basal_daily_demand": F.when(borrow, value).otherwise(F.col("basal_daily_demand")),
         "method_code": F.when(borrow, "SKU_NETWORK_SHRINKAGE").otherwise(F.col("method_code")),
         "fallback_level": F.when(borrow, F.lit(3).cast("smallint")).otherwise(
             F.col("fallback_level")

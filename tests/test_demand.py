@@ -156,6 +156,41 @@ def test_network_fallback_needs_enough_peers(spark):
     assert got[2, 9]["status"] == "BLOCKED"
 
 
+def shrunk(spark, peers, blocked):
+    """Estimates of an article from the daily units of its branches: value and status by branch."""
+    frame = spark.createDataFrame(
+        [(T, "run", a, b, status, None) for a, b, status, _ in peers + blocked],
+        "business_date date, run_id string, article_id int, branch_id int, status string, "
+        "basal_daily_demand decimal(18,6)",
+    ).withColumns({
+        "raw_demand": F.col("basal_daily_demand"), "method_code": F.lit("x"),
+        "fallback_level": F.lit(9).cast("smallint"),
+    })
+    rows = [
+        (W.recent.end - timedelta(days=n), a, b, Decimal(u), Decimal(u), True, 1, "ENRICHED", "h")
+        for a, b, _, units in peers + blocked for n, u in enumerate(units)
+    ]
+    evidence = demand.window_evidence(spark.createDataFrame(rows, PANEL), W)
+    found = demand.network_shrinkage(frame, evidence).collect()
+    return {(r.article_id, r.branch_id): r for r in found}
+
+
+def test_shrinkage_by_hand(spark):
+    """Branch means 2, 4 and 9 over four days each: within 2/3, between (104/2 - 2/3) / 4."""
+    peers = [(1, 1, "OK", (1, 3, 2, 2)), (1, 2, "WARN", (4, 4, 3, 5)), (1, 3, "OK", (9, 8, 10, 9)),
+             (2, 1, "OK", (5, 5)), (2, 2, "OK", (5, 5)), (2, 3, "OK", (5, 5)),
+             (3, 1, "OK", (1, 2)), (3, 2, "OK", (1, 3))]
+    blocked = [(1, 8, "BLOCKED", (10, 12)), (1, 9, "BLOCKED", ()), (2, 9, "BLOCKED", (50,)), (3, 9, "BLOCKED", (1,))]
+    got = shrunk(spark, peers, blocked)
+    between, within = (104 / 2 - 2 / 3) / 4, 2 / 3
+    weight = between / (between + within / 2)
+    assert float(got[1, 8].basal_daily_demand) == pytest.approx(weight * 11 + (1 - weight) * 5, abs=1e-6)
+    assert got[1, 9].basal_daily_demand == 5 and got[1, 9].method_code == "SKU_NETWORK_SHRINKAGE"
+    assert got[2, 9].basal_daily_demand == 5  # branches are alike: nothing of its own
+    assert got[3, 9].status == "BLOCKED" and got[3, 9].basal_daily_demand is None  # too few branches
+    assert got[1, 8].status == "WARN" and got[1, 1].status == "OK" and got[1, 8].fallback_level == 3
+
+
 def test_backtest_scores_newest_estimate(spark, panel, pairs):
     old = demand.estimate(panel, pairs, W, IDS, created_at=datetime(2026, 8, 3, 1))
     new = demand.estimate(
