@@ -1094,10 +1094,11 @@ QUERIES: dict[str, str] = {
         union all select 'wide_stock', count(*), sum(article_id::bigint*branch_id)::bigint from (
           select distinct article_id, branch_id, year(stock_date) y, month(stock_date) m from stock_all)""",
     "sales_upsert": f"""
-        select p.article_id, p.branch_id, 28::bigint "days", {_r('coalesce(max(x.u),0)','observed_units')}
+        select p.article_id, p.branch_id, (select (hi-lo+1)::bigint from hist) "days",
+          {_r('coalesce(max(x.u),0)','observed_units')}
         from pairs p left join (
           select article_id, branch_id, sum(greatest(units+case when article_id%4=0 then 1 else 0 end,0)) u
-          from raw where sales_date between date '2001-07-05' and date '2001-08-01' group by 1, 2) x
+          from raw group by 1, 2) x
           on x.article_id=p.article_id and x.branch_id=p.branch_id
         group by all""",
     "store_retention": """

@@ -1189,9 +1189,9 @@ def reader_round_trip(f: Frames) -> DataFrame:
 
 @query
 def sales_upsert(f: Frames) -> DataFrame:
-    """The recent window loaded into the stored panel, then loaded again with corrected sales."""
+    """The history loaded into the stored panel, then loaded again with corrected sales."""
     store = MonthlyStore(f.spark, scratch(f.spark, "store"))
-    span = W.recent
+    span = f.history
     inputs = pipelines.Inputs(f.catalog, f.raw, f.enriched, f.wide)
     pipelines.load_stock(store, inputs, span.start, span.end)
     pipelines.load_sales(store, inputs, span.start, span.end, "scope-1")
