@@ -604,6 +604,25 @@ QUERIES: dict[str, str] = {
           {_r('sum(basal)','basal_units')}, {_r('sum(promo)','promo_units')},
           sum(cast('0x'||substr(md5(hash),1,15) as bigint)::hugeint)::varchar panel_checksum
         from hpanel group by all""",
+    "panel_by_bloom": "select * from (@panel_history@)",
+    "reconcile_versions": f"""
+        with later as (
+          select sales_date, article_id, branch_id, availability,
+            observed + case when article_id%5=0 and day(sales_date)=3 then 1 else 0 end observed
+          from hpanel where not (article_id%7=0 and day(sales_date)=11)
+          union all
+          select sales_date, article_id, branch_id+100, availability, observed
+          from hpanel where article_id%9=0 and day(sales_date)=20)
+        select coalesce(o.sales_date, n.sales_date) sales_date,
+          coalesce(o.article_id, n.article_id) article_id, coalesce(o.branch_id, n.branch_id) branch_id,
+          case when n.article_id is null then 'MISSING_IN_STAGE'
+            when o.article_id is null then 'MISSING_IN_SOURCE' else 'DIFFERENT' end difference,
+          (o.article_id is not null)::bigint source_rows, (n.article_id is not null)::bigint stage_rows,
+          {_r('o.observed','source_units')}, {_r('n.observed','stage_units')}
+        from hpanel o full join later n on n.sales_date=o.sales_date and n.article_id=o.article_id
+          and n.branch_id=o.branch_id
+        where o.article_id is null or n.article_id is null or n.observed<>o.observed
+          or n.availability<>o.availability""",
     "availability_matrix": """
         select observed>0 has_sale, case when q is null then 'ABSENT' when q>0 then 'POSITIVE'
             when q=0 then 'ZERO' else 'NEGATIVE' end stock_state,

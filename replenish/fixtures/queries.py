@@ -29,6 +29,7 @@ from replenish.operators import (
     promo,
     publish,
     quality,
+    reconcile,
     scope,
     stock,
 )
@@ -387,10 +388,8 @@ def sales_panel(f: Frames) -> DataFrame:
     )
 
 
-@query
-def panel_history(f: Frames) -> DataFrame:
-    """The whole dense panel, condensed per pair."""
-    return f.build_panel([f.history]).groupBy(*PAIR).agg(
+def _condensed_panel(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*PAIR).agg(
         F.count(F.lit(1)).alias("days"),
         F.count_if("eligible").alias("eligible_days"),
         d(F.sum("observed_units"), "observed_units"),
@@ -401,6 +400,20 @@ def panel_history(f: Frames) -> DataFrame:
     )
 
 
+@query
+def panel_history(f: Frames) -> DataFrame:
+    """The whole dense panel, condensed per pair."""
+    return _condensed_panel(f.build_panel([f.history]))
+
+
+@query
+def panel_by_bloom(f: Frames) -> DataFrame:
+    """The same panel as for a scope that is too large to broadcast."""
+    return _condensed_panel(
+        panel.build(f.pairs, f.raw, f.enriched, f.stock, f.history, limit=0)
+    )
+
+
 @query
 def availability_matrix(f: Frames) -> DataFrame:
     stock_state = (
@@ -993,6 +1006,27 @@ def publish_staged(f: Frames) -> DataFrame:
     return _shown_current(publish.current(f.spark, root))
 
 
+@query
+def reconcile_versions(f: Frames) -> DataFrame:
+    """The whole panel against a version that lacks some rows and has others changed or added."""
+    a, b, day = F.col("article_id"), F.col("branch_id"), F.dayofmonth("sales_date")
+    rows = f.history_panel.select("sales_date", *PAIR, "observed_units", "availability_status")
+    later = rows.filter(~((a % 7 == 0) & (day == 11))).withColumn(
+        "observed_units", F.when((a % 5 == 0) & (day == 3), F.col("observed_units") + 1)
+        .otherwise(F.col("observed_units")),
+    )
+    added = rows.filter((a % 9 == 0) & (day == 20)).withColumn("branch_id", b + 100)
+    found = reconcile.differences(
+        rows, materialise(later.unionByName(added)), ["sales_date", *PAIR],
+        ["observed_units", "availability_status"],
+    )
+    return found.select(
+        "sales_date", *PAIR, "difference", "source_rows", "stage_rows",
+        d(F.col("source.observed_units"), "source_units"),
+        d(F.col("stage.observed_units"), "stage_units"),
+    )
+
+
 @query
 def retire_pairs(f: Frames) -> DataFrame:
     return publish.retired(_current(f), f.later_pairs).select(*PAIR, "status")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from replenish.functions.exprs import any_of, bar_hash, codes, dec, num, text, text_or_blank
 from replenish.functions.windows import Span, check_range, days_between
-from replenish.operators.scale import BROADCAST_ROWS, is_bounded, spread
+from replenish.operators.scale import BROADCAST_ROWS, Bloom, bloom, is_bounded, spread
 
 KEY = ["sales_date", "article_id", "branch_id"]
 PAIR = ["article_id", "branch_id"]
@@ -20,17 +20,20 @@ def in_days(stamp: str, start: date, end: date) -> Column:
     return (F.col(stamp) >= F.lit(start)) & (F.col(stamp) < F.lit(end + timedelta(days=1)))
 
 
-def scope_filter(scope_pairs: DataFrame) -> DataFrame | None:
-    """The pair keys for a map-side filter, or None where they are too many to broadcast.
+def scope_filter(scope_pairs: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame | Bloom | None:
+    """What keeps the sales of a scope on the map side: the pair keys, or their Bloom filter where
+    they are too many to broadcast.
 
-    A larger scope is left to the panel's own join, after the rows have been aggregated: a shuffle
-    of raw rows by pair would be the costlier way.
+    The Bloom filter lets a few other pairs through, which the panel's own join drops. None is for
+    a scope beyond that as well; a shuffle of raw rows by pair would be the costlier way.
     """
     keys = scope_pairs.select(*PAIR)
-    return F.broadcast(keys) if is_bounded(keys, BROADCAST_ROWS) else None
+    return F.broadcast(keys) if is_bounded(keys, limit) else bloom(keys, PAIR)
 
 
-def _of_scope(sales: DataFrame, keys: DataFrame | None) -> DataFrame:
+def _of_scope(sales: DataFrame, keys: DataFrame | Bloom | None) -> DataFrame:
+    if isinstance(keys, Bloom):
+        return keys.keep(sales)
     return sales if keys is None else sales.join(keys, PAIR, "left_semi")
 
 
@@ -39,7 +42,7 @@ def _flag(name: str) -> Column:
 
 
 def raw_daily(
-    raw_sales: DataFrame, start: date, end: date, keys: DataFrame | None = None
+    raw_sales: DataFrame, start: date, end: date, keys: DataFrame | Bloom | None = None
 ) -> DataFrame:
     """Price-grain sales rolled up to a day; returns are kept apart from demand."""
     check_range(start, end)
@@ -81,7 +84,7 @@ def raw_daily(
 
 
 def enriched_daily(
-    enriched: DataFrame, start: date, end: date, keys: DataFrame | None = None
+    enriched: DataFrame, start: date, end: date, keys: DataFrame | Bloom | None = None
 ) -> DataFrame:
     """Promotion-split sales rolled up to a day."""
     check_range(start, end)
@@ -175,11 +178,13 @@ def build(
     enriched: DataFrame,
     stock: DataFrame,
     spans: list[Span] | Span,
+    limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """One classified row per pair and day of the spans, days without a sale included.
 
     Sales are aggregated to the day before any join, by the very key the joins use: the joins
-    then meet unique keys and reuse the partitioning of the aggregates.
+    then meet unique keys and reuse the partitioning of the aggregates. A scope of more than `limit`
+    pairs filters the sales by its Bloom filter.
     """
     spans = [spans] if isinstance(spans, Span) else spans
     start, end = min(s.start for s in spans), max(s.end for s in spans)
@@ -190,7 +195,7 @@ def build(
     def in_spans(rows: DataFrame, stamp: str) -> DataFrame:
         return rows.filter(any_of(*[in_days(stamp, s.start, s.end) for s in spans]))
 
-    keys = scope_filter(scope_pairs)
+    keys = scope_filter(scope_pairs, limit)
     raw = raw_daily(in_spans(raw_sales, "sales_ts"), start, end, keys)
     extra = enriched_daily(in_spans(enriched, "sales_ts"), start, end, keys)
     shelf = stock.filter(wanted(F.col("stock_date"))).select(

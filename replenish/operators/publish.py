@@ -20,10 +20,12 @@ from pyspark.sql.types import (
 from pyspark.sql.utils import AnalysisException
 
 from replenish.functions.exprs import checksum, codes, latest
+from replenish.operators import reconcile
 from replenish.schemas import DEMAND_ESTIMATE
 
 PAIR = ["article_id", "branch_id"]
 CHECKED = ["business_date", *PAIR, "status", "basal_daily_demand", "input_checksum"]
+CHECKED_VALUES = [c for c in CHECKED if c not in PAIR]
 STAGED = [f.name for f in DEMAND_ESTIMATE]
 
 RUN = StructType(
@@ -62,22 +64,6 @@ def control_totals(estimates: DataFrame) -> DataFrame:
     )
 
 
-def reconcile(source: DataFrame, stage: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Keys that are missing on one side or differ in a value."""
-    left = source.select(*keys, F.struct(*values).alias("source"))
-    right = stage.select(*keys, F.struct(*values).alias("stage"))
-    return (
-        left.join(right, keys, "full_outer")
-        .withColumn(
-            "difference",
-            F.when(F.col("stage").isNull(), "MISSING_IN_STAGE")
-            .when(F.col("source").isNull(), "MISSING_IN_SOURCE")
-            .when(~F.col("source").eqNullSafe(F.col("stage")), "DIFFERENT"),
-        )
-        .filter(F.col("difference").isNotNull())
-    )
-
-
 def outside_scope(rows: DataFrame, scope_pairs: DataFrame) -> DataFrame:
     """Rows whose pair is not part of the scope."""
     return rows.join(scope_pairs.select(*PAIR), PAIR, "left_anti")
@@ -105,6 +91,21 @@ def retired(current: DataFrame, scope_pairs: DataFrame) -> DataFrame:
     return outside_scope(current, scope_pairs)
 
 
+def unexplained(before: DataFrame, stage: DataFrame, after: DataFrame) -> DataFrame:
+    """Rows of the projection that changed but are not what was staged for their pair.
+
+    The projection is compared with the one in force by their trees, so only pairs that changed
+    meet their staged rows.
+    """
+    changed = reconcile.differences(before, after, PAIR, CHECKED_VALUES).filter("stage_rows > 0")
+    wanted = stage.select(*PAIR, F.struct(*CHECKED_VALUES).alias("wanted"))
+    return (
+        changed.join(wanted, PAIR, "left")
+        .filter((F.col("stage_rows") > 1) | ~F.col("stage").eqNullSafe(F.col("wanted")))
+        .select(*PAIR, "stage", "wanted")
+    )
+
+
 def _read(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
     try:
         return spark.read.schema(schema).format(fmt).load(path)
@@ -265,7 +266,13 @@ def publish(
         return {"rows": found["rows"], "retired": 0}
     before = current(spark, root)
     leaving = retired(before, scope_pairs).count()
-    next_current(before, stage, scope_pairs).write.parquet(f"{root}/current/{batch_id}/{attempt}")
+    switched = f"{root}/current/{batch_id}/{attempt}"
+    next_current(before, stage, scope_pairs).write.parquet(switched)
+    after = spark.read.schema(DEMAND_ESTIMATE).parquet(switched)
+    wrong = unexplained(before, stage, after)
+    if not wrong.isEmpty():
+        record("FAILED", found["rows"], total)
+        raise PublicationRejected(f"batch {batch_id}: rows of the projection without a source")
     record("PUBLISHED", found["rows"], total)
     return {"rows": found["rows"], "retired": leaving}
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import contextlib
+import math
 import tempfile
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +113,64 @@ def keep_matching(
     return large.join(wanted, on, "left_semi")
 
 
+# A Bloom filter has 16 bits a key in words of 64 bits, up to 16 MB; a key sets 4 bits of one word.
+BLOOM_BITS_PER_KEY = 16
+BLOOM_WORDS = 1 << 21
+_BLOOM_PROBES = 4
+
+
+@dataclass(frozen=True)
+class Bloom:
+    """A key set in so few bytes that every task can hold it: one row with an array of words.
+
+    It keeps all rows whose keys are in the set and a few others, so an exact join has to follow.
+    """
+
+    words: DataFrame
+    size: int
+    types: dict[str, str]
+
+    def keep(self, rows: DataFrame) -> DataFrame:
+        """A filter right above the scan: one array access a row, in generated code."""
+        place, mask = _bloom_bits(self.types, self.size)
+        return rows.filter(F.get(self.words.scalar(), place).bitwiseAND(mask) == mask)
+
+
+def _bloom_bits(types: dict[str, str], size: int) -> tuple[Column, Column]:
+    """The word of a key and the bits it sets there."""
+    keys = [col(k).cast(t) for k, t in types.items()]
+    place = F.pmod(F.xxhash64(F.lit("word"), *keys), F.lit(size)).cast("int")
+    bits, mask = F.xxhash64(F.lit("bits"), *keys), None
+    for n in range(_BLOOM_PROBES):
+        at = F.shiftrightunsigned(bits, 6 * n).bitwiseAND(F.lit(63)).cast("int")
+        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), at)
+        mask = one if mask is None else mask.bitwiseOR(one)
+    return place, mask
+
+
+def bloom(keys: DataFrame, on: list[str]) -> Bloom | None:
+    """The filter of a key set, or None for so many keys that it would keep nearly every row.
+
+    It is built by one aggregate, map-side combined; the only task that holds it whole holds
+    BLOOM_WORDS words at most.
+    """
+    types = {k: dict(keys.dtypes)[k] for k in on}
+    wanted = max(math.ceil(keys.count() * BLOOM_BITS_PER_KEY / 64), 1)
+    if wanted > 4 * BLOOM_WORDS:
+        return None
+    size = min(1 << (wanted - 1).bit_length(), BLOOM_WORDS)
+    place, mask = _bloom_bits(types, size)
+    used = keys.select(place.cast("bigint").alias("id"), mask.alias("mask")).groupBy("id").agg(
+        F.bit_or("mask").alias("mask")
+    )
+    every = keys.sparkSession.range(size).join(used, "id", "left")
+    pair = F.struct("id", F.coalesce("mask", F.lit(0).cast("bigint")).alias("mask"))
+    words = every.agg(F.array_sort(F.collect_list(pair)).alias("pairs")).select(
+        F.col("pairs.mask").alias("words")
+    )
+    return Bloom(materialise(words), size, types)
+
+
 def look_up(
     large: DataFrame, table: DataFrame, on: list[str], limit: int = BROADCAST_ROWS
 ) -> DataFrame:

@@ -105,6 +105,25 @@ def test_semi_join_has_a_way_beyond_the_bound(spark, heavy):
     assert small.count() == large.count() == heavy.filter("k in ('hot','k1')").count()
 
 
+def test_bloom_filter_keeps_every_key_and_few_others(spark):
+    keys = spark.range(0, 40_000, 4).selectExpr("cast(id as int) as a", "cast(id % 9 as int) as b")
+    rows = spark.range(40_000).selectExpr("id as a", "id % 9 as b", "id as v")
+    found = scale.bloom(keys, ["a", "b"])
+    kept = found.keep(rows)
+    assert kept.join(keys, ["a", "b"], "left_semi").count() == 10_000
+    assert kept.count() < 10_000 + 0.02 * 30_000
+    assert scale.bloom(keys.limit(0), ["a", "b"]).keep(rows).count() == 0
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan.split("Subquery")[0]
+
+
+def test_bloom_filter_gives_way_beyond_its_size(spark, monkeypatch):
+    monkeypatch.setattr(scale, "BLOOM_WORDS", 16)
+    keys = spark.range(200).selectExpr("id as a")
+    assert scale.bloom(keys, ["a"]).keep(keys).count() == 200
+    assert scale.bloom(spark.range(1000).selectExpr("id as a"), ["a"]) is None
+
+
 CATALOG = [
     # article, branch, supplier, purchase, route, mode, enabled, sale, mix, extracted
     (1, 41, 10, 1, None, 0, 1, 1, 1, datetime(2026, 1, 1)),

@@ -18,6 +18,7 @@ from replenish.operators import (
     position,
     publish,
     quality,
+    reconcile,
 )
 from replenish.params import ORIGIN_ID
 
@@ -450,12 +451,63 @@ def test_audit_and_reconciliation(spark):
         "2": "CHANGED", "3": "REMOVED", "4": "CREATED",
     }
     assert got["2"]["before_state"] == '{"v":"b"}' and got["4"]["before_state"] is None
-    gaps = by(publish.reconcile(before, after, ["id"], ["v"]), "id")
+    gaps = by(reconcile.differences(before, after, ["id"], ["v"]), "id")
     assert {k: r["difference"] for k, r in gaps.items()} == {
         2: "DIFFERENT", 3: "MISSING_IN_STAGE", 4: "MISSING_IN_SOURCE",
     }
 
 
+def test_only_rows_of_differing_leaves_are_put_side_by_side(spark):
+    rows = spark.range(200_000).selectExpr("id", "id % 7 as v", "cast(id as string) as t")
+    other = rows.filter("id <> 5").selectExpr("id", "if(id = 77, 100, v) as v", "t").union(
+        spark.createDataFrame([(-1, 0, "x")], "id bigint, v bigint, t string")
+    )
+    levels = reconcile.levels_for(rows.count())
+    trees = [reconcile.tree(side, ["id"], ["v", "t"], levels) for side in (rows, other)]
+    leaves = reconcile.differing_leaves(*trees)
+    assert leaves.count() <= 3
+    assert reconcile.suspects(rows, ["id"], levels, leaves).count() < 200_000 // 100
+    gaps = by(reconcile.differences(rows, other, ["id"], ["v", "t"]), "id")
+    assert {k: r["difference"] for k, r in gaps.items()} == {
+        5: "MISSING_IN_STAGE", 77: "DIFFERENT", -1: "MISSING_IN_SOURCE",
+    }
+    assert gaps[77]["stage"]["v"] == 100 and gaps[5]["stage"] is None
+    assert reconcile.differences(rows, rows, ["id"], ["v", "t"]).isEmpty()
+
+
+def test_reconciliation_of_null_keys_repeats_and_empty_sides(spark):
+    schema = "k int, j string, v string"
+    source = spark.createDataFrame(
+        [(None, "a", "1"), (1, None, ""), (2, "b", None), (3, "c", "x"), (3, "c", "x"), (4, "d", "a|b")],
+        schema,
+    )
+    stage = spark.createDataFrame(
+        [(None, "a", "1"), (1, None, None), (2, "b", None), (3, "c", "x"), (4, "d", "a|b"), (None, None, "n")],
+        schema,
+    )
+    found = reconcile.differences(source, stage, ["k", "j"], ["v"]).collect()
+    assert {(r["k"], r["j"]): (r["difference"], r["source_rows"], r["stage_rows"]) for r in found} == {
+        (1, None): ("DIFFERENT", 1, 1), (3, "c"): ("DIFFERENT", 2, 1),
+        (None, None): ("MISSING_IN_SOURCE", 0, 1),
+    }
+    empty = source.limit(0)
+    assert reconcile.differences(empty, empty, ["k", "j"], ["v"]).isEmpty()
+    assert reconcile.differences(source, empty, ["k", "j"], ["v"]).count() == 5
+
+
+def test_a_projection_without_a_source_is_found(spark):
+    schema = "article_id int, branch_id int, business_date date, status string, " \
+        "basal_daily_demand decimal(18,6), input_checksum string"
+
+    def rows(*given):
+        return spark.createDataFrame([(a, 5, T, s, Decimal(v), "c") for a, s, v in given], schema)
+
+    before, stage = rows((1, "OK", 1), (2, "OK", 2)), rows((1, "OK", 3), (2, "BLOCKED", 0))
+    assert publish.unexplained(before, stage, rows((1, "OK", 3), (2, "OK", 2))).isEmpty()
+    wrong = publish.unexplained(before, stage, rows((1, "OK", 4), (2, "OK", 2), (3, "OK", 1)))
+    assert {r["article_id"] for r in wrong.collect()} == {1, 3}
+
+
 def test_version_history(spark):
     rows = spark.createDataFrame(
         [(1, 1, datetime(2026, 1, 1), "a"), (1, 2, datetime(2026, 2, 1), "b")],
