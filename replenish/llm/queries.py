@@ -71,7 +71,7 @@ def op8_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shards(documents(spark, sf_dir))
+    return sharding.written(documents(spark, sf_dir))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,10 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replenish.llm.common import col, fresh
-from replenish.operators.scale import look_up, materialise, running_before
+from replenish.operators.scale import look_up, materialise, running_before, scratch
 
 HASH_BITS = 60
-LIMIT_BYTES = 1 << 20
+LIMIT_BYTES = 128 << 20
 # Bits that cells have more than shards of average size, and that are added when cells are split.
 CELL_BITS = 6
 
@@ -149,28 +149,104 @@ def shards(
 
 
 def directory(found: DataFrame) -> DataFrame:
-    """The directory of `shards`: shard, depth, pages, bytes, rows. A hash belongs to the one shard
-    whose bits it begins with."""
+    """The directory of `shards`: shard, depth, pages, row_bytes (of the longest row), bytes, rows. A
+    hash belongs to the one shard whose bits it begins with."""
     return found.groupBy("shard", "depth").agg(
         (F.max("page") + 1).alias("pages"),
+        F.max("bytes").alias("row_bytes"),
         F.max("shard_bytes").alias("bytes"),
         F.max("shard_rows").alias("rows"),
     )
 
 
+def _placed(docs: DataFrame, found: DataFrame, names: tuple[str, str], key: str, text: str, limit: int) -> DataFrame:
+    """`docs` with the shard and page of each row. The leaves of one depth are looked up at a time,
+    by as many bits of the hash; there are a few depths, and rows are never multiplied."""
+    shard, page = names
+    bits, many = fresh(docs, "bits"), fresh(docs, "per_page")
+    placed = docs.withColumn(bits, F.lpad(F.bin(place(col(key), col(text))), HASH_BITS, "0"))
+    per_page = F.when(
+        (F.col("bytes") > limit) & (F.col("rows") > 1),
+        F.greatest(F.floor(F.lit(limit) / F.col("row_bytes")), F.lit(1)),
+    )
+    leaves = found.select(
+        "depth", F.col("shard").alias(shard), per_page.cast("bigint").alias(many)
+    )
+    depths = sorted(r[0] for r in leaves.select("depth").distinct().collect())
+    hits = []
+    for depth in depths:
+        at, hit = fresh(placed, f"at{depth}"), fresh(placed, f"hit{depth}")
+        of_depth = leaves.filter(F.col("depth") == depth).select(
+            F.col(shard).alias(at), F.struct(shard, many).alias(hit)
+        )
+        placed = look_up(placed.withColumn(at, F.substring(col(bits), 1, depth)), of_depth, [at])
+        hits.append(hit)
+    leaf = F.coalesce(*[col(h) for h in hits])
+    named = placed.select(
+        *map(col, docs.columns), col(bits), leaf[shard].alias(shard), leaf[many].alias(many)
+    )
+    plain = named.filter(col(many).isNull()).withColumn(page, F.lit(0).cast("bigint"))
+    wanted = [*map(col, docs.columns), col(shard), col(page)]
+    if found.filter((F.col("bytes") > limit) & (F.col("rows") > 1)).isEmpty():
+        return plain.select(*wanted)
+    # Rows that repeat a key and a text, counted through in chunks. They are packed, so that their
+    # names do not meet those of the helper.
+    full = materialise(
+        named.filter(col(many).isNotNull()).select(
+            F.struct(*map(col, docs.columns)).alias("given"),
+            col(bits).alias("hash"),
+            col(shard).alias("leaf"),
+            col(many).alias("per_page"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+    )
+    counted = running_before(full, ["hash"], [F.col("row")], {"before": ("sum", F.lit(1).cast("bigint"))})
+    paged = counted.select(
+        *[F.col("given").getField(c).alias(c) for c in docs.columns],
+        F.col("leaf").alias(shard),
+        F.floor(F.coalesce("before", F.lit(0)) / F.col("per_page")).cast("bigint").alias(page),
+    )
+    return plain.select(*wanted).unionByName(paged)
+
+
 def write(
     docs: DataFrame, path: str, limit: int = LIMIT_BYTES, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Writes `docs`, with their columns, as one Parquet folder per shard and returns the
-    directory. No shard name begins another, so a row finds its shard by the bits of its hash."""
+    """Writes `docs`, with their columns, as one Parquet folder per shard (`s` and its bits) and
+    page, each by one task, and returns the directory. The texts of a folder fit the limit, but for
+    a single row that is larger by itself. Null keys and texts are hashed like empty ones; an empty
+    table is written as a table without rows. Underscores are added to the names shard and page if
+    `docs` has such columns."""
     found = materialise(directory(shards(docs, limit, key, text)))
-    name = fresh(docs, "shard")
-    lengths = sorted(r[0] for r in found.select("depth").distinct().collect())
-    bits = F.lpad(F.bin(place(col(key), col(text))), HASH_BITS, "0")
-    starts = F.array(*[F.substring(bits, 1, d) for d in lengths])
-    tagged = docs.withColumn(name, F.explode(starts)).join(
-        found.select(F.col("shard").alias(name)), name, "left_semi"
-    )
-    named = F.concat(F.lit("s"), col(name))  # an empty name is no folder
-    tagged.withColumn(name, named).repartition(col(name)).write.partitionBy(name).parquet(path)
+    shard = fresh(docs, "shard")
+    page = fresh(docs, "page")
+    if found.isEmpty():
+        empty = docs.withColumns({shard: F.lit(""), page: F.lit(0).cast("bigint")}).limit(0)
+        empty.write.parquet(path)
+        return found
+    placed = _placed(docs, found, (shard, page), key, text, limit)
+    named = placed.withColumn(shard, F.concat(F.lit("s"), col(shard)))  # an empty name is no folder
+    named.repartition(col(shard), col(page)).write.partitionBy(shard, page).parquet(path)
     return found
+
+
+def written(
+    docs: DataFrame, limit: int = LIMIT_BYTES, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The columns of `shards`, from shards that are written to the shared folder and read back:
+    shard and page are those of the file that a row is in."""
+    spark, path = docs.sparkSession, scratch(docs.sparkSession, "shards")
+    found = write(docs, path, limit, key, text)
+    shard, page = fresh(docs, "shard"), fresh(docs, "page")
+    back = spark.read.parquet(path).select(
+        col(key).alias("doc_id"),
+        F.coalesce(F.octet_length(col(text).cast("string")), F.lit(0)).cast("bigint").alias("bytes"),
+        F.expr(f"substring(`{shard}`, 2)").alias("shard"),
+        col(page).cast("bigint").alias("page"),
+    )
+    sizes = found.select(
+        "shard", "depth", F.col("bytes").alias("shard_bytes"), F.col("rows").alias("shard_rows")
+    )
+    return look_up(back, sizes, ["shard"]).select(
+        "doc_id", "bytes", "shard", "page", "depth", "shard_bytes", "shard_rows"
+    )

@@ -70,5 +70,34 @@ def test_written_shards(spark, tmp_path):
     assert back.count() == docs.count()
     sizes = back.selectExpr("shard", "octet_length(text) as b").groupBy("shard").sum("b").collect()
     known = {"s" + r.shard: r.bytes for r in found.collect()}
-    assert {str(r[0]): r[1] for r in sizes}.keys() == known.keys()
+    assert {str(r[0]): r[1] for r in sizes} == known
     assert back.select(*docs.columns).exceptAll(docs).count() == 0
+    files = list((tmp_path / "out").glob("shard=*/page=*/*.parquet"))
+    assert len(files) == len(known)
+
+
+EDGES = [(i, "x" * (i % 50)) for i in range(300)] + [(7, "same row " * 30)] * 40 + [(8, None)] * 3
+EDGES += [(None, "no key")] * 60 + [(None, None), (9, "huge " * 3000), (9, "other text"), (10, "")]
+
+
+def test_every_written_folder_fits(spark, tmp_path):
+    docs = spark.createDataFrame(EDGES, "doc_id bigint, text string").selectExpr(
+        "*", "1 as hash", "2 as `per.page`", "'x' as Shard", "4 as page"
+    )
+    for limit in (200, 1000, 5000):
+        path = tmp_path / f"out{limit}"
+        sharding.write(docs, str(path), limit)
+        back = spark.read.parquet(str(path))
+        assert back.select("doc_id", "text", "hash", "`per.page`", "Shard", "page").exceptAll(docs).isEmpty()
+        assert back.count() == len(EDGES)
+        folders = back.selectExpr("shard_", "page_", "coalesce(octet_length(text), 0) as b")
+        sizes = folders.groupBy("shard_", "page_").agg({"b": "sum", "*": "count"}).collect()
+        assert all(r["sum(b)"] <= limit or r["count(1)"] == 1 for r in sizes)
+        verify(EDGES, sharding.written(docs, limit).collect(), limit)
+
+
+def test_an_empty_table_is_written_and_read(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    sharding.write(docs, str(tmp_path / "none"))
+    assert spark.read.parquet(str(tmp_path / "none")).columns == ["doc_id", "text", "shard", "page"]
+    assert sharding.written(docs).count() == 0
