@@ -7,8 +7,9 @@ rejected if that centroid is farther away than all but QUANTILE of the labelled
 language and about that length are from centroids that were learned without them.
 
 The classifier is fitted on a sample of about `per_language` rows of each language, chosen by a
-hash; this bound is its documented parameter. The centroids are at most MAX_LANGUAGES * clusters
-vectors of 2**BITS numbers, whatever the size of the corpus.
+hash, and on the `max_languages` most frequent labels; these bounds are its documented parameters.
+The centroids are at most max_languages * clusters vectors of 2**BITS numbers, whatever the size
+of the corpus.
 """
 
 from __future__ import annotations
@@ -108,17 +109,20 @@ def _sparse(text: Column) -> Column:
     return vectors(text)
 
 
-def training_sample(docs: DataFrame, key: str, text: str, label: str, per_language: int) -> DataFrame:
-    """About `per_language` rows of each language outside the held-out quarter: lang, text."""
+def training_sample(
+    docs: DataFrame, key: str, text: str, label: str, per_language: int, max_languages: int
+) -> DataFrame:
+    """About `per_language` rows of each language outside the held-out quarter: lang, text. Of more
+    than `max_languages` languages those with the most rows are learned, ties by code point."""
     eligible = docs.filter(
         ~held_out(key) & col(label).isNotNull() & (col(label) != UNKNOWN) & col(text).isNotNull()
     ).select(col(key).alias("key"), col(text).cast("string").alias("text"), col(label).alias("lang"))
     sizes = eligible.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    per = {r["lang"]: per_language / r["rows"] for r in sizes.limit(MAX_LANGUAGES + 1).collect()}
-    if len(per) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} labels")
+    common = sizes.orderBy(F.desc("rows"), "lang").limit(max_languages).collect()
+    per = {r["lang"]: per_language / r["rows"] for r in common}
     if not per:
         return eligible.select("lang", "text")
+    # A language that is not learned has no share.
     share = F.create_map(*[F.lit(x) for pair in per.items() for x in pair])[F.col("lang")]
     chance = F.pmod(F.xxhash64(F.lit("sample"), "key"), F.lit(1 << 30)) / float(1 << 30)
     return eligible.filter(chance < share).select("lang", "text")
@@ -172,13 +176,15 @@ def fit(
     label: str = "lang",
     clusters: int = CLUSTERS,
     per_language: int = PER_LANGUAGE,
+    max_languages: int = MAX_LANGUAGES,
 ) -> Centroids:
     """Learn centroids from rows outside the held-out quarter that have a label and a letter.
 
-    With no such row the model is empty and every text is unknown.
+    With no such row the model is empty and every text is unknown. Labels beyond the
+    `max_languages` most frequent ones are not learned: their texts are judged by the others.
     """
     prepare_python(docs.sparkSession)
-    sample = training_sample(docs, key, text, label, per_language)
+    sample = training_sample(docs, key, text, label, per_language, max_languages)
     # The sample is small, its texts are not: a task may take few of them.
     spread = sample.repartition(docs.sparkSession.sparkContext.defaultParallelism)
     vectors = spread.select("lang", _sparse(F.col("text")).alias("v")).select("lang", "v.*")
@@ -269,7 +275,7 @@ def predict(text: Column, model: Centroids) -> Column:
 
 def identify(docs: DataFrame, model: Centroids, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, lang_pred, score, rejected. Null keys count as
-    not held out."""
+    not held out, repeated rows are judged alike, and an empty table gives no rows."""
     prepare_python(docs.sparkSession)
     return docs.select(
         col(key).alias("doc_id"),

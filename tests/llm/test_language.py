@@ -1,5 +1,11 @@
 from __future__ import annotations
 
+import math
+import unicodedata
+import zlib
+from collections import defaultdict
+
+import numpy as np
 import pytest
 
 from replenish.llm import language
@@ -78,3 +84,100 @@ def test_other_latin_languages_and_random_letters_are_rejected(spark, documents,
     assert all(r.rejected for r in language.identify(docs, model).collect())
     held = language.identify(documents, model).filter("held_out").collect()
     assert sum(r.rejected for r in held) / len(held) < 0.01
+
+
+def naive_features(text):
+    """Length of the folded text and the count of each n-gram number, one n-gram at a time."""
+    kept = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in text.lower())
+    if not any(unicodedata.category(c)[0] == "L" for c in text):
+        return 0, {}
+    data = f" {' '.join(kept.split())} ".encode()
+    counts = defaultdict(int)
+    for n in (1, 2, 3, 4):
+        for i in range(len(data) - n + 1):
+            mixed = (((int.from_bytes(data[i : i + n], "big") + 1) * 8 + n) * 0x9E3779B97F4A7C15) % 2**64
+            counts[mixed >> (64 - language.BITS)] += 1
+    return len(data), dict(counts)
+
+
+def naive_unit(counts, idf):
+    row = np.zeros(1 << language.BITS)
+    for feature, count in counts.items():
+        row[feature] = (1 + math.log(count)) * idf[feature]
+    return row / math.sqrt((row * row).sum())
+
+
+def naive_clusters(rows, k):
+    centres = [max(rows, key=lambda r: r @ np.mean(rows, axis=0))]
+    while len(centres) < min(k, len(rows)):
+        centres.append(min(rows, key=lambda r: max(r @ c for c in centres)))
+    for _ in range(10):
+        groups = defaultdict(list)
+        for r in rows:
+            groups[int(np.argmax([r @ c for c in centres]))].append(r)
+        means = [np.sum(groups[i], axis=0) for i in sorted(groups)]
+        centres = [m / np.linalg.norm(m) for m in means]
+    return centres
+
+
+def test_every_score_equals_the_naive_classifier(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = {r.doc_id: r for r in language.identify(docs, language.fit(docs)).collect()}
+    rows = docs.select("doc_id", "text", "lang").collect()
+    features = {r.doc_id: naive_features(r.text or "") for r in rows}
+    learned = [
+        r for r in rows
+        if zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.lang not in (None, "und")
+        and features[r.doc_id][0]
+    ]
+    frequency = defaultdict(int)
+    for r in learned:
+        for feature in features[r.doc_id][1]:
+            frequency[feature] += 1
+    n = len(learned)
+    idf = [math.log((n + 1) / (frequency[f] + 1)) + 1 for f in range(1 << language.BITS)]
+    groups = defaultdict(list)
+    for r in learned:
+        groups[r.lang].append(r.doc_id)
+    centroids = []
+    for lang, members in groups.items():
+        members.sort(key=lambda d: (features[d][0], np.array(
+            [c for _, c in sorted(features[d][1].items())], np.float32).tobytes()))
+        units = [naive_unit(features[d][1], idf) for d in members]
+        centroids += [(lang, c) for c in naive_clusters(units, language.CLUSTERS)]
+    assert {g for g in groups} == {lang for lang, _ in centroids}
+    for r in rows:
+        length, counts = features[r.doc_id]
+        got = found[r.doc_id]
+        if not length:
+            assert (got.lang_pred, got.score, got.rejected) == ("und", 0, True)
+            continue
+        unit = naive_unit(counts, idf)
+        scores = sorted(((unit @ c, lang) for lang, c in centroids), reverse=True)
+        assert abs(got.score - min(scores[0][0], 1)) < 1e-4
+        near = {lang for value, lang in scores if value > scores[0][0] - 1e-4}
+        assert got.lang_pred in near
+
+
+def test_the_limit_is_the_quantile_of_unseen_rows():
+    """By definition: few rows, so that every text stands behind each limit."""
+    rng = np.random.default_rng(5)
+    rows = np.abs(rng.normal(size=(9, 1 << language.BITS))).astype(np.float32)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    nearest = language._unseen(rows, 2)
+    for i, row in enumerate(rows):
+        others = [r for j, r in enumerate(rows) if j % language.FOLDS != i % language.FOLDS]
+        assert abs(nearest[i] - max(row @ c for c in naive_clusters(others, 2))) < 1e-4
+    floor = language._floor(np.full(9, 6), nearest)
+    assert (floor[:6] == 0).all() and (floor[6:] == nearest.min()).all()
+
+
+def test_more_labels_than_are_learned(spark):
+    rows = [(i, f"wort{chr(97 + i % 7)} text hier " * 3, f"l{i % 7}") for i in range(140)]
+    rows += [(1000 + i, "another one", "l0") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit(docs, max_languages=2)
+    assert len(set(model.languages)) == 2 and "l0" in model.languages
+    assert {r.lang_pred for r in language.identify(docs, model).collect()} <= set(model.languages)
+    many = docs.selectExpr("doc_id", "text", "concat(lang, '-', doc_id) as lang")
+    assert len(set(language.fit(many, max_languages=100).languages)) == 100
