@@ -467,6 +467,26 @@ BASE |= {
 }
 
 
+# The backlog of a day that is closed from its events: other quantities of execution, same rules.
+BASE |= {
+    "lexec_day": """
+        select article_id, branch_id, sum(imported) imported, sum(prepared) prepared from (
+          select cast(user_id%25+1 as int) article_id, cast((user_id//25)%25 as int) branch_id, imported,
+            case when prepared>imported then 0 else prepared end prepared
+          from fold where user_id%17<>0) group by 1, 2""",
+    "opened_day": """
+        select n.*, case when n.pstat<>'BLOCKED' then greatest(n.rounded - case when n.nt='D'
+            then coalesce(x.prepared,0)
+            else greatest(coalesce(x.prepared,0)-coalesce(d.rounded,0),0) end, 0) end open
+        from needs n join needs d on d.nt='D' and d.article_id=n.article_id and d.branch_id=n.branch_id
+        left join lexec_day x on x.article_id=n.article_id and x.branch_id=n.branch_id""",
+}
+BASE |= {
+    f"{name}_day": re.sub(r"\b(opened|lexec|src|ln0|ln)\b", r"\1_day", BASE[name])
+    for name in ("src", "ln0", "ln", "rk")
+}
+
+
 def _r(expression: str, name: str, places: int = 6) -> str:
     return f"round(({expression})::double, {places}) as {name}"
 
@@ -1155,6 +1175,91 @@ QUERIES: dict[str, str] = {
 }
 
 
+QUERIES |= {
+    "scope_manifest_ordered": """
+        with ac as (
+          select sha256(string_agg(concat_ws('|', article_id, article_id*10, 1, 1, 1, 1), chr(10) order by article_id)) ac
+          from origin),
+        pc as (
+          select sha256(string_agg(concat_ws('|', branch_id, article_id, coalesce(supplier_id::varchar,''), '41CD', 0, 1, 1, 1),
+            chr(10) order by branch_id, article_id)) pc from pairs)
+        select (select count(*) from origin) article_count, count(*) pair_count,
+          count(distinct branch_id) destination_count, count(distinct article_id) routed_article_count,
+          '2001-08-01 03:00:00' source_as_of_ts, ac article_checksum, pc pair_checksum,
+          sha256('articles:'||ac||'|pairs:'||pc) scope_checksum
+        from pairs, ac, pc group by ac, pc""",
+    "scope_gates": """
+        with both_sides as (
+          select coalesce(o.branch_id, n.branch_id) branch_id, count(o.article_id) b, count(n.article_id) a,
+            count(*) filter (o.article_id is null or n.article_id is null) m
+          from pairs o full join later_pairs n on n.article_id=o.article_id and n.branch_id=o.branch_id
+          group by 1),
+        whole as (select sum(b) b, sum(a) a, sum(m) m from both_sides)
+        select 'scope' entity_type, 'ERROR' severity, 'INVALID_ROUTE' issue_code, branch_id,
+          count(*)+count(*) filter (article_id%5=0) issues from later_pairs where branch_id%6=0 group by branch_id
+        union all select 'scope', 'BLOCKER', 'DUPLICATE_KEY', branch_id, count(*)
+          from later_pairs where article_id%5=0 group by branch_id
+        union all select 'scope', 'BLOCKER', 'SCOPE_EMPTY', null, 1 from whole where a=0
+        union all select 'scope', 'ERROR', 'SCOPE_VARIATION', null, 1 from whole where b>0 and m>b*0.1::double
+        union all select 'branch', 'WARN', 'NEW_BRANCH', branch_id, 1 from both_sides where b=0
+        union all select 'branch', 'WARN', 'BRANCH_VARIATION', branch_id, 1
+          from both_sides where b>0 and m>b*0.1::double""",
+    "value_controls": """
+        select 'estimate' entity_type, 'BLOCKER' severity, 'VALUE_NOT_FINITE' issue_code, count(*) issues
+        from est where article_id%6 in (1,2,3) having count(*)>0""",
+    "allocation_controls": """
+        select 'ERROR' severity, 'ALLOCATION' issue_code, article_id, count(*) issues
+        from src where article_id%4 in (0,1) group by article_id""",
+    "daily_run": "select * from (@backfill_run@)",
+    "backtest_stored": "select * from (@backtest_detail@)",
+    "day_close": f"""
+        select line_id, cast(pclass as int) priority_class, risk risk_score, rnk priority_rank,
+          {_r('total','total_open_quantity')}, {_r('imported','imported_quantity')},
+          {_r('prepared','prepared_quantity')} from rk_day""",
+    "runs_in_force": """
+        select o_orderpriority run_type, date_trunc('month', o_orderdate)::date business_date,
+          'scope-'||(o_custkey%3) scope_id, max(o_orderkey)::varchar run_id, max(o_orderkey)::int attempt_no
+        from orders where o_orderstatus='F' group by 1, 2, 3""",
+    "publish_log": """
+        with n as (select count(*) n, count(*) filter ((article_id, branch_id) not in
+          (select (article_id, branch_id) from later_pairs)) strange from est)
+        select 'batch-1' batch_id, 'PENDING' status, 0 "rows"
+        union all select 'batch-1', unnest(['STAGING','VALIDATED','PUBLISHED']), n from n
+        union all select 'batch-2', 'PENDING', 0
+        union all select 'batch-2', unnest(['STAGING','FAILED']), n from n
+        union all select 'batch-2', 'OUTSIDE', strange from n
+        union all select 'run', 'SUCCEEDED', 1
+        union all select 'run', 'FAILED', 2""",
+    "import_files": "select * from (@import_outcomes@)",
+    "positions_from_files": "select * from (@net_stock@)",
+    "job_results": """
+        select load, 'stock_daily' job, lo first_day, hi last_day,
+          case load when 1 then n else 0 end inserted, case load when 2 then c else 0 end updated,
+          case load when 1 then m when 2 then mc else 0 end months,
+          stored_first, stored_last, n stored_rows
+        from (select cast(unnest([1,2,3]) as int) load), hist, (
+          select count(*) n, count(*) filter (article_id%4=0) c,
+            count(distinct date_trunc('month', stock_date))::int m,
+            (count(distinct date_trunc('month', stock_date)) filter (article_id%4=0))::int mc,
+            min(stock_date) stored_first, max(stock_date) stored_last from stock)""",
+}
+# Codes are joined in alphabetical order.
+QUERIES["directed_upload"] = """
+    select concat_ws(',', case when k%7 in (0,1) then 'INVALID_QUANTITY' end,
+        case when k%5=0 then 'INVALID_TYPE' end, case when k%3=0 then 'INVALID_VALIDITY' end,
+        case when k%13=0 then 'MISSING_ARTICLE' end, case when k%11=0 then 'MISSING_BRANCH' end,
+        case when k%7=0 then 'UNREADABLE_LINE' end) reject_codes,
+      count(*) lines, """ + _r("sum(case when k%7=0 then null when k%7=1 then -1 else qty end)", "quantity") + """
+    from dn group by 1"""
+# The later scope has other pairs but the same articles.
+QUERIES["scope_versions"] = """
+    select 'first' step, 1 version_no, true is_new, scope_checksum from (@scope_manifest@)
+    union all select 'again', 1, false, scope_checksum from (@scope_manifest@)
+    union all select 'later', 2, true, scope_checksum from (""" + re.sub(
+        r"\bfrom pairs\b", "from later_pairs", QUERIES["scope_manifest"]
+    ) + ")"
+
+
 def _needed(text: str) -> list[str]:
     """The common table expressions a statement uses, in order of definition."""
     words = set(re.findall(r"\w+", text))

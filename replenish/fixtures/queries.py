@@ -35,7 +35,7 @@ from replenish.operators import (
 )
 from replenish.operators.demand import RunIds
 from replenish.operators.scale import materialise, scratch
-from replenish.params import ORIGIN_ID
+from replenish.params import ORIGIN_ID, ScopeRule
 from replenish.plans import pipelines
 from replenish.sources.store import MonthlyStore
 from replenish.streaming import events as stream_events
@@ -1381,3 +1381,248 @@ def publish_replay(f: Frames) -> DataFrame:
         publish.publish(f.spark, root, doubled, f.pairs, "batch-3")
     publish.publish(f.spark, root, older, f.pairs, "batch-4")
     return _shown_current(publish.current(f.spark, root))
+
+
+@query
+def scope_manifest_ordered(f: Frames) -> DataFrame:
+    return scope.ordered_manifest(f.catalog).withColumn(
+        "source_as_of_ts", F.col("source_as_of_ts").cast("string")
+    )
+
+
+@query
+def scope_gates(f: Frames) -> DataFrame:
+    """A later scope with pairs that are there twice and pairs of another route."""
+    a, b = F.col("article_id"), F.col("branch_id")
+    rows = scope.pair_details(fx.later_catalog(f.spark, f.folder)).withColumn(
+        "route_code", _when(b % 6 == 0, "DIRECT", "route_code")
+    )
+    issues = quality.scope_gates(rows.unionByName(rows.filter(a % 5 == 0)), f.pairs)
+    branch = F.get_json_object("entity_key", "$.branch_id").cast("int").alias("branch_id")
+    return issues.groupBy("entity_type", "severity", "issue_code", branch).agg(
+        F.count(F.lit(1)).alias("issues")
+    )
+
+
+@query
+def scope_versions(f: Frames) -> DataFrame:
+    """The same scope twice, then a later one: the version of each."""
+    steps = {"first": f.catalog, "again": f.catalog, "later": fx.later_catalog(f.spark, f.folder)}
+    version, rows = None, []
+    for step, catalog in steps.items():
+        found = scope.manifest(catalog).first().asDict()
+        version = scope.resolve_version(version, found, ScopeRule())
+        rows.append((step, version["version_no"], version["is_new"], version["scope_checksum"]))
+    return f.spark.createDataFrame(
+        rows, "step string, version_no int, is_new boolean, scope_checksum string"
+    )
+
+
+@query
+def value_controls(f: Frames) -> DataFrame:
+    """Estimates of which some are no number, infinite or negative."""
+    a, value = F.col("article_id"), F.col("basal_daily_demand").cast("double")
+    broken = f.estimates.withColumn(
+        "basal_daily_demand",
+        F.when(a % 6 == 1, float("nan")).when(a % 6 == 2, float("inf")).when(a % 6 == 3, -1.0)
+        .otherwise(value),
+    )
+    return quality.issue_counts(quality.output_controls(broken, f.pairs, 0.0))
+
+
+@query
+def allocation_controls(f: Frames) -> DataFrame:
+    """Attributed quantities of which some exceed what is open and some are negative."""
+    a, allocated = F.col("article_id"), F.col("allocated_quantity")
+    prepared = f.line_execution.select(
+        *PAIR, dec(F.col("prepared_quantity") * 20).alias("prepared_quantity")
+    )
+    sources = f.sources.withColumn("supplier_key", F.lit(backlog.NO_SUPPLIER))
+    rows = backlog.attribute(sources, prepared, T, PAIR).withColumn(
+        "allocated_quantity",
+        F.when(a % 4 == 0, dec(F.col("open_quantity") + 1)).when(a % 4 == 1, num(-1)).otherwise(allocated),
+    )
+    return quality.violations(
+        rows, quality.allocation_rules(), "allocation", ["need_type", "source_id"]
+    ).groupBy("severity", "issue_code", "article_id").agg(F.count(F.lit(1)).alias("issues"))
+
+
+def _inputs(f: Frames) -> pipelines.Inputs:
+    return pipelines.Inputs(f.catalog, f.raw, f.enriched, f.wide)
+
+
+@query
+def daily_run(f: Frames) -> DataFrame:
+    """The windows but for their last day were loaded before; the daily run loads that day and
+    estimates."""
+    store = MonthlyStore(f.spark, scratch(f.spark, "store"))
+    seasonal, current = pipelines.window_spans(T).load_ranges()
+    for span in (seasonal, Span(current.start, current.end - timedelta(days=1))):
+        pipelines.features(store, _inputs(f), span.start, span.end, IDS.scope_version_id)
+    pipelines.daily(store, _inputs(f), T, IDS)
+    return store.read("demand_estimate", Span(T, T)).select(
+        "business_date", *PAIR, "status", d("basal_daily_demand"), "input_checksum"
+    )
+
+
+@query
+def backtest_stored(f: Frames) -> DataFrame:
+    """Stored estimates of every day scored against the stored panel, twice; the stored rows."""
+    store = MonthlyStore(f.spark, scratch(f.spark, "store"))
+    dates, one = f.every_date, timedelta(days=1)
+    store.upsert("sales_daily", f.history_panel.withColumn("scope_version_id", F.lit("scope-1")), f.history)
+    store.append_new(
+        "demand_estimate", demand.estimates(f.history_panel, f.pairs, dates, IDS),
+        Span(dates[0], dates[-1]),
+    )
+    for _ in range(2):
+        pipelines.run_backtest(store, dates[0] + one, dates[-1] + one, IDS)
+    rows = store.read("backtest_detail").withColumn("codes", F.array_join("exclusion_codes", ","))
+    return _condensed_errors(
+        rows, "origin_date", "horizon_days", "eligible_actual", "codes", "input_checksum"
+    )
+
+
+@query
+def day_close(f: Frames) -> DataFrame:
+    """The backlog of a day closed from its events; lines without a reference stay aside."""
+    user = F.col("line_id").cast("bigint")
+    lines = f.import_lines.select(
+        "line_id", (user % 25 + 1).cast("int").alias("article_id"),
+        (F.floor(user / 25) % 25).cast("int").alias("branch_id"),
+    )
+    closed = pipelines.close_day(
+        f.estimates, f.pairs,
+        pipelines.DayInputs(
+            fx.position_inputs(f.stock, f.pairs), fx.parameters(f.spark, f.folder),
+            fx.directed_needs(f.spark, f.folder), f.items,
+            fx.execution_events(f.spark, f.folder), lines,
+        ),
+        T,
+    )
+    return closed["backlog"].select(
+        "line_id", "priority_class", "risk_score", "priority_rank", d("total_open_quantity"),
+        d("imported_quantity"), d("prepared_quantity"),
+    )
+
+
+@query
+def runs_in_force(f: Frames) -> DataFrame:
+    """Orders as attempts of runs: the newest one that succeeded per type, date and scope."""
+    orders = fx.table(f.spark, f.folder, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", "SUCCEEDED").when(
+        F.col("o_orderstatus") == "P", "RUNNING"
+    ).otherwise("FAILED")
+    attempts = orders.select(
+        F.col("o_orderkey").cast("string").alias("run_id"),
+        F.col("o_orderpriority").alias("run_type"),
+        F.trunc("o_orderdate", "month").alias("business_date"),
+        F.concat(F.lit("scope-"), F.col("o_custkey") % 3).alias("scope_id"),
+        F.col("o_orderkey").cast("int").alias("attempt_no"),
+        status.alias("status"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("recorded_at"),
+    )
+    every = [F.lit(None).cast(x.dataType).alias(x.name) for x in publish.RUN if x.name not in attempts.columns]
+    return publish.current_runs(attempts.select("*", *every)).select(
+        "run_type", "business_date", "scope_id", "run_id", "attempt_no"
+    )
+
+
+@query
+def publish_log(f: Frames) -> DataFrame:
+    """A publication, one with rows outside its scope, and their runs: every state reached."""
+    root = scratch(f.spark, "log")
+    run = {"run_type": "PUBLICATION", "business_date": T, "scope_id": "scope-1"}
+    for batch, pairs in (("batch-1", f.pairs), ("batch-2", f.later_pairs)):
+        attempt = publish.next_attempt(publish.runs(f.spark, root), *run.values())
+        try:
+            publish.publish(f.spark, root, f.estimates, pairs, batch)
+            status = "SUCCEEDED"
+        except publish.PublicationRejected:
+            status = "FAILED"
+        publish.register_run(f.spark, root, **run, attempt_no=attempt, status=status)
+    states = publish.publications(f.spark, root).select("batch_id", "status", "rows")
+    outside = publish.outside_scope(f.estimates, f.later_pairs).agg(
+        F.lit("batch-2").alias("batch_id"), F.lit("OUTSIDE").alias("status"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+    tried = publish.runs(f.spark, root).select(
+        F.lit("run").alias("batch_id"), "status", F.col("attempt_no").cast("bigint").alias("rows")
+    )
+    return states.unionByName(outside).unionByName(tried)
+
+
+@query
+def import_files(f: Frames) -> DataFrame:
+    """Import requests exchanged as files, JSON for even line versions and CSV for the others."""
+    root = scratch(f.spark, "exchange")
+    requests = fx.import_requests(f.spark, f.folder)
+    even = F.col("line_version") % 2 == 0
+    requests.filter(even).write.json(f"{root}/json")
+    requests.filter(~even).write.option("header", "true").csv(f"{root}/csv")
+    read = [sources.exchange_file(f.spark, f"{root}/{fmt}", "import_requests", fmt) for fmt in ("json", "csv")]
+    return execution.confirm_imports(
+        read[0].unionByName(read[1]).filter(F.col("bad_line").isNull()).drop("bad_line"),
+        f.import_lines, fx.accepted_imports(f.spark, f.folder),
+    ).select("idempotency_key", "line_id", "line_version", d("quantity"), "outcome", "replays")
+
+
+@query
+def directed_upload(f: Frames) -> DataFrame:
+    """Directed needs uploaded as CSV, with lines that cannot be read or break a rule."""
+    path, key = scratch(f.spark, "upload"), F.col("need_id")
+    quantity = F.col("original_quantity").cast("string")
+    fx.directed_needs(f.spark, f.folder).withColumns(
+        {
+            "original_quantity": F.when(key % 7 == 0, "many").when(key % 7 == 1, "-1").otherwise(quantity),
+            "need_type": F.when(key % 5 == 0, "X").otherwise(F.col("need_type")),
+            "branch_id": F.when(key % 11 != 0, F.col("branch_id")),
+            "article_id": F.when(key % 13 != 0, F.col("article_id")),
+            "valid_to": F.when(key % 3 == 0, F.date_sub("valid_from", 1)).otherwise(F.col("valid_to")),
+        }
+    ).write.option("header", "true").csv(path)
+    codes = joined("reject_codes")
+    return sources.directed_needs(f.spark, path).groupBy(codes).agg(
+        F.count(F.lit(1)).alias("lines"), d(F.sum("original_quantity"), "quantity")
+    )
+
+
+@query
+def positions_from_files(f: Frames) -> DataFrame:
+    """Positions from the operational inputs of a day, written as files and read by their readers."""
+    root = scratch(f.spark, "files")
+    fx.position_inputs(f.stock, f.pairs).write.parquet(f"{root}/inputs")
+    fx.parameters(f.spark, f.folder).write.parquet(f"{root}/parameters")
+    return position.branch(
+        sources.daily_inputs(f.spark, f"{root}/inputs"), f.estimates,
+        sources.parameters(f.spark, f"{root}/parameters"),
+    ).select(
+        "business_date", *PAIR, "supplier_id", d("physical_stock"), d("direct_po_inbound"),
+        d("cd_in_transit"), d("special_sale_committed"), d("net_stock"), "calculation_status",
+        joined("alert_codes"),
+    )
+
+
+@query
+def job_results(f: Frames) -> DataFrame:
+    """What three loads changed, and the dates of the table from its files' statistics."""
+    store = MonthlyStore(f.spark, scratch(f.spark, "store"))
+    changed = F.col("article_id") % 4 == 0
+    corrected = f.stock.withColumns(
+        {
+            "stock_quantity": _when(changed, dec(F.col("stock_quantity") + 1), "stock_quantity"),
+            "source_row_hash": _when(changed, F.sha2("source_row_hash", 256), "source_row_hash"),
+        }
+    )
+    results = [store.upsert("stock_daily", rows, f.history) for rows in (f.stock, corrected, corrected)]
+    loads = f.spark.createDataFrame(
+        [(n, r.job, r.start, r.end, r.inserted, r.updated, len(r.months)) for n, r in enumerate(results, 1)],
+        "load int, job string, first_day date, last_day date, inserted bigint, updated bigint, months int",
+    )
+    stored = store.bounds("stock_daily").first()
+    return loads.withColumns(
+        {
+            "stored_first": F.lit(stored["first_day"]), "stored_last": F.lit(stored["last_day"]),
+            "stored_rows": F.lit(stored["rows"]),
+        }
+    )

@@ -6,7 +6,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from replenish.functions.exprs import codes, dec, num
 from replenish.operators.scale import running_around
@@ -249,15 +248,18 @@ def versions_with_validity(history: DataFrame, key: str, state: list[str]) -> Da
     """Version history with the end of validity and the state before each change.
 
     The next and the previous version of a key are the neighbours in the order of their numbers;
-    the numbers need not be consecutive.
+    the numbers need not be consecutive, but are unique within a key. A key of many versions spreads
+    over many tasks.
     """
     told = history.select(
         key, "version", "changed_at", F.to_json(F.struct(*state)).alias("after_state")
     )
-    order = Window.partitionBy(key).orderBy("version")
-    return told.withColumns(
-        {
-            "before_state": F.lag("after_state").over(order),
-            "superseded_at": F.lead("changed_at").over(order),
-        }
+    # The neighbours are the largest earlier and the smallest later number with their values.
+    near = running_around(
+        told, [key], [F.col("version")],
+        {"earlier": ("max", F.struct("version", "after_state"))},
+        {"later": ("min", F.struct("version", "changed_at"))},
     )
+    return near.withColumns(
+        {"before_state": F.col("earlier.after_state"), "superseded_at": F.col("later.changed_at")}
+    ).drop("earlier", "later")

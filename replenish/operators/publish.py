@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from datetime import datetime
 
@@ -22,6 +23,7 @@ from pyspark.sql.utils import AnalysisException
 from replenish.functions.exprs import checksum, codes, latest
 from replenish.operators import reconcile
 from replenish.schemas import DEMAND_ESTIMATE
+from replenish.sources import files
 
 PAIR = ["article_id", "branch_id"]
 CHECKED = ["business_date", *PAIR, "status", "basal_daily_demand", "input_checksum"]
@@ -151,6 +153,8 @@ def next_attempt(all_runs: DataFrame, run_type: str, business_date, scope_id: st
 
 # The states of a publication, in the order they are reached.
 STATES = ("PENDING", "STAGING", "VALIDATED", "PUBLISHED")
+# Start of the names of the records that switch the projection.
+_SWITCH = "published-"
 _PUBLICATION = StructType(
     [
         StructField("sequence", LongType()),
@@ -205,7 +209,10 @@ def published_rows(spark: SparkSession, root: str, batch_id: str) -> DataFrame:
 
 def current(spark: SparkSession, root: str) -> DataFrame:
     """The projection of the last completed publication."""
-    last = in_force(spark, root)
+    return _projection(spark, root, in_force(spark, root))
+
+
+def _projection(spark: SparkSession, root: str, last: Row | None) -> DataFrame:
     if last is None:
         return spark.createDataFrame([], DEMAND_ESTIMATE)
     return spark.read.schema(DEMAND_ESTIMATE).parquet(
@@ -213,13 +220,28 @@ def current(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _record(spark: SparkSession, root: str, **values: object) -> None:
-    before = publications(spark, root).agg(F.max("sequence")).first()[0]
-    filled = {**values, "sequence": (before or 0) + 1, "recorded_at": datetime.now()}
-    row = tuple(filled.get(f.name) for f in _PUBLICATION)
-    spark.createDataFrame([row], _PUBLICATION).coalesce(1).write.mode("append").json(
-        f"{root}/publications"
-    )
+def _next_number(spark: SparkSession, root: str) -> int:
+    """The number that the next publication takes. A record that is still empty is being written,
+    or its writer died; it has to be settled before anything is built on the projection."""
+    names = [n for n in files.files_in(spark, f"{root}/publications") if n.startswith(_SWITCH)]
+    if not names:
+        return 1
+    newest = names[-1]
+    if not files.read_text(spark, f"{root}/publications/{newest}").strip():
+        raise PublicationRejected(f"{newest} is being written; remove it if its writer has died")
+    return int(newest.removeprefix(_SWITCH).removesuffix(".json")) + 1
+
+
+def _record(spark: SparkSession, root: str, number: int, **values: object) -> None:
+    """Adds a record. The one that switches is a file named by its number, which must not exist, so
+    of two publishers that built on the same projection only one switches it."""
+    now = datetime.now().isoformat(timespec="microseconds")
+    filled = {**values, "sequence": number, "recorded_at": now}
+    switch = values["status"] == "PUBLISHED"
+    name = f"{_SWITCH}{number:010d}" if switch else f"state-{uuid.uuid4().hex}"
+    text = json.dumps({f.name: filled.get(f.name) for f in _PUBLICATION}) + "\n"
+    if not files.write_new(spark, f"{root}/publications/{name}.json", text):
+        raise PublicationRejected(f"publication {number} was made by another attempt meanwhile")
 
 
 def publish(
@@ -232,10 +254,13 @@ def publish(
     is published again with the same rows changes nothing.
     """
     attempt = uuid.uuid4().hex
+    # The projection that this attempt builds on; its number is free as long as that is in force.
+    number = _next_number(spark, root)
+    last = in_force(spark, root)
 
     def record(status: str, rows: int = 0, checksum_: object = None) -> None:
         _record(
-            spark, root, batch_id=batch_id, attempt=attempt, status=status, rows=rows,
+            spark, root, number, batch_id=batch_id, attempt=attempt, status=status, rows=rows,
             checksum=None if checksum_ is None else str(checksum_), is_empty=rows == 0,
         )
 
@@ -259,12 +284,11 @@ def publish(
             f"batch {batch_id}: expected {source}, staged {found}, outside scope: {strangers}"
         )
     record("VALIDATED", found["rows"], total)
-    last = in_force(spark, root)
     if last is not None and (last["batch_id"], last["rows"], last["checksum"]) == (
         batch_id, found["rows"], str(total)
     ):
         return {"rows": found["rows"], "retired": 0}
-    before = current(spark, root)
+    before = _projection(spark, root, last)
     leaving = retired(before, scope_pairs).count()
     switched = f"{root}/current/{batch_id}/{attempt}"
     next_current(before, stage, scope_pairs).write.parquet(switched)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from replenish.functions.exprs import num
 from replenish.operators.scale import duplicate_keys
+from replenish.params import ScopeRule
 
 # Severities from the least to the most serious.
 SEVERITIES = ("INFO", "WARN", "ERROR", "BLOCKER")
@@ -291,6 +292,69 @@ def scope_gate(variation: DataFrame, maximum_change: float = 0.1) -> DataFrame:
     )
 
 
+def scope_gates(
+    candidate: DataFrame,
+    in_force: DataFrame,
+    rule: ScopeRule = ScopeRule(),
+    maximum_change: float = 0.1,
+) -> DataFrame:
+    """Issues of a scope before it comes into force; it may not while one is an ERROR or worse.
+
+    `candidate` has pair rows with route_code, supply_mode, enabled, active_for_sale and
+    active_on_mix; `in_force` has the pairs of the scope now. The scope must have pairs, each once,
+    each by the route of the rule, and may gain or lose at most a share of the pairs, as a whole
+    (SCOPE_VARIATION) and in every branch (BRANCH_VARIATION, a warning). A branch that is new has
+    no share and is reported as NEW_BRANCH.
+    """
+    pair = ["article_id", "branch_id"]
+    routed = (
+        (F.col("route_code") == rule.route_code)
+        & (F.col("supply_mode") == rule.supply_mode)
+        & (F.col("enabled") == 1) & (F.col("active_for_sale") == 1) & (F.col("active_on_mix") == 1)
+        & (F.col("branch_id") != rule.origin_id)
+    )
+    route = violations(
+        candidate,
+        [Rule("INVALID_ROUTE", "ERROR", F.coalesce(routed, F.lit(False)), ("route_code", "supply_mode"))],
+        "scope", pair,
+    )
+    twice = duplicates(candidate, pair, "scope")
+    # Which pairs come and go, once for the branches and once for their total.
+    sides = in_force.select(*pair, F.lit(1).alias("before"), F.lit(0).alias("after")).unionByName(
+        candidate.select(*pair, F.lit(0).alias("before"), F.lit(1).alias("after"))
+    )
+    per_branch = (
+        sides.groupBy(*pair).agg(F.max("before").alias("before"), F.max("after").alias("after"))
+        .groupBy("branch_id")
+        .agg(
+            F.sum("before").alias("before"), F.sum("after").alias("after"),
+            F.count_if(F.col("before") != F.col("after")).alias("moved"),
+        )
+    )
+    whole = per_branch.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("before", "after", "moved")]
+    ).withColumn("scope", F.lit("scope"))
+    within = F.col("moved") <= F.col("before") * maximum_change
+    told = ("before", "after", "moved")
+    total = violations(
+        whole,
+        [
+            Rule("SCOPE_EMPTY", "BLOCKER", F.col("after") > 0, told),
+            Rule("SCOPE_VARIATION", "ERROR", (F.col("before") == 0) | within, told),
+        ],
+        "scope", ["scope"],
+    )
+    branches = violations(
+        per_branch,
+        [
+            Rule("NEW_BRANCH", "WARN", F.col("before") > 0, told),
+            Rule("BRANCH_VARIATION", "WARN", (F.col("before") == 0) | within, told),
+        ],
+        "branch", ["branch_id"],
+    )
+    return route.unionByName(twice).unionByName(total).unionByName(branches)
+
+
 def run_controls(
     estimates: DataFrame, scope_pairs: DataFrame, previous: DataFrame | None = None,
     maximum_jump: str = "3",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,10 +16,13 @@ from replenish.functions.exprs import (
     text,
     text_or_blank,
 )
+from replenish.operators.scale import materialise
 from replenish.params import ScopeRule
 
 # Groups of the scope checksum: a task digests one group, never the whole scope.
 DIGEST_GROUPS = 4096
+# Rows of a scope whose ordered text may be digested as a whole (about 40 bytes a row).
+ORDERED_ROWS = 1_000_000
 
 
 def _origin_rows(rule: ScopeRule) -> Column:
@@ -130,10 +133,35 @@ def grouped_digest(rows: DataFrame, key: list[str], line: Column) -> DataFrame:
     return grouped.agg(ordered_digest(["part"], F.col("digest")).alias("digest"))
 
 
+def whole_digest(rows: DataFrame, key: list[str], line: Column) -> DataFrame:
+    """SHA-256 of all lines in the order of the key, joined with LF."""
+    return rows.agg(ordered_digest(key, line).alias("digest"))
+
+
 def manifest(catalog: DataFrame, rule: ScopeRule = ScopeRule()) -> DataFrame:
     """One row of counts and checksums that identify a scope."""
-    articles = latest_origin_articles(catalog, rule)
-    details = pair_details(catalog, rule)
+    return _manifest(latest_origin_articles(catalog, rule), pair_details(catalog, rule), grouped_digest)
+
+
+def ordered_manifest(
+    catalog: DataFrame, rule: ScopeRule = ScopeRule(), most_rows: int = ORDERED_ROWS
+) -> DataFrame:
+    """The manifest with checksums over one ordered text, as stored manifests have them.
+
+    SHA-256 reads its text from front to back, so one task holds it; a scope of more than
+    `most_rows` rows is refused and has `manifest` only.
+    """
+    articles = materialise(latest_origin_articles(catalog, rule))
+    details = materialise(pair_details(catalog, rule))
+    rows = max(articles.count(), details.count())
+    if rows > most_rows:
+        raise ValueError(f"{rows} rows are too many for one ordered text; use manifest")
+    return _manifest(articles, details, whole_digest)
+
+
+def _manifest(
+    articles: DataFrame, details: DataFrame, digest: Callable[[DataFrame, list[str], Column], DataFrame]
+) -> DataFrame:
 
     def branch(rows: DataFrame, **values: Column) -> DataFrame:
         empty = {
@@ -160,9 +188,9 @@ def manifest(catalog: DataFrame, rule: ScopeRule = ScopeRule()) -> DataFrame:
             pair_counts, pair_count=F.col("rows"), destination_count=F.col("branches"),
             routed_article_count=F.col("articles"), source_as_of_ts=F.col("as_of"),
         ),
-        branch(grouped_digest(articles, ["article_id"], _article_line()),
+        branch(digest(articles, ["article_id"], _article_line()),
                article_checksum=F.col("digest")),
-        branch(grouped_digest(details, ["branch_id", "article_id"], _pair_line()),
+        branch(digest(details, ["branch_id", "article_id"], _pair_line()),
                pair_checksum=F.col("digest")),
     ]
     stacked = parts[0]

@@ -103,6 +103,28 @@ class MonthlyStore:
         folders = self.folders(spec)
         return self._months(spec, folders, sorted(folders)[-1:]).drop("month")
 
+    def bounds(self, table: str | TableSpec) -> DataFrame:
+        """One row: first and last date and number of rows of a table.
+
+        Answered from the statistics in the footers of its files, no column is read: a session of its
+        own reads Parquet through the interface that pushes aggregates down to them.
+        """
+        spec = self.spec(table)
+        side = self.spark.newSession()
+        side.conf.set("spark.sql.sources.useV1SourceList", "")
+        side.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        day = spec.date_column
+        folders = self.folders(spec)
+        paths = [f"{self.path(spec)}/{f}" for m in folders for f in folders[m]]
+        rows = (
+            side.read.schema(spec.schema).parquet(*paths)
+            if paths
+            else side.createDataFrame([], spec.schema)
+        )
+        return rows.agg(
+            F.min(day).alias("first_day"), F.max(day).alias("last_day"), F.count(F.lit(1)).alias("rows")
+        )
+
     def months(self, table: str | TableSpec) -> list[str]:
         return sorted(self.folders(table))
 
