@@ -1235,7 +1235,7 @@ QUERIES |= {
     "job_results": """
         select load, 'stock_daily' job, lo first_day, hi last_day,
           case load when 1 then n else 0 end inserted, case load when 2 then c else 0 end updated,
-          case load when 1 then m when 2 then mc else 0 end months,
+          case load when 1 then m when 2 then mc else 0 end "months",
           stored_first, stored_last, n stored_rows
         from (select cast(unnest([1,2,3]) as int) load), hist, (
           select count(*) n, count(*) filter (article_id%4=0) c,

@@ -1467,7 +1467,8 @@ def daily_run(f: Frames) -> DataFrame:
 
 @query
 def backtest_stored(f: Frames) -> DataFrame:
-    """Stored estimates of every day scored against the stored panel, twice; the stored rows."""
+    """Stored estimates of every day scored against the stored panel, the last four weeks again;
+    the stored rows."""
     store = MonthlyStore(f.spark, scratch(f.spark, "store"))
     dates, one = f.every_date, timedelta(days=1)
     store.upsert("sales_daily", f.history_panel.withColumn("scope_version_id", F.lit("scope-1")), f.history)
@@ -1475,8 +1476,8 @@ def backtest_stored(f: Frames) -> DataFrame:
         "demand_estimate", demand.estimates(f.history_panel, f.pairs, dates, IDS),
         Span(dates[0], dates[-1]),
     )
-    for _ in range(2):
-        pipelines.run_backtest(store, dates[0] + one, dates[-1] + one, IDS)
+    for first in (dates[0], dates[-28]):
+        pipelines.run_backtest(store, first + one, dates[-1] + one, IDS)
     rows = store.read("backtest_detail").withColumn("codes", F.array_join("exclusion_codes", ","))
     return _condensed_errors(
         rows, "origin_date", "horizon_days", "eligible_actual", "codes", "input_checksum"

@@ -232,13 +232,16 @@ def _next_number(spark: SparkSession, root: str) -> int:
     return int(newest.removeprefix(_SWITCH).removesuffix(".json")) + 1
 
 
-def _record(spark: SparkSession, root: str, number: int, **values: object) -> None:
-    """Adds a record. The one that switches is a file named by its number, which must not exist, so
-    of two publishers that built on the same projection only one switches it."""
+def _record(spark: SparkSession, root: str, **values: object) -> None:
+    """Adds a record; its sequence is the number of the publication and the state. The record that
+    switches is a file named by its number, which must not exist, so of two publishers that built on
+    the same projection only one switches it."""
     now = datetime.now().isoformat(timespec="microseconds")
-    filled = {**values, "sequence": number, "recorded_at": now}
-    switch = values["status"] == "PUBLISHED"
-    name = f"{_SWITCH}{number:010d}" if switch else f"state-{uuid.uuid4().hex}"
+    number, status = values["number"], values["status"]
+    step = STATES.index(status) if status in STATES else len(STATES)
+    filled = {**values, "sequence": number * (len(STATES) + 1) + step, "recorded_at": now}
+    switch = status == "PUBLISHED"
+    name = f"{_SWITCH}{number:010d}" if switch else f"state-{now.replace(':', '')}-{uuid.uuid4().hex}"
     text = json.dumps({f.name: filled.get(f.name) for f in _PUBLICATION}) + "\n"
     if not files.write_new(spark, f"{root}/publications/{name}.json", text):
         raise PublicationRejected(f"publication {number} was made by another attempt meanwhile")
@@ -260,7 +263,7 @@ def publish(
 
     def record(status: str, rows: int = 0, checksum_: object = None) -> None:
         _record(
-            spark, root, number, batch_id=batch_id, attempt=attempt, status=status, rows=rows,
+            spark, root, number=number, batch_id=batch_id, attempt=attempt, status=status, rows=rows,
             checksum=None if checksum_ is None else str(checksum_), is_empty=rows == 0,
         )
 

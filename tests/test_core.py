@@ -339,3 +339,12 @@ def test_promo_split_conserves_units(spark):
     assert by_units[4]["promo_score"] == 70 and by_units[4]["promo_units"] == 2
     assert by_units[-1]["basal_units"] == -1
     assert all(r["units"] == r["basal_units"] + r["promo_units"] for r in split)
+
+
+def test_the_ordered_manifest_refuses_a_scope_that_is_too_large(spark):
+    from replenish.fixtures import adapters
+
+    catalog = adapters.catalog(spark, "/root/testdata/sf0.001")
+    assert scope.ordered_manifest(catalog).first()["pair_count"] > 0
+    with pytest.raises(ValueError, match="too many"):
+        scope.ordered_manifest(catalog, most_rows=10)

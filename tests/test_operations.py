@@ -545,3 +545,88 @@ def test_the_interval_join_knows_no_days_and_equals_a_plain_comparison(spark):
     assert {(r[0], r[1], r[2], int(r[3])) for r in rows} == wanted and len(rows) == len(wanted)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "2020-" not in plan and "2021-" not in plan
+
+
+def one_estimate(spark, value):
+    return spark.createDataFrame(
+        [(date(2026, 8, 2), "r", 1, 5, "OK", Decimal(value), "x")],
+        "business_date date, run_id string, article_id int, branch_id int, status string, "
+        "basal_daily_demand decimal(18,6), input_checksum string",
+    ).select(
+        *[
+            (F.col(f.name) if f.name in ("business_date", "run_id", "article_id", "branch_id", "status",
+                                         "basal_daily_demand", "input_checksum")
+             else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schemas.DEMAND_ESTIMATE
+        ]
+    )
+
+
+def test_of_two_publishers_one_switches(spark, tmp_path, monkeypatch):
+    root, pairs = str(tmp_path), spark.createDataFrame([(1, 5)], "article_id int, branch_id int")
+    publish.publish(spark, root, one_estimate(spark, 1), pairs, "b1")
+    plain = publish.retired
+
+    def meanwhile(before, scope_pairs):
+        monkeypatch.setattr(publish, "retired", plain)
+        publish.publish(spark, root, one_estimate(spark, 2), pairs, "b2")
+        return plain(before, scope_pairs)
+
+    monkeypatch.setattr(publish, "retired", meanwhile)
+    with pytest.raises(publish.PublicationRejected, match="another attempt"):
+        publish.publish(spark, root, one_estimate(spark, 3), pairs, "b3")
+    assert [int(r["basal_daily_demand"]) for r in publish.current(spark, root).collect()] == [2]
+    assert [r["batch_id"] for r in publish.history(spark, root).orderBy("sequence").collect()] == ["b1", "b2"]
+    # A record that its writer left empty stops publications until it is settled.
+    (tmp_path / "publications" / "published-0000000003.json").write_text("")
+    with pytest.raises(publish.PublicationRejected, match="being written"):
+        publish.publish(spark, root, one_estimate(spark, 4), pairs, "b4")
+
+
+SCOPE_ROWS = (
+    "article_id int, branch_id int, route_code string, supply_mode int, enabled int, "
+    "active_for_sale int, active_on_mix int"
+)
+
+
+def test_scope_gates(spark):
+    def rows(*pairs, route="41CD"):
+        return spark.createDataFrame([(a, b, route, 0, 1, 1, 1) for a, b in pairs], SCOPE_ROWS)
+
+    def codes_of(candidate, now):
+        found = quality.scope_gates(candidate, now).collect()
+        return sorted((r["issue_code"], r["entity_key"]) for r in found)
+
+    now = rows(*[(a, b) for a in range(10) for b in (1, 2)])
+    assert codes_of(now, now) == []
+    assert codes_of(now.limit(0), now) == [
+        ("BRANCH_VARIATION", '{"branch_id":1}'), ("BRANCH_VARIATION", '{"branch_id":2}'),
+        ("SCOPE_EMPTY", '{"scope":"scope"}'), ("SCOPE_VARIATION", '{"scope":"scope"}'),
+    ]
+    # Two of twenty pairs are within a tenth of the scope but not of their branch; branch 3 is new.
+    fewer = now.filter("branch_id = 2 or article_id > 0").unionByName(rows((1, 3)))
+    assert codes_of(fewer, now) == [("NEW_BRANCH", '{"branch_id":3}')]
+    fewer = now.filter("branch_id = 2 or article_id > 1")
+    assert codes_of(fewer, now) == [("BRANCH_VARIATION", '{"branch_id":1}')]
+    wrong = now.filter("article_id > 0 or branch_id = 2").unionByName(rows((0, 1), route=None))
+    assert codes_of(wrong, now) == [("INVALID_ROUTE", '{"article_id":0,"branch_id":1}')]
+    assert codes_of(now.unionByName(rows((4, 2))), now) == [
+        ("DUPLICATE_KEY", '{"article_id":4,"branch_id":2}')
+    ]
+    assert codes_of(now.limit(0), now.limit(0)) == [("SCOPE_EMPTY", '{"scope":"scope"}')]
+
+
+def test_version_history_of_a_key_with_many_versions(spark):
+    rows = spark.range(20_000).select(
+        F.lit(1).alias("customer"), (F.col("id") * 3).alias("version"),
+        F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") % 900).cast("int")).alias("changed_at"),
+        F.col("id").alias("state"),
+    )
+    found = needs.versions_with_validity(rows, "customer", ["state"])
+    wrong = found.filter(
+        (F.col("version") > 0)
+        & ~F.col("before_state").eqNullSafe(F.to_json(F.struct((F.col("version") / 3 - 1).cast("bigint").alias("state"))))
+    )
+    assert found.count() == 20_000 and wrong.isEmpty()
+    assert found.filter("superseded_at is null").count() == 1
+    assert found.filter("before_state is null").count() == 1

@@ -316,3 +316,15 @@ def test_the_work_of_a_trigger_does_not_grow_with_the_history(spark, tmp_path):
     wanted = execution.to_delta(events).filter("record_type = 'CORRECTED'").collect()
     fixes = streams.read_corrections(spark, out).collect()
     assert sorted(r.dedup_key for r in fixes) == sorted(r.dedup_key for r in wanted)
+
+
+def test_bounds_come_from_the_footers(spark, tmp_path):
+    store = MonthlyStore(spark, str(tmp_path))
+    assert tuple(store.bounds("stock_daily").first()) == (None, None, 0)
+    days = [date(2026, 7, 30), date(2026, 7, 31), date(2026, 8, 4)]
+    store.upsert("stock_daily", shelf(spark, [(d, 1, 1, "a") for d in days]), Span(days[0], days[-1]))
+    found = store.bounds("stock_daily")
+    assert tuple(found.first()) == (days[0], days[-1], 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(stock_date), MAX(stock_date), COUNT(*)]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
