@@ -746,17 +746,16 @@ QUERIES: dict[str, str] = {
           union all select 'BRANCH', branch_id::varchar, {SUMS} from bt where ok group by branch_id)
         select 'model-1' model_version_id, 1 horizon_days, * from ({_metrics('', 'x')})""",
     "backtest_rolling": f"""
-        select article_id, branch_id, status, {ERRORS},
-          {_checksum("""concat_ws('|', t::varchar, (t+1)::varchar, predicted::varchar, actual::varchar,
-            err::varchar, status)""")} rows_checksum
+        select t business_date, t+1 evaluation_date, article_id, branch_id, {_r('predicted','predicted_demand')},
+          {_r('actual','actual_basal_units')}, {_r('err','error_units')}, {_r('abs(err)','absolute_error_units')},
+          round(cast(err*err as decimal(24,8))::double,8) squared_error, status
         from (
           select e.t, e.article_id, e.branch_id, e.value predicted,
             cast(coalesce(h.basal,0) as decimal(18,6)) actual,
             cast(coalesce(h.basal,0)-e.value as decimal(18,6)) err,
             case when h.eligible then 'VALID' else 'EXCLUDED' end status
           from aest e left join hpanel h on h.sales_date=e.t+1 and h.article_id=e.article_id
-            and h.branch_id=e.branch_id where e.status<>'BLOCKED') x
-        group by all""",
+            and h.branch_id=e.branch_id where e.status<>'BLOCKED') x""",
     "model_compare": f"""
         with x as (
           select variant, 'ALL' segment_type, 'ALL' segment_id, {SUMS} from scored group by variant
