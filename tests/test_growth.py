@@ -61,3 +61,27 @@ def test_rolling_backtest_returns_every_case(spark, folder):
     found = QUERIES["backtest_rolling"](spark, folder).select(*keys, "status", "squared_error").collect()
     wanted = cases.select(*keys, "status", F.round(F.col("squared_error").cast("double"), 8)).collect()
     assert len(found) > 20 and sorted(map(tuple, found)) == sorted(map(tuple, wanted))
+
+
+@pytest.mark.usefixtures("no_automatic_broadcast")
+def test_sales_meet_their_masters_without_a_move(spark, folder):
+    found = plan(fx.raw_sales(spark, folder))
+    assert "SortMergeJoin" not in found and found.count("BroadcastHashJoin") == 2
+    assert found.count("Exchange hashpartitioning") <= 1  # the spreading of a small file
+
+
+@pytest.mark.usefixtures("no_automatic_broadcast")
+def test_directed_needs_move_the_lines_once(spark, folder):
+    found = plan(fx.directed_needs(spark, folder))
+    # The lines, and the orders that they meet.
+    assert found.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.usefixtures("no_automatic_broadcast")
+@pytest.mark.parametrize("source", [fx.raw_sales, fx.enriched_sales, fx.directed_needs])
+def test_masters_beyond_a_broadcast_give_the_same_sales(spark, folder, source, monkeypatch):
+    wanted = sorted(map(str, source(spark, folder).collect()))
+    monkeypatch.setattr(fx, "is_bounded", lambda rows: False)
+    moved = source(spark, folder)
+    assert "BroadcastHashJoin" not in plan(moved)
+    assert wanted and sorted(map(str, moved.collect())) == wanted
