@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from replenish.fixtures import adapters as fx
 from replenish.fixtures.queries import QUERIES, Frames
-from replenish.operators import backtest
+from replenish.operators import backtest, scale
 
 FIRST = datetime(2000, 1, 1)
 PAIR = ["article_id", "branch_id"]
@@ -85,3 +85,20 @@ def test_masters_beyond_a_broadcast_give_the_same_sales(spark, folder, source, m
     moved = source(spark, folder)
     assert "BroadcastHashJoin" not in plan(moved)
     assert wanted and sorted(map(str, moved.collect())) == wanted
+
+
+@pytest.mark.usefixtures("no_automatic_broadcast")
+def test_lines_are_not_sorted_to_meet_parts_beyond_a_broadcast(spark, folder, monkeypatch):
+    monkeypatch.setattr(fx, "is_bounded", lambda rows: rows.columns[0] != "p_partkey")
+    found = plan(fx.raw_sales(spark, folder))
+    assert "ShuffledHashJoin" in found and "Sort " not in found
+    monkeypatch.setattr(scale, "is_bounded", lambda *_: False)
+    assert "SortMergeJoin" in plan(fx.raw_sales(spark, folder))
+
+
+def test_tasks_of_the_directed_lines_are_bounded_in_rows(spark, folder, monkeypatch):
+    wanted = sorted(map(str, fx.directed_needs(spark, folder).collect()))
+    monkeypatch.setattr(scale, "TASK_ROWS", 10)
+    found = fx.directed_needs(spark, folder)
+    assert "hashpartitioning(l_orderkey" in plan(found) and ", 42), REPARTITION_BY_NUM" in plan(found)
+    assert wanted and sorted(map(str, found.collect())) == wanted
