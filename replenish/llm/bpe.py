@@ -17,8 +17,10 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -91,16 +93,16 @@ class MergeList:
 
     def encode_bytes(self, data: bytes) -> list[int]:
         """Tokens of one word: the best-ranked pair is merged, leftmost first, until none is left."""
-        first, get = self.first, self.rank.get
-        ids = [first[b] for b in data]
-        ranks = [get(pair, _NONE) for pair in zip(ids, ids[1:])]
+        merged, get = self.merged, self.rank.get
+        ids = list(map(self.first.__getitem__, data))
+        ranks = list(map(get, zip(ids, ids[1:]), repeat(_NONE)))
         while ranks:
             best = min(ranks)
             if best == _NONE:
                 break
             k = ranks.index(best)
-            ids[k : k + 2] = [self.merged[best]]
-            del ranks[k]
+            ids[k] = merged[best]
+            del ids[k + 1], ranks[k]
             if k:
                 ranks[k - 1] = get((ids[k - 1], ids[k]), _NONE)
             if k < len(ranks):
@@ -120,7 +122,8 @@ class Remembered(dict):
         if found is None:
             if len(word) > WINDOW:
                 return self._long(word)
-            found = np.array(self.merges.encode_bytes(word.encode()), dtype="<u4").tobytes()
+            ids = self.merges.encode_bytes(word.encode())
+            found = struct.pack(f"<{len(ids)}I", *ids)
         if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
