@@ -102,3 +102,28 @@ def test_tasks_of_the_directed_lines_are_bounded_in_rows(spark, folder, monkeypa
     found = fx.directed_needs(spark, folder)
     assert "hashpartitioning(l_orderkey" in plan(found) and ", 42), REPARTITION_BY_NUM" in plan(found)
     assert wanted and sorted(map(str, found.collect())) == wanted
+
+
+def test_lines_of_one_row_group_are_spread_whatever_the_splits(spark, folder, tmp_path, monkeypatch):
+    """One row group is read by one task, though the scan of its file has a split for every core."""
+    rows, cores = 160_000, spark.sparkContext.defaultParallelism
+    lines = spark.range(rows).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.xxhash64("id").alias("l_partkey")
+    )
+    for files in (1, 2 * cores):
+        lines.repartition(files).write.parquet(f"{tmp_path}/{files}/lineitem.parquet")
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "32k")
+    try:
+        one, many = (fx.table(spark, f"{tmp_path}/{files}", "lineitem") for files in (1, 2 * cores))
+        assert one.rdd.getNumPartitions() >= cores
+        assert not scale.is_even(one) and scale.is_even(many)
+        monkeypatch.setattr(scale, "TASK_ROWS", 4_000)
+        spread = fx._lines(spark, f"{tmp_path}/1")
+        held = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(held) == rows and len(held) == rows // 4_000 and max(held) < 8_000
+        assert "Exchange" not in plan(fx._lines(spark, f"{tmp_path}/{2 * cores}"))
+    finally:
+        spark.conf.set(name, before)
+    assert scale.is_even(lines.limit(0))
